@@ -88,6 +88,9 @@ _feature_subset("spend_ratio", ["sum_cart_value_24h", "avg_cart_value_30d",
                                 "cart_value_24h_vs_avg_30d_ratio"])
 
 
+from . import catalog_more  # noqa: E402,F401  (registers the remaining keys)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

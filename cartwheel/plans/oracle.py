@@ -91,12 +91,12 @@ def features_raw(abandon_pit: bool = False) -> str:
         abandoned = """(SELECT CAST(COUNT(*) AS BIGINT) FROM j j2
              WHERE j2.user_id = j.user_id AND j2.will_abandon = 1
                AND j2.ts_ms BETWEEN j.ts_ms - 2592000000 AND j.ts_ms - 1
-               AND epoch_ms(j2.label_available_date) <= j.ts_ms - 1)"""
+               AND (epoch_us(j2.label_available_date) // 1000) <= j.ts_ms - 1)"""
     else:
         abandoned = ("CAST(COALESCE(SUM(CASE WHEN will_abandon = 1 THEN 1 ELSE 0 END) OVER w30d, 0)"
                      " AS BIGINT)")
     return f"""
-j AS (SELECT *, epoch_ms(event_timestamp) AS ts_ms FROM labelled),
+j AS (SELECT *, (epoch_us(event_timestamp) // 1000) AS ts_ms FROM labelled),
 f AS (
   SELECT user_id, event_timestamp,
     COUNT(session_id) OVER w1h AS count_events_1h,

@@ -87,3 +87,12 @@ def stream_json(spark: SparkSession, path: str, schema: StructType,
 def stream_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Streaming read of an append-only parquet table written by a sink."""
     return spark.readStream.schema(schema).parquet(path)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite",
+                partition_by: list[str] | None = None) -> None:
+    """Full-refresh (``overwrite``) or append write of a table folder."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
