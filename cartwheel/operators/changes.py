@@ -98,4 +98,5 @@ def enforce_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     for c in columns:
         cond = cond | F.col(c).isNull()
     msg = F.lit(f"NOT NULL constraint violated on one of {columns}")
-    return df.withColumn("_ok", F.when(cond, F.raise_error(msg)).otherwise(F.lit(True))).drop("_ok")
+    # a filter (not a dropped helper column, which column pruning would remove)
+    return df.filter(F.when(cond, F.raise_error(msg)).otherwise(F.lit(True)))
