@@ -15,14 +15,17 @@ evaluated by one skew-safe :func:`keyed_scan`:
 
 - count / sum / conditional counts: each event enters at ``ts`` (seen by
   later milliseconds only) and leaves at ``ts + W``; frame value = running
-  sum of deltas. Sums run in DECIMAL so enter/leave differences are exact.
+  sum of deltas. Cart values are summed exactly as two LONG columns (whole
+  units and nano-units of the value rounded to 9 decimals), so enter/leave
+  differences carry no floating-point drift and every aggregate stays
+  fixed-width (hash aggregation, fast window updates).
 - distinct categories: per (user, category, ms) occurrence with next
   occurrence ``n``: +1 at ``ts``, -1 at ``min(n, ts + W)``. ``n`` comes from
   a second keyed scan (min over later rows), again skew-safe.
-- max over 24 h: time is cut into aligned 24 h blocks; the frame spans at
-  most two blocks, so max = max(running max from the block start in the
-  current block, running max to the block end of the covering pieces that
-  end in this block) -- a forward and a backward per-block scan.
+- max over 24 h: time is cut into aligned 24 h (UTC day) blocks; the frame
+  spans at most two blocks, so max = max(forward per-block running max of
+  the events earlier in the current block, backward per-block running max of
+  the "tails" of the previous day's events, which end inside this block).
 - leak-free abandonment count: +1 when the label becomes available,
   -1 at ``ts + 30 d``.
 
@@ -44,7 +47,7 @@ DAY_MS = 86_400_000
 WINDOWS = {"1h": HOUR_MS, "24h": DAY_MS, "7d": 7 * DAY_MS, "30d": 30 * DAY_MS}
 EPSILON = 1e-6
 
-EXACT = "decimal(28,9)"
+NANO = 1_000_000_000
 ABANDON_MODES = ("reference", "point_in_time")
 
 FEATURE_COLUMNS = (
@@ -59,15 +62,15 @@ FEATURE_COLUMNS = (
 
 # delta columns of the enter/leave union: (name, SQL type)
 _COUNTS = [f"c_{w}" for w in WINDOWS]                # events with a session id
-_SUMS = [f"s_{w}" for w in WINDOWS]                  # cart value (exact)
+_SUMS = ([f"sh_{w}" for w in WINDOWS]                # cart value, whole units
+         + [f"sl_{w}" for w in WINDOWS])             # cart value, nano-units
 _NONNULL = ["n_1h", "n_24h", "n_30d"]                # cart value present (for avg)
 _DISTINCT = ["d_1h", "d_24h", "d_7d"]                # category occurrences
 _OTHER = ["a_24h", "b_30d"]                          # add-to-cart, abandoned
-_MX = "struct<b:bigint,v:double>"                    # (block tag, cart value)
 
 
 def _zero(name: str) -> Column:
-    return F.lit(0).cast(EXACT if name.startswith("s_") else "long")
+    return F.lit(0).cast("long")
 
 
 def _delta_row(kind: int, pos: Column, ts: Column | None, user: Column,
@@ -77,8 +80,8 @@ def _delta_row(kind: int, pos: Column, ts: Column | None, user: Column,
               (ts if ts is not None else F.lit(None).cast("timestamp")).alias("event_timestamp")]
     for name in _COUNTS + _SUMS + _NONNULL + _DISTINCT + _OTHER:
         fields.append((values[name] if name in values else _zero(name)).alias(name))
-    fields.append((mx_pre if mx_pre is not None else F.lit(None).cast(_MX)).alias("mx_pre"))
-    fields.append((mx_suf if mx_suf is not None else F.lit(None).cast(_MX)).alias("mx_suf"))
+    fields.append((mx_pre if mx_pre is not None else F.lit(None).cast("double")).alias("mx_pre"))
+    fields.append((mx_suf if mx_suf is not None else F.lit(None).cast("double")).alias("mx_suf"))
     return F.struct(*fields)
 
 
@@ -86,32 +89,48 @@ def _day(ms: Column) -> Column:
     return F.floor(ms / F.lit(DAY_MS))
 
 
-def _tagged(block: Column, v: Column) -> Column:
-    """``struct(block, v)`` (NULL without a value): a max over these picks the
-    greatest block first, which turns a running max into a per-block one."""
-    return F.when(v.isNotNull(), F.struct(block.cast("long").alias("b"), v.alias("v")))
+def _split_exact(v: Column) -> tuple[Column, Column]:
+    """``v`` as (whole units, nano-units rounded), both LONG; NULL -> (0, 0).
+
+    ``floor`` and ``v - floor(v)`` are exact in binary floating point, so
+    only the nano-unit rounding is inexact -- the same rounding a cast to
+    DECIMAL(.., 9) performs. Sums of each part are exact 64-bit integers.
+    """
+    whole = F.coalesce(F.floor(v), F.lit(0).cast("long"))
+    nano = F.coalesce(F.round((v - whole) * F.lit(float(NANO))).cast("long"), F.lit(0).cast("long"))
+    return whole, nano
+
+
+def _exact_total(w: str) -> Column:
+    return F.col(f"r_sh_{w}").cast("double") + F.col(f"r_sl_{w}").cast("double") / F.lit(float(NANO))
 
 
 def _event_rows(events: DataFrame, abandon_mode: str) -> DataFrame:
-    ms = F.unix_millis(F.col("event_timestamp"))
-    c = F.col("session_id").isNotNull().cast("long")
-    s = F.coalesce(F.col("cart_value").cast(EXACT), F.lit(0).cast(EXACT))
-    n = F.col("cart_value").isNotNull().cast("long")
-    a = F.coalesce(F.col("event_type") == "add_to_cart", F.lit(False)).cast("long")
-    b = F.coalesce(F.col("will_abandon") == 1, F.lit(False)).cast("long")
-    v = F.col("cart_value").cast("double")
+    # per-event contributions, computed once and then fanned out into rows
+    whole, nano = _split_exact(F.col("cart_value").cast("double"))
+    events = events.select(
+        "user_id", "event_timestamp", "label_available_date",
+        F.unix_millis(F.col("event_timestamp")).alias("_ms"),
+        F.col("session_id").isNotNull().cast("long").alias("_c"),
+        whole.alias("_sh"), nano.alias("_sl"),
+        F.col("cart_value").isNotNull().cast("long").alias("_n"),
+        F.coalesce(F.col("event_type") == "add_to_cart", F.lit(False)).cast("long").alias("_a"),
+        F.coalesce(F.col("will_abandon") == 1, F.lit(False)).cast("long").alias("_b"),
+        F.col("cart_value").cast("double").alias("_v"))
+    ms, c, sh, sl, n, a, b, v = (F.col(x) for x in ("_ms", "_c", "_sh", "_sl", "_n", "_a", "_b", "_v"))
     user, ts = F.col("user_id"), F.col("event_timestamp")
     pit = abandon_mode == "point_in_time"
 
-    enter = {**{k: c for k in _COUNTS}, **{k: s for k in _SUMS}, **{k: n for k in _NONNULL},
+    enter = {**{k: c for k in _COUNTS}, **{f"sh_{w}": sh for w in WINDOWS},
+             **{f"sl_{w}": sl for w in WINDOWS}, **{k: n for k in _NONNULL},
              "a_24h": a, "b_30d": F.lit(0).cast("long") if pit else b}
     # Max piece starting inside the event's own block: it covers the rest of
     # that block, unless ts is the block's last millisecond (then the whole
     # next block is covered by the 24 h leave row below).
-    own_block = F.when(F.pmod(ms + 1, F.lit(DAY_MS)) != 0, _tagged(_day(ms), v))
+    own_block = F.when(F.pmod(ms + 1, F.lit(DAY_MS)) != 0, v)
     rows = [_delta_row(0, ms, ts, user, enter, mx_pre=own_block)]
     for w, width in WINDOWS.items():
-        leave = {f"c_{w}": -c, f"s_{w}": -s}
+        leave = {f"c_{w}": -c, f"sh_{w}": -sh, f"sl_{w}": -sl}
         if f"n_{w}" in _NONNULL:
             leave[f"n_{w}"] = -n
         if w == "24h":
@@ -119,7 +138,7 @@ def _event_rows(events: DataFrame, abandon_mode: str) -> DataFrame:
         if w == "30d":
             leave["b_30d"] = -b
         rows.append(_delta_row(1, ms + F.lit(width), None, user, leave,
-                               mx_suf=_tagged(-_day(ms + F.lit(width)), v) if w == "24h" else None))
+                               mx_suf=v if w == "24h" else None))
     if pit:
         label_ms = F.coalesce(F.unix_millis(F.col("label_available_date")), ms)
         rows.append(_delta_row(2, label_ms, None, user, {"b_30d": b}))
@@ -162,18 +181,14 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         _category_rows(category_events if category_events is not None else events,
                        num_partitions))
     scans = [Scan(f"r_{k}", F.col(k)) for k in _COUNTS + _SUMS + _NONNULL + _DISTINCT + _OTHER]
-    scans += [Scan("r_mx_pre", F.col("mx_pre"), "max", "before"),
-              Scan("r_mx_suf", F.col("mx_suf"), "max", "from")]
-    scanned = keyed_scan(deltas, ["user_id"], "pos", scans, num_partitions=num_partitions)
+    scans += [Scan("r_mx_pre", F.col("mx_pre"), "max", "before", per_block=True),
+              Scan("r_mx_suf", F.col("mx_suf"), "max", "from", per_block=True)]
+    scanned = keyed_scan(deltas, ["user_id"], "pos", scans, num_partitions=num_partitions,
+                         block=_day(F.col("pos")))
     q = scanned.filter(F.col("kind") == 0)
-    day = _day(F.col("pos"))
-    # 24 h max = max(pieces starting earlier in this block, pieces of earlier
-    # events that end inside this block at or after now)
-    mx_pre = F.when(F.col("r_mx_pre.b") == day, F.col("r_mx_pre.v"))
-    mx_suf = F.when(F.col("r_mx_suf.b") == -day, F.col("r_mx_suf.v"))
 
     def total(w):
-        return F.col(f"r_s_{w}").cast("double")
+        return _exact_total(w)
 
     def mean(w):
         return F.when(F.col(f"r_n_{w}") > 0, total(w) / F.col(f"r_n_{w}"))
@@ -187,7 +202,7 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         F.col("r_c_24h").alias("count_sessions_24h"),
         total("24h").alias("sum_cart_value_24h"),
         mean("24h").alias("avg_cart_value_24h"),
-        F.greatest(mx_pre, mx_suf).alias("max_cart_value_24h"),
+        F.greatest("r_mx_pre", "r_mx_suf").alias("max_cart_value_24h"),
         F.col("r_d_24h").cast("int").alias("distinct_categories_24h"),
         F.col("r_a_24h").alias("count_add_to_cart_24h"),
         F.col("r_c_7d").alias("count_events_7d"),

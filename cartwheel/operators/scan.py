@@ -32,6 +32,12 @@ Frames (relative to the current row's ``pos``; equal positions are peers):
 Rows with equal ``(keys, pos)`` always share a range partition, so peer
 semantics are exact. Sums never return NULL (empty frame -> 0); max/min
 return NULL on an empty frame. ``pos`` must be a non-null integral column.
+
+``block`` optionally sub-divides each key (e.g. a day number); it must be a
+non-decreasing function of ``pos``. A scan with ``per_block=True`` restarts
+at every block, the others run across blocks. Keep scanned values
+fixed-width (long, double, timestamp) where possible: the carry aggregation
+then runs as a hash aggregation.
 """
 
 from __future__ import annotations
@@ -44,11 +50,15 @@ from pyspark.sql.types import NumericType, StringType
 
 from ..session import scratch_path
 
+# Every frame is evaluated as a *running* frame (UNBOUNDED PRECEDING .. n),
+# which Spark computes incrementally. Backward frames run over a descending
+# order instead of using UNBOUNDED FOLLOWING, a frame Spark re-aggregates for
+# every row (quadratic in the group size).
 FRAMES = {
     "before": (Window.unboundedPreceding, -1),
     "upto": (Window.unboundedPreceding, 0),
-    "from": (0, Window.unboundedFollowing),
-    "after": (1, Window.unboundedFollowing),
+    "from": (Window.unboundedPreceding, 0),
+    "after": (Window.unboundedPreceding, -1),
 }
 FORWARD = ("before", "upto")
 OPS = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -60,6 +70,7 @@ class Scan:
     value: Column
     op: str = "sum"
     frame: str = "before"
+    per_block: bool = False
 
     def __post_init__(self):
         if self.op not in OPS:
@@ -103,30 +114,41 @@ def range_pieces(df: DataFrame, sort_cols: list[str], num_partitions: int | None
 
 
 def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, block: Column | None = None) -> DataFrame:
     """Add one column per :class:`Scan` holding its running aggregate.
 
     Eager: the range-partitioned input is stored before the (lazy) result
     is returned.
     """
     d, kcols, helpers = _non_null_keys(df, keys)
+    d = d.withColumn("_blk", (block if block is not None else F.lit(0)).cast("long"))
     d = d.withColumns({f"_v{i}": s.value for i, s in enumerate(scans)})
     pieces = range_pieces(d, [*kcols, pos], num_partitions)
-    part = ["_pid", *kcols]
+    part = ["_pid", *kcols, "_blk"]
 
-    w = Window.partitionBy(*part).orderBy(pos)
+    asc = Window.partitionBy(*part).orderBy(F.col(pos).asc())
+    desc = Window.partitionBy(*part).orderBy(F.col(pos).desc())
     local = pieces.withColumns({
-        f"_l{i}": OPS[s.op](f"_v{i}").over(w.rangeBetween(*FRAMES[s.frame]))
+        f"_l{i}": OPS[s.op](f"_v{i}").over(
+            (asc if s.frame in FORWARD else desc).rangeBetween(*FRAMES[s.frame]))
         for i, s in enumerate(scans)})
 
     totals = pieces.groupBy(*part).agg(*[OPS[s.op](f"_v{i}").alias(f"_t{i}")
                                          for i, s in enumerate(scans)])
-    cw = Window.partitionBy(*kcols).orderBy("_pid")
-    carries = {
-        f"_o{i}": OPS[s.op](f"_t{i}").over(
-            cw.rowsBetween(Window.unboundedPreceding, -1) if s.frame in FORWARD
-            else cw.rowsBetween(1, Window.unboundedFollowing))
-        for i, s in enumerate(scans)}
+    def carry_window(s: Scan) -> Window:
+        # all earlier (forward) or later (backward) groups of the key -- or
+        # of the key's block -- as a running frame
+        if s.per_block:
+            spec = Window.partitionBy(*kcols, "_blk")
+            order = [F.col("_pid")]
+        else:
+            spec = Window.partitionBy(*kcols)
+            order = [F.col("_pid"), F.col("_blk")]
+        order = [o.asc() if s.frame in FORWARD else o.desc() for o in order]
+        return spec.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+    carries = {f"_o{i}": OPS[s.op](f"_t{i}").over(carry_window(s))
+               for i, s in enumerate(scans)}
     carry = totals.withColumns(carries).select(*part, *carries)
 
     joined = local.join(carry, on=part, how="left")
@@ -140,5 +162,5 @@ def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
             finals[s.name] = F.greatest(lc, oc)
         else:
             finals[s.name] = F.least(lc, oc)
-    drop = ["_pid", *helpers] + [f"_{p}{i}" for i in range(len(scans)) for p in "vlo"]
+    drop = ["_pid", "_blk", *helpers] + [f"_{p}{i}" for i in range(len(scans)) for p in "vlo"]
     return joined.withColumns(finals).drop(*drop)
