@@ -88,9 +88,11 @@ def expectation_metrics(df: DataFrame, rules: dict[str, str] | str) -> DataFrame
     return wide.select(F.inline(rows))
 
 
-def observe_expectations(df: DataFrame, rules: dict[str, str] | str, name: str) -> DataFrame:
-    """Streaming-friendly metrics: attach the per-rule failure counts as an
-    observation (reported per micro-batch via the query listener / progress)."""
+def observe_expectations(df: DataFrame, rules: dict[str, str] | str, name) -> DataFrame:
+    """Warn-only metrics attached to the data flow itself: per-rule failure
+    counts collected as the rows pass (no extra scan). ``name`` is a string
+    for streams (reported per micro-batch in the query progress) or a
+    ``pyspark.sql.Observation`` for batch frames."""
     r = _rules(rules)
     aggs = [F.count(F.lit(1)).alias("rows")]
     for rule, pred in r.items():

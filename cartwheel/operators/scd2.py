@@ -72,3 +72,25 @@ def as_of(history: DataFrame, ts) -> DataFrame:
     """The version of every key valid at one instant."""
     t = F.lit(ts).cast("timestamp")
     return history.filter((F.col(START) <= t) & (F.col(END).isNull() | (F.col(END) > t)))
+
+
+def scd2_merge(history: DataFrame, changes: DataFrame, keys: list[str], sequence_by: str,
+               except_columns: list[str] | tuple[str, ...] = (),
+               tie_breaker: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Apply a batch of changes to an existing (uncollapsed) history.
+
+    Only keys present in ``changes`` are rebuilt -- from their stored
+    versions plus the new records -- and the other keys' versions pass
+    through untouched. Versions carry their full payload (including the
+    tie-breaker), so the result equals :func:`scd2_history` over the whole
+    change log. Two joins on the key against the distinct touched keys
+    (semi/anti), no per-key collection.
+    """
+    cols = [c for c in changes.columns if c not in set(except_columns)]
+    touched = changes.select(*keys).distinct()
+    stored = history.drop(START, END)
+    affected = stored.join(touched, keys, "left_semi")
+    untouched = history.join(touched, keys, "left_anti")
+    rebuilt = scd2_history(affected.select(*cols).unionByName(changes.select(*cols)), keys,
+                           sequence_by, tie_breaker=tie_breaker, num_partitions=num_partitions)
+    return untouched.unionByName(rebuilt.select(*history.columns))

@@ -531,3 +531,22 @@ def q_spine_stream(spark, sf_dir):
     flows.run_available_now(flows.spine_stream(src), f"{root}/spine", f"{root}/_checkpoint_spine")
     out = spark.read.parquet(f"{root}/spine").filter(F.col("session_id") != SENTINEL)
     return present(out)
+
+
+@register("scd2_incremental", WH("SELECT * FROM history"))
+def q_scd2_incremental(spark, sf_dir):
+    """Two snapshot deliveries streamed through typing, rules and imputation
+    into the per-batch SCD2 merge; the newest version is the history."""
+    root = scratch_path(spark, "stream-scd2")
+    raw = dt.fixture_customers(spark, sf_dir)
+    early = F.coalesce(F.col("user_updated_at"), F.lit("1900-01-01").cast("timestamp")) < \
+        F.lit(CUTOFF).cast("timestamp")
+    schema = schemas.struct(CUSTOMERS_CSV_WITH_SEQ)
+    for part in (raw.filter(early), raw.filter(~early)):
+        part.write.mode("append").option("header", "true").csv(f"{root}/landing")
+        bronze = files.stream_csv(spark, f"{root}/landing", schema)
+        clean = quality.clean(quality.evaluate(quality.impute_sequence(bronze), "customers"))
+        flows.scd2_incremental(clean, f"{root}/history", f"{root}/_checkpoint", ["user_id"],
+                               "user_updated_at", except_columns=list(schemas.LINEAGE_COLUMNS),
+                               tie_breaker="source_seq")
+    return present(spark.read.parquet(flows.latest_version(spark, f"{root}/history")))

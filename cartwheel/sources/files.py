@@ -71,19 +71,33 @@ def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def stream_json(spark: SparkSession, path: str, schema: StructType,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, latest_first: bool = False,
+                clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
     """Incremental JSON file source: each new file is read exactly once.
 
     Malformed lines surface as NULL columns (PERMISSIVE) and are then caught
-    by the quality rules instead of failing the stream.
+    by the quality rules instead of failing the stream. ``clean_source``
+    (``archive`` / ``delete``) moves processed files out of the landing zone.
     """
     reader = (spark.readStream.schema(schema).format("json")
               .option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if latest_first:
+        reader = reader.option("latestFirst", "true")
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     return with_lineage(reader.load(path))
 
 
+def stream_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Incremental CSV source (header row) for snapshot deliveries."""
+    reader = spark.readStream.format("csv").option("header", "true")
+    return with_lineage(reader.schema(schema or schemas.customers_csv()).load(path))
+
+
 def stream_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Streaming read of an append-only parquet table written by a sink."""
     return spark.readStream.schema(schema).parquet(path)

@@ -114,6 +114,65 @@ def label_join_stream(events: DataFrame, labels: DataFrame, events_delay: str =
     return joins.label_interval_join(ev, lb)
 
 
+def fan_in(*streams: DataFrame) -> DataFrame:
+    """Several append flows into one target: one query over their union
+    (columns matched by name), so the target has one writer and one checkpoint."""
+    out = streams[0]
+    for s in streams[1:]:
+        out = out.unionByName(s, allowMissingColumns=True)
+    return out
+
+
+def scd2_incremental(changes: DataFrame, history_root: str, checkpoint: str, keys: list[str],
+                     sequence_by: str, except_columns: list[str] | tuple[str, ...] = (),
+                     tie_breaker: str | None = None) -> StreamingQuery:
+    """Maintain SCD2 history from a change stream, one version folder per batch.
+
+    Each micro-batch reads the newest committed version, rebuilds only the
+    touched keys (:func:`scd2.scd2_merge`) and writes
+    ``{history_root}/version={batch_id}``; a replayed batch rewrites its own
+    folder. A plan never reads and overwrites the same path.
+    """
+    from ..operators import scd2
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        current = latest_version(spark, history_root, before=batch_id)
+        batch = batch.drop(*[c for c in except_columns if c in batch.columns])
+        if current is None:
+            new = scd2.scd2_history(batch, keys, sequence_by, tie_breaker=tie_breaker)
+        else:
+            new = scd2.scd2_merge(spark.read.parquet(current), batch, keys, sequence_by,
+                                  tie_breaker=tie_breaker)
+        new.write.mode("overwrite").parquet(f"{history_root}/version={batch_id:012d}")
+
+    return run_for_each_batch(changes, apply, checkpoint)
+
+
+def latest_version(spark: SparkSession, root: str, before: int | None = None) -> str | None:
+    """Newest committed ``version=`` folder under ``root`` (committed = has
+    ``_SUCCESS``), optionally older than ``before``. Lists one directory."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return None
+    best = None
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if not name.startswith("version="):
+            continue
+        v = int(name.split("=", 1)[1])
+        if before is not None and v >= before:
+            continue
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
+        if best is None or v > best[0]:
+            best = (v, st.getPath().toString())
+    return best[1] if best else None
+
+
 # -- gold -------------------------------------------------------------------
 
 def spine_stream(labelled_stream: DataFrame) -> DataFrame:

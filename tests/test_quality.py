@@ -73,3 +73,12 @@ def test_impute_sequence_uses_registration_date(spark):
     out = quality.impute_sequence(_customers(spark).withColumn("user_updated_at", F.lit(None)
                                                                 .cast("timestamp")))
     assert all(r.user_updated_at is not None for r in out.collect())
+
+
+def test_observed_expectations_batch(spark):
+    from pyspark.sql import Observation
+    obs = Observation("customers")
+    df = quality.observe_expectations(_customers(spark), "customers", obs)
+    assert df.count() == 3                      # rows flow through unchanged
+    m = obs.get
+    assert m["rows"] == 3 and m["valid_age"] == 2 and m["valid_country"] == 1

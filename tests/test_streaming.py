@@ -64,3 +64,12 @@ def test_fan_out_is_replay_safe(spark):
     assert spark.read.parquet(f"{root}/clean").count() == 1
     assert spark.read.parquet(f"{root}/bad").count() == 2
     assert spark.read.parquet(f"{root}/bad").filter(F.col("session_id") == "c").count() == 1
+
+
+def test_fan_in_single_writer(spark):
+    root = tempfile.mkdtemp(prefix="cartwheel-fanin-test-")
+    _land(f"{root}/a", "1.json", [_event("a", "2024-01-01T00:00:00")])
+    _land(f"{root}/b", "1.json", [_event("b", "2024-01-02T00:00:00"), _event("c", "2024-01-02T00:00:00")])
+    merged = flows.fan_in(flows.bronze_events(spark, f"{root}/a"), flows.bronze_events(spark, f"{root}/b"))
+    flows.run_available_now(merged.drop(*schemas.LINEAGE_COLUMNS), f"{root}/out", f"{root}/_ckpt")
+    assert sorted(r.session_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c"]
