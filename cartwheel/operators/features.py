@@ -34,10 +34,10 @@ All of it stays in Catalyst expressions (no Python on the data path).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import Scan, keyed_scan
+from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
 
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
@@ -49,6 +49,10 @@ EPSILON = 1e-6
 
 NANO = 1_000_000_000
 ABANDON_MODES = ("reference", "point_in_time")
+STRATEGIES = ("auto", "scan", "window")
+# Size check of the direct window plan: the largest user may hold at most this
+# many rows (one window task per user, frame work <= rows^2 per user).
+WINDOW_MAX_ROWS_PER_USER = 5_000
 
 FEATURE_COLUMNS = (
     "user_id", "event_timestamp",
@@ -146,14 +150,15 @@ def _event_rows(events: DataFrame, abandon_mode: str) -> DataFrame:
     return out.filter((F.col("kind") != 2) | (F.col("b_30d") != 0)) if pit else out
 
 
-def _category_rows(events: DataFrame, num_partitions: int | None) -> DataFrame:
+def _category_rows(events: DataFrame, num_partitions: int | None,
+                   direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
     occ = (events.filter(F.col("item_category").isNotNull())
                  .select("user_id", "item_category",
                          F.unix_millis(F.col("event_timestamp")).alias("ms"))
                  .distinct())
     occ = keyed_scan(occ, ["user_id", "item_category"], "ms",
                      [Scan("next_ms", F.col("ms"), "min", "after")],
-                     num_partitions=num_partitions)
+                     num_partitions=num_partitions, direct_max_rows=direct_max_rows)
     one = F.lit(1).cast("long")
     rows = [_delta_row(3, F.col("ms"), None, F.col("user_id"), {k: one for k in _DISTINCT})]
     for w in ("1h", "24h", "7d"):
@@ -162,11 +167,82 @@ def _category_rows(events: DataFrame, num_partitions: int | None) -> DataFrame:
     return occ.select(F.inline(F.array(*rows)))
 
 
+def largest_user(events: DataFrame) -> int:
+    """Row count of the busiest user: one partially aggregated pass, one
+    number to the driver."""
+    top = events.groupBy("user_id").count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
 def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                       category_events: DataFrame | None = None,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, strategy: str = "auto",
+                      window_max_rows: int = WINDOW_MAX_ROWS_PER_USER,
+                      scan_direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
     """The 20-column behaviour feature table, one row per input row.
 
+    ``strategy``: ``scan`` -- the skew-safe enter/leave plan (any key size);
+    ``window`` -- sliding RANGE windows per user (the direct formulation);
+    ``auto`` (default) -- ``window`` only when a measured bound holds (the
+    busiest user has at most ``window_max_rows`` rows, so every per-user task
+    and its frame work stay small), otherwise ``scan``. The leak-free
+    abandonment mode always uses ``scan``. ``scan_direct_max_rows`` is passed
+    to :func:`keyed_scan` (0 forces its range-piece plan).
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    if abandon_mode not in ABANDON_MODES:
+        raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
+    if strategy == "auto":
+        small = abandon_mode == "reference" and largest_user(events) <= window_max_rows
+        strategy = "window" if small else "scan"
+    if strategy == "window" and abandon_mode == "reference":
+        return window_features(events)
+    return scan_features(events, abandon_mode, category_events, num_partitions,
+                         scan_direct_max_rows)
+
+
+def window_features(events: DataFrame) -> DataFrame:
+    """Direct sliding-window plan: ``partitionBy(user_id)``, RANGE frames
+    ``[-W, -1 ms]`` on epoch ms. Only for bounded per-user sizes."""
+    df = events.withColumn("_ms", F.unix_millis(F.col("event_timestamp")))
+
+    def frame(w: str) -> Window:
+        return Window.partitionBy("user_id").orderBy("_ms").rangeBetween(-WINDOWS[w], -1)
+
+    w1, w24, w7, w30 = frame("1h"), frame("24h"), frame("7d"), frame("30d")
+    v, cat = F.col("cart_value"), F.col("item_category")
+    atc = F.when(F.col("event_type") == "add_to_cart", 1).otherwise(0)
+    ab = F.when(F.col("will_abandon") == 1, 1).otherwise(0)
+    out = df.select(
+        "user_id", "event_timestamp",
+        F.count("session_id").over(w1).alias("count_events_1h"),
+        F.coalesce(F.sum(v).over(w1), F.lit(0.0)).alias("sum_cart_value_1h"),
+        F.avg(v).over(w1).alias("avg_cart_value_1h"),
+        F.size(F.collect_set(cat).over(w1)).alias("distinct_categories_1h"),
+        F.count("session_id").over(w24).alias("count_sessions_24h"),
+        F.coalesce(F.sum(v).over(w24), F.lit(0.0)).alias("sum_cart_value_24h"),
+        F.avg(v).over(w24).alias("avg_cart_value_24h"),
+        F.max(v).over(w24).alias("max_cart_value_24h"),
+        F.size(F.collect_set(cat).over(w24)).alias("distinct_categories_24h"),
+        F.coalesce(F.sum(atc).over(w24), F.lit(0)).cast("long").alias("count_add_to_cart_24h"),
+        F.count("session_id").over(w7).alias("count_events_7d"),
+        F.coalesce(F.sum(v).over(w7), F.lit(0.0)).alias("sum_cart_value_7d"),
+        F.size(F.collect_set(cat).over(w7)).alias("distinct_categories_7d"),
+        F.count("session_id").over(w30).alias("count_events_30d"),
+        F.coalesce(F.sum(v).over(w30), F.lit(0.0)).alias("sum_cart_value_30d"),
+        F.avg(v).over(w30).alias("avg_cart_value_30d"),
+        F.coalesce(F.sum(ab).over(w30), F.lit(0)).cast("long").alias("num_abandoned_confirmed_30d"),
+    )
+    return out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio())
+
+
+def scan_features(events: DataFrame, abandon_mode: str = "reference",
+                  category_events: DataFrame | None = None,
+                  num_partitions: int | None = None,
+                  direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
+    """Skew-safe plan of :func:`behavior_features` (see module docstring).
+
     ``events``: labelled events (``user_id, session_id, event_timestamp,
     cart_value, event_type, item_category, will_abandon,
     label_available_date``). ``category_events``: optional source for the
@@ -179,12 +255,12 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
     deltas = _event_rows(events, abandon_mode).unionByName(
         _category_rows(category_events if category_events is not None else events,
-                       num_partitions))
+                       num_partitions, direct_max_rows))
     scans = [Scan(f"r_{k}", F.col(k)) for k in _COUNTS + _SUMS + _NONNULL + _DISTINCT + _OTHER]
     scans += [Scan("r_mx_pre", F.col("mx_pre"), "max", "before", per_block=True),
               Scan("r_mx_suf", F.col("mx_suf"), "max", "from", per_block=True)]
     scanned = keyed_scan(deltas, ["user_id"], "pos", scans, num_partitions=num_partitions,
-                         block=_day(F.col("pos")))
+                         block=_day(F.col("pos")), direct_max_rows=direct_max_rows)
     q = scanned.filter(F.col("kind") == 0)
 
     def total(w):

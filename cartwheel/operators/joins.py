@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import Scan, keyed_scan
+from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
 
 LABEL_HORIZON = "30 days"
 
@@ -36,7 +36,8 @@ def label_interval_join(events: DataFrame, labels: DataFrame,
 
 def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                 value_cols: list[str], prefix: str = "",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None,
+                direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
     """For every left row, the right row with the same key and the latest
     ``right_ts <= left_ts`` (NULLs when there is none). Left rows are kept
     one-for-one.
@@ -63,7 +64,7 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
            .unionByName(r.select("_key", "_pos", "_val",
                                  F.lit(None).cast(left_type).alias("_left"))))
     scanned = keyed_scan(u, ["_key"], "_pos", [Scan("_hit", F.col("_val"), "max", "upto")],
-                         num_partitions=num_partitions)
+                         num_partitions=num_partitions, direct_max_rows=direct_max_rows)
     out = scanned.filter(F.col("_left").isNotNull())
     return out.select(*[F.col(f"_left.{c}").alias(c) for c in left_cols],
                       *[F.col(f"_hit.{c}").alias(prefix + c) for c in value_cols])

@@ -33,6 +33,13 @@ Rows with equal ``(keys, pos)`` always share a range partition, so peer
 semantics are exact. Sums never return NULL (empty frame -> 0); max/min
 return NULL on an empty frame. ``pos`` must be a non-null integral column.
 
+Plan choice: the busiest key's row count is measured first (one partially
+aggregated pass, one number to the driver). Up to ``direct_max_rows`` rows a
+key fits one task comfortably, so the direct plan -- one
+``Window.partitionBy(keys)`` with running frames, O(n) -- is used; beyond
+that (a hot key) the range-piece plan above. ``direct_max_rows=0`` forces
+pieces.
+
 ``block`` optionally sub-divides each key (e.g. a day number); it must be a
 non-decreasing function of ``pos``. A scan with ``per_block=True`` restarts
 at every block, the others run across blocks. Keep scanned values
@@ -62,6 +69,7 @@ FRAMES = {
 }
 FORWARD = ("before", "upto")
 OPS = {"sum": F.sum, "max": F.max, "min": F.min}
+DIRECT_MAX_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -113,28 +121,61 @@ def range_pieces(df: DataFrame, sort_cols: list[str], num_partitions: int | None
     return spark.read.parquet(path)
 
 
+def largest_key(df: DataFrame, keys: list[str]) -> int:
+    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
+def _finish(df: DataFrame, scans: list[Scan], helpers: list[str], extra_drop: list[str]) -> DataFrame:
+    finals = {}
+    for i, s in enumerate(scans):
+        lc, oc = F.col(f"_l{i}"), F.col(f"_o{i}")
+        if s.op == "sum":
+            zero = F.lit(0).cast(df.schema[f"_l{i}"].dataType)
+            finals[s.name] = F.coalesce(lc, zero) + F.coalesce(oc, zero)
+        elif s.op == "max":
+            finals[s.name] = F.greatest(lc, oc)
+        else:
+            finals[s.name] = F.least(lc, oc)
+    drop = ["_blk", *helpers, *extra_drop] + [f"_{p}{i}" for i in range(len(scans)) for p in "vlo"]
+    return df.withColumns(finals).drop(*drop)
+
+
+def _local_windows(df: DataFrame, part: list[str], pos: str, scans: list[Scan],
+                   block_part: list[str]) -> DataFrame:
+    """Running frames per group; per-block scans also restart at each block."""
+    cols = {}
+    for i, s in enumerate(scans):
+        spec = Window.partitionBy(*(block_part if s.per_block else part))
+        order = F.col(pos).asc() if s.frame in FORWARD else F.col(pos).desc()
+        cols[f"_l{i}"] = OPS[s.op](f"_v{i}").over(spec.orderBy(order).rangeBetween(*FRAMES[s.frame]))
+    return df.withColumns(cols)
+
+
 def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
-               num_partitions: int | None = None, block: Column | None = None) -> DataFrame:
+               num_partitions: int | None = None, block: Column | None = None,
+               direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
     """Add one column per :class:`Scan` holding its running aggregate.
 
-    Eager: the range-partitioned input is stored before the (lazy) result
-    is returned.
+    Eager: the plan choice runs one aggregation, and the range-piece plan
+    stores its pieces before the (lazy) result is returned.
     """
     d, kcols, helpers = _non_null_keys(df, keys)
     d = d.withColumn("_blk", (block if block is not None else F.lit(0)).cast("long"))
     d = d.withColumns({f"_v{i}": s.value for i, s in enumerate(scans)})
+    if direct_max_rows > 0 and largest_key(d, kcols) <= direct_max_rows:
+        local = _local_windows(d, kcols, pos, scans, [*kcols, "_blk"])
+        local = local.withColumns({f"_o{i}": F.lit(None).cast(local.schema[f"_l{i}"].dataType)
+                                   for i in range(len(scans))})
+        return _finish(local, scans, helpers, [])
     pieces = range_pieces(d, [*kcols, pos], num_partitions)
     part = ["_pid", *kcols, "_blk"]
 
-    asc = Window.partitionBy(*part).orderBy(F.col(pos).asc())
-    desc = Window.partitionBy(*part).orderBy(F.col(pos).desc())
-    local = pieces.withColumns({
-        f"_l{i}": OPS[s.op](f"_v{i}").over(
-            (asc if s.frame in FORWARD else desc).rangeBetween(*FRAMES[s.frame]))
-        for i, s in enumerate(scans)})
+    local = _local_windows(pieces, part, pos, scans, part)
 
     totals = pieces.groupBy(*part).agg(*[OPS[s.op](f"_v{i}").alias(f"_t{i}")
                                          for i, s in enumerate(scans)])
+
     def carry_window(s: Scan) -> Window:
         # all earlier (forward) or later (backward) groups of the key -- or
         # of the key's block -- as a running frame
@@ -152,15 +193,4 @@ def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
     carry = totals.withColumns(carries).select(*part, *carries)
 
     joined = local.join(carry, on=part, how="left")
-    finals = {}
-    for i, s in enumerate(scans):
-        lc, oc = F.col(f"_l{i}"), F.col(f"_o{i}")
-        if s.op == "sum":
-            zero = F.lit(0).cast(local.schema[f"_l{i}"].dataType)
-            finals[s.name] = F.coalesce(lc, zero) + F.coalesce(oc, zero)
-        elif s.op == "max":
-            finals[s.name] = F.greatest(lc, oc)
-        else:
-            finals[s.name] = F.least(lc, oc)
-    drop = ["_pid", "_blk", *helpers] + [f"_{p}{i}" for i in range(len(scans)) for p in "vlo"]
-    return joined.withColumns(finals).drop(*drop)
+    return _finish(joined, scans, helpers, ["_pid"])

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import Scan, keyed_scan
+from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
 
 START, END = "__START_AT", "__END_AT"
 
@@ -26,7 +26,8 @@ START, END = "__START_AT", "__END_AT"
 def scd2_history(changes: DataFrame, keys: list[str], sequence_by: str,
                  except_columns: list[str] | tuple[str, ...] = (),
                  tie_breaker: str | None = None, collapse_unchanged: bool = False,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None,
+                 direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
     """Versioned history.
 
     - ``except_columns`` are dropped before anything else (lineage columns
@@ -53,12 +54,12 @@ def scd2_history(changes: DataFrame, keys: list[str], sequence_by: str,
         dedup = keyed_scan(dedup, keys, "_pos",
                            [Scan("_prev", F.struct(F.col("_pos").alias("p"), body.alias("b")),
                                  "max", "before")],
-                           num_partitions=num_partitions)
+                           num_partitions=num_partitions, direct_max_rows=direct_max_rows)
         dedup = (dedup.filter(F.col("_prev").isNull() | ~F.col("_prev.b").eqNullSafe(body))
                       .drop("_prev"))
     hist = keyed_scan(dedup, keys, "_pos",
                       [Scan(END, F.col(sequence_by), "min", "after")],
-                      num_partitions=num_partitions)
+                      num_partitions=num_partitions, direct_max_rows=direct_max_rows)
     return hist.select(*keys, sequence_by, *payload,
                        F.col(sequence_by).alias(START), F.col(END))
 

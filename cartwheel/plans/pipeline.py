@@ -45,9 +45,10 @@ def labelled_events(s: Silver) -> DataFrame:
 
 
 def behavior_features(s: Silver, abandon_mode: str = "reference",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     return features.behavior_features(labelled_events(s), abandon_mode=abandon_mode,
-                                      category_events=s.events, num_partitions=num_partitions)
+                                      category_events=s.events, num_partitions=num_partitions,
+                                      strategy=strategy)
 
 
 def users_history(s: Silver, tie_breaker: str | None = "source_seq") -> DataFrame:

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from brute import assert_same, rows, window_features
 from conftest import ts
-from cartwheel.operators.features import FEATURE_COLUMNS, behavior_features
+from cartwheel.operators import features as feat
+from cartwheel.operators.features import FEATURE_COLUMNS
+
+
+def behavior_features(df, **kw):
+    """The skew-safe scan plan (the size check would pick windows on tiny data)."""
+    return feat.behavior_features(df, strategy="scan", scan_direct_max_rows=0, **kw)
 
 SCHEMA = ("session_id string, user_id string, event_timestamp timestamp, cart_value double, "
           "event_type string, item_category string, will_abandon int, "
@@ -127,3 +133,15 @@ def test_point_in_time_abandon_count(spark):
               .groupBy("user_id", "event_timestamp").agg(F.count("u2").alias("n")))
     want = {(r.user_id, r.event_timestamp): r.n for r in brute.collect()}
     assert got == want
+
+
+def test_strategy_choice_and_window_plan(spark):
+    df = frame(spark, _random_events(4, n=400))
+    assert feat.largest_user(df) > 100
+    window = feat.behavior_features(df)                              # bound holds -> windows
+    scan = feat.behavior_features(df, window_max_rows=100)           # bound fails -> scan
+    assert "Window" in window._jdf.queryExecution().executedPlan().toString()
+    assert_same(window, scan)                  # scan with its direct (per-key window) plan
+    assert_same(window, behavior_features(df))  # scan with range pieces
+    with pytest.raises(ValueError):
+        feat.behavior_features(df, strategy="nope")

@@ -38,7 +38,8 @@ def test_asof_equals_validity_join(spark):
         (5, "b", ts("2024-01-02 00:00:00")), (6, "c", ts("2024-01-09 00:00:00")),
         (7, None, ts("2024-01-09 00:00:00")),
     ], "id int, user_id string, ts timestamp")
-    fast = joins.asof_lookup(spine, hist, "user_id", "ts", "__START_AT", ["val"], num_partitions=3)
+    fast = joins.asof_lookup(spine, hist, "user_id", "ts", "__START_AT", ["val"], num_partitions=3,
+                             direct_max_rows=0)
     slow = joins.validity_join(spine, hist, "user_id", "ts", value_cols=["val"])
     f = sorted((r.id, r.val) for r in fast.collect())
     s = sorted((r.id, r.val) for r in slow.collect())

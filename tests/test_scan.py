@@ -19,7 +19,8 @@ def test_scan_matches_windows_with_hot_key_and_nulls(spark):
              Scan("s_upto", F.col("v"), "sum", "upto"),
              Scan("m_from", F.col("v"), "max", "from"),
              Scan("n_after", F.col("pos"), "min", "after")]
-    fast = keyed_scan(df, ["k"], "pos", scans, num_partitions=9)
+    fast = keyed_scan(df, ["k"], "pos", scans, num_partitions=9, direct_max_rows=0)
+    direct = keyed_scan(df, ["k"], "pos", scans)
     w = Window.partitionBy("k").orderBy("pos")
     unb_p, unb_f = Window.unboundedPreceding, Window.unboundedFollowing
     slow = df.select(
@@ -28,6 +29,8 @@ def test_scan_matches_windows_with_hot_key_and_nulls(spark):
         F.coalesce(F.sum("v").over(w.rangeBetween(unb_p, 0)), F.lit(0)).alias("s_upto"),
         F.max("v").over(w.rangeBetween(0, unb_f)).alias("m_from"),
         F.min("pos").over(w.rangeBetween(1, unb_f)).alias("n_after"))
+    assert sorted(map(str, direct.select(*slow.columns).collect())) == \
+        sorted(map(str, slow.collect()))
     key = lambda r: (r.k is None, r.k or "", r.pos, r.v is None, r.v or 0)
     cols = ["k", "pos", "v", "s_before", "s_upto", "m_from", "n_after"]
     assert sorted(map(tuple, fast.select(*cols).collect()), key=lambda t: key(

@@ -19,7 +19,8 @@ def test_scd2_out_of_order_ties_and_reingestion(spark):
         ("v", ts("2024-01-01 00:00:00"), "X", 1, "f1"),
     ]
     h = scd2.scd2_history(spark.createDataFrame(rows, SCH), ["user_id"], "user_updated_at",
-                          except_columns=["source_file"], tie_breaker="seq", num_partitions=3)
+                          except_columns=["source_file"], tie_breaker="seq", num_partitions=3,
+                          direct_max_rows=0)
     got = sorted((r.user_id, r.city, r["__START_AT"], r["__END_AT"]) for r in h.collect())
     assert got == [
         ("u", "A", ts("2024-01-01 00:00:00"), ts("2024-01-02 00:00:00")),
