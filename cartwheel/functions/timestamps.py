@@ -24,8 +24,10 @@ def as_instant(col: Column | str) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) -> TIMESTAMP."""
     c = F.col(col) if isinstance(col, str) else col
     tz = _session_tz()
-    ts = c.cast("timestamp")
-    return ts if tz.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT") else F.to_utc_timestamp(ts, tz)
+    ts = c.cast("timestamp")   # the instant whose session-zone rendering is the wall clock
+    if tz.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT"):
+        return ts
+    return F.from_utc_timestamp(ts, tz)
 
 
 def as_wallclock(col: Column | str) -> Column:
@@ -34,7 +36,7 @@ def as_wallclock(col: Column | str) -> Column:
     tz = _session_tz()
     if tz.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT"):
         return c.cast("timestamp_ntz")
-    return F.from_utc_timestamp(c, tz).cast("timestamp_ntz")
+    return F.to_utc_timestamp(c, tz).cast("timestamp_ntz")
 
 
 def parse_timestamp(col: Column | str, fmt: str | None = None) -> Column:
@@ -43,12 +45,15 @@ def parse_timestamp(col: Column | str, fmt: str | None = None) -> Column:
     ``to_timestamp`` raises ``CAST_INVALID_INPUT`` under ANSI mode, which
     would abort a whole batch before the ``IS NOT NULL`` rule can quarantine
     the row. ``try_to_timestamp`` keeps the row and lets the rule reject it.
-    Non-string input (already a timestamp) is passed through a cast.
+    Text without a zone offset is read as UTC wall clock (the data model),
+    independent of the session time zone; text with an offset keeps it.
     """
     c = F.col(col) if isinstance(col, str) else col
-    if fmt is None:
-        return F.try_to_timestamp(c.cast("string"))
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt))
+    text = c.cast("string")
+    if fmt is not None:
+        return F.try_to_timestamp(text, F.lit(fmt))
+    wall = text.try_cast("timestamp_ntz")          # NULL when the text carries a zone
+    return F.when(wall.isNotNull(), as_instant(wall)).otherwise(F.try_to_timestamp(text))
 
 
 def epoch_millis(col: Column | str) -> Column:
@@ -64,6 +69,12 @@ def truncate_ms(col: Column | str) -> Column:
     return F.date_trunc("millisecond", c)
 
 
+def format_wallclock(col: Column | str, fmt: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> Column:
+    """TIMESTAMP -> text of its UTC wall clock (no offset), the inverse of
+    :func:`parse_timestamp`."""
+    return F.date_format(as_wallclock(col), fmt)
+
+
 def strip_event_time(col: Column | str) -> Column:
     """Format to millisecond text and parse back.
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import rules_for
+from ..functions.timestamps import as_instant
 
 FLAG = "is_quarantined"
 ON_NULL_MODES = ("quarantine", "reference")
@@ -115,5 +116,7 @@ def reconciliation(df: DataFrame, rules: dict[str, str] | str) -> DataFrame:
 
 def impute_sequence(customers: DataFrame, seq: str = "user_updated_at",
                     fallback: str = "registration_date") -> DataFrame:
-    """Fill a missing SCD2 sequence value from another date column."""
-    return customers.withColumn(seq, F.coalesce(F.col(seq), F.col(fallback).cast("timestamp")))
+    """Fill a missing SCD2 sequence value from another date column (its UTC
+    midnight, whatever the session time zone)."""
+    midnight = as_instant(F.col(fallback).cast("timestamp_ntz"))
+    return customers.withColumn(seq, F.coalesce(F.col(seq), midnight))

@@ -292,6 +292,11 @@ def q_full_refresh(spark, sf_dir):
 # Change feed, latest, audits, conformance
 # --------------------------------------------------------------------------
 CUTOFF = "1996-01-01"
+
+
+def _utc(text: str):
+    """A literal UTC wall-clock time as an instant (session-zone independent)."""
+    return ts.as_instant(F.lit(text).cast("timestamp_ntz"))
 KEYS = ["user_id", "__START_AT"]
 _NONKEY = [c for c in (*prof.PROFILE_ATTRIBUTES, "__START_AT", "__END_AT", "age_group",
                        "loyalty_segment") if c not in KEYS]
@@ -321,7 +326,7 @@ SELECT b.*, 'update_postimage' AS _change_type FROM v1_profile a JOIN profile b
 def q_change_feed(spark, sf_dir):
     s = pl.silver_from_tables(spark, sf_dir)
     before = pl.Silver(s.events, s.labels,
-                       s.customers.filter(F.col("user_updated_at") < F.lit(CUTOFF).cast("timestamp")),
+                       s.customers.filter(F.col("user_updated_at") < _utc(CUTOFF)),
                        s.events_quarantine, s.labels_quarantine, s.customers_quarantine)
     return present(changes.change_feed(pl.user_profile(before), pl.user_profile(s), KEYS))
 
@@ -428,12 +433,13 @@ SENTINEL = "__flush__"
 
 
 def _land_events(spark: SparkSession, events: DataFrame, path: str) -> None:
-    (events.withColumn("event_timestamp", F.date_format("event_timestamp", ISO_MICROS))
+    (events.withColumn("event_timestamp", ts.format_wallclock("event_timestamp", ISO_MICROS))
            .write.mode("append").json(path))
 
 
 def _land_labels(spark: SparkSession, labels: DataFrame, path: str) -> None:
-    (labels.withColumn("label_available_date", F.date_format("label_available_date", ISO_MICROS))
+    (labels.withColumn("label_available_date",
+                       ts.format_wallclock("label_available_date", ISO_MICROS))
            .write.mode("append").json(path))
 
 
@@ -539,8 +545,7 @@ def q_scd2_incremental(spark, sf_dir):
     into the per-batch SCD2 merge; the newest version is the history."""
     root = scratch_path(spark, "stream-scd2")
     raw = dt.fixture_customers(spark, sf_dir)
-    early = F.coalesce(F.col("user_updated_at"), F.lit("1900-01-01").cast("timestamp")) < \
-        F.lit(CUTOFF).cast("timestamp")
+    early = F.coalesce(F.col("user_updated_at"), _utc("1900-01-01")) < _utc(CUTOFF)
     schema = schemas.struct(CUSTOMERS_CSV_WITH_SEQ)
     for part in (raw.filter(early), raw.filter(~early)):
         part.write.mode("append").option("header", "true").csv(f"{root}/landing")

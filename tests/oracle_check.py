@@ -4,6 +4,7 @@ Mirrors the driver's gate: row count, column names/types and an
 order-insensitive hash of the values (columns sorted by name).
 
     python tests/oracle_check.py [sf_dir] [name ...]
+    ORACLE_TZ=America/New_York python tests/oracle_check.py ...   # non-UTC session
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ def digest(columns, rows):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = build_session("local[8]")
+    import os
+    conf = {"spark.sql.session.timeZone": os.environ["ORACLE_TZ"]} if os.environ.get("ORACLE_TZ") else {}
+    spark = build_session("local[8]", conf=conf)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

@@ -82,3 +82,18 @@ def test_observed_expectations_batch(spark):
     assert df.count() == 3                      # rows flow through unchanged
     m = obs.get
     assert m["rows"] == 3 and m["valid_age"] == 2 and m["valid_country"] == 1
+
+
+def test_wallclock_conversion_is_session_zone_independent(spark):
+    from cartwheel.functions.timestamps import as_instant, as_wallclock
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.sql("SELECT timestamp_ntz'2024-01-15 10:30:00.123456' AS w")
+            r = df.select(F.unix_micros(as_instant("w")).alias("us"),
+                          as_wallclock(as_instant("w")).alias("back")).collect()[0]
+            assert r.us == 1705314600123456, zone
+            assert str(r.back) == "2024-01-15 10:30:00.123456", zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
