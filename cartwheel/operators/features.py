@@ -77,12 +77,19 @@ def _zero(name: str) -> Column:
     return F.lit(0).cast("long")
 
 
+_SESSIONS = ["e_24h"]                                # session occurrences (opt-in)
+
+
+def _names(sessions: bool) -> list[str]:
+    return _COUNTS + _SUMS + _NONNULL + _DISTINCT + _OTHER + (_SESSIONS if sessions else [])
+
+
 def _delta_row(kind: int, pos: Column, ts: Column | None, user: Column,
                values: dict[str, Column], mx_pre: Column | None = None,
-               mx_suf: Column | None = None) -> Column:
+               mx_suf: Column | None = None, names: list[str] | None = None) -> Column:
     fields = [F.lit(kind).alias("kind"), pos.alias("pos"), user.alias("user_id"),
               (ts if ts is not None else F.lit(None).cast("timestamp")).alias("event_timestamp")]
-    for name in _COUNTS + _SUMS + _NONNULL + _DISTINCT + _OTHER:
+    for name in names or _names(False):
         fields.append((values[name] if name in values else _zero(name)).alias(name))
     fields.append((mx_pre if mx_pre is not None else F.lit(None).cast("double")).alias("mx_pre"))
     fields.append((mx_suf if mx_suf is not None else F.lit(None).cast("double")).alias("mx_suf"))
@@ -109,7 +116,7 @@ def _exact_total(w: str) -> Column:
     return F.col(f"r_sh_{w}").cast("double") + F.col(f"r_sl_{w}").cast("double") / F.lit(float(NANO))
 
 
-def _event_rows(events: DataFrame, abandon_mode: str) -> DataFrame:
+def _event_rows(events: DataFrame, abandon_mode: str, names: list[str]) -> DataFrame:
     # per-event contributions, computed once and then fanned out into rows
     whole, nano = _split_exact(F.col("cart_value").cast("double"))
     events = events.select(
@@ -132,7 +139,7 @@ def _event_rows(events: DataFrame, abandon_mode: str) -> DataFrame:
     # that block, unless ts is the block's last millisecond (then the whole
     # next block is covered by the 24 h leave row below).
     own_block = F.when(F.pmod(ms + 1, F.lit(DAY_MS)) != 0, v)
-    rows = [_delta_row(0, ms, ts, user, enter, mx_pre=own_block)]
+    rows = [_delta_row(0, ms, ts, user, enter, mx_pre=own_block, names=names)]
     for w, width in WINDOWS.items():
         leave = {f"c_{w}": -c, f"sh_{w}": -sh, f"sl_{w}": -sl}
         if f"n_{w}" in _NONNULL:
@@ -142,28 +149,32 @@ def _event_rows(events: DataFrame, abandon_mode: str) -> DataFrame:
         if w == "30d":
             leave["b_30d"] = -b
         rows.append(_delta_row(1, ms + F.lit(width), None, user, leave,
-                               mx_suf=v if w == "24h" else None))
+                               mx_suf=v if w == "24h" else None, names=names))
     if pit:
         label_ms = F.coalesce(F.unix_millis(F.col("label_available_date")), ms)
-        rows.append(_delta_row(2, label_ms, None, user, {"b_30d": b}))
+        rows.append(_delta_row(2, label_ms, None, user, {"b_30d": b}, names=names))
     out = events.select(F.inline(F.array(*rows)))
     return out.filter((F.col("kind") != 2) | (F.col("b_30d") != 0)) if pit else out
 
 
-def _category_rows(events: DataFrame, num_partitions: int | None,
-                   direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
-    occ = (events.filter(F.col("item_category").isNotNull())
-                 .select("user_id", "item_category",
-                         F.unix_millis(F.col("event_timestamp")).alias("ms"))
+def _distinct_rows(events: DataFrame, column: str, targets: dict[str, str], names: list[str],
+                   num_partitions: int | None, direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
+    """+1 / -1 deltas counting distinct non-NULL values of ``column`` per
+    user: each (user, value, ms) occurrence counts from its millisecond until
+    the value's next occurrence or until it leaves the window, whichever is
+    first. ``targets`` maps delta column -> window name."""
+    occ = (events.filter(F.col(column).isNotNull())
+                 .select("user_id", column, F.unix_millis(F.col("event_timestamp")).alias("ms"))
                  .distinct())
-    occ = keyed_scan(occ, ["user_id", "item_category"], "ms",
+    occ = keyed_scan(occ, ["user_id", column], "ms",
                      [Scan("next_ms", F.col("ms"), "min", "after")],
                      num_partitions=num_partitions, direct_max_rows=direct_max_rows)
     one = F.lit(1).cast("long")
-    rows = [_delta_row(3, F.col("ms"), None, F.col("user_id"), {k: one for k in _DISTINCT})]
-    for w in ("1h", "24h", "7d"):
+    rows = [_delta_row(3, F.col("ms"), None, F.col("user_id"), {k: one for k in targets},
+                       names=names)]
+    for k, w in targets.items():
         until = F.least(F.col("next_ms"), F.col("ms") + F.lit(WINDOWS[w]))
-        rows.append(_delta_row(3, until, None, F.col("user_id"), {f"d_{w}": -one}))
+        rows.append(_delta_row(3, until, None, F.col("user_id"), {k: -one}, names=names))
     return occ.select(F.inline(F.array(*rows)))
 
 
@@ -178,7 +189,8 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                       category_events: DataFrame | None = None,
                       num_partitions: int | None = None, strategy: str = "auto",
                       window_max_rows: int = WINDOW_MAX_ROWS_PER_USER,
-                      scan_direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
+                      scan_direct_max_rows: int = DIRECT_MAX_ROWS,
+                      distinct_sessions: bool = False) -> DataFrame:
     """The 20-column behaviour feature table, one row per input row.
 
     ``strategy``: ``scan`` -- the skew-safe enter/leave plan (any key size);
@@ -188,6 +200,9 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
     and its frame work stay small), otherwise ``scan``. The leak-free
     abandonment mode always uses ``scan``. ``scan_direct_max_rows`` is passed
     to :func:`keyed_scan` (0 forces its range-piece plan).
+    ``distinct_sessions`` appends ``distinct_sessions_24h``, the number of
+    distinct sessions in the 24 h frame (``count_sessions_24h`` keeps its
+    original meaning: events with a session id).
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -197,12 +212,12 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         small = abandon_mode == "reference" and largest_user(events) <= window_max_rows
         strategy = "window" if small else "scan"
     if strategy == "window" and abandon_mode == "reference":
-        return window_features(events)
+        return window_features(events, distinct_sessions)
     return scan_features(events, abandon_mode, category_events, num_partitions,
-                         scan_direct_max_rows)
+                         scan_direct_max_rows, distinct_sessions)
 
 
-def window_features(events: DataFrame) -> DataFrame:
+def window_features(events: DataFrame, distinct_sessions: bool = False) -> DataFrame:
     """Direct sliding-window plan: ``partitionBy(user_id)``, RANGE frames
     ``[-W, -1 ms]`` on epoch ms. Only for bounded per-user sizes."""
     df = events.withColumn("_ms", F.unix_millis(F.col("event_timestamp")))
@@ -233,14 +248,22 @@ def window_features(events: DataFrame) -> DataFrame:
         F.coalesce(F.sum(v).over(w30), F.lit(0.0)).alias("sum_cart_value_30d"),
         F.avg(v).over(w30).alias("avg_cart_value_30d"),
         F.coalesce(F.sum(ab).over(w30), F.lit(0)).cast("long").alias("num_abandoned_confirmed_30d"),
+        *([F.size(F.collect_set("session_id").over(w24)).alias("distinct_sessions_24h")]
+          if distinct_sessions else []),
     )
-    return out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio())
+    return _order(out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio()),
+                  distinct_sessions)
+
+
+def _order(df: DataFrame, distinct_sessions: bool) -> DataFrame:
+    return df.select(*FEATURE_COLUMNS, *(["distinct_sessions_24h"] if distinct_sessions else []))
 
 
 def scan_features(events: DataFrame, abandon_mode: str = "reference",
                   category_events: DataFrame | None = None,
                   num_partitions: int | None = None,
-                  direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
+                  direct_max_rows: int = DIRECT_MAX_ROWS,
+                  distinct_sessions: bool = False) -> DataFrame:
     """Skew-safe plan of :func:`behavior_features` (see module docstring).
 
     ``events``: labelled events (``user_id, session_id, event_timestamp,
@@ -253,10 +276,15 @@ def scan_features(events: DataFrame, abandon_mode: str = "reference",
     """
     if abandon_mode not in ABANDON_MODES:
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
-    deltas = _event_rows(events, abandon_mode).unionByName(
-        _category_rows(category_events if category_events is not None else events,
-                       num_partitions, direct_max_rows))
-    scans = [Scan(f"r_{k}", F.col(k)) for k in _COUNTS + _SUMS + _NONNULL + _DISTINCT + _OTHER]
+    names = _names(distinct_sessions)
+    plain = category_events if category_events is not None else events
+    deltas = _event_rows(events, abandon_mode, names).unionByName(
+        _distinct_rows(plain, "item_category", {"d_1h": "1h", "d_24h": "24h", "d_7d": "7d"},
+                       names, num_partitions, direct_max_rows))
+    if distinct_sessions:
+        deltas = deltas.unionByName(_distinct_rows(plain, "session_id", {"e_24h": "24h"}, names,
+                                                   num_partitions, direct_max_rows))
+    scans = [Scan(f"r_{k}", F.col(k)) for k in names]
     scans += [Scan("r_mx_pre", F.col("mx_pre"), "max", "before", per_block=True),
               Scan("r_mx_suf", F.col("mx_suf"), "max", "from", per_block=True)]
     scanned = keyed_scan(deltas, ["user_id"], "pos", scans, num_partitions=num_partitions,
@@ -288,8 +316,10 @@ def scan_features(events: DataFrame, abandon_mode: str = "reference",
         total("30d").alias("sum_cart_value_30d"),
         mean("30d").alias("avg_cart_value_30d"),
         F.col("r_b_30d").alias("num_abandoned_confirmed_30d"),
+        *([F.col("r_e_24h").cast("int").alias("distinct_sessions_24h")] if distinct_sessions else []),
     )
-    return out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio())
+    return _order(out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio()),
+                  distinct_sessions)
 
 
 def spend_ratio(sum_24h: str = "sum_cart_value_24h", avg_30d: str = "avg_cart_value_30d") -> Column:

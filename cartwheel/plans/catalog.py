@@ -101,6 +101,25 @@ _feature_subset("spend_ratio", ["sum_cart_value_24h", "avg_cart_value_30d",
 from . import catalog_more  # noqa: E402,F401  (registers the remaining keys)
 
 
+DISTINCT_SESSIONS_SQL = f"""WITH {oracle.base_ctes()},{oracle.features_raw()},
+ds AS (
+  SELECT user_id, event_timestamp,
+         CAST(COUNT(DISTINCT session_id) OVER w24h AS INTEGER) AS distinct_sessions_24h
+  FROM j {oracle.FEATURE_WINDOWS})
+SELECT DISTINCT f.user_id, f.event_timestamp, f.count_sessions_24h, ds.distinct_sessions_24h
+FROM features f JOIN ds ON f.user_id = ds.user_id AND f.event_timestamp = ds.event_timestamp"""
+
+
+@register("distinct_sessions_24h", DISTINCT_SESSIONS_SQL)
+def q_distinct_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True distinct sessions in 24 h next to the original event count."""
+    s = pl.silver_from_tables(spark, sf_dir)
+    f = pl.features.behavior_features(pl.labelled_events(s), category_events=s.events,
+                                      distinct_sessions=True)
+    return present(f.select("user_id", "event_timestamp", "count_sessions_24h",
+                            "distinct_sessions_24h").distinct())
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

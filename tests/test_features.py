@@ -145,3 +145,13 @@ def test_strategy_choice_and_window_plan(spark):
     assert_same(window, behavior_features(df))  # scan with range pieces
     with pytest.raises(ValueError):
         feat.behavior_features(df, strategy="nope")
+
+
+def test_distinct_sessions_both_plans(spark):
+    df = frame(spark, _random_events(5, n=500))
+    scan = behavior_features(df, distinct_sessions=True)
+    window = feat.behavior_features(df, strategy="window", distinct_sessions=True)
+    assert scan.columns[-1] == "distinct_sessions_24h"
+    assert_same(scan, window)
+    r = [x for x in window.collect() if x.distinct_sessions_24h > 0]
+    assert r and all(x.distinct_sessions_24h <= x.count_sessions_24h for x in r)
