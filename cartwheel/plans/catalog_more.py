@@ -555,3 +555,23 @@ def q_scd2_incremental(spark, sf_dir):
                                "user_updated_at", except_columns=list(schemas.LINEAGE_COLUMNS),
                                tie_breaker="source_seq")
     return present(spark.read.parquet(flows.latest_version(spark, f"{root}/history")))
+
+
+def _land_all(spark: SparkSession, sf_dir: str, layout: files.Layout) -> None:
+    """Land the fixture inputs as the pipeline expects them: customer CSV
+    snapshots, event and label JSON files."""
+    dt.fixture_customers(spark, sf_dir).write.option("header", "true").csv(layout.customers)
+    _land_events(spark, dt.fixture_events(spark, sf_dir), layout.events)
+    _land_labels(spark, dt.fixture_labels(spark, sf_dir), layout.labels)
+
+
+@register("pipeline_end_to_end", oracle.behavior_features())
+def q_pipeline(spark, sf_dir):
+    """Landing files -> stored silver tables -> stored gold tables; the gold
+    behaviour feature table is read back."""
+    layout = files.Layout(scratch_path(spark, "medallion"))
+    _land_all(spark, sf_dir, layout)
+    paths = pl.run_batch(spark, layout, customers_schema=schemas.struct(CUSTOMERS_CSV_WITH_SEQ),
+                         events_schema=schemas.struct(EVENTS_JSON_WITH_ID),
+                         tie_breaker="source_seq")
+    return present(spark.read.parquet(paths["gold_user_behavior_features"]), FEATURE_DOUBLES)

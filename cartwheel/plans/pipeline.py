@@ -63,3 +63,54 @@ def user_profile(s: Silver, tie_breaker: str | None = "source_seq") -> DataFrame
 
 def abandonment_spine(s: Silver) -> DataFrame:
     return spine.abandonment_spine(labelled_events(s))
+
+
+SILVER_TABLES = ("silver_quarantine_customers", "silver_quarantine_cart_events",
+                 "silver_quarantine_labels", "silver_clean_cart_events", "silver_clean_labels",
+                 "silver_users_history", "silver_abandonment_events")
+GOLD_TABLES = ("gold_user_behavior_features", "gold_user_profile", "gold_abandonment_spine")
+
+
+def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
+              customers_schema=None, events_schema=None, labels_schema=None,
+              tie_breaker: str | None = None) -> dict[str, str]:
+    """Full refresh of every silver and gold table from the landing zone.
+
+    Each layer is written once and the next layer reads the stored tables
+    (lineage is cut at every layer, as in a medallion layout), so a failed
+    gold job restarts from silver, not from the raw files.
+    Returns ``{table: path}``.
+    """
+    from .. import schemas
+    from ..sources import files
+    from ..streaming.flows import typed_events, typed_labels
+
+    drop = list(schemas.LINEAGE_COLUMNS)
+    customers = files.read_customers_csv(spark, layout.customers, customers_schema)
+    events = typed_events(files.read_json(spark, layout.events,
+                                          events_schema or schemas.events_json()))
+    labels = typed_labels(files.read_json(spark, layout.labels,
+                                          labels_schema or schemas.labels_json()))
+    s = silver(events, labels, customers, on_null)
+    paths = {t: layout.table(t) for t in SILVER_TABLES + GOLD_TABLES}
+    written = {
+        "silver_quarantine_customers": s.customers_quarantine,
+        "silver_quarantine_cart_events": s.events_quarantine,
+        "silver_quarantine_labels": s.labels_quarantine,
+        "silver_clean_cart_events": s.events.drop(*drop),
+        "silver_clean_labels": s.labels.drop(*drop),
+        "silver_users_history": users_history(s, tie_breaker),
+    }
+    for name, df in written.items():
+        files.write_table(df, paths[name])
+    ev = spark.read.parquet(paths["silver_clean_cart_events"])
+    lb = spark.read.parquet(paths["silver_clean_labels"])
+    files.write_table(joins.label_interval_join(ev, lb), paths["silver_abandonment_events"])
+
+    labelled = spark.read.parquet(paths["silver_abandonment_events"])
+    history = spark.read.parquet(paths["silver_users_history"])
+    files.write_table(features.behavior_features(labelled, category_events=ev),
+                      paths["gold_user_behavior_features"])
+    files.write_table(profile.user_profile(history), paths["gold_user_profile"])
+    files.write_table(spine.abandonment_spine(labelled), paths["gold_abandonment_spine"])
+    return paths
