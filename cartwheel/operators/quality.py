@@ -21,6 +21,7 @@ from ..functions.rules import rules_for
 from ..functions.timestamps import as_instant
 
 FLAG = "is_quarantined"
+TAGS = ("customers", "transactions", "labels")
 ON_NULL_MODES = ("quarantine", "reference")
 
 
@@ -120,3 +121,21 @@ def impute_sequence(customers: DataFrame, seq: str = "user_updated_at",
     midnight, whatever the session time zone)."""
     midnight = as_instant(F.col(fallback).cast("timestamp_ntz"))
     return customers.withColumn(seq, F.coalesce(F.col(seq), midnight))
+
+
+def write_routed(df: DataFrame, rules: dict[str, str] | str, path: str,
+                 on_null: str = "quarantine", observation=None) -> tuple[DataFrame, DataFrame]:
+    """Route in one pass: write ``df`` once, partitioned by ``is_quarantined``,
+    and return ``(clean, quarantined)`` read back from the two partitions.
+
+    ``observation`` (a ``pyspark.sql.Observation``) collects the per-rule
+    failure counts during the same write. In ``reference`` mode the rows whose
+    flag is NULL are not lost: they sit in the NULL partition of ``path``.
+    """
+    ev = evaluate(df, rules, on_null)
+    if observation is not None:
+        ev = observe_expectations(ev, rules, observation)
+    ev.write.mode("overwrite").partitionBy(FLAG).parquet(path)
+    spark = df.sparkSession
+    stored = spark.read.schema(ev.schema).parquet(path)
+    return clean(stored), quarantined(stored)

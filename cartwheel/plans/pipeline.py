@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import features, joins, quality, scd2, profile, spine
 from ..sources import driver_tables as dt
@@ -78,8 +78,10 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
 
     Each layer is written once and the next layer reads the stored tables
     (lineage is cut at every layer, as in a medallion layout), so a failed
-    gold job restarts from silver, not from the raw files.
-    Returns ``{table: path}``.
+    gold job restarts from silver, not from the raw files. Each input is
+    routed in a single pass (:func:`quality.write_routed`) with its
+    expectation metrics observed during that pass.
+    Returns ``{table: path}`` plus ``_expectations`` (metrics per tag).
     """
     from .. import schemas
     from ..sources import files
@@ -91,18 +93,28 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
                                           events_schema or schemas.events_json()))
     labels = typed_labels(files.read_json(spark, layout.labels,
                                           labels_schema or schemas.labels_json()))
-    s = silver(events, labels, customers, on_null)
     paths = {t: layout.table(t) for t in SILVER_TABLES + GOLD_TABLES}
+    paths.update({f"silver_routed_{t}": layout.table(f"silver_routed_{t}") for t in quality.TAGS})
+    # one pass per input: routed write (both branches) with metrics observed
+    routed = {}
+    for tag, df in (("customers", quality.impute_sequence(customers)),
+                    ("transactions", events), ("labels", labels)):
+        obs = Observation(f"expectations_{tag}")
+        routed[tag] = quality.write_routed(df.drop(*drop), tag, paths[f"silver_routed_{tag}"],
+                                           on_null, obs) + (obs,)
+    s = Silver(routed["transactions"][0], routed["labels"][0], routed["customers"][0],
+               routed["transactions"][1], routed["labels"][1], routed["customers"][1])
     written = {
         "silver_quarantine_customers": s.customers_quarantine,
         "silver_quarantine_cart_events": s.events_quarantine,
         "silver_quarantine_labels": s.labels_quarantine,
-        "silver_clean_cart_events": s.events.drop(*drop),
-        "silver_clean_labels": s.labels.drop(*drop),
+        "silver_clean_cart_events": s.events,
+        "silver_clean_labels": s.labels,
         "silver_users_history": users_history(s, tie_breaker),
     }
     for name, df in written.items():
         files.write_table(df, paths[name])
+    metrics = {tag: r[2].get for tag, r in routed.items()}
     ev = spark.read.parquet(paths["silver_clean_cart_events"])
     lb = spark.read.parquet(paths["silver_clean_labels"])
     files.write_table(joins.label_interval_join(ev, lb), paths["silver_abandonment_events"])
@@ -113,4 +125,5 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
                       paths["gold_user_behavior_features"])
     files.write_table(profile.user_profile(history), paths["gold_user_profile"])
     files.write_table(spine.abandonment_spine(labelled), paths["gold_abandonment_spine"])
+    paths["_expectations"] = metrics
     return paths

@@ -97,3 +97,16 @@ def test_wallclock_conversion_is_session_zone_independent(spark):
             assert str(r.back) == "2024-01-15 10:30:00.123456", zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_write_routed_single_pass_keeps_null_flag_rows(spark):
+    import tempfile
+    from pyspark.sql import Observation
+    path = tempfile.mkdtemp(prefix="cartwheel-routed-test-") + "/routed"
+    obs = Observation("routed")
+    clean, bad = quality.write_routed(_customers(spark), "customers", path, "reference", obs)
+    assert [r.user_id for r in clean.collect()] == ["1"]
+    assert [r.user_id for r in bad.collect()] == ["3"]
+    stored = spark.read.parquet(path)
+    assert stored.filter(F.col("is_quarantined").isNull()).count() == 1   # visible, not lost
+    assert obs.get["rows"] == 3
