@@ -97,12 +97,34 @@ def fan_out(evaluated: DataFrame, clean_path: str, quarantine_path: str,
     return run_for_each_batch(evaluated, write, checkpoint)
 
 
-def clean_events_stream(bronze: DataFrame, on_null: str = "quarantine") -> DataFrame:
-    return quality.clean(quality.evaluate(typed_events(bronze), "transactions", on_null))
-
-
-def clean_labels_stream(bronze: DataFrame, on_null: str = "quarantine") -> DataFrame:
-    return quality.clean(quality.evaluate(typed_labels(bronze), "labels", on_null))
+def clean_events_stream(bronze: DataFrame, on_null: str = "quarantine",
+                        observe: str | None = None) -> DataFrame:
+    """Typed, rule-checked events (clean branch). ``observe`` names a per-
+    micro-batch metric set (rows, failures per rule) reported in the query
+    progress -- warn-only expectations without another pass."""
+    typed = typed_events(bronze)
+    if observe:
+        typed = quality.observe_expectations(typed, "transactions", observe)
+    return quality.clean(quality.evaluate(typed, "transactions", on_null))
+
+
+def clean_labels_stream(bronze: DataFrame, on_null: str = "quarantine",
+                        observe: str | None = None) -> DataFrame:
+    typed = typed_labels(bronze)
+    if observe:
+        typed = quality.observe_expectations(typed, "labels", observe)
+    return quality.clean(quality.evaluate(typed, "labels", on_null))
+
+
+def observed_metrics(query: StreamingQuery, name: str) -> list[dict]:
+    """The named observation of every micro-batch the query reported."""
+    out = []
+    for p in query.recentProgress:
+        metrics = p.observedMetrics if hasattr(p, "observedMetrics") else p.get("observedMetrics")
+        m = (metrics or {}).get(name)
+        if m:
+            out.append(m.asDict() if hasattr(m, "asDict") else dict(m))
+    return out
 
 
 def label_join_stream(events: DataFrame, labels: DataFrame, events_delay: str = EVENTS_DELAY,

@@ -73,3 +73,16 @@ def test_fan_in_single_writer(spark):
     merged = flows.fan_in(flows.bronze_events(spark, f"{root}/a"), flows.bronze_events(spark, f"{root}/b"))
     flows.run_available_now(merged.drop(*schemas.LINEAGE_COLUMNS), f"{root}/out", f"{root}/_ckpt")
     assert sorted(r.session_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c"]
+
+
+def test_stream_expectation_metrics_observed(spark):
+    root = tempfile.mkdtemp(prefix="cartwheel-observe-test-")
+    _land(f"{root}/in", "1.json", [_event("a", "2024-01-01T00:00:00"), _event(None, "2024-01-01T00:00:00"),
+                                   _event("c", "not a time")])
+    clean = flows.clean_events_stream(flows.bronze_events(spark, f"{root}/in"), observe="ev_rules")
+    q = flows.run_available_now(clean.drop(*schemas.LINEAGE_COLUMNS), f"{root}/out", f"{root}/_ckpt")
+    m = flows.observed_metrics(q, "ev_rules")
+    assert sum(x["rows"] for x in m) == 3
+    assert sum(x["valid_tx_session_id"] for x in m) == 1
+    assert sum(x["valid_event_timestamp"] for x in m) == 1
+    assert spark.read.parquet(f"{root}/out").count() == 1
