@@ -158,7 +158,8 @@ def _event_rows(events: DataFrame, abandon_mode: str, names: list[str]) -> DataF
 
 
 def _distinct_rows(events: DataFrame, column: str, targets: dict[str, str], names: list[str],
-                   num_partitions: int | None, direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
+                   num_partitions: int | None, direct_max_rows: int = DIRECT_MAX_ROWS,
+                   max_rows_hint: int | None = None) -> DataFrame:
     """+1 / -1 deltas counting distinct non-NULL values of ``column`` per
     user: each (user, value, ms) occurrence counts from its millisecond until
     the value's next occurrence or until it leaves the window, whichever is
@@ -168,7 +169,8 @@ def _distinct_rows(events: DataFrame, column: str, targets: dict[str, str], name
                  .distinct())
     occ = keyed_scan(occ, ["user_id", column], "ms",
                      [Scan("next_ms", F.col("ms"), "min", "after")],
-                     num_partitions=num_partitions, direct_max_rows=direct_max_rows)
+                     num_partitions=num_partitions, direct_max_rows=direct_max_rows,
+                     max_rows_hint=max_rows_hint)
     one = F.lit(1).cast("long")
     rows = [_delta_row(3, F.col("ms"), None, F.col("user_id"), {k: one for k in targets},
                        names=names)]
@@ -208,13 +210,15 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if abandon_mode not in ABANDON_MODES:
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
+    user_rows = None
     if strategy == "auto":
-        small = abandon_mode == "reference" and largest_user(events) <= window_max_rows
+        user_rows = largest_user(events)
+        small = abandon_mode == "reference" and user_rows <= window_max_rows
         strategy = "window" if small else "scan"
     if strategy == "window" and abandon_mode == "reference":
         return window_features(events, distinct_sessions)
     return scan_features(events, abandon_mode, category_events, num_partitions,
-                         scan_direct_max_rows, distinct_sessions)
+                         scan_direct_max_rows, distinct_sessions, user_rows)
 
 
 def window_features(events: DataFrame, distinct_sessions: bool = False) -> DataFrame:
@@ -263,7 +267,8 @@ def scan_features(events: DataFrame, abandon_mode: str = "reference",
                   category_events: DataFrame | None = None,
                   num_partitions: int | None = None,
                   direct_max_rows: int = DIRECT_MAX_ROWS,
-                  distinct_sessions: bool = False) -> DataFrame:
+                  distinct_sessions: bool = False,
+                  user_rows: int | None = None) -> DataFrame:
     """Skew-safe plan of :func:`behavior_features` (see module docstring).
 
     ``events``: labelled events (``user_id, session_id, event_timestamp,
@@ -278,17 +283,23 @@ def scan_features(events: DataFrame, abandon_mode: str = "reference",
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
     names = _names(distinct_sessions)
     plain = category_events if category_events is not None else events
+    if user_rows is None and direct_max_rows > 0:
+        user_rows = largest_user(events)
+    # per labelled row at most: 1 query + 4 leave + 1 label row, and per
+    # (value, ms) occurrence 4 category + 2 session rows -> 12 delta rows
+    delta_hint = None if user_rows is None else 12 * user_rows
     deltas = _event_rows(events, abandon_mode, names).unionByName(
         _distinct_rows(plain, "item_category", {"d_1h": "1h", "d_24h": "24h", "d_7d": "7d"},
-                       names, num_partitions, direct_max_rows))
+                       names, num_partitions, direct_max_rows, user_rows))
     if distinct_sessions:
         deltas = deltas.unionByName(_distinct_rows(plain, "session_id", {"e_24h": "24h"}, names,
-                                                   num_partitions, direct_max_rows))
+                                                   num_partitions, direct_max_rows, user_rows))
     scans = [Scan(f"r_{k}", F.col(k)) for k in names]
     scans += [Scan("r_mx_pre", F.col("mx_pre"), "max", "before", per_block=True),
               Scan("r_mx_suf", F.col("mx_suf"), "max", "from", per_block=True)]
     scanned = keyed_scan(deltas, ["user_id"], "pos", scans, num_partitions=num_partitions,
-                         block=_day(F.col("pos")), direct_max_rows=direct_max_rows)
+                         block=_day(F.col("pos")), direct_max_rows=direct_max_rows,
+                         max_rows_hint=delta_hint)
     q = scanned.filter(F.col("kind") == 0)
 
     def total(w):

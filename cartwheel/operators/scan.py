@@ -154,16 +154,20 @@ def _local_windows(df: DataFrame, part: list[str], pos: str, scans: list[Scan],
 
 def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
                num_partitions: int | None = None, block: Column | None = None,
-               direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
+               direct_max_rows: int = DIRECT_MAX_ROWS,
+               max_rows_hint: int | None = None) -> DataFrame:
     """Add one column per :class:`Scan` holding its running aggregate.
 
-    Eager: the plan choice runs one aggregation, and the range-piece plan
-    stores its pieces before the (lazy) result is returned.
+    Eager: the plan choice runs one aggregation (skipped when the caller
+    passes ``max_rows_hint``, a proven upper bound of the busiest key's row
+    count), and the range-piece plan stores its pieces before the (lazy)
+    result is returned.
     """
     d, kcols, helpers = _non_null_keys(df, keys)
     d = d.withColumn("_blk", (block if block is not None else F.lit(0)).cast("long"))
     d = d.withColumns({f"_v{i}": s.value for i, s in enumerate(scans)})
-    if direct_max_rows > 0 and largest_key(d, kcols) <= direct_max_rows:
+    busiest = (lambda: max_rows_hint) if max_rows_hint is not None else (lambda: largest_key(d, kcols))
+    if direct_max_rows > 0 and busiest() <= direct_max_rows:
         local = _local_windows(d, kcols, pos, scans, [*kcols, "_blk"])
         local = local.withColumns({f"_o{i}": F.lit(None).cast(local.schema[f"_l{i}"].dataType)
                                    for i in range(len(scans))})
