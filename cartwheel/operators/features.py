@@ -221,40 +221,51 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                          scan_direct_max_rows, distinct_sessions, user_rows)
 
 
-def window_features(events: DataFrame, distinct_sessions: bool = False) -> DataFrame:
-    """Direct sliding-window plan: ``partitionBy(user_id)``, RANGE frames
-    ``[-W, -1 ms]`` on epoch ms. Only for bounded per-user sizes."""
-    df = events.withColumn("_ms", F.unix_millis(F.col("event_timestamp")))
+# Output column -> (aggregate kind, window) of the direct window plan.
+# count: non-NULL session ids; sum: cart value (0.0 on empty); avg/max: cart
+# value; distinct: item categories; atc: add-to-cart events; abandoned:
+# abandoned label rows.
+WINDOW_SPECS = {
+    "count_events_1h": ("count", "1h"), "sum_cart_value_1h": ("sum", "1h"),
+    "avg_cart_value_1h": ("avg", "1h"), "distinct_categories_1h": ("distinct", "1h"),
+    "count_sessions_24h": ("count", "24h"), "sum_cart_value_24h": ("sum", "24h"),
+    "avg_cart_value_24h": ("avg", "24h"), "max_cart_value_24h": ("max", "24h"),
+    "distinct_categories_24h": ("distinct", "24h"), "count_add_to_cart_24h": ("atc", "24h"),
+    "count_events_7d": ("count", "7d"), "sum_cart_value_7d": ("sum", "7d"),
+    "distinct_categories_7d": ("distinct", "7d"), "count_events_30d": ("count", "30d"),
+    "sum_cart_value_30d": ("sum", "30d"), "avg_cart_value_30d": ("avg", "30d"),
+    "num_abandoned_confirmed_30d": ("abandoned", "30d"),
+}
 
-    def frame(w: str) -> Window:
-        return Window.partitionBy("user_id").orderBy("_ms").rangeBetween(-WINDOWS[w], -1)
 
-    w1, w24, w7, w30 = frame("1h"), frame("24h"), frame("7d"), frame("30d")
-    v, cat = F.col("cart_value"), F.col("item_category")
-    atc = F.when(F.col("event_type") == "add_to_cart", 1).otherwise(0)
-    ab = F.when(F.col("will_abandon") == 1, 1).otherwise(0)
-    out = df.select(
-        "user_id", "event_timestamp",
-        F.count("session_id").over(w1).alias("count_events_1h"),
-        F.coalesce(F.sum(v).over(w1), F.lit(0.0)).alias("sum_cart_value_1h"),
-        F.avg(v).over(w1).alias("avg_cart_value_1h"),
-        F.size(F.collect_set(cat).over(w1)).alias("distinct_categories_1h"),
-        F.count("session_id").over(w24).alias("count_sessions_24h"),
-        F.coalesce(F.sum(v).over(w24), F.lit(0.0)).alias("sum_cart_value_24h"),
-        F.avg(v).over(w24).alias("avg_cart_value_24h"),
-        F.max(v).over(w24).alias("max_cart_value_24h"),
-        F.size(F.collect_set(cat).over(w24)).alias("distinct_categories_24h"),
-        F.coalesce(F.sum(atc).over(w24), F.lit(0)).cast("long").alias("count_add_to_cart_24h"),
-        F.count("session_id").over(w7).alias("count_events_7d"),
-        F.coalesce(F.sum(v).over(w7), F.lit(0.0)).alias("sum_cart_value_7d"),
-        F.size(F.collect_set(cat).over(w7)).alias("distinct_categories_7d"),
-        F.count("session_id").over(w30).alias("count_events_30d"),
-        F.coalesce(F.sum(v).over(w30), F.lit(0.0)).alias("sum_cart_value_30d"),
-        F.avg(v).over(w30).alias("avg_cart_value_30d"),
-        F.coalesce(F.sum(ab).over(w30), F.lit(0)).cast("long").alias("num_abandoned_confirmed_30d"),
-        *([F.size(F.collect_set("session_id").over(w24)).alias("distinct_sessions_24h")]
-          if distinct_sessions else []),
-    )
+def window_features(events: DataFrame, distinct_sessions: bool = False) -> DataFrame:
+    """Direct plan: one ``partitionBy(user_id)`` with RANGE frames
+    ``[-W, -1 ms]`` on epoch ms. Used only behind the per-user size check."""
+    df = events.withColumn("_ms", F.unix_millis(F.col("event_timestamp")))
+    frames = {w: Window.partitionBy("user_id").orderBy("_ms").rangeBetween(-width, -1)
+              for w, width in WINDOWS.items()}
+    flag_sum = {"atc": F.when(F.col("event_type") == "add_to_cart", 1).otherwise(0),
+                "abandoned": F.when(F.col("will_abandon") == 1, 1).otherwise(0)}
+
+    def column(kind: str, w: str) -> Column:
+        over = frames[w]
+        if kind == "count":
+            return F.count("session_id").over(over)
+        if kind == "sum":
+            return F.coalesce(F.sum("cart_value").over(over), F.lit(0.0))
+        if kind == "avg":
+            return F.avg("cart_value").over(over)
+        if kind == "max":
+            return F.max("cart_value").over(over)
+        if kind == "distinct":
+            return F.size(F.collect_set("item_category").over(over))
+        return F.coalesce(F.sum(flag_sum[kind]).over(over), F.lit(0)).cast("long")
+
+    cols = [column(kind, w).alias(name) for name, (kind, w) in WINDOW_SPECS.items()]
+    if distinct_sessions:
+        cols.append(F.size(F.collect_set("session_id").over(frames["24h"]))
+                    .alias("distinct_sessions_24h"))
+    out = df.select("user_id", "event_timestamp", *cols)
     return _order(out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio()),
                   distinct_sessions)
 
