@@ -514,7 +514,8 @@ def _stream_label_join(spark, sf_dir) -> str:
         lb = flows.clean_labels_stream(flows.bronze_labels(spark, f"{root}/labels"))
         joined = flows.label_join_stream(ev.drop(*schemas.LINEAGE_COLUMNS),
                                          lb.drop(*schemas.LINEAGE_COLUMNS))
-        flows.run_available_now(joined, f"{root}/silver", f"{root}/_checkpoint_join")
+        flows.run_available_now(joined, f"{root}/silver", f"{root}/_checkpoint_join",
+                                state_partitions=spark.sparkContext.defaultParallelism)
 
     run()
     _flush_markers(spark, root)

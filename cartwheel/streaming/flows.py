@@ -29,14 +29,28 @@ LABELS_DELAY = "24 hours"
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                      name: str | None = None) -> StreamingQuery:
-    """Append ``df`` to ``path`` until the currently available input is done."""
+                      name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Append ``df`` to ``path`` until the currently available input is done.
+
+    ``state_partitions`` sets the shuffle/state partition count of a new
+    query (it is fixed in the checkpoint at the first run; later runs reuse
+    it). The query takes a snapshot of the session conf when it starts, so
+    the caller's session is restored right after ``start()``.
+    """
     w = (df.writeStream.format(fmt).outputMode("append")
            .option("path", path).option("checkpointLocation", checkpoint)
            .trigger(availableNow=True))
     if name:
         w = w.queryName(name)
-    q = w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, previous)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to caller
         raise RuntimeError(str(q.exception()))
