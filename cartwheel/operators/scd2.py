@@ -70,8 +70,10 @@ def current_versions(history: DataFrame) -> DataFrame:
 
 
 def as_of(history: DataFrame, ts) -> DataFrame:
-    """The version of every key valid at one instant."""
-    t = F.lit(ts).cast("timestamp")
+    """The version of every key valid at one instant (a datetime, or text
+    read as UTC wall clock)."""
+    from ..functions.timestamps import as_instant
+    t = as_instant(F.lit(ts).cast("timestamp_ntz")) if isinstance(ts, str) else F.lit(ts)
     return history.filter((F.col(START) <= t) & (F.col(END).isNull() | (F.col(END) > t)))
 
 

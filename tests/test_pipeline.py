@@ -29,3 +29,31 @@ def test_run_batch_writes_all_tables(spark):
     assert metrics["transactions"]["rows"] == events
     assert metrics["transactions"]["valid_cart_value"] == \
         dt.fixture_events(spark, SF).filter("NOT coalesce(cart_value >= 0, false)").count()
+
+
+def test_csv_snapshot_infer_and_lineage(spark):
+    import csv
+    root = tempfile.mkdtemp(prefix="cartwheel-csv-test-")
+    layout = Layout(root)
+    os.makedirs(layout.customers)
+    with open(f"{layout.customers}/snap.csv", "w", newline="") as fh:
+        w = csv.writer(fh)
+        w.writerow(["user_id", "age", "registration_date", "return_rate", "user_updated_at"])
+        w.writerow(["7", "30", "2024-01-01", "0.1", "2024-01-02 10:00:00"])
+    from cartwheel.sources.files import read_customers_csv
+    df = read_customers_csv(spark, layout.customers, infer=True)
+    types = dict(df.dtypes)
+    assert types["age"] == "int" and types["registration_date"] == "date"
+    assert types["return_rate"] == "double" and types["user_updated_at"] == "timestamp"
+    r = df.collect()[0]
+    assert r.source_file.endswith("snap.csv") and r.ingestion_timestamp is not None
+
+
+def test_scd2_as_of(spark):
+    from cartwheel.operators import scd2
+    from conftest import ts
+    h = spark.createDataFrame([("u", ts("2024-01-01 00:00:00"), ts("2024-01-05 00:00:00"), "A"),
+                               ("u", ts("2024-01-05 00:00:00"), None, "B")],
+                              "user_id string, __START_AT timestamp, __END_AT timestamp, v string")
+    assert [r.v for r in scd2.as_of(h, "2024-01-04 23:59:59").collect()] == ["A"]
+    assert [r.v for r in scd2.as_of(h, "2024-01-05 00:00:00").collect()] == ["B"]
