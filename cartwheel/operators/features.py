@@ -192,7 +192,8 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                       num_partitions: int | None = None, strategy: str = "auto",
                       window_max_rows: int = WINDOW_MAX_ROWS_PER_USER,
                       scan_direct_max_rows: int = DIRECT_MAX_ROWS,
-                      distinct_sessions: bool = False) -> DataFrame:
+                      distinct_sessions: bool = False,
+                      user_rows: int | None = None) -> DataFrame:
     """The 20-column behaviour feature table, one row per input row.
 
     ``strategy``: ``scan`` -- the skew-safe enter/leave plan (any key size);
@@ -202,6 +203,8 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
     and its frame work stay small), otherwise ``scan``. The leak-free
     abandonment mode always uses ``scan``. ``scan_direct_max_rows`` is passed
     to :func:`keyed_scan` (0 forces its range-piece plan).
+    ``user_rows``: the busiest user's row count if the caller measured it
+    already (skips the size check's pass).
     ``distinct_sessions`` appends ``distinct_sessions_24h``, the number of
     distinct sessions in the 24 h frame (``count_sessions_24h`` keeps its
     original meaning: events with a session id).
@@ -210,9 +213,8 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if abandon_mode not in ABANDON_MODES:
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
-    user_rows = None
     if strategy == "auto":
-        user_rows = largest_user(events)
+        user_rows = largest_user(events) if user_rows is None else user_rows
         small = abandon_mode == "reference" and user_rows <= window_max_rows
         strategy = "window" if small else "scan"
     if strategy == "window" and abandon_mode == "reference":

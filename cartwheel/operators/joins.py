@@ -37,7 +37,8 @@ def label_interval_join(events: DataFrame, labels: DataFrame,
 def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                 value_cols: list[str], prefix: str = "",
                 num_partitions: int | None = None,
-                direct_max_rows: int = DIRECT_MAX_ROWS) -> DataFrame:
+                direct_max_rows: int = DIRECT_MAX_ROWS,
+                max_rows_hint: int | None = None) -> DataFrame:
     """For every left row, the right row with the same key and the latest
     ``right_ts <= left_ts`` (NULLs when there is none). Left rows are kept
     one-for-one.
@@ -46,7 +47,8 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
     rows carry ``struct(right_ts, tie, values)``, left rows carry NULL, and a
     running max up to each position yields the latest right row. No range
     join and no per-key collection, so a key holding a third of all rows is
-    still spread over many tasks.
+    still spread over many tasks. ``max_rows_hint``: a proven bound of the
+    rows per key over both sides (skips the plan choice's counting pass).
     """
     rcols = [F.col(c) for c in value_cols]
     r = right.select(
@@ -64,7 +66,8 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
            .unionByName(r.select("_key", "_pos", "_val",
                                  F.lit(None).cast(left_type).alias("_left"))))
     scanned = keyed_scan(u, ["_key"], "_pos", [Scan("_hit", F.col("_val"), "max", "upto")],
-                         num_partitions=num_partitions, direct_max_rows=direct_max_rows)
+                         num_partitions=num_partitions, direct_max_rows=direct_max_rows,
+                         max_rows_hint=max_rows_hint)
     out = scanned.filter(F.col("_left").isNotNull())
     return out.select(*[F.col(f"_left.{c}").alias(c) for c in left_cols],
                       *[F.col(f"_hit.{c}").alias(prefix + c) for c in value_cols])

@@ -413,14 +413,19 @@ FROM sp ASOF LEFT JOIN features f
   ON sp.user_id = f.user_id AND sp.event_timestamp >= f.event_timestamp""")
 def q_training_set(spark, sf_dir):
     s = pl.silver_from_tables(spark, sf_dir)
-    spine_df = pl.labelled_events(s).select("session_id", "user_id", "event_timestamp",
-                                            "will_abandon")
+    labelled = pl.labelled_events(s)
+    # one counting pass bounds both the feature plan and the as-of lookup:
+    # per user, spine rows and feature rows are each the user's labelled rows
+    busiest = pl.features.largest_user(labelled)
+    spine_df = labelled.select("session_id", "user_id", "event_timestamp", "will_abandon")
     with_profile = joins.validity_join(spine_df, pl.user_profile(s), "user_id", "event_timestamp",
                                        value_cols=["age_group", "loyalty_segment"])
-    feats = pl.behavior_features(s)
+    # the bound lets the lookup skip its counting pass, so the (lazy) feature
+    # table is computed exactly once
+    feats = pl.features.behavior_features(labelled, category_events=s.events, user_rows=busiest)
     out = joins.asof_lookup(with_profile, feats, "user_id", "event_timestamp", "event_timestamp",
                             ["count_sessions_24h", "sum_cart_value_24h",
-                             "num_abandoned_confirmed_30d"])
+                             "num_abandoned_confirmed_30d"], max_rows_hint=2 * busiest)
     return present(out, ("sum_cart_value_24h",))
 
 
