@@ -575,7 +575,7 @@ def _land_all(spark: SparkSession, sf_dir: str, layout: files.Layout) -> None:
 def q_pipeline(spark, sf_dir):
     """Landing files -> stored silver tables -> stored gold tables; the gold
     behaviour feature table is read back."""
-    layout = files.Layout(scratch_path(spark, "medallion"))
+    layout = files.Layout(scratch_path(spark, "layers"))
     _land_all(spark, sf_dir, layout)
     paths = pl.run_batch(spark, layout, customers_schema=schemas.struct(CUSTOMERS_CSV_WITH_SEQ),
                          events_schema=schemas.struct(EVENTS_JSON_WITH_ID),

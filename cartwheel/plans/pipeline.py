@@ -1,4 +1,4 @@
-"""Batch composition of the medallion stages.
+"""Batch composition of the bronze, silver and gold stages.
 
 Bronze inputs (DataFrames) -> silver (rules, routing, SCD2, label join) ->
 gold (behaviour features, profile, spine). Every stage is a lazy DataFrame;
@@ -77,7 +77,7 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     """Full refresh of every silver and gold table from the landing zone.
 
     Each layer is written once and the next layer reads the stored tables
-    (lineage is cut at every layer, as in a medallion layout), so a failed
+    (lineage is cut at every layer of the bronze/silver/gold layout), so a failed
     gold job restarts from silver, not from the raw files. Each input is
     routed in a single pass (:func:`quality.write_routed`) with its
     expectation metrics observed during that pass.

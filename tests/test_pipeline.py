@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_run_batch_writes_all_tables(spark):
-    layout = Layout(tempfile.mkdtemp(prefix="cartwheel-medallion-test-"))
+    layout = Layout(tempfile.mkdtemp(prefix="cartwheel-layers-test-"))
     catalog_more._land_all(spark, SF, layout)
     paths = pipeline.run_batch(spark, layout)
     metrics = paths.pop("_expectations")
