@@ -448,7 +448,7 @@ def _land_labels(spark: SparkSession, labels: DataFrame, path: str) -> None:
            .write.mode("append").json(path))
 
 
-def _flush_markers(spark: SparkSession, root: str) -> None:
+def _flush_markers(spark: SparkSession, layout: files.Layout) -> None:
     """One far-future event and label: advances both watermarks past all
     real rows so the join emits its pending unmatched events."""
     ev = spark.createDataFrame(
@@ -456,8 +456,8 @@ def _flush_markers(spark: SparkSession, root: str) -> None:
         schemas.struct(EVENTS_JSON_WITH_ID))
     lb = spark.createDataFrame([(SENTINEL, 0, "2100-01-01T00:00:00.000000")],
                                schemas.struct(schemas.LABELS_JSON_DDL))
-    ev.write.mode("append").json(f"{root}/events")
-    lb.write.mode("append").json(f"{root}/labels")
+    ev.write.mode("append").json(layout.events)
+    lb.write.mode("append").json(layout.labels)
 
 
 def _stream_ingest(spark, sf_dir, what: str) -> DataFrame:
@@ -505,62 +505,32 @@ def q_stream_clean(spark, sf_dir):
     return present(spark.read.parquet(f"{root}/clean").drop("batch_id"))
 
 
-def _stream_label_join(spark, sf_dir) -> str:
-    """Full streaming silver: landed JSON -> typing -> rules -> watermarked
-    interval join -> parquet. Two triggered runs: the data, then flush
-    markers that move both watermarks past every real row."""
-    root = scratch_path(spark, "stream-join")
-    _land_events(spark, dt.fixture_events(spark, sf_dir), f"{root}/events")
-    _land_labels(spark, dt.fixture_labels(spark, sf_dir), f"{root}/labels")
-
-    def run():
-        ev = flows.clean_events_stream(
-            flows.bronze_events(spark, f"{root}/events", schemas.struct(EVENTS_JSON_WITH_ID)))
-        lb = flows.clean_labels_stream(flows.bronze_labels(spark, f"{root}/labels"))
-        joined = flows.label_join_stream(ev.drop(*schemas.LINEAGE_COLUMNS),
-                                         lb.drop(*schemas.LINEAGE_COLUMNS))
-        flows.run_available_now(joined, f"{root}/silver", f"{root}/_checkpoint_join",
-                                state_partitions=spark.sparkContext.defaultParallelism)
-
-    run()
-    _flush_markers(spark, root)
-    run()
-    return root
+def _stream_label_join(spark, sf_dir) -> files.Layout:
+    """Full streaming silver over landed JSON in two triggered runs: the
+    data, then flush markers that move both watermarks past every real row."""
+    layout = files.Layout(scratch_path(spark, "stream-join"))
+    _land_events(spark, dt.fixture_events(spark, sf_dir), layout.events)
+    _land_labels(spark, dt.fixture_labels(spark, sf_dir), layout.labels)
+    for landed_flush in (False, True):
+        if landed_flush:
+            _flush_markers(spark, layout)
+        flows.run_silver_join(spark, layout, events_schema=schemas.struct(EVENTS_JSON_WITH_ID),
+                              state_partitions=spark.sparkContext.defaultParallelism)
+    return layout
 
 
 @register("stream_label_join", W("SELECT * FROM labelled"))
 def q_stream_label_join(spark, sf_dir):
-    root = _stream_label_join(spark, sf_dir)
-    out = spark.read.parquet(f"{root}/silver").filter(F.col("session_id") != SENTINEL)
-    return present(out)
+    layout = _stream_label_join(spark, sf_dir)
+    out = spark.read.parquet(layout.table("silver_abandonment_events"))
+    return present(out.filter(F.col("session_id") != SENTINEL))
 
 
 @register("spine_stream", W(SPINE_SQL))
 def q_spine_stream(spark, sf_dir):
-    root = _stream_label_join(spark, sf_dir)
-    silver_schema = spark.read.parquet(f"{root}/silver").schema
-    src = spark.readStream.schema(silver_schema).parquet(f"{root}/silver")
-    flows.run_available_now(flows.spine_stream(src), f"{root}/spine", f"{root}/_checkpoint_spine")
-    out = spark.read.parquet(f"{root}/spine").filter(F.col("session_id") != SENTINEL)
-    return present(out)
-
-
-@register("scd2_incremental", WH("SELECT * FROM history"))
-def q_scd2_incremental(spark, sf_dir):
-    """Two snapshot deliveries streamed through typing, rules and imputation
-    into the per-batch SCD2 merge; the newest version is the history."""
-    root = scratch_path(spark, "stream-scd2")
-    raw = dt.fixture_customers(spark, sf_dir)
-    early = F.coalesce(F.col("user_updated_at"), _utc("1900-01-01")) < _utc(CUTOFF)
-    schema = schemas.struct(CUSTOMERS_CSV_WITH_SEQ)
-    for part in (raw.filter(early), raw.filter(~early)):
-        part.write.mode("append").option("header", "true").csv(f"{root}/landing")
-        bronze = files.stream_csv(spark, f"{root}/landing", schema)
-        clean = quality.clean(quality.evaluate(quality.impute_sequence(bronze), "customers"))
-        flows.scd2_incremental(clean, f"{root}/history", f"{root}/_checkpoint", ["user_id"],
-                               "user_updated_at", except_columns=list(schemas.LINEAGE_COLUMNS),
-                               tie_breaker="source_seq")
-    return present(spark.read.parquet(flows.latest_version(spark, f"{root}/history")))
+    layout = _stream_label_join(spark, sf_dir)
+    out = spark.read.parquet(flows.run_spine(spark, layout))
+    return present(out.filter(F.col("session_id") != SENTINEL))
 
 
 def _land_all(spark: SparkSession, sf_dir: str, layout: files.Layout) -> None:

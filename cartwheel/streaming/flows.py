@@ -215,3 +215,32 @@ def spine_stream(labelled_stream: DataFrame) -> DataFrame:
     """Spine projection over the labelled stream; the label time is rebuilt
     from text, so the next stage sees no inherited event-time column."""
     return spine.abandonment_spine(labelled_stream)
+
+
+# -- runners over a landing layout ------------------------------------------
+
+def run_silver_join(spark: SparkSession, layout, events_schema: StructType | None = None,
+                    labels_schema: StructType | None = None, on_null: str = "quarantine",
+                    state_partitions: int | None = None) -> str:
+    """One triggered run of the streaming silver stage: landed event and
+    label JSON -> typing -> rules -> watermarked interval join, appended to
+    ``silver_abandonment_events``. Re-running picks up only new files."""
+    from .. import schemas
+    lineage = list(schemas.LINEAGE_COLUMNS)
+    ev = clean_events_stream(bronze_events(spark, layout.events, events_schema), on_null)
+    lb = clean_labels_stream(bronze_labels(spark, layout.labels, labels_schema), on_null)
+    joined = label_join_stream(ev.drop(*lineage), lb.drop(*lineage))
+    out = layout.table("silver_abandonment_events")
+    run_available_now(joined, out, layout.checkpoint("silver_abandonment_events"),
+                      state_partitions=state_partitions)
+    return out
+
+
+def run_spine(spark: SparkSession, layout) -> str:
+    """One triggered run of the gold spine over the silver join table."""
+    src = layout.table("silver_abandonment_events")
+    schema = spark.read.parquet(src).schema
+    out = layout.table("gold_abandonment_spine")
+    run_available_now(spine_stream(spark.readStream.schema(schema).parquet(src)), out,
+                      layout.checkpoint("gold_abandonment_spine"))
+    return out
