@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import substring, suffix
+from cartwheel.llm import decontaminate, exact, packing, quality, substring, suffix
 from cartwheel.llm.common import table
 
 
@@ -14,11 +14,28 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op8_suffix_dedup)}
+_ALL = (op1_substring_dedup, op2_packing, op3_exact_dedup, op5_decontamination, op7_quality, op8_suffix_dedup)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -40,3 +57,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
        sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+ORACLE_SQL["op3_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS c, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       row_number() OVER w = 1 AS kept, h AS text_sha256
+FROM d WINDOW w AS (PARTITION BY h ORDER BY c DESC, doc_id)
+"""
+
+#: Windows of items as strings, joined with the documents' windows of the same number of words.
+ORACLE_SQL["op5_decontamination"] = r"""
+WITH t AS (
+  SELECT 'd' AS kind, CAST(row_number() OVER () AS BIGINT) AS r, CAST(doc_id AS VARCHAR) AS id, text FROM documents
+  UNION ALL SELECT 'b', -1, CAST(item_id AS VARCHAR), text FROM benchmark),
+w AS (SELECT kind, r, id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM t),
+win AS (SELECT DISTINCT id, least(len(w), 13) AS k, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS s
+        FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM w WHERE kind = 'b' AND len(w) > 0)),
+size AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+       FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, size WHERE kind = 'd' AND len(w) >= k)),
+hit AS (SELECT r, k, i, id FROM dw JOIN win USING (k, s)),
+words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, id FROM hit) GROUP BY r)
+SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit,
+       coalesce(items.n, 0) AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w.w) AS contaminated
+FROM w LEFT JOIN words USING (r) LEFT JOIN items USING (r) WHERE w.kind = 'd'
+"""

@@ -161,19 +161,22 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, unit: str, length:
     """(k1, k2, id, text, spans) per document; spans are the repeated stretches in symbols, not yet merged."""
     rows = keyed(docs, id_col, text_col)
     index = stored(rows.select("k1", "k2", "text").mapInArrow(index_rows(unit, length, seed), INDEX), f"{unit}-index")
-    shared = (
+    # the counts are stored, so that the join below deals out both of its sides and a hot anchor can be split
+    shared = stored(
         index.groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("phrase").alias("least"), F.max("phrase").alias("most"), F.max(F.col("place") % 2).alias("again"))
         .where("n > 1 or again = 1")
-        .select("anchor", F.expr("least <> most or again = 1").alias("mixed"))
+        .select("anchor", F.expr("least <> most or again = 1").alias("mixed")),
+        f"{unit}-anchors",
     )
     hits = stored(index.join(shared, "anchor"), f"{unit}-hits")
     start, end = F.expr(f"place div {PLACE}"), F.expr(f"place div {PLACE} + place % {PLACE} div 2 + {length - 1}")
     whole = hits.where("not mixed").select("k1", "k2", start.alias("start"), end.alias("end"))
     mixed = hits.where("mixed")
-    distinct = mixed.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("k1", "k2", "place")))
+    one = [F.first(c).alias(c) for c in ("k1", "k2", "place")]
+    distinct = stored(mixed.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), *one), f"{unit}-phrases")
     copied = mixed.join(distinct.where("copies > 1").select("anchor", "phrase"), ["anchor", "phrase"]).select("k1", "k2", start.alias("start"), end.alias("end"))
-    groups = distinct.groupBy("anchor").agg(F.count("*").alias("phrases"), F.min("copies").alias("fewest")).where("fewest = 1")
+    groups = stored(distinct.groupBy("anchor").agg(F.count("*").alias("phrases"), F.min("copies").alias("fewest")).where("fewest = 1"), f"{unit}-groups")
     wanted = (
         distinct.join(groups, "anchor")
         .select("k1", "k2", F.struct("anchor", "place", "copies", F.expr(f"phrases > {block_phrases}").alias("large")).alias("w"))
@@ -185,7 +188,8 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, unit: str, length:
         f"{unit}-borders",
     )
     found = "k1 long, k2 long, start long, end long"
-    small = bodies.where("not large").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(resolved(unit, length, resolve), found)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))   # much work on few bytes: not to be coalesced
+    small = bodies.where("not large").repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(resolved(unit, length, resolve), found)
     large = bodies.where("large").mapInArrow(window_rows(unit, length), "h1 long, h2 long, k1 long, k2 long, start long, copies long")
     again = large.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     counted = large.where("copies = 1").join(again, ["h1", "h2"]).select("k1", "k2", "start", (F.col("start") + length).alias("end"))

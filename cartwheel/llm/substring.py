@@ -31,7 +31,7 @@ from cartwheel.llm.suffixes import common_prefix, rank_levels, with_separators
 
 LENGTH, SEED = 35, 15
 #: Distinct phrases of one anchor that are compared in one block; beyond it windows are counted by hash, with the same result.
-BLOCK_PHRASES = 2000
+BLOCK_PHRASES = 300
 
 
 def longest_matches(symbols: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

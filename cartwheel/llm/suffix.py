@@ -28,7 +28,7 @@ from cartwheel.llm.repeats import merged, spans_of, with_repeats
 from cartwheel.llm.suffixes import rank_levels, ranks_at, with_separators
 
 LENGTH, SEED = 200, 64
-BLOCK_PHRASES = 2000
+BLOCK_PHRASES = 300
 
 
 def repeated_starts(symbols: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
