@@ -32,6 +32,16 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def lowest(rows: DataFrame, by: Column, most: int) -> DataFrame:
+    """The ``most`` rows with the lowest hash ``by``, and that hash as ``_at``. Of many rows only those below a share of the
+    hash range that holds twice as many on average are sorted, so that what one task sorts is bounded too."""
+    out = rows.withColumn("_at", by.bitwiseAND(F.lit((1 << 53) - 1)))
+    n = rows.count()
+    if n > 2 * most:
+        out = out.where(F.col("_at") < int((1 << 53) * 2 * most / n))
+    return out.orderBy("_at").limit(most)
+
+
 def row_key(id_col: str, text: Column) -> list[Column]:
     """Two hash columns that name a row by its id and text. They are never null; rows that agree in both id and
     text share a key and get the same result, so ids may be null or repeated."""

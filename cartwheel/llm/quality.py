@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import flat, steps, text_or_empty, words_flat
+from cartwheel.llm.common import flat, lowest, steps, text_or_empty, words_flat
 from cartwheel.llm.windows import mix, word_hashes
 
 BITS = 18
@@ -126,7 +126,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> np.ndarray:
     """The model from at most ``rows`` labelled rows that are not held out."""
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
-    sample = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"), F.xxhash64(id_col).alias("at")).orderBy("at", "label").limit(rows)
+    narrow = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
+    sample = lowest(narrow, F.xxhash64("_id", "label"), rows).withColumnRenamed("_at", "at")
     known = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), "_id")   # at most ``rows`` narrow rows
     found = known.select("text", "label", "at").repartition(1).mapInArrow(_fit, "model binary").collect()
     return np.frombuffer(found[0].model, dtype="<f8") if found else np.zeros(1 << BITS)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, exact, packing, quality, substring, suffix
+from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, packing, pages, quality, secrets, substring, suffix
 from cartwheel.llm.common import table
 
 
@@ -22,10 +22,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,7 +42,18 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_digest(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_substring_dedup, op2_packing, op3_exact_dedup, op5_decontamination, op7_quality, op8_suffix_dedup)
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+_ALL = (
+    op1_substring_dedup, op2_packing, op3_exact_dedup, op4_html_text, op5_decontamination, op6_near_dedup, op7_quality,
+    op8_suffix_dedup, op9_licenses, op10_secrets,
+)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}
