@@ -16,7 +16,7 @@ one text's tokens.
 
 from __future__ import annotations
 
-import re
+import base64
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,60 +30,45 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import steps, stored, text_or_empty
 
 CAPACITY, END, SHARD = 2048, 0, 200_000
-VOCABULARY = "byte_bpe_50k.json"
-CACHE = 300_000
-
-#: White space before a space that white space or the end follows: only there do tokens depend on more than one chunk.
-_TANGLED = re.compile(r"\s (?:\s|$)|\x00")
-
-
-def tangled(text: str) -> bool:
-    if text.isascii() and not ("  " in text or "\n " in text or "\t " in text or " \n" in text or "\x00" in text or "\r" in text):
-        return False
-    return _TANGLED.search(text) is not None
-
+VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 class Encoder:
-    """Token ids as little-endian 32-bit bytes. A text is cut before its spaces; the ids of such chunks are looked up in
-    a bounded cache, and the tokenizer sees a new chunk once. Chunks are independent for a byte-level tokenizer that
-    joins a space to the word after it, but where white space is tangled; such a text is encoded whole."""
+    """Token ids as little-endian 32-bit bytes, those of the ``tokenizers`` file ``path``.
 
-    def __init__(self, path: str) -> None:
-        import os
+    ``ranks`` is the same vocabulary for tiktoken, which gives the same ids several times faster; it takes every text but
+    those that hold the string of a special token, which the tokenizer file treats in its own way.
+    """
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    def __init__(self, path: str, ranks: str, pattern: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(ranks, "rb") as lines:
+            have = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=have, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def reference(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.recent) > CACHE:                          # chunks that were not met since the last turn go
-            self.older, self.recent = self.recent, {}
-        cut = [None if tangled(t) else t.replace(" ", "\x00 ").split("\x00") for t in texts]
-        recent, older = self.recent, self.older
-        missing = set().union(*(c for c in cut if c)).difference(recent)
-        again = missing.intersection(older)
-        recent.update((c, older[c]) for c in again)
-        new = list(missing - again)
-        recent.update(zip(new, self.encode(new), strict=True))
-        return [b"".join(map(recent.__getitem__, c)) if c is not None else self.encode([t])[0] for c, t in zip(cut, texts, strict=True)]
+    def __call__(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return self.reference(text)
+        return array("I", self.fast.encode_ordinary(text)).tobytes()
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
-    """One per Python worker; ``vocabulary`` is a file of the public tokenizers or a path."""
-    if vocabulary not in _ENCODERS:
+def encoder(vocabulary: str = VOCABULARY, ranks: str = RANKS) -> Encoder:
+    """One per Python worker; both are names of public tokenizer files or paths."""
+    if (vocabulary, ranks) not in _ENCODERS:
         import public_tokenizers
 
-        _ENCODERS[vocabulary] = Encoder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
-    return _ENCODERS[vocabulary]
+        path = [f if "/" in f else public_tokenizers.path(f) for f in (vocabulary, ranks)]
+        _ENCODERS[vocabulary, ranks] = Encoder(*path, public_tokenizers.PATTERN)
+    return _ENCODERS[vocabulary, ranks]
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -92,16 +77,16 @@ def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, capacity) for at in range(first, length, capacity))]
 
 
-def _pieces(vocabulary: str, capacity: int):
+def _pieces(vocabulary: str, ranks: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, ranks)
         task, row = TaskContext.get().partitionId(), 0
         end = np.asarray([END], dtype="<u4").tobytes()
         for batch in steps(batches):
             out = []
             which = []
-            for k, ids in enumerate(encode(batch.column("text").to_pylist())):
-                ids += end
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                ids = encode(text) + end
                 for piece, (start, length) in enumerate(cuts(len(ids) // 4, capacity)):
                     out.append((piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), (task << 40) + row))
                     which.append(k)
@@ -122,13 +107,14 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     made = 0
     never = np.iinfo(np.int64).max
     for k, size in enumerate(lengths.tolist()):
-        # half the change of the sum when gap h becomes h - size, less a constant: count[h - size] - count[h]
-        change = count[: capacity - size] - count[size:capacity]
-        change[0] = -count[size] - 1 if count[size] else never                    # a gap that closes counts no more
-        change[count[size:capacity] == 0] = never
+        # the change of the sum when a gap h becomes h - size; a gap that closes counts no more
+        change = 2 * (count[: capacity - size] - count[size:capacity]) + 2
+        if len(change):
+            change[0] = 1 - 2 * count[size]
+            change[count[size:capacity] == 0] = never
         best = int(change.argmin()) if len(change) else 0
-        fresh = int(count[capacity - size]) if size < capacity else -1
-        if len(change) and change[best] != never and 2 * change[best] + 2 <= 2 * fresh + 1:
+        fresh = 2 * count[capacity - size] + 1 if size < capacity else 0
+        if len(change) and change[best] != never and change[best] <= fresh:
             gap = best + size
             at = open_at[gap].pop()
             count[gap] -= 1
@@ -155,17 +141,17 @@ def _pack(capacity: int):
     return run
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, ranks: str = RANKS, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, and a number ``row`` of its own. Stored."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text"))
-    out = rows.mapInArrow(_pieces(vocabulary, capacity), f"_id {kind}, piece int, start long, length long, ids_crc32 long, row long")
+    out = rows.mapInArrow(_pieces(vocabulary, ranks, capacity), f"_id {kind}, piece int, start long, length long, ids_crc32 long, row long")
     return stored(out.withColumnRenamed("_id", id_col), "pieces")
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, ranks: str = RANKS, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
     """Pieces with sequence_id and offset: the pieces of a sequence lie one after another from 0, without a gap."""
-    rows = pieces(docs, id_col, text_col, vocabulary, capacity)
+    rows = pieces(docs, id_col, text_col, vocabulary, ranks, capacity)
     part = rows.where(F.col("length") < capacity)
     shards = max(1, -(-part.count() // shard))
     dealt = part.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("long"))
