@@ -20,7 +20,7 @@ HIGH_RETURN_RATE = 0.3
 def age_group(age: Column | str = "age") -> Column:
     a = F.col(age) if isinstance(age, str) else age
     return (F.when(a < AGE_CUTS[0], GEN_Z)
-            .when((a >= AGE_CUTS[0]) & (a < AGE_CUTS[1]), MILLENNIAL)
+            .when(a < AGE_CUTS[1], MILLENNIAL)
             .otherwise(SENIOR))
 
 

@@ -3,8 +3,8 @@
 The data model is wall-clock UTC. Driver tables store TIMESTAMP_NTZ, which
 ``unix_millis`` and ``withWatermark`` refuse, so loaders convert to TIMESTAMP
 with :func:`as_instant` and results handed to SQL comparisons are turned back
-with :func:`as_wallclock`. Both are exact under a UTC session and stay
-correct under other session zones away from DST folds.
+with :func:`as_wallclock`. Both are exact in every session zone, at DST
+changes too.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-MS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 
 def _session_tz() -> str:
@@ -20,23 +19,29 @@ def _session_tz() -> str:
     return spark.conf.get("spark.sql.session.timeZone", "UTC") if spark else "UTC"
 
 
+#: A time of day followed by an offset, Z or a zone name.
+ZONED = r"\d:\d{2}[^A-Za-z+-]*(?:[+-]\d{1,2}(?::?\d{2}){0,2}|[A-Za-z][A-Za-z0-9_/+:-]*)\s*$"
+
+
+def _is_utc() -> bool:
+    return _session_tz().upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT")
+
+
 def as_instant(col: Column | str) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> TIMESTAMP."""
+    """TIMESTAMP_NTZ (UTC wall clock) -> TIMESTAMP, the same in every session zone."""
     c = F.col(col) if isinstance(col, str) else col
-    tz = _session_tz()
-    ts = c.cast("timestamp")   # the instant whose session-zone rendering is the wall clock
-    if tz.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT"):
-        return ts
-    return F.from_utc_timestamp(ts, tz)
+    if _is_utc():
+        return c.cast("timestamp")
+    return F.try_to_timestamp(F.concat(c.cast("timestamp_ntz").cast("string"), F.lit("Z")))
 
 
 def as_wallclock(col: Column | str) -> Column:
-    """TIMESTAMP -> TIMESTAMP_NTZ holding its UTC wall clock."""
+    """TIMESTAMP -> TIMESTAMP_NTZ holding its UTC wall clock, the same in every session zone."""
     c = F.col(col) if isinstance(col, str) else col
-    tz = _session_tz()
-    if tz.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT"):
+    if _is_utc():
         return c.cast("timestamp_ntz")
-    return F.to_utc_timestamp(c, tz).cast("timestamp_ntz")
+    seconds = (F.unix_micros(c).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def parse_timestamp(col: Column | str, fmt: str | None = None) -> Column:
@@ -52,8 +57,8 @@ def parse_timestamp(col: Column | str, fmt: str | None = None) -> Column:
     text = c.cast("string")
     if fmt is not None:
         return F.try_to_timestamp(text, F.lit(fmt))
-    wall = text.try_cast("timestamp_ntz")          # NULL when the text carries a zone
-    return F.when(wall.isNotNull(), as_instant(wall)).otherwise(F.try_to_timestamp(text))
+    wall = text.try_cast("timestamp_ntz")          # would drop a zone, so only for text without one
+    return F.when(text.rlike(ZONED), F.try_to_timestamp(F.trim(text))).otherwise(as_instant(wall))
 
 
 def epoch_millis(col: Column | str) -> Column:
@@ -69,18 +74,20 @@ def truncate_ms(col: Column | str) -> Column:
     return F.date_trunc("millisecond", c)
 
 
-def format_wallclock(col: Column | str, fmt: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> Column:
-    """TIMESTAMP -> text of its UTC wall clock (no offset), the inverse of
-    :func:`parse_timestamp`."""
-    return F.date_format(as_wallclock(col), fmt)
+def format_wallclock(col: Column | str) -> Column:
+    """TIMESTAMP -> ``yyyy-MM-ddTHH:mm:ss.SSSSSS`` text of its UTC wall clock
+    (no offset), the inverse of :func:`parse_timestamp`."""
+    text = as_wallclock(col).cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."),
+                    F.rpad(F.substring(text, 21, 6), 6, "0"))
 
 
 def strip_event_time(col: Column | str) -> Column:
-    """Format to millisecond text and parse back.
+    """The time at millisecond precision as a fresh expression.
 
-    Used before a second streaming stage: the round trip yields a fresh
-    expression, so no event-time (watermark) metadata from the upstream
-    stream is carried on the column.
+    Used before a second streaming stage: a rebuilt value carries no
+    event-time (watermark) metadata from the upstream stream. Going through
+    epoch milliseconds instead of text keeps it exact in every session zone.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.try_to_timestamp(F.date_format(c, MS_FORMAT))
+    return F.timestamp_millis(F.unix_millis(c))

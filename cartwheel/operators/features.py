@@ -15,10 +15,13 @@ evaluated by one skew-safe :func:`keyed_scan`:
 
 - count / sum / conditional counts: each event enters at ``ts`` (seen by
   later milliseconds only) and leaves at ``ts + W``; frame value = running
-  sum of deltas. Cart values are summed exactly as two LONG columns (whole
-  units and nano-units of the value rounded to 9 decimals), so enter/leave
-  differences carry no floating-point drift and every aggregate stays
-  fixed-width (hash aggregation, fast window updates).
+  sum of deltas. Cart values are summed exactly as LONG digits of base 2**32
+  (from 2**64 down to 2**-64), so enter/leave differences carry no
+  floating-point drift, a result depends on the frame's rows alone and not on
+  their order or on the plan, and every aggregate stays fixed-width. NaN and
+  infinite values are counted beside the digits: a sum is NaN or infinite
+  exactly while such a value is in the frame. Finite values of 2**64
+  (1.8e19) and beyond count as infinite; parts below 2**-64 (5e-20) are rounded.
 - distinct categories: per (user, category, ms) occurrence with next
   occurrence ``n``: +1 at ``ts``, -1 at ``min(n, ts + W)``. ``n`` comes from
   a second keyed scan (min over later rows), again skew-safe.
@@ -34,7 +37,7 @@ All of it stays in Catalyst expressions (no Python on the data path).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
@@ -47,12 +50,9 @@ DAY_MS = 86_400_000
 WINDOWS = {"1h": HOUR_MS, "24h": DAY_MS, "7d": 7 * DAY_MS, "30d": 30 * DAY_MS}
 EPSILON = 1e-6
 
-NANO = 1_000_000_000
+# Base-2**32 digits of a cart value: exponents of their units, highest first.
+DIGITS = (32, 0, -32, -64)
 ABANDON_MODES = ("reference", "point_in_time")
-STRATEGIES = ("auto", "scan", "window")
-# Size check of the direct window plan: the largest user may hold at most this
-# many rows (one window task per user, frame work <= rows^2 per user).
-WINDOW_MAX_ROWS_PER_USER = 5_000
 
 FEATURE_COLUMNS = (
     "user_id", "event_timestamp",
@@ -66,8 +66,9 @@ FEATURE_COLUMNS = (
 
 # delta columns of the enter/leave union: (name, SQL type)
 _COUNTS = [f"c_{w}" for w in WINDOWS]                # events with a session id
-_SUMS = ([f"sh_{w}" for w in WINDOWS]                # cart value, whole units
-         + [f"sl_{w}" for w in WINDOWS])             # cart value, nano-units
+_PARTS = [*(f"s{k}" for k in range(len(DIGITS))),     # cart value, digit by digit
+          "odd", "neg"]                              # NaN and +Inf (2**31 apart), -Inf
+_SUMS = [f"{p}_{w}" for p in _PARTS for w in WINDOWS]
 _NONNULL = ["n_1h", "n_24h", "n_30d"]                # cart value present (for avg)
 _DISTINCT = ["d_1h", "d_24h", "d_7d"]                # category occurrences
 _OTHER = ["a_24h", "b_30d"]                          # add-to-cart, abandoned
@@ -100,40 +101,53 @@ def _day(ms: Column) -> Column:
     return F.floor(ms / F.lit(DAY_MS))
 
 
-def _split_exact(v: Column) -> tuple[Column, Column]:
-    """``v`` as (whole units, nano-units rounded), both LONG; NULL -> (0, 0).
+def _split_exact(v: Column) -> dict[str, Column]:
+    """``v`` as signed base-2**32 digits plus the counters of values without digits, all LONG; NULL -> zeros.
 
-    ``floor`` and ``v - floor(v)`` are exact in binary floating point, so
-    only the nano-unit rounding is inexact -- the same rounding a cast to
-    DECIMAL(.., 9) performs. Sums of each part are exact 64-bit integers.
+    Scaling by powers of two, ``%`` and ``floor`` are exact on doubles, so the digits add up to ``v`` but for what lies
+    below the last one. Running sums of digits stay exact over 2**31 rows.
     """
-    whole = F.coalesce(F.floor(v), F.lit(0).cast("long"))
-    nano = F.coalesce(F.round((v - whole) * F.lit(float(NANO))).cast("long"), F.lit(0).cast("long"))
-    return whole, nano
+    size = F.abs(v)
+    plain = v.isNotNull() & ~F.isnan(v) & (size < F.lit(2.0 ** 64))
+    sign = F.when(v < 0, -1).otherwise(1).cast("long")
+    out = {}
+    for k, e in enumerate(DIGITS):
+        rest = size if k == 0 else size % F.lit(2.0 ** (e + 32))
+        digit = F.floor(rest * F.lit(2.0 ** -e) + F.lit(0.5 if e == DIGITS[-1] else 0.0))
+        out[f"s{k}"] = F.when(plain, digit * sign).otherwise(0).cast("long")
+    out["odd"] = F.when(F.isnan(v), 1).when(~plain & (v > 0), 2 ** 31).otherwise(0).cast("long")
+    out["neg"] = F.when(~plain & ~F.isnan(v) & (v < 0), 1).otherwise(0).cast("long")
+    return {k: F.coalesce(c, F.lit(0).cast("long")) for k, c in out.items()}
 
 
 def _exact_total(w: str) -> Column:
-    return F.col(f"r_sh_{w}").cast("double") + F.col(f"r_sl_{w}").cast("double") / F.lit(float(NANO))
+    odd, neg = F.col(f"r_odd_{w}"), F.col(f"r_neg_{w}")
+    total = F.lit(0.0)
+    for k in reversed(range(len(DIGITS))):
+        total = total + F.col(f"r_s{k}_{w}").cast("double") * F.lit(2.0 ** DIGITS[k])
+    nan, high = odd % 2 ** 31 > 0, odd >= 2 ** 31
+    return (F.when(nan | (high & (neg > 0)), F.lit(float("nan")))
+            .when(high, F.lit(float("inf"))).when(neg > 0, F.lit(float("-inf"))).otherwise(total))
 
 
 def _event_rows(events: DataFrame, abandon_mode: str, names: list[str]) -> DataFrame:
     # per-event contributions, computed once and then fanned out into rows
-    whole, nano = _split_exact(F.col("cart_value").cast("double"))
+    parts = _split_exact(F.col("cart_value").cast("double"))
     events = events.select(
         "user_id", "event_timestamp", "label_available_date",
         F.unix_millis(F.col("event_timestamp")).alias("_ms"),
         F.col("session_id").isNotNull().cast("long").alias("_c"),
-        whole.alias("_sh"), nano.alias("_sl"),
+        *(c.alias(f"_{p}") for p, c in parts.items()),
         F.col("cart_value").isNotNull().cast("long").alias("_n"),
         F.coalesce(F.col("event_type") == "add_to_cart", F.lit(False)).cast("long").alias("_a"),
         F.coalesce(F.col("will_abandon") == 1, F.lit(False)).cast("long").alias("_b"),
         F.col("cart_value").cast("double").alias("_v"))
-    ms, c, sh, sl, n, a, b, v = (F.col(x) for x in ("_ms", "_c", "_sh", "_sl", "_n", "_a", "_b", "_v"))
+    ms, c, n, a, b, v = (F.col(x) for x in ("_ms", "_c", "_n", "_a", "_b", "_v"))
     user, ts = F.col("user_id"), F.col("event_timestamp")
     pit = abandon_mode == "point_in_time"
 
-    enter = {**{k: c for k in _COUNTS}, **{f"sh_{w}": sh for w in WINDOWS},
-             **{f"sl_{w}": sl for w in WINDOWS}, **{k: n for k in _NONNULL},
+    enter = {**{k: c for k in _COUNTS}, **{k: n for k in _NONNULL},
+             **{f"{p}_{w}": F.col(f"_{p}") for p in _PARTS for w in WINDOWS},
              "a_24h": a, "b_30d": F.lit(0).cast("long") if pit else b}
     # Max piece starting inside the event's own block: it covers the rest of
     # that block, unless ts is the block's last millisecond (then the whole
@@ -141,7 +155,7 @@ def _event_rows(events: DataFrame, abandon_mode: str, names: list[str]) -> DataF
     own_block = F.when(F.pmod(ms + 1, F.lit(DAY_MS)) != 0, v)
     rows = [_delta_row(0, ms, ts, user, enter, mx_pre=own_block, names=names)]
     for w, width in WINDOWS.items():
-        leave = {f"c_{w}": -c, f"sh_{w}": -sh, f"sl_{w}": -sl}
+        leave = {f"c_{w}": -c, **{f"{p}_{w}": -F.col(f"_{p}") for p in _PARTS}}
         if f"n_{w}" in _NONNULL:
             leave[f"n_{w}"] = -n
         if w == "24h":
@@ -187,102 +201,22 @@ def largest_user(events: DataFrame) -> int:
     return int(top or 0)
 
 
+def _order(df: DataFrame, distinct_sessions: bool) -> DataFrame:
+    return df.select(*FEATURE_COLUMNS, *(["distinct_sessions_24h"] if distinct_sessions else []))
+
+
 def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                       category_events: DataFrame | None = None,
-                      num_partitions: int | None = None, strategy: str = "auto",
-                      window_max_rows: int = WINDOW_MAX_ROWS_PER_USER,
-                      scan_direct_max_rows: int = DIRECT_MAX_ROWS,
+                      num_partitions: int | None = None,
+                      direct_max_rows: int = DIRECT_MAX_ROWS,
                       distinct_sessions: bool = False,
                       user_rows: int | None = None) -> DataFrame:
-    """The 20-column behaviour feature table, one row per input row.
-
-    ``strategy``: ``scan`` -- the skew-safe enter/leave plan (any key size);
-    ``window`` -- sliding RANGE windows per user (the direct formulation);
-    ``auto`` (default) -- ``window`` only when a measured bound holds (the
-    busiest user has at most ``window_max_rows`` rows, so every per-user task
-    and its frame work stay small), otherwise ``scan``. The leak-free
-    abandonment mode always uses ``scan``. ``scan_direct_max_rows`` is passed
-    to :func:`keyed_scan` (0 forces its range-piece plan).
-    ``user_rows``: the busiest user's row count if the caller measured it
-    already (skips the size check's pass).
-    ``distinct_sessions`` appends ``distinct_sessions_24h``, the number of
-    distinct sessions in the 24 h frame (``count_sessions_24h`` keeps its
-    original meaning: events with a session id).
-    """
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if abandon_mode not in ABANDON_MODES:
-        raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
-    if strategy == "auto":
-        user_rows = largest_user(events) if user_rows is None else user_rows
-        small = abandon_mode == "reference" and user_rows <= window_max_rows
-        strategy = "window" if small else "scan"
-    if strategy == "window" and abandon_mode == "reference":
-        return window_features(events, distinct_sessions)
-    return scan_features(events, abandon_mode, category_events, num_partitions,
-                         scan_direct_max_rows, distinct_sessions, user_rows)
-
-
-# Output column -> (aggregate kind, window) of the direct window plan.
-# count: non-NULL session ids; sum: cart value (0.0 on empty); avg/max: cart
-# value; distinct: item categories; atc: add-to-cart events; abandoned:
-# abandoned label rows.
-WINDOW_SPECS = {
-    "count_events_1h": ("count", "1h"), "sum_cart_value_1h": ("sum", "1h"),
-    "avg_cart_value_1h": ("avg", "1h"), "distinct_categories_1h": ("distinct", "1h"),
-    "count_sessions_24h": ("count", "24h"), "sum_cart_value_24h": ("sum", "24h"),
-    "avg_cart_value_24h": ("avg", "24h"), "max_cart_value_24h": ("max", "24h"),
-    "distinct_categories_24h": ("distinct", "24h"), "count_add_to_cart_24h": ("atc", "24h"),
-    "count_events_7d": ("count", "7d"), "sum_cart_value_7d": ("sum", "7d"),
-    "distinct_categories_7d": ("distinct", "7d"), "count_events_30d": ("count", "30d"),
-    "sum_cart_value_30d": ("sum", "30d"), "avg_cart_value_30d": ("avg", "30d"),
-    "num_abandoned_confirmed_30d": ("abandoned", "30d"),
-}
-
-
-def window_features(events: DataFrame, distinct_sessions: bool = False) -> DataFrame:
-    """Direct plan: one ``partitionBy(user_id)`` with RANGE frames
-    ``[-W, -1 ms]`` on epoch ms. Used only behind the per-user size check."""
-    df = events.withColumn("_ms", F.unix_millis(F.col("event_timestamp")))
-    frames = {w: Window.partitionBy("user_id").orderBy("_ms").rangeBetween(-width, -1)
-              for w, width in WINDOWS.items()}
-    flag_sum = {"atc": F.when(F.col("event_type") == "add_to_cart", 1).otherwise(0),
-                "abandoned": F.when(F.col("will_abandon") == 1, 1).otherwise(0)}
-
-    def column(kind: str, w: str) -> Column:
-        over = frames[w]
-        if kind == "count":
-            return F.count("session_id").over(over)
-        if kind == "sum":
-            return F.coalesce(F.sum("cart_value").over(over), F.lit(0.0))
-        if kind == "avg":
-            return F.avg("cart_value").over(over)
-        if kind == "max":
-            return F.max("cart_value").over(over)
-        if kind == "distinct":
-            return F.size(F.collect_set("item_category").over(over))
-        return F.coalesce(F.sum(flag_sum[kind]).over(over), F.lit(0)).cast("long")
-
-    cols = [column(kind, w).alias(name) for name, (kind, w) in WINDOW_SPECS.items()]
-    if distinct_sessions:
-        cols.append(F.size(F.collect_set("session_id").over(frames["24h"]))
-                    .alias("distinct_sessions_24h"))
-    out = df.select("user_id", "event_timestamp", *cols)
-    return _order(out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio()),
-                  distinct_sessions)
-
-
-def _order(df: DataFrame, distinct_sessions: bool) -> DataFrame:
-    return df.select(*FEATURE_COLUMNS, *(["distinct_sessions_24h"] if distinct_sessions else []))
-
+    """The 20-column behaviour feature table, one row per input row (see module docstring).
 
-def scan_features(events: DataFrame, abandon_mode: str = "reference",
-                  category_events: DataFrame | None = None,
-                  num_partitions: int | None = None,
-                  direct_max_rows: int = DIRECT_MAX_ROWS,
-                  distinct_sessions: bool = False,
-                  user_rows: int | None = None) -> DataFrame:
-    """Skew-safe plan of :func:`behavior_features` (see module docstring).
+    One plan at every size; ``direct_max_rows`` (0 forces range pieces) only decides how :func:`keyed_scan` runs it,
+    and all its sums are of LONG columns, so the results agree bit for bit. ``user_rows``: the busiest user's row count
+    if the caller measured it already. ``distinct_sessions`` appends ``distinct_sessions_24h``, the number of distinct
+    sessions in the 24 h frame (``count_sessions_24h`` keeps its original meaning: events with a session id).
 
     ``events``: labelled events (``user_id, session_id, event_timestamp,
     cart_value, event_type, item_category, will_abandon,
@@ -312,7 +246,7 @@ def scan_features(events: DataFrame, abandon_mode: str = "reference",
               Scan("r_mx_suf", F.col("mx_suf"), "max", "from", per_block=True)]
     scanned = keyed_scan(deltas, ["user_id"], "pos", scans, num_partitions=num_partitions,
                          block=_day(F.col("pos")), direct_max_rows=direct_max_rows,
-                         max_rows_hint=delta_hint)
+                         max_rows_hint=delta_hint, keep=["kind", "event_timestamp"])
     q = scanned.filter(F.col("kind") == 0)
 
     def total(w):

@@ -73,6 +73,18 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
                       *[F.col(f"_hit.{c}").alias(prefix + c) for c in value_cols])
 
 
+def version_lookup(left: DataFrame, history: DataFrame, key: str, ts: str, value_cols: list[str],
+                   start: str = "__START_AT", end: str = "__END_AT", **options) -> DataFrame:
+    """The SCD2 version valid at ``left.ts`` (``start <= ts < end``, open ends
+    included), as an as-of lookup on the version's start: the versions of a key
+    do not overlap, so the latest one that began is the valid one unless it
+    has ended. Time linear in the rows, also for one hot key."""
+    own = [c for c in left.columns]
+    hit = asof_lookup(left, history, key, ts, start, [*value_cols, end], prefix="_v_", **options)
+    valid = F.col(f"_v_{end}").isNull() | (F.col(ts) < F.col(f"_v_{end}"))
+    return hit.select(*own, *(F.when(valid, F.col(f"_v_{c}")).alias(c) for c in value_cols))
+
+
 def validity_join(left: DataFrame, history: DataFrame, key: str, ts: str,
                   start: str = "__START_AT", end: str = "__END_AT",
                   value_cols: list[str] | None = None, prefix: str = "") -> DataFrame:

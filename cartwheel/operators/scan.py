@@ -155,9 +155,12 @@ def _local_windows(df: DataFrame, part: list[str], pos: str, scans: list[Scan],
 def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
                num_partitions: int | None = None, block: Column | None = None,
                direct_max_rows: int = DIRECT_MAX_ROWS,
-               max_rows_hint: int | None = None) -> DataFrame:
+               max_rows_hint: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Add one column per :class:`Scan` holding its running aggregate.
 
+    ``keep``: the columns besides keys and ``pos`` that the result needs
+    (default all); the others are dropped before any sort or shuffle.
+
     Eager: the plan choice runs one aggregation (skipped when the caller
     passes ``max_rows_hint``, a proven upper bound of the busiest key's row
     count), and the range-piece plan stores its pieces before the (lazy)
@@ -166,6 +169,8 @@ def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
     d, kcols, helpers = _non_null_keys(df, keys)
     d = d.withColumn("_blk", (block if block is not None else F.lit(0)).cast("long"))
     d = d.withColumns({f"_v{i}": s.value for i, s in enumerate(scans)})
+    if keep is not None:
+        d = d.select(*keys, *helpers, pos, *keep, "_blk", *(f"_v{i}" for i in range(len(scans))))
     busiest = (lambda: max_rows_hint) if max_rows_hint is not None else (lambda: largest_key(d, kcols))
     if direct_max_rows > 0 and busiest() <= direct_max_rows:
         local = _local_windows(d, kcols, pos, scans, [*kcols, "_blk"])

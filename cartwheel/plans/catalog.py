@@ -64,13 +64,21 @@ def q_behavior_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(pl.behavior_features(s), FEATURE_DOUBLES)
 
 
+@register("behavior_features_direct", oracle.behavior_features())
+def q_behavior_features_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with running frames per user, whatever the busiest user holds."""
+    s = pl.silver_from_tables(spark, sf_dir)
+    f = pl.features.behavior_features(pl.labelled_events(s), category_events=s.events, direct_max_rows=2 ** 62)
+    return present(f, FEATURE_DOUBLES)
+
+
 @register("behavior_features_scan", oracle.behavior_features())
 def q_behavior_features_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship forced onto the hot-key plan (enter/leave scan over
     range pieces) -- what runs when one user is too big for one task."""
     s = pl.silver_from_tables(spark, sf_dir)
     f = pl.features.behavior_features(pl.labelled_events(s), category_events=s.events,
-                                      strategy="scan", scan_direct_max_rows=0)
+                                      direct_max_rows=0)
     return present(f, FEATURE_DOUBLES)
 
 

@@ -418,8 +418,8 @@ def q_training_set(spark, sf_dir):
     # per user, spine rows and feature rows are each the user's labelled rows
     busiest = pl.features.largest_user(labelled)
     spine_df = labelled.select("session_id", "user_id", "event_timestamp", "will_abandon")
-    with_profile = joins.validity_join(spine_df, pl.user_profile(s), "user_id", "event_timestamp",
-                                       value_cols=["age_group", "loyalty_segment"])
+    with_profile = joins.version_lookup(spine_df, pl.user_profile(s), "user_id", "event_timestamp",
+                                        ["age_group", "loyalty_segment"])
     # the bound lets the lookup skip its counting pass, so the (lazy) feature
     # table is computed exactly once
     feats = pl.features.behavior_features(labelled, category_events=s.events, user_rows=busiest)

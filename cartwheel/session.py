@@ -47,8 +47,10 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (session conf, then context conf, then
-    the context's checkpoint dir). Only when none is set -- local tests --
-    a fresh temporary folder is created and registered, so later calls reuse it.
+    the context's checkpoint dir). Only when none is set and the master is
+    local -- tests -- a fresh temporary folder is created and registered, so
+    later calls reuse it; on a cluster a machine-local folder would lose
+    rows, so an unset folder is an error there.
     """
     candidates = []
     try:
@@ -64,6 +66,8 @@ def shared_root(spark: SparkSession) -> str:
     for c in candidates:
         if c:
             return c.rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     sc.setCheckpointDir(local)
     try:

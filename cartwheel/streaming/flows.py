@@ -223,13 +223,21 @@ def run_silver_join(spark: SparkSession, layout, events_schema: StructType | Non
                     labels_schema: StructType | None = None, on_null: str = "quarantine",
                     state_partitions: int | None = None) -> str:
     """One triggered run of the streaming silver stage: landed event and
-    label JSON -> typing -> rules -> watermarked interval join, appended to
-    ``silver_abandonment_events``. Re-running picks up only new files."""
+    label JSON -> typing -> rules, each input routed once into its clean and
+    its quarantine table (lineage kept in both), then the watermarked interval
+    join of the two clean tables, appended to ``silver_abandonment_events``.
+    Re-running picks up only new files; every landed row is in one of the
+    two tables of its input."""
     from .. import schemas
     lineage = list(schemas.LINEAGE_COLUMNS)
-    ev = clean_events_stream(bronze_events(spark, layout.events, events_schema), on_null)
-    lb = clean_labels_stream(bronze_labels(spark, layout.labels, labels_schema), on_null)
-    joined = label_join_stream(ev.drop(*lineage), lb.drop(*lineage))
+    inputs = {"events": quality.evaluate(typed_events(bronze_events(spark, layout.events, events_schema)), "transactions", on_null),
+              "labels": quality.evaluate(typed_labels(bronze_labels(spark, layout.labels, labels_schema)), "labels", on_null)}
+    clean = {}
+    for name, evaluated in inputs.items():
+        good, bad = layout.table(f"silver_{name}"), layout.table(f"quarantine_{name}")
+        fan_out(evaluated, good, bad, layout.checkpoint(f"silver_{name}"))
+        clean[name] = spark.readStream.schema(quality.clean(evaluated).schema).parquet(f"{good}/batch_id=*")
+    joined = label_join_stream(clean["events"].drop(*lineage), clean["labels"].drop(*lineage))
     out = layout.table("silver_abandonment_events")
     run_available_now(joined, out, layout.checkpoint("silver_abandonment_events"),
                       state_partitions=state_partitions)

@@ -14,8 +14,8 @@ from cartwheel.operators.features import FEATURE_COLUMNS
 
 
 def behavior_features(df, **kw):
-    """The skew-safe scan plan (the size check would pick windows on tiny data)."""
-    return feat.behavior_features(df, strategy="scan", scan_direct_max_rows=0, **kw)
+    """The range-piece plan (the size check would pick running frames per user on tiny data)."""
+    return feat.behavior_features(df, direct_max_rows=0, **kw)
 
 SCHEMA = ("session_id string, user_id string, event_timestamp timestamp, cart_value double, "
           "event_type string, item_category string, will_abandon int, "
@@ -135,22 +135,41 @@ def test_point_in_time_abandon_count(spark):
     assert got == want
 
 
-def test_strategy_choice_and_window_plan(spark):
-    df = frame(spark, _random_events(4, n=400))
-    assert feat.largest_user(df) > 100
-    window = feat.behavior_features(df)                              # bound holds -> windows
-    scan = feat.behavior_features(df, window_max_rows=100)           # bound fails -> scan
-    assert "Window" in window._jdf.queryExecution().executedPlan().toString()
-    assert_same(window, scan)                  # scan with its direct (per-key window) plan
-    assert_same(window, behavior_features(df))  # scan with range pieces
-    with pytest.raises(ValueError):
-        feat.behavior_features(df, strategy="nope")
+def bits(df):
+    import struct
+    raw = lambda v: struct.pack("<d", v) if isinstance(v, float) else v
+    return sorted(tuple(map(raw, r)) for r in df.collect())
+
+
+def odd_events():
+    t = ts("2024-01-01 00:00:00")
+    values = [0.1, 0.2, 0.3, 1e-10, 1e-10, 1e-10, 1e19, 3.0, float("inf"), 2.0, float("nan"), 7.5]
+    return [ev("u", t + timedelta(hours=5 * k), v) for k, v in enumerate(values)] + [
+        ev("w", t + timedelta(minutes=k), 1e-10) for k in range(4)] + [
+        ev("x", t + timedelta(minutes=k), v) for k, v in enumerate([0.1, 0.2, 0.3, 1.0])]
+
+
+def test_one_answer_for_every_plan_and_value(spark):
+    df = frame(spark, odd_events() + _random_events(4, n=400))
+    pieces = behavior_features(df)
+    assert bits(pieces) == bits(feat.behavior_features(df))          # bit for bit
+    assert_same(pieces, window_features(df).select(*FEATURE_COLUMNS))
+    got = {(r.user_id, r.event_timestamp): r for r in pieces.collect()}
+    t = ts("2024-01-01 00:00:00")
+    assert got["w", t + timedelta(minutes=3)].sum_cart_value_1h == pytest.approx(3e-10, rel=1e-9)
+    assert got["x", t + timedelta(minutes=3)].sum_cart_value_1h == pytest.approx(0.6, rel=1e-15)
+
+
+@pytest.mark.parametrize("limit", [1, 5, 10 ** 6])
+def test_limit_of_the_direct_plan_changes_nothing(spark, limit):
+    df = frame(spark, odd_events())
+    assert bits(feat.behavior_features(df, direct_max_rows=limit)) == bits(behavior_features(df))
 
 
 def test_distinct_sessions_both_plans(spark):
     df = frame(spark, _random_events(5, n=500))
     scan = behavior_features(df, distinct_sessions=True)
-    window = feat.behavior_features(df, strategy="window", distinct_sessions=True)
+    window = window_features(df).select(*scan.columns)
     assert scan.columns[-1] == "distinct_sessions_24h"
     assert_same(scan, window)
     r = [x for x in window.collect() if x.distinct_sessions_24h > 0]
