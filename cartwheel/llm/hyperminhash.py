@@ -9,16 +9,17 @@ least ``THRESHOLD`` percent, and grouped by links.
    ``MANTISSA`` further bits. Buckets that no shingle fell into borrow from a pseudo-random one, alike for all sets.
 3. ``BANDS`` bands of ``ROWS`` registers make the buckets of the candidate search. At the threshold a pair shares
    none of them with probability (1 - 0.85**6)**32 = 3e-7, less above it.
-4. In each bucket every class is paired with one centre (another one in every band). A pair goes on if the sizes allow
+4. In each bucket every class is paired with one centre (by ``CENTRES`` orders, so that bands vary). A pair goes on if the sizes allow
    the similarity and the share of equal registers, corrected for chance collisions, is above ``FLOOR`` (4.5 standard
    deviations below the threshold). Then the full sets are compared.
-5. Centres leave open the pairs of a bucket that the links of step 4 don't connect yet. Those are compared as well:
-   register by register in blocks of a bucket, and on full sets where the estimate allows a link. So a hot bucket never
-   expands into all its pairs, and no pair is skipped that could join two groups.
+5. Centres leave open the pairs of a bucket that the links of step 4 don't connect yet. Those are compared inside
+   blocks of a bucket, first by registers, then on full sets where the estimate allows a link and no link found in the
+   block joins the two already. Only links leave a block, so a hot bucket never expands into its pairs, and no pair is
+   skipped that could join two groups.
 
 Defined results: null and empty texts are linked with nothing and stay; repeated rows are copies; component_id is the
 smallest non-null id of the group (null if there is none); extra columns are kept by ``drop_near_copies``; an empty table gives
-an empty result. Memory per task: one text, or one block of ``BLOCK`` classes' registers.
+an empty result. Memory per task: one text, or two blocks of about ``BLOCK`` classes.
 """
 
 from __future__ import annotations
@@ -37,12 +38,14 @@ from cartwheel.llm.windows import mix, prefix_hash, range_hash, word_hashes
 SHINGLE, THRESHOLD = 3, 85
 REGISTERS, MANTISSA = 256, 10
 BANDS, ROWS = 32, 6
+#: Orders by which the bands choose their centres.
+CENTRES = 2
 FLOOR = 0.85 - 4.5 * (0.85 * 0.15 / REGISTERS) ** 0.5
 #: Chance that two unlike registers collide.
 COLLISION = 0.169919487159739 / 2**MANTISSA
 #: A set of fewer shingles than this can only be linked with an equal one.
 FEWEST = -(-THRESHOLD // (100 - THRESHOLD))
-BLOCK = 1500
+BLOCK = 500
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -121,16 +124,19 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two full sets (sorted distinct hashes) reach the threshold."""
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= THRESHOLD * (len(x) + len(y) - common)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, ta, tb) whose full sets are similar enough."""
     for batch in steps(batches, "ta", 1 << 19):
         one, two = (shingle_sets(*flat(batch.column(c))) for c in ("ta", "tb"))
-        keep = []
-        for x, y in zip(one, two, strict=True):
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * common >= THRESHOLD * (len(x) + len(y) - common))
+        keep = [similar(x, y) for x, y in zip(one, two, strict=True)]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -141,25 +147,36 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(group).combine_chunks().to_batches()[0]
         cid, comp, n, side = (np.asarray(t.column(c)) for c in ("cid", "comp", "n", "side"))
         regs = flat(t.column("regs"))[0].view("<u2").reshape(-1, REGISTERS)
+        raw, offsets = flat(t.column("text"))
         band = t.column("band")[0].as_py()
         cross = t.column("x")[0].as_py() != t.column("y")[0].as_py()
-        a_out, b_out = [], []
+        comp = comp.copy()
+        sets: dict[int, np.ndarray] = {}
+
+        def full_set(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = shingle_sets(raw[offsets[k] : offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))[0]
+            return sets[k]
+
+        links = []
         for i in range(len(cid)):
-            ok = (comp != comp[i]) & (cid > cid[i] if not cross else side != side[i])
             if cross and side[i]:
                 continue
-            ok &= (100 * np.minimum(n, n[i]) >= THRESHOLD * np.maximum(n, n[i]))
+            ok = (comp != comp[i]) & (cid > cid[i] if not cross else side != side[i])
+            ok &= 100 * np.minimum(n, n[i]) >= THRESHOLD * np.maximum(n, n[i])
             js = np.flatnonzero(ok)
             if not len(js):
                 continue
             same = regs[js] == regs[i]
-            js = js[good] if (good := estimate(same.sum(1)) >= FLOOR).any() else js[:0]
-            same = same[good]
+            good = estimate(same.sum(1)) >= FLOOR
+            js, same = js[good], same[good]
             if band and len(js):                              # a pair is for the first band that it shares
-                first = same[:, : band * ROWS].reshape(len(js), band, ROWS).all(2).any(1)
-                js = js[~first]
-            a_out += [min(int(cid[i]), int(cid[j])) for j in js]
-            b_out += [max(int(cid[i]), int(cid[j])) for j in js]
+                js = js[~same[:, : band * ROWS].reshape(len(js), band, ROWS).all(2).any(1)]
+            for j in js.tolist():
+                if comp[j] != comp[i] and similar(full_set(i), full_set(j)):
+                    links.append((min(int(cid[i]), int(cid[j])), max(int(cid[i]), int(cid[j]))))
+                    comp[comp == comp[j]] = comp[i]           # what is joined needs no other link
+        a_out, b_out = zip(*links, strict=True) if links else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
     held: list[pa.RecordBatch] = []
@@ -188,12 +205,17 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("cid", "n", F.posexplode(F.array(*(band(i) for i in range(BANDS)))).alias("band", "bucket"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough; one document's text stands for a class."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+def _texts(cids: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cid, text): one document's text stands for a class."""
     text = text_or_empty(text_col)
     named = docs.select(*row_key(id_col, text), text.alias("text"))
-    texts = stored(named.join(classes.select("cid", "k1", "k2").join(ends, "cid"), ["k1", "k2"]).select("cid", "text").dropDuplicates(["cid"]), "near-texts")
+    return stored(named.join(classes.select("cid", "k1", "k2").join(cids, "cid"), ["k1", "k2"]).select("cid", "text").dropDuplicates(["cid"]), "near-texts")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough."""
+    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+    texts = _texts(ends, classes, docs, id_col, text_col)
     both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
     return stored(both.select("a", "b", "ta", "tb").mapInArrow(_compare, "a long, b long"), "near-links")
 
@@ -209,7 +231,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     classes = stored(sketches.join(sets.where(F.col("n") >= FEWEST).select("cid"), F.col("row") == F.col("cid")).select("cid", "n", "k1", "k2", "regs"), "near-classes")
 
     members = _bands(classes)
-    order = F.xxhash64("cid", "band")
+    order = F.xxhash64("cid", F.col("band") % CENTRES)         # a class of a large group meets few centres, not one per band
     centres = stored(members.groupBy("band", "bucket").agg(F.count("*").alias("size"), F.min_by("cid", order).alias("centre")).where("size > 1"), "near-buckets")
     in_buckets = stored(members.join(centres, ["band", "bucket"]).select("band", "bucket", "size", "centre", "cid", "n"), "near-members")
     pairs = in_buckets.where("cid <> centre").select(F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")).distinct()
@@ -224,17 +246,19 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     split = labelled.groupBy("band", "bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "bucket")
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    found = stored(labelled.join(split, ["band", "bucket"]), "near-open")
+    texts = _texts(found.select("cid").distinct(), classes, docs, id_col, text_col)
     open_rows = (
-        labelled.join(split, ["band", "bucket"]).withColumn("blocks", blocks).withColumn("own", mine)
+        found.withColumn("blocks", blocks).withColumn("own", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select("band", "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("long").alias("side"), "cid", "comp", "n")
-        .join(classes.select("cid", "regs"), "cid")
+        .join(classes.select("cid", "regs"), "cid").join(texts, "cid")
     )
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = open_rows.repartition(tasks, "band", "bucket", "x", "y").sortWithinPartitions("band", "bucket", "x", "y")
-    rest = stored(dealt.mapInArrow(_block_pairs, "a long, b long").distinct().join(star, ["a", "b"], "left_anti"), "near-rest")
+    rest = stored(dealt.mapInArrow(_block_pairs, "a long, b long").distinct(), "near-rest")
     if not rest.isEmpty():
-        comps = components(links.unionByName(_verified(rest, classes, docs, id_col, text_col)))
+        comps = components(links.unionByName(rest))
 
     of_set = sets.join(comps, F.col("cid") == F.col("v"), "left").select("n", "s1", "s2", "label", F.coalesce("comp", "cid").alias("comp"))
     of_set = stored(of_set, "near-set-comps")
