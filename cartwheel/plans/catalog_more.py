@@ -432,19 +432,18 @@ def q_training_set(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Streaming: file ingest, fan-out, stream-stream join, spine
 # --------------------------------------------------------------------------
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 EVENTS_JSON_WITH_ID = schemas.EVENTS_JSON_DDL + ", event_id BIGINT"
 SENTINEL = "__flush__"
 
 
 def _land_events(spark: SparkSession, events: DataFrame, path: str) -> None:
-    (events.withColumn("event_timestamp", ts.format_wallclock("event_timestamp", ISO_MICROS))
+    (events.withColumn("event_timestamp", ts.format_wallclock("event_timestamp"))
            .write.mode("append").json(path))
 
 
 def _land_labels(spark: SparkSession, labels: DataFrame, path: str) -> None:
     (labels.withColumn("label_available_date",
-                       ts.format_wallclock("label_available_date", ISO_MICROS))
+                       ts.format_wallclock("label_available_date"))
            .write.mode("append").json(path))
 
 
