@@ -128,7 +128,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     narrow = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
     sample = lowest(narrow, F.xxhash64("_id", "label"), rows).withColumnRenamed("_at", "at")
-    known = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), "_id")   # at most ``rows`` narrow rows
+    ids = [r[0] for r in sample.select("_id").distinct().collect()]                    # at most ``rows`` ids
+    texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text")).where(F.col("_id").isin(ids))
+    known = texts.join(sample, "_id")
     found = known.select("text", "label", "at").repartition(1).mapInArrow(_fit, "model binary").collect()
     return np.frombuffer(found[0].model, dtype="<f8") if found else np.zeros(1 << BITS)
 
