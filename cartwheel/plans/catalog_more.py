@@ -4,6 +4,8 @@ the streaming flows. Oracle SQL is the naive DuckDB formulation."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -331,6 +333,19 @@ def q_change_feed(spark, sf_dir):
     return present(changes.change_feed(pl.user_profile(before), pl.user_profile(s), KEYS))
 
 
+@register("change_feed_stored", _change_feed_sql())
+def q_change_feed_stored(spark, sf_dir):
+    """The feed between two stored refreshes of the profile table."""
+    root = scratch_path(spark, "gold-versions")
+    later = pl.silver_from_tables(spark, sf_dir)
+    early = replace(later, customers=later.customers.filter(F.col("user_updated_at") < _utc(CUTOFF)))
+    stored = []
+    for refresh, s in enumerate((early, later)):
+        files.write_table(pl.user_profile(s), f"{root}/version={refresh:012d}")
+        stored.append(spark.read.parquet(flows.latest_version(spark, root)))
+    return present(changes.change_feed(*stored, KEYS))
+
+
 def _features_sql_ctes() -> str:
     return f"{oracle.base_ctes()},{oracle.features_raw()}"
 
@@ -401,32 +416,35 @@ def q_asof(spark, sf_dir):
     return present(out)
 
 
+PROFILE_VALUES = [*prof.PROFILE_ATTRIBUTES[1:], "age_group", "loyalty_segment"]
+
+
 @register("training_set_pit", f"""WITH {_features_sql_ctes()},{history_ctes()},
+r AS ({oracle.ROUNDED_FEATURES}),
 sp AS (
-  SELECT l.session_id, l.user_id, l.event_timestamp, l.will_abandon, p.age_group, p.loyalty_segment
+  SELECT {", ".join(f"l.{c}" for c in schemas.SPINE_COLUMNS)}, {", ".join(f"p.{c}" for c in PROFILE_VALUES)}
   FROM labelled l LEFT JOIN profile p
     ON p.user_id = l.user_id AND l.event_timestamp >= p.__START_AT
    AND (p.__END_AT IS NULL OR l.event_timestamp < p.__END_AT))
-SELECT sp.*, f.count_sessions_24h, ROUND(f.sum_cart_value_24h, 9) AS sum_cart_value_24h,
-       f.num_abandoned_confirmed_30d
-FROM sp ASOF LEFT JOIN features f
-  ON sp.user_id = f.user_id AND sp.event_timestamp >= f.event_timestamp""")
+SELECT sp.*, r.* EXCLUDE (user_id, event_timestamp)
+FROM sp ASOF LEFT JOIN r
+  ON sp.user_id = r.user_id AND sp.event_timestamp >= r.event_timestamp""")
 def q_training_set(spark, sf_dir):
+    """Spine payload and label, every profile attribute, every behaviour feature."""
     s = pl.silver_from_tables(spark, sf_dir)
     labelled = pl.labelled_events(s)
     # one counting pass bounds both the feature plan and the as-of lookup:
     # per user, spine rows and feature rows are each the user's labelled rows
     busiest = pl.features.largest_user(labelled)
-    spine_df = labelled.select("session_id", "user_id", "event_timestamp", "will_abandon")
+    spine_df = labelled.select(*schemas.SPINE_COLUMNS)
     with_profile = joins.version_lookup(spine_df, pl.user_profile(s), "user_id", "event_timestamp",
-                                        ["age_group", "loyalty_segment"])
+                                        PROFILE_VALUES)
     # the bound lets the lookup skip its counting pass, so the (lazy) feature
     # table is computed exactly once
     feats = pl.features.behavior_features(labelled, category_events=s.events, user_rows=busiest)
     out = joins.asof_lookup(with_profile, feats, "user_id", "event_timestamp", "event_timestamp",
-                            ["count_sessions_24h", "sum_cart_value_24h",
-                             "num_abandoned_confirmed_30d"], max_rows_hint=2 * busiest)
-    return present(out, ("sum_cart_value_24h",))
+                            list(pl.features.FEATURE_COLUMNS[2:]), max_rows_hint=2 * busiest)
+    return present(out, FEATURE_DOUBLES)
 
 
 # --------------------------------------------------------------------------

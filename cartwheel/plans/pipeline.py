@@ -64,65 +64,73 @@ def abandonment_spine(s: Silver) -> DataFrame:
     return spine.abandonment_spine(labelled_events(s))
 
 
+BRONZE_TABLES = ("bronze_customers", "bronze_cart_events", "bronze_labels")
 SILVER_TABLES = ("silver_quarantine_customers", "silver_quarantine_cart_events",
-                 "silver_quarantine_labels", "silver_clean_cart_events", "silver_clean_labels",
-                 "silver_users_history", "silver_abandonment_events")
+                 "silver_quarantine_labels", "silver_clean_customers", "silver_clean_cart_events",
+                 "silver_clean_labels", "silver_users_history", "silver_abandonment_events")
 GOLD_TABLES = ("gold_user_behavior_features", "gold_user_profile", "gold_abandonment_spine")
 
 
 def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
               customers_schema=None, events_schema=None, labels_schema=None,
               tie_breaker: str | None = None) -> dict[str, str]:
-    """Full refresh of every silver and gold table from the landing zone.
-
-    Each layer is written once and the next layer reads the stored tables
-    (lineage is cut at every layer of the bronze/silver/gold layout), so a failed
-    gold job restarts from silver, not from the raw files. Each input is
-    routed in a single pass (:func:`quality.write_routed`) with its
-    expectation metrics observed during that pass.
-    Returns ``{table: path}`` plus ``_expectations`` (metrics per tag).
+    """Full refresh of every bronze, silver and gold table from the landing zone.
+
+    Each layer is written once and the next layer reads the stored tables, so a
+    failed gold job restarts from silver, not from the raw files. Bronze keeps
+    the landed rows with their lineage columns, which stay through routing and
+    the label join. Each input is routed in a single pass
+    (:func:`quality.write_routed`) with its expectation metrics observed during
+    that pass; its clean and quarantine tables are the two partitions of that
+    write. The feature and profile tables are conformed to their declared
+    schemas, and a NULL in a NOT NULL column fails the write.
+
+    Every refresh goes to its own ``version=`` folders, so a failed one leaves
+    the tables of the one before as they were, and two refreshes can be compared
+    (:func:`changes.change_feed`). Returns ``{table: path}`` plus
+    ``_expectations`` (metrics per tag).
     """
     from .. import schemas
+    from ..operators import changes
     from ..sources import files
-    from ..streaming.flows import typed_events, typed_labels
-
-    drop = list(schemas.LINEAGE_COLUMNS)
-    customers = files.read_customers_csv(spark, layout.customers, customers_schema)
-    events = typed_events(files.read_json(spark, layout.events,
-                                          events_schema or schemas.events_json()))
-    labels = typed_labels(files.read_json(spark, layout.labels,
-                                          labels_schema or schemas.labels_json()))
-    paths = {t: layout.table(t) for t in SILVER_TABLES + GOLD_TABLES}
-    paths.update({f"silver_routed_{t}": layout.table(f"silver_routed_{t}") for t in quality.TAGS})
-    # one pass per input: routed write (both branches) with metrics observed
-    routed = {}
-    for tag, df in (("customers", quality.impute_sequence(customers)),
-                    ("transactions", events), ("labels", labels)):
-        obs = Observation(f"expectations_{tag}")
-        routed[tag] = quality.write_routed(df.drop(*drop), tag, paths[f"silver_routed_{tag}"],
-                                           on_null, obs) + (obs,)
-    s = Silver(routed["transactions"][0], routed["labels"][0], routed["customers"][0],
-               routed["transactions"][1], routed["labels"][1], routed["customers"][1])
-    written = {
-        "silver_quarantine_customers": s.customers_quarantine,
-        "silver_quarantine_cart_events": s.events_quarantine,
-        "silver_quarantine_labels": s.labels_quarantine,
-        "silver_clean_cart_events": s.events,
-        "silver_clean_labels": s.labels,
-        "silver_users_history": users_history(s, tie_breaker),
-    }
-    for name, df in written.items():
+    from ..streaming.flows import latest_version, typed_events, typed_labels, version_number
+
+    tables = BRONZE_TABLES + SILVER_TABLES + GOLD_TABLES
+    stored = [latest_version(spark, layout.table(t)) for t in tables]
+    refresh = 1 + max((version_number(p) for p in stored if p), default=-1)
+    paths = {t: f"{layout.table(t)}/version={refresh:012d}" for t in tables}
+
+    def store(df: DataFrame, name: str) -> DataFrame:
         files.write_table(df, paths[name])
-    metrics = {tag: r[2].get for tag, r in routed.items()}
-    ev = spark.read.parquet(paths["silver_clean_cart_events"])
-    lb = spark.read.parquet(paths["silver_clean_labels"])
-    files.write_table(joins.label_interval_join(ev, lb), paths["silver_abandonment_events"])
-
-    labelled = spark.read.parquet(paths["silver_abandonment_events"])
-    history = spark.read.parquet(paths["silver_users_history"])
-    files.write_table(features.behavior_features(labelled, category_events=ev),
-                      paths["gold_user_behavior_features"])
-    files.write_table(profile.user_profile(history), paths["gold_user_profile"])
-    files.write_table(spine.abandonment_spine(labelled), paths["gold_abandonment_spine"])
-    paths["_expectations"] = metrics
+        return spark.read.parquet(paths[name])
+
+    customers = store(files.read_customers_csv(spark, layout.customers, customers_schema), "bronze_customers")
+    events = store(files.read_json(spark, layout.events, events_schema or schemas.events_json()), "bronze_cart_events")
+    labels = store(files.read_json(spark, layout.labels, labels_schema or schemas.labels_json()), "bronze_labels")
+    observed = {}
+
+    def route(df: DataFrame, tag: str, name: str) -> tuple[DataFrame, DataFrame]:
+        root = f"{layout.table(f'silver_routed_{tag}')}/version={refresh:012d}"
+        observed[tag] = Observation(f"expectations_{tag}")
+        branches = quality.write_routed(df, tag, root, on_null, observed[tag])
+        for kind, flag, branch in zip(("clean", "quarantine"), ("false", "true"), branches, strict=True):
+            path = f"{root}/{quality.FLAG}={flag}"
+            branch.limit(0).write.mode("append").parquet(path)    # a branch without rows is an empty table
+            paths[f"silver_{kind}_{name}"] = path
+        return branches
+
+    cu = route(quality.impute_sequence(customers), "customers", "customers")
+    ev = route(typed_events(events), "transactions", "cart_events")
+    lb = route(typed_labels(labels), "labels", "labels")
+    s = Silver(ev[0], lb[0], cu[0], ev[1], lb[1], cu[1])
+    history = store(users_history(s, tie_breaker), "silver_users_history")
+    labelled = store(labelled_events(s), "silver_abandonment_events")
+
+    gold = {"gold_user_behavior_features": (features.behavior_features(labelled, category_events=s.events), schemas.BEHAVIOR_FEATURES_DDL),
+            "gold_user_profile": (profile.user_profile(history), schemas.USER_PROFILE_DDL)}
+    for name, (df, ddl) in gold.items():
+        declared = schemas.struct(ddl)
+        store(changes.enforce_not_null(changes.conform(df, declared), changes.required_columns(declared)), name)
+    store(spine.abandonment_spine(labelled), "gold_abandonment_spine")
+    paths["_expectations"] = {tag: o.get for tag, o in observed.items()}
     return paths

@@ -165,48 +165,48 @@ def scd2_incremental(changes: DataFrame, history_root: str, checkpoint: str, key
     """Maintain SCD2 history from a change stream, one version folder per batch.
 
     Each micro-batch reads the newest committed version, rebuilds only the
-    touched keys (:func:`scd2.scd2_merge`) and writes
-    ``{history_root}/version={batch_id}``; a replayed batch rewrites its own
-    folder. A plan never reads and overwrites the same path.
+    touched keys (:func:`scd2.scd2_merge`) and writes the next one,
+    ``{history_root}/version={number}.{query id}-{batch id}``. The name says who
+    wrote it: a replayed batch rewrites its own folder, and a query with a new
+    checkpoint goes on from the history that it finds. A plan never reads and
+    overwrites the same path.
     """
     from ..operators import scd2
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = latest_version(spark, history_root, before=batch_id)
+        writer = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        current = latest_version(spark, history_root, other_than=writer)
         batch = batch.drop(*[c for c in except_columns if c in batch.columns])
         if current is None:
             new = scd2.scd2_history(batch, keys, sequence_by, tie_breaker=tie_breaker)
         else:
             new = scd2.scd2_merge(spark.read.parquet(current), batch, keys, sequence_by,
                                   tie_breaker=tie_breaker)
-        new.write.mode("overwrite").parquet(f"{history_root}/version={batch_id:012d}")
+        number = version_number(current) + 1 if current else 0
+        new.write.mode("overwrite").parquet(f"{history_root}/version={number:012d}.{writer}")
 
     return run_for_each_batch(changes, apply, checkpoint)
 
 
-def latest_version(spark: SparkSession, root: str, before: int | None = None) -> str | None:
+def version_number(path: str) -> int:
+    return int(path.rsplit("/version=", 1)[1].split(".", 1)[0])
+
+
+def latest_version(spark: SparkSession, root: str, other_than: str | None = None) -> str | None:
     """Newest committed ``version=`` folder under ``root`` (committed = has
-    ``_SUCCESS``), optionally older than ``before``. Lists one directory."""
+    ``_SUCCESS``), leaving out the one of a given writer. Lists one directory."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(conf)
     if not fs.exists(path):
         return None
-    best = None
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if not name.startswith("version="):
-            continue
-        v = int(name.split("=", 1)[1])
-        if before is not None and v >= before:
-            continue
-        if not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            continue
-        if best is None or v > best[0]:
-            best = (v, st.getPath().toString())
-    return best[1] if best else None
+    found = [st.getPath() for st in fs.listStatus(path)]
+    committed = [p.toString() for p in found if p.getName().startswith("version=")
+                 and not (other_than and p.getName().endswith(f".{other_than}"))
+                 and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max(committed, key=version_number, default=None)
 
 
 # -- gold -------------------------------------------------------------------
