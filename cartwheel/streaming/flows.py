@@ -26,6 +26,8 @@ from ..sources import files
 
 EVENTS_DELAY = "30 days"
 LABELS_DELAY = "24 hours"
+#: Landed files per micro-batch: a triggered run works off a backlog in batches of this size, all of it.
+FILES_PER_TRIGGER = 1000
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -69,14 +71,16 @@ def run_for_each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None],
 
 # -- bronze -----------------------------------------------------------------
 
-def bronze_events(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def bronze_events(spark: SparkSession, path: str, schema: StructType | None = None,
+                  max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     from .. import schemas
-    return files.stream_json(spark, path, schema or schemas.events_json())
+    return files.stream_json(spark, path, schema or schemas.events_json(), max_files_per_trigger)
 
 
-def bronze_labels(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def bronze_labels(spark: SparkSession, path: str, schema: StructType | None = None,
+                  max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     from .. import schemas
-    return files.stream_json(spark, path, schema or schemas.labels_json())
+    return files.stream_json(spark, path, schema or schemas.labels_json(), max_files_per_trigger)
 
 
 # -- silver -----------------------------------------------------------------
@@ -131,7 +135,8 @@ def clean_labels_stream(bronze: DataFrame, on_null: str = "quarantine",
 
 
 def observed_metrics(query: StreamingQuery, name: str) -> list[dict]:
-    """The named observation of every micro-batch the query reported."""
+    """The named observation of the micro-batches that the query still reports: the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` of them (100 unless set)."""
     out = []
     for p in query.recentProgress:
         metrics = p.observedMetrics if hasattr(p, "observedMetrics") else p.get("observedMetrics")
