@@ -6,8 +6,8 @@
 3. The rest are anchors with different phrases, the borders of repeated stretches. Their distinct phrases, with
    their text, are dealt out by anchor, and ``resolve`` compares the phrases of whole anchors window by window.
 4. Anchors with more than ``block_phrases`` distinct phrases (a very common line in ever new surroundings) would
-   make one task too large. Their windows are counted by a 128-bit hash instead, which spreads them over all
-   tasks and gives the same result.
+   make one task too large. They are cut into runs of windows, which are compared by 128-bit hashes and narrowed down
+   (``narrowed``). That spreads them over all tasks and gives the same result.
 
 Equal windows have equal anchors, so no repeat is lost in any step, and there is no cap on copies.
 """
@@ -15,10 +15,11 @@ Equal windows have equal anchors, so no repeat is lost in any step, and there is
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import flat, row_key, steps, stored, text_or_empty, words_flat
@@ -27,6 +28,8 @@ from cartwheel.llm.windows import BASE_2, byte_codes, phrases, prefix_hash, rang
 INDEX = "k1 long, k2 long, anchor long, phrase long, place long"
 #: place = start * PLACE + windows * 2 + again; windows are at most 4096.
 PLACE = 1 << 14
+#: Windows in a run of ``narrowed``, from the first cut to the last.
+WIDTHS = (64, 16, 4, 1)
 _BYTES = byte_codes(0x77)
 
 
@@ -130,28 +133,71 @@ def resolved(unit: str, length: int, resolve: Callable, block_bytes: int = 1 <<
     return run
 
 
-def window_rows(unit: str, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One row for each window of a phrase: its 128-bit hash and place."""
+def cut_runs(unit: str, length: int, seed: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One row for each run of neighbouring windows whose (left-most) anchor stands in the same ``width`` places.
+
+    Equal windows hold the anchor at the same place, so they fall into runs of the same places. (h1, h2) is the hash of
+    the symbols that all windows of such places share, whether the run has all of them or not; (u1, u2) that of the run.
+    """
+    names = ["h1", "h2", "u1", "u2", "k1", "k2", "anchor", "place", "copies", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "body", 1 << 18):
             raw, offsets = flat(batch.column("body"))
-            syms, bounds, _, _ = symbols(raw, offsets, unit)
-            place = np.asarray(batch.column("place"))
+            syms, bounds, first_byte, last_byte = symbols(raw, offsets, unit)
+            k1, k2, anchor, place, copies = (np.asarray(batch.column(c)) for c in ("k1", "k2", "anchor", "place", "copies"))
+            one, two = prefix_hash(syms), prefix_hash(syms, BASE_2)
+            seeds = range_hash(one, slice(0, len(syms) - seed + 1), slice(seed, len(syms) + 1)).view(np.int64)
+            of = np.repeat(np.arange(len(place)), np.diff(bounds))[: len(seeds)]
+            at = np.where(seeds == anchor[of], np.arange(len(seeds)), len(seeds))
+            anchored = np.minimum.accumulate(at[::-1])[::-1]              # the next anchor from each symbol on
             count = place % PLACE // 2
             row = np.repeat(np.arange(len(count)), count)
             step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            at = bounds[:-1][row] + step
-            h1 = range_hash(prefix_hash(syms), at, at + length)
-            h2 = range_hash(prefix_hash(syms, BASE_2), at, at + length, BASE_2)
-            k1, k2, copies = (np.asarray(batch.column(c))[row] for c in ("k1", "k2", "copies"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (h1.view(np.int64), h2.view(np.int64), k1, k2, place[row] // PLACE + step, copies)], ["h1", "h2", "k1", "k2", "start", "copies"]
-            )
+            window = bounds[:-1][row] + step
+            group = (anchored[window] - window) // width
+            new = np.ones(len(row), dtype=bool)
+            new[1:] = (row[1:] != row[:-1]) | (group[1:] != group[:-1]) | (anchored[window[1:]] != anchored[window[:-1]])
+            head = np.flatnonzero(new)
+            size = np.diff(head, append=len(row))
+            begin, end = window[head], window[head] + size - 1 + length
+            core = anchored[begin] - group[head] * width
+            core_end = core - width + 1 + length
+            hashes = [range_hash(one, core, core_end), range_hash(two, core, core_end, BASE_2), range_hash(one, begin, end), range_hash(two, begin, end, BASE_2)]
+            row = row[head]
+            data = raw.tobytes()
+            body = [data[a:b] if width > 1 else b"" for a, b in zip(first_byte[begin].tolist(), last_byte[end - 1].tolist(), strict=True)]
+            cols = [*(h.view(np.int64) for h in hashes), k1[row], k2[row], anchor[row], (place[row] // PLACE + step[head]) * PLACE + size * 2, copies[row]]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(body, pa.binary())], names)
 
     return run
 
 
+def narrowed(phrases_: DataFrame, unit: str, length: int, seed: int) -> DataFrame:
+    """(k1, k2, start, end) of the repeated windows of phrases with very common anchors, without a row per window.
+
+    Phrases are cut into runs of up to 64 windows, then 16, 4 and 1. A run that stands elsewhere as a whole is repeated;
+    one whose shared symbols stand nowhere else holds no repeated window; only what neither settles is cut further.
+    """
+    core, whole = ["h1", "h2"], ["h1", "h2", "u1", "u2"]
+    carried = ["k1", "k2", "anchor", "place", "body"]
+    kinds = "h1 long, h2 long, u1 long, u2 long, k1 long, k2 long, anchor long, place long, copies long, body binary"
+    open_, found = phrases_, []
+    for width in [w for w in WIDTHS if w <= length - seed]:
+        runs = stored(open_.mapInArrow(cut_runs(unit, length, seed, width), kinds), f"{unit}-runs")
+        same = runs.groupBy(*whole).agg(F.count("*").alias("n"), F.first("copies").alias("copies"), *(F.first(c).alias(c) for c in carried))
+        same = stored(same.withColumn("copies", F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("copies"))), f"{unit}-run-kinds")
+        found.append(runs.where("copies = 1").join(same.where("n > 1").select(whole), whole).select("k1", "k2", *_span(length)))
+        if width > 1:
+            unsettled = same.groupBy(*core).agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest")).where("kinds > 1 and fewest = 1").select(core)
+            open_ = same.join(stored(unsettled, f"{unit}-cores"), core).select(*carried, "copies")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _span(length: int) -> list[Column]:
+    return [F.expr(f"place div {PLACE}").alias("start"), F.expr(f"place div {PLACE} + place % {PLACE} div 2 + {length - 1}").alias("end")]
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = text_or_empty(text_col)
     return docs.select(*row_key(id_col, text), F.col(id_col), text.alias("text"))
@@ -170,12 +216,12 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, unit: str, length:
         f"{unit}-anchors",
     )
     hits = stored(index.join(shared, "anchor"), f"{unit}-hits")
-    start, end = F.expr(f"place div {PLACE}"), F.expr(f"place div {PLACE} + place % {PLACE} div 2 + {length - 1}")
-    whole = hits.where("not mixed").select("k1", "k2", start.alias("start"), end.alias("end"))
+    span = _span(length)
+    whole = hits.where("not mixed").select("k1", "k2", *span)
     mixed = hits.where("mixed")
     one = [F.first(c).alias(c) for c in ("k1", "k2", "place")]
     distinct = stored(mixed.groupBy("anchor", "phrase").agg(F.count("*").alias("copies"), *one), f"{unit}-phrases")
-    copied = mixed.join(distinct.where("copies > 1").select("anchor", "phrase"), ["anchor", "phrase"]).select("k1", "k2", start.alias("start"), end.alias("end"))
+    copied = mixed.join(distinct.where("copies > 1").select("anchor", "phrase"), ["anchor", "phrase"]).select("k1", "k2", *span)
     groups = stored(distinct.groupBy("anchor").agg(F.count("*").alias("phrases"), F.min("copies").alias("fewest")).where("fewest = 1"), f"{unit}-groups")
     wanted = (
         distinct.join(groups, "anchor")
@@ -190,9 +236,7 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, unit: str, length:
     found = "k1 long, k2 long, start long, end long"
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))   # much work on few bytes: not to be coalesced
     small = bodies.where("not large").repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(resolved(unit, length, resolve), found)
-    large = bodies.where("large").mapInArrow(window_rows(unit, length), "h1 long, h2 long, k1 long, k2 long, start long, copies long")
-    again = large.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    counted = large.where("copies = 1").join(again, ["h1", "h2"]).select("k1", "k2", "start", (F.col("start") + length).alias("end"))
+    counted = narrowed(bodies.where("large"), unit, length, seed)
     spans = (
         whole.unionByName(copied).unionByName(small).unionByName(counted)
         .groupBy("k1", "k2")
