@@ -241,11 +241,14 @@ def decode(model: np.ndarray, tokens: Tokens) -> list[tuple[int, int, int]]:
 
 
 def with_hex_runs(raw: np.ndarray, offsets: np.ndarray, least: int = 24) -> set[int]:
-    """The texts that hold ``least`` hexadecimal digits in a row (a run over a text's end may add one too many)."""
-    edge = np.flatnonzero(np.diff(_HEX[raw], prepend=np.int8(0), append=np.int8(0)))
-    first, end = edge[::2], edge[1::2]
-    long = end - first >= least
-    return set((np.searchsorted(offsets, first[long], side="right") - 1).tolist()) | set((np.searchsorted(offsets, end[long] - 1, side="right") - 1).tolist())
+    """The texts that hold ``least`` hexadecimal digits in a row. A text's end ends a run, as the texts lie side by side."""
+    kind, n = _HEX[raw], len(raw)
+    border = np.ones(n, dtype=bool)
+    np.not_equal(kind[1:], kind[:-1], out=border[1:])
+    border[offsets[offsets < n]] = True
+    edge = np.flatnonzero(border)
+    long = edge[(kind[edge] == 1) & (np.append(edge[1:], n) - edge >= least)]
+    return set((np.searchsorted(offsets, long, side="right") - 1).tolist())
 
 
 def base_findings(text: str, data: bytes, hex_runs: bool = True) -> list[tuple[int, int, int, int, int]]:

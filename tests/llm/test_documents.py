@@ -149,6 +149,20 @@ def test_secrets(spark):
     assert secrets.report(df.limit(0)).count() == 0
 
 
+def test_secrets_in_neighbouring_texts_of_hex_digits(spark):
+    whole = [f"{k}" * 40 for k in "abc01"]
+    texts = [*whole, "", "end of a line abc", "d41d8cd98f00b204e9800998ecf8427e", "and more", "", "12345678", "90abcdef0123", "456789ab", "é", "f" * 24, ""]
+    want = {k for k, t in enumerate(texts) if secrets.HEX.search(t)}
+    data = [t.encode() for t in texts]
+    assert secrets.with_hex_runs(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])) == want
+    assert secrets.with_hex_runs(np.zeros(0, np.uint8), np.zeros(3, np.int64)) == set()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in secrets.report(df).collect()}
+    for k, t in enumerate(texts):
+        base = ",".join(f"hex:{m.start()}:{m.end()}" for m in secrets.HEX.finditer(t))
+        assert got[k].n_hex == (k in want) and got[k].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+
+
 def test_viterbi_on_stretches_is_the_viterbi_of_the_text():
     rnd = np.random.default_rng(3)
     text = b"ab cd12 = 'x9y8z7' and more words 1234567890abcdef, end " * 20
