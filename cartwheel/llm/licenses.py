@@ -7,7 +7,10 @@ lowest hash, whatever the partitioning. A temperature, fitted on variants kept o
 probabilities, so that "unknown" wins unless a family is likely; and a prediction counts only if the paragraph holds
 enough of the words and word pairs of one of the family's templates.
 
-Scoring covers every paragraph of every whole text.
+Scoring covers every paragraph of every whole text, and besides every window of words within consecutive paragraphs (a line
+without words ends them) that holds enough of some template: a notice may be wrapped over lines or stand inside a long
+line. Of findings that share words the one with the larger share of a template stays, a line before a window; a line
+longer than the window of its template only stays if no window does. ``n_paragraphs`` counts lines.
 
 Defined results: null and empty texts have no paragraphs; repeated rows and null ids are judged one by one; extra columns
 are ignored; an empty table gives an empty result.
@@ -90,6 +93,8 @@ BITS = 14
 TRAIN_PARAGRAPHS, VARIANTS, EPOCHS = 3000, 60, 6
 #: Least calibrated probability, and share of a template's words and word pairs that the paragraph must hold.
 LEAST_PROBABILITY, LEAST_SHARE = 0.6, 0.5
+#: Families whose templates differ from another family's by a name only, and what their notices must hold.
+NAMED = {"gpl": re.compile(rb"general|gnu|gpl", re.I), "lgpl": re.compile(rb"lesser|library|lgpl", re.I), "agpl": re.compile(rb"affero|agpl", re.I)}
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -97,8 +102,14 @@ _FOLD[[b for b in range(128) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 1
 _FOLD[10] = 10
 
 
-def paragraphs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, first word of each paragraph (and the end), its text, first and end byte."""
+def window_words(n: int) -> int:
+    """Words of the windows that are compared with a template of ``n`` words."""
+    return n + n // 2 + 4
+
+
+def paragraphs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Word hashes, first word of each paragraph (and the end), its text, first and end byte; first and end byte of each
+    word, first word of each block of consecutive paragraphs (and the end)."""
     folded = _FOLD[raw]
     lines = np.unique(np.concatenate([offsets, np.flatnonzero(raw == 10) + 1, [len(raw)]]))
     starts, ends, _ = words_flat(folded, offsets)
@@ -106,7 +117,9 @@ def paragraphs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     bounds = np.searchsorted(starts, lines)
     some = np.diff(bounds) > 0
     first, last = lines[:-1][some], lines[1:][some]
-    return words, np.append(bounds[:-1][some], len(starts)), np.searchsorted(offsets, first, side="right") - 1, first, last
+    of, heads, line = np.searchsorted(offsets, first, side="right") - 1, bounds[:-1][some], np.flatnonzero(some)
+    new = (np.diff(line, prepend=-2) > 1) | (np.diff(of, prepend=-1) > 0)
+    return words, np.append(heads, len(starts)), of, first, last, starts, ends, np.append(heads[new], len(starts))
 
 
 def grams(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,16 +201,63 @@ def fit(ordinary: list[str]) -> tuple[np.ndarray, float]:
     return model, min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0), key=loss)
 
 
-def _template_grams() -> list[list[set[int]]]:
-    out = []
-    for family in FAMILIES:
+class Templates:
+    """Words and word pairs of the templates, and the windows of a text that hold enough of them."""
+
+    def __init__(self) -> None:
+        self.grams: list[list[set[int]]] = []
+        self.reach: list[list[int]] = []                      # words of a window
         sets = []
-        for t in TEMPLATES[family]:
-            words, bounds, *_ = paragraphs(*_flat_texts([t]))
-            one, two = grams(words, bounds)
-            sets.append({int(x) for x in np.concatenate([one, two[:-1]])})
-        out.append(sets)
-    return out
+        for family in FAMILIES:
+            own, reach = [], []
+            for t in TEMPLATES[family]:
+                words, bounds, *_ = paragraphs(*_flat_texts([t]))
+                one, two = grams(words, bounds)
+                sets.append((np.unique(one), np.unique(two[:-1]), window_words(len(words))))
+                own.append({int(x) for x in np.concatenate([one, two[:-1]])})
+                reach.append(window_words(len(words)))
+            self.grams.append(own)
+            self.reach.append(reach)
+        self.words = np.unique(np.concatenate([one for one, _, _ in sets]))
+        self.pairs = np.unique(np.concatenate([two for _, two, _ in sets]))
+        self.sets = [(np.isin(self.words, one), np.isin(self.pairs, two), {*one.tolist(), *two.tolist()}, len(one) + len(two), reach) for one, two, reach in sets]
+
+    def share(self, family: int, own: set[int]) -> tuple[float, int]:
+        """The largest share of a template of the family, and the words of that template's window."""
+        return max((len(own & t) / len(t), reach) for t, reach in zip(self.grams[family], self.reach[family], strict=True))
+
+    def windows(self, one: np.ndarray, two: np.ndarray, blocks: np.ndarray) -> list[tuple[int, int]]:
+        """[first, end) words of every window, from one word of a template on, that holds enough of the template; it ends
+        where it has all that it can hold. Words that occur again are first counted again, so that none is missed."""
+        if not len(one):
+            return []
+        slot = np.minimum(np.searchsorted(self.words, one), len(self.words) - 1)
+        at = np.flatnonzero(self.words[slot] == one)
+        slot = slot[at]
+        pair = np.minimum(np.searchsorted(self.pairs, two[at]), len(self.pairs) - 1)
+        paired = self.pairs[pair] == two[at]
+        border = blocks[np.searchsorted(blocks, at, side="right")] if len(at) else at
+        found = set()
+        for has, has_pair, own, size, reach in self.sets:
+            mine = np.flatnonzero(has[slot])
+            if not len(mine):
+                continue
+            here, stop = at[mine], np.minimum(at[mine] + reach, border[mine])
+            total = np.concatenate([[0], np.cumsum(1 + (has_pair[pair[mine]] & paired[mine]))])
+            if total[-1] < LEAST_SHARE * size:
+                continue
+            end = np.searchsorted(here, stop)
+            good = np.flatnonzero(total[end] - total[:-1] >= LEAST_SHARE * size)
+            for a, b in zip(here[good].tolist(), (here[end[good] - 1] + 1).tolist(), strict=True):
+                left, last = set(own), a
+                for k, (x, y) in enumerate(zip(one[a:b].tolist(), [*two[a : b - 1].tolist(), None], strict=True), a + 1):
+                    for gram, stop_at in ((x, k), (y, k + 1)):
+                        if gram in left:
+                            left.discard(gram)
+                            last = max(last, stop_at)
+                if size - len(left) >= LEAST_SHARE * size:
+                    found.add((a, last))
+        return sorted(found)
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,25 +274,64 @@ def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_PARAGRAPHS)
     return fit([r.line for r in rows])
 
 
+def _sure(model: np.ndarray, heat: float, words: np.ndarray, bounds: np.ndarray, held) -> np.ndarray:
+    """Probabilities of the paragraphs. A family whose name ``held(k)``, the bytes of paragraph k, lacks has none."""
+    raw = logits(model, words, bounds) / heat
+    if not len(raw):
+        return raw
+    names = {FAMILIES.index(family): name for family, name in NAMED.items()}
+    for k in np.flatnonzero(np.isin(raw.argmax(1), list(names))):
+        own = held(int(k))
+        raw[k, [f for f, name in names.items() if not name.search(own)]] = -np.inf
+    return _softmax(raw)
+
+
+def confirmed(model: np.ndarray, heat: float, templates: Templates, raw: np.ndarray, parts: tuple[np.ndarray, ...]) -> list[tuple[int, int, int, int, float, float]]:
+    """(text, family, first byte, end byte, probability, share) of the notices in what ``paragraphs`` gave."""
+    words, bounds, of, first, last, starts, ends, blocks = parts
+    one, two = grams(words, np.append(blocks[:-1], len(words)) if len(words) else bounds)
+    spans = [(int(a), int(b)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    lines = len(spans)
+    spans += templates.windows(one, two, blocks)
+    sure = [_sure(model, heat, words, bounds, lambda k: raw[first[k] : last[k]].tobytes())]
+    if len(spans) > lines:
+        some = spans[lines:]
+        own = np.concatenate([words[a:b] for a, b in some])
+        sure.append(_sure(model, heat, own, np.cumsum([0, *(b - a for a, b in some)]), lambda k: raw[starts[some[k][0]] : ends[some[k][1] - 1]].tobytes()))
+    sure = np.concatenate(sure)
+    best = sure.argmax(1) if len(sure) else np.zeros(0, dtype=np.int64)
+    ranked = []
+    for k in np.flatnonzero((best != UNKNOWN) & (sure.max(1, initial=0) >= LEAST_PROBABILITY)) if len(sure) else ():
+        a, b = spans[k]
+        share, reach = templates.share(best[k], {int(x) for x in np.concatenate([one[a:b], two[a : b - 1]])})
+        if share >= LEAST_SHARE:
+            line = k < lines
+            ranked.append((line and b - a > reach, -share, not line, b - a, -float(sure[k, best[k]]), a, int(k)))
+    taken = np.zeros(len(words), dtype=bool)
+    out = []
+    for _, share, _, size, probability, a, k in sorted(ranked):
+        if taken[a : a + size].any():
+            continue
+        taken[a : a + size] = True
+        text = of[np.searchsorted(bounds, a, side="right") - 1]
+        start, end = (first[k], last[k]) if k < lines else (starts[a], ends[a + size - 1])
+        out.append((int(text), int(best[k]), int(start), int(end), -probability, -share))
+    return sorted(out, key=lambda x: x[2])
+
+
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, heat = shared.value
-        templates = _template_grams()
+        templates = Templates()
         for batch in steps(batches, "_text"):
             raw, offsets = flat(batch.column("_text"))
-            words, bounds, of, first, last = paragraphs(raw, offsets)
-            sure = _softmax(logits(model, words, bounds) / heat)
-            best = sure.argmax(1) if len(sure) else np.zeros(0, dtype=np.int64)
+            parts = paragraphs(raw, offsets)
+            of = parts[2]
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            one, two = grams(words, bounds)
-            for k in np.flatnonzero((best != UNKNOWN) & (sure.max(1, initial=0) >= LEAST_PROBABILITY)) if len(sure) else ():
-                own = {int(x) for x in np.concatenate([one[bounds[k] : bounds[k + 1]], two[bounds[k] : bounds[k + 1] - 1]])}
-                share = max(len(own & t) / len(t) for t in templates[best[k]])
-                if share >= LEAST_SHARE:
-                    a = int(offsets[of[k]])
-                    start = len(raw[a : first[k]].tobytes().decode())
-                    end = start + len(raw[first[k] : last[k]].tobytes().decode().rstrip("\n"))
-                    found[of[k]].append({"family": FAMILIES[best[k]], "start": start, "end": end, "probability": float(sure[k, best[k]]), "share": share})
+            for text, family, first, last, probability, share in confirmed(model, heat, templates, raw, parts):
+                start = len(raw[int(offsets[text]) : first].tobytes().decode())
+                end = start + len(raw[first:last].tobytes().decode().rstrip("\n"))
+                found[text].append({"family": FAMILIES[family], "start": start, "end": end, "probability": probability, "share": share})
             count = np.bincount(of, minlength=batch.num_rows) if len(of) else np.zeros(batch.num_rows, dtype=np.int64)
             kind = pa.list_(pa.struct([("family", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64()), ("share", pa.float64())]))
             rest = batch.drop_columns(["_text"])

@@ -184,6 +184,43 @@ def test_licences(spark):
     assert got[2][1:] == ("", "") and got[3] == (0, "", "") and got[4] == (0, "", "")
 
 
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+AGPL = GPL.replace("the GNU General", "the GNU Affero General")
+KERNEL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation."""
+
+
+def test_licences_wrapped_over_lines_and_inside_long_lines(spark):
+    prose = "The committee met in the old town hall and spoke of the harvest, the weather and the price of grain until late. " * 9
+    texts = {
+        1: ("gpl", f"main.c\n\n{GPL}\n\nint main"),
+        2: ("lgpl", LGPL),
+        3: ("agpl", f"{prose}\n{AGPL}\n{prose}"),
+        4: ("gpl", "\n".join(f"# {line}" for line in GPL.split("\n"))),
+        5: ("apache-2.0", f"{prose}Licensed under the Apache License, Version 2.0. {prose}"),
+        6: ("mit,mpl-2.0", f"{prose}Released under the MIT License. {prose}Licensed under the Mozilla Public License, version 2.0. {prose}"),
+        7: ("", prose),
+        8: ("gpl", KERNEL),
+        9: ("", "This program is free software: you can redistribute it\n\nThe old town hall\n\nand spoke of the weather"),
+    }
+    df = spark.createDataFrame([(k, t) for k, (_, t) in texts.items()], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in licenses.report(df).collect()}
+    assert {k: got[k].families for k in texts} == {k: families for k, (families, _) in texts.items()}
+    assert [got[k].n_licences for k in sorted(texts)] == [1, 1, 1, 1, 1, 2, 0, 1, 0]
+    spans = {k: [(int(a), int(b)) for a, b in re.findall(r":(\d+):(\d+)", got[k].spans)] for k in texts}
+    assert texts[1][1][slice(*spans[1][0])] == GPL.removesuffix(".")
+    assert texts[5][1][slice(*spans[5][0])] == "Licensed under the Apache License, Version 2.0"
+    assert [texts[6][1][a:b] for a, b in spans[6]] == ["Released under the MIT License", "Licensed under the Mozilla Public License, version 2.0"]
+
+
 def test_pages(spark):
     body = "<p>First &amp; best\n  words of it.</p><div class='ad'>Buy now</div><p><b>Second</b> part, long enough to count.<br><p>End."
     page = f"<html><head><title>T</title><style>x</style></head><body><nav><a>Home</a></nav><article><h1>Head</h1>{body}<section class='comments'><p>I like it a lot, really very much</p></section></article><footer>c</footer>"
