@@ -4,7 +4,10 @@ A page is a sequence of words and tags. Words score positive and tags negative;
 with the largest sum, the content region. The weights are log odds from labelled pages: pages that mark their main text
 themselves (an ``article`` or ``main`` element) label their tokens as inside or outside, and at most ``TRAIN_PAGES`` of
 them, those with the lowest hash of their html, are counted. Words in elements that are never main text (``SKIPPED``
-elements, or ``SKIPPED_NAMES`` in class, id or role) score nothing and their text is left out of the region as well.
+elements, or a name in class, id or role made of ``SKIPPED_NAMES`` and ``PLAIN_NAMES`` alone) score nothing and their text
+is left out of the region as well. Names do not count on article and main, nor ids on headings and sections, which are
+often made from titles. A form with most of the page's words is never left out, and an element named so only if an article
+or main element stands outside it.
 
 The region is widened to the whole of the innermost container (article, main, section, div, td) around it, so that a
 short last paragraph is not cut off by the tags before it.
@@ -39,16 +42,22 @@ WORD_RANGE, TAG_RANGE = (0.5, 3.0), (-3.0, -0.1)
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CONTAINERS = set("article main section div td".split())
-SKIPPED = set("head title nav footer aside form button select textarea option dialog menu audio video canvas object map fieldset datalist".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+SKIPPED = set("head title nav footer aside button select textarea option dialog menu audio video canvas object map fieldset datalist".split())
 SKIPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|menu|navbar|nav|navigation|breadcrumbs?|masthead|topbar|toolbar|pager|pagination"
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|menu|navbar|nav|navigation|breadcrumbs?|masthead|topbar|toolbar|pager|pagination"
     r"|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|widget"
-    r"|comments?|commentlist|disqus|replies|reply|respond|footer|foot|copyright|contentinfo|complementary|legal|disclaimer)(?:$|[\s_-])",
+    r"|comments?|commentlist|disqus|replies|reply|respond|footer|foot|copyright|contentinfo|complementary|legal|disclaimer",
+    re.I,
+)
+PLAIN_NAMES = re.compile(
+    r"\d+(?:x\d+)?|lists?|area|box|bar|panel|left|right|top|bottom|upper|lower|container|wrapper|wrap|inner|outer|block|section|items?|links?|buttons?|icons?|form|title|header|heading|row|col|column"
+    r"|site|page|global|main|primary|secondary|mobile|desktop|sticky|fixed|floating|media|posts?|entry|articles?|stories|js",
     re.I,
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|$)|<!?/?[a-zA-Z][^>]*>|<\?[^>]*>", re.I | re.S)
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
-_ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""\shidden(?=[\s>/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
@@ -63,7 +72,8 @@ class Page:
         self.breaks: list[bool] = []                          # a block ends or begins here
         self.inside: list[bool] = []                          # within an article or main element
         self.spans: list[tuple[int, int, str]] = []           # elements as [first token, end token)
-        stack: list[tuple[str, int, bool, bool]] = []
+        self.named: list[tuple[int, int, bool]] = []          # forms (True) and elements with a name that is skipped
+        stack: list[tuple[str, int, bool, bool, bool]] = []
         self._skip, self._main = 0, 0
         at = 0
         for m in _TOKEN.finditer(source):
@@ -76,7 +86,7 @@ class Page:
             name, closing = tag[2].lower(), bool(tag[1])
             if closing:
                 for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] != name and name in INLINE | {"p"} and (stack[depth][0] in CONTAINERS or stack[depth][2]):
+                    if stack[depth][0] != name and name in INLINE | {"p"} and (stack[depth][0] in CONTAINERS or stack[depth][2] or stack[depth][4]):
                         break                                 # a stray end tag closes nothing outside its container
                     if stack[depth][0] == name:
                         self._add_tag(name)
@@ -86,8 +96,8 @@ class Page:
                 continue
             if name not in VOID and not m.group().endswith("/>"):
                 main = name in ("article", "main")
-                skip = name in SKIPPED or (name == "header" and not self._main) or self._marked(m.group(), name)
-                stack.append((name, len(self.kind), skip, main))
+                skip = name in SKIPPED or (name == "header" and not self._main) or (name not in ("html", "body") and bool(_HIDDEN.search(m.group())))
+                stack.append((name, len(self.kind), skip, main, name == "form" or self._marked(m.group(), name)))
                 self._skip += skip
                 self._main += main
             self._add_tag(name)
@@ -95,18 +105,54 @@ class Page:
             self._add_text(source[at:])
         while stack:
             self._close(stack.pop())
+        self._skip_named()
 
     @staticmethod
     def _marked(tag: str, name: str) -> bool:
-        if name in ("html", "body"):
+        if name in ("html", "body", "article", "main"):
             return False
-        if _HIDDEN.search(tag):
-            return True
-        return any(SKIPPED_NAMES.search(a or b or c) for a, b, c in _ATTRIBUTE.findall(tag))
+        for kind, a, b, c in _ATTRIBUTE.findall(tag):
+            if kind.lower() == "id" and (name in HEADINGS or name == "section"):
+                continue
+            for word in (a or b or c).split():
+                parts = [x for x in re.split("[_-]+", word) if x]
+                if any(SKIPPED_NAMES.fullmatch(x) for x in parts) and all(SKIPPED_NAMES.fullmatch(x) or PLAIN_NAMES.fullmatch(x) for x in parts):
+                    return True
+        return False
+
+    def _skip_named(self) -> None:
+        """Forms and named elements are skipped, the outer ones first, but for those that hold the page's main text."""
+        words, marked = [0], [0]                              # sums of all words, and of those within article or main
+        for n, skipped, inside in zip(self.words, self.skipped, self.inside, strict=True):
+            words.append(words[-1] + (0 if skipped else n))
+            marked.append(marked[-1] + (0 if skipped or not inside else n))
+        named = sorted(self.named, key=lambda x: (x[0], -x[1]))
+        bare = [marked[b] - marked[a] for a, b, _ in named]   # of each element, outside the named ones in it
+        outside, around = marked[-1], []                      # words of article or main that no named element holds
+        for k, (a, b, _) in enumerate(named):
+            while around and named[around[-1]][1] <= a:
+                around.pop()
+            n = marked[b] - marked[a]
+            if around:
+                bare[around[-1]] -= n
+            else:
+                outside -= n
+            around.append(k)
+        done = 0
+        for (a, b, form), own in zip(named, bare, strict=True):
+            if a < done:
+                continue                                      # within an element that is skipped
+            if 2 * (words[b] - words[a]) > words[-1] and (form or not outside):
+                outside += own
+                continue
+            self.skipped[a:b] = [True] * (b - a)
+            done = b
 
-    def _close(self, element: tuple[str, int, bool, bool]) -> None:
-        name, first, skip, main = element
+    def _close(self, element: tuple[str, int, bool, bool, bool]) -> None:
+        name, first, skip, main, named = element
         self.spans.append((first, len(self.kind), name))
+        if named and not skip:
+            self.named.append((first, len(self.kind), name == "form"))
         self._skip -= skip
         self._main -= main
 

@@ -232,6 +232,29 @@ def test_pages(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_pages_keep_main_text_in_elements_with_names_of_furniture():
+    def text(page):
+        return pages.Page(page).main_text(pages.fixed_weights())
+
+    body = "<p>The old town hall was built of red brick by hand.</p><p>It stood for many long years beside the river.</p>"
+    want = "The old town hall was built of red brick by hand. It stood for many long years beside the river."
+    menu = "<div class='main-menu'><a>Home</a> <a>About</a></div><div id='cookie-banner'>We use cookies here</div>"
+    for mark in ("article class='post has-sidebar'", "main class='content no-sidebar'", "article class='post-1 type-post comments-open'", "div class='elementor-widget elementor-widget-text-editor'", "article id='comments'", "main role='search'"):
+        assert text(f"<body>{menu}<{mark}>{body}</{mark.split()[0]}></body>") == want, mark
+    for mark in ("related-work", "search-trees", "legal-history", "social-contract", "legal"):
+        assert text(f"<article><h2 id='{mark}'>Title</h2>{body}<section id='{mark}'><p>Part two of it.</p></section></article>") == f"Title {want} Part two of it.", mark
+    for mark in ("form action='/x'", "div class='widget'", "div id='overlay'"):
+        assert text(f"<body>{menu}<{mark}><article>{body}</article></{mark.split()[0]}></body>") == want, mark
+        assert text(f"<body>{menu}<{mark}><div>{body}</div></{mark.split()[0]}></body>") == want, mark
+    many = "<p>I like it a lot, really very much so</p>" * 9
+    for mark in ("comments", "comment-list", "widget-area", "site-footer", "sidebar-1", "social_share"):
+        assert text(f"<article>{body}<div class='{mark}'>{many}</div></article>") == want, mark
+        assert text(f"<body><main>{body}</main><div class='x {mark}'><article>{many}</article></div></body>") == want, mark
+    assert text(f"<body><form><input></form><div data-id='search'>{body}</div><form>Your name</form></body>") == want
+    deep = "<div class='widget'>" * 3000
+    assert text(f"{deep}{body}") == want
+
+
 def test_pipeline_stages(spark):
     path = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{path}/documents.parquet")
