@@ -42,6 +42,16 @@ def lowest(rows: DataFrame, by: Column, most: int) -> DataFrame:
     return out.orderBy("_at").limit(most)
 
 
+def lowest_texts(texts: DataFrame, most: int) -> DataFrame:
+    """The ``most`` distinct texts (column ``text``) with the lowest hash. Copies count once, by their hashes, before the
+    share of the hash range is chosen as in ``lowest``; at most about twice ``most`` texts are held and sorted."""
+    out = texts.select("text", F.xxhash64("text").bitwiseAND(F.lit((1 << 53) - 1)).alias("_at"))
+    n = out.select("_at").distinct().count()
+    if n > 2 * most:
+        out = out.where(F.col("_at") < int((1 << 53) * 2 * most / n))
+    return out.distinct().orderBy("_at", "text").limit(most).select("text")
+
+
 def row_key(id_col: str, text: Column) -> list[Column]:
     """Two hash columns that name a row by its id and text. They are never null; rows that agree in both id and
     text share a key and get the same result, so ids may be null or repeated."""

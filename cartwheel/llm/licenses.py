@@ -2,7 +2,7 @@
 
 A paragraph is a line with words. Its lower-cased words and word pairs, hashed, go through a multinomial logistic
 regression over licence families and an unknown class. It is trained here, on the templates below with words dropped,
-replaced and added around them, and on ordinary paragraphs of the corpus: at most ``TRAIN_PARAGRAPHS`` from as many texts, those with the
+replaced and added around them, and on ordinary paragraphs of the corpus: at most ``TRAIN_PARAGRAPHS`` from as many different texts, those with the
 lowest hash, whatever the partitioning. A temperature, fitted on variants kept out of the training, calibrates the
 probabilities, so that "unknown" wins unless a family is likely; and a prediction counts only if the paragraph holds
 enough of the words and word pairs of one of the family's templates.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import flat, lowest, steps, text_or_empty, words_flat
+from cartwheel.llm.common import flat, lowest_texts, steps, text_or_empty, words_flat
 from cartwheel.llm.windows import mix, word_hashes
 
 # Sentences by which licences are granted or named, by family.
@@ -268,8 +268,8 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_PARAGRAPHS) -> tuple[np.ndarray, float]:
-    texts = lowest(docs.select(text_or_empty(text_col).alias("text")).where("text <> ''"), F.xxhash64("text"), most)
-    lines = texts.select("text").mapInArrow(_sample, "line string").select(F.substring("line", 1, 400).alias("line"))
+    texts = lowest_texts(docs.select(text_or_empty(text_col).alias("text")).where("text <> ''"), most)
+    lines = texts.mapInArrow(_sample, "line string").select(F.substring("line", 1, 400).alias("line"))
     rows = lines.orderBy(F.xxhash64("line"), "line").limit(most).collect()           # a bounded sample of short strings
     return fit([r.line for r in rows])
 

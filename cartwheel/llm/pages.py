@@ -2,8 +2,8 @@
 
 A page is a sequence of words and tags. Words score positive and tags negative; a linear scan finds the contiguous run
 with the largest sum, the content region. The weights are log odds from labelled pages: pages that mark their main text
-themselves (an ``article`` or ``main`` element) label their tokens as inside or outside, and at most ``TRAIN_PAGES`` of
-them, those with the lowest hash of their html, are counted. Words in elements that are never main text (``SKIPPED``
+themselves (an ``article`` or ``main`` element) label their tokens as inside or outside, and at most ``TRAIN_PAGES``
+different ones, those with the lowest hash of their html, are counted. Words in elements that are never main text (``SKIPPED``
 elements, or a name in class, id or role made of ``SKIPPED_NAMES`` and ``PLAIN_NAMES`` alone) score nothing and their text
 is left out of the region as well. Names do not count on article and main, nor ids on headings and sections, which are
 often made from titles. A form with most of the page's words is never left out, and an element named so only if an article
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import lowest, steps, text_or_empty
+from cartwheel.llm.common import lowest_texts, steps, text_or_empty
 
 TRAIN_PAGES = 2000
 #: Weights that hold without labelled pages, and the range in which learned ones stay.
@@ -225,9 +225,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(pages: DataFrame, html_col: str = "html", most: int = TRAIN_PAGES) -> dict[str, float]:
     """Log odds of a token kind inside against outside the main text, held in their ranges."""
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]")).select(F.col(html_col).alias("html"))
-    sample = lowest(marked, F.xxhash64("html"), most)
-    rows = sample.select("html").mapInArrow(_count, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(400).collect()
+    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]")).select(F.col(html_col).alias("text"))
+    rows = lowest_texts(marked, most).mapInArrow(_count, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(400).collect()
     weights = fixed_weights()
     tokens = {(r.kind, r.inside): r.n for r in rows}
     total = {i: sum(n for (k, j), n in tokens.items() if j == i) for i in (True, False)}

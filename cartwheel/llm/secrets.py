@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import flat, lowest, steps, text_or_empty
+from cartwheel.llm.common import flat, lowest_texts, steps, text_or_empty
 from cartwheel.llm.windows import BASE_2, byte_codes, prefix_hash, range_hash
 
 # The base patterns and the least number of characters.
@@ -347,10 +347,9 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_STRETCHES) -> np.ndarray:
-    """The model from the stretches of at most ``most`` texts with a base finding and as many of any kind."""
+    """The model from the stretches of at most ``most`` different texts with a base finding and as many of any kind."""
     texts = docs.select(text_or_empty(text_col).alias("text")).where("text <> ''")
-    sample = lambda rows: lowest(rows, F.xxhash64("text"), most).select("text")
-    both = sample(texts.where(F.col("text").rlike(HINT))).unionByName(sample(texts))
+    both = lowest_texts(texts.where(F.col("text").rlike(HINT)), most).unionByName(lowest_texts(texts, most))
     rows = both.mapInArrow(_stretches, "kind int, at long, text string, first int, end int")
     got = rows.repartition(1).mapInArrow(_fit, "model binary").collect()
     return np.frombuffer(got[0].model, dtype="<f8") if got else np.zeros(FEATURES * 3 + 9)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, pages, quality, secrets
+from cartwheel.llm import common, decontaminate, exact, hyperminhash, licenses, pages, quality, secrets
 
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -255,6 +255,18 @@ def test_pages_keep_main_text_in_elements_with_names_of_furniture():
     assert text(f"{deep}{body}") == want
 
 
+def test_training_samples_are_of_distinct_texts(spark):
+    texts = [f"entry {k} of the list says token = a1b2c3d4e5{k} and then goes on" for k in range(8)]
+    df = spark.createDataFrame([(t,) for t in texts for _ in range(250)], "text string")
+    assert secrets.train(df, most=3).any()
+    html = [f"<body><p>{k}</p><article><p>{t}</p></article>" for k, t in enumerate(texts)]
+    assert pages.learn(spark.createDataFrame([(t,) for t in html for _ in range(250)], "html string"), most=2) != pages.fixed_weights()
+    skewed = spark.createDataFrame([(t,) for t in [texts[0]] * 2000 + texts], "text string").repartition(5)
+    for most in (1, 3, 4, 20):
+        got = [r.text for r in common.lowest_texts(skewed, most).collect()]
+        assert len(got) == len(set(got)) <= min(most, 8) and (got or most < 4) and (most != 20 or set(got) == set(texts))
+
+
 def test_pipeline_stages(spark):
     path = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{path}/documents.parquet")
