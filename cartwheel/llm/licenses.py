@@ -3,7 +3,8 @@
 A paragraph is a line with words. Its lower-cased words and word pairs, hashed, go through a multinomial logistic
 regression over licence families and an unknown class. It is trained here, on the templates below with words dropped,
 replaced and added around them, and on ordinary paragraphs of the corpus: at most ``TRAIN_PARAGRAPHS`` from as many different texts, those with the
-lowest hash, whatever the partitioning. A temperature, fitted on variants kept out of the training, calibrates the
+lowest hash, whatever the partitioning; of a line longer than ``LINE_CHARS`` characters a stretch of as many, from a place
+that its hash chooses. A temperature, fitted on variants kept out of the training, calibrates the
 probabilities, so that "unknown" wins unless a family is likely; and a prediction counts only if the paragraph holds
 enough of the words and word pairs of one of the family's templates.
 
@@ -18,6 +19,7 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections.abc import Iterator
@@ -90,7 +92,7 @@ TEMPLATES: dict[str, list[str]] = {
 FAMILIES = list(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 BITS = 14
-TRAIN_PARAGRAPHS, VARIANTS, EPOCHS = 3000, 60, 6
+TRAIN_PARAGRAPHS, VARIANTS, EPOCHS, LINE_CHARS = 3000, 60, 6, 400
 #: Least calibrated probability, and share of a template's words and word pairs that the paragraph must hold.
 LEAST_PROBABILITY, LEAST_SHARE = 0.6, 0.5
 #: Families whose templates differ from another family's by a name only, and what their notices must hold.
@@ -260,16 +262,26 @@ class Templates:
         return sorted(found)
 
 
+def _stretch(line: str) -> str:
+    if len(line) <= LINE_CHARS:
+        return line
+    at = int.from_bytes(hashlib.blake2b(line.encode(), digest_size=8).digest(), "little") % (len(line) - LINE_CHARS + 1)
+    part = line[at : at + LINE_CHARS]
+    whole = re.search(r"\s.*\S(?=\s)", f" {part}" if at == 0 or line[at - 1].isspace() else part, re.S)
+    return whole[0].strip() if whole else part
+
+
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ordinary paragraphs: lines that name no licence."""
+    """Ordinary paragraphs: lines that name no licence. Of a long one, the words in ``LINE_CHARS`` characters at a place
+    that its hash chooses."""
     for batch in batches:
         out = [line for text in batch.column("text").to_pylist() for line in text.split("\n") if line.strip() and not re.search("licen|copyright|permission|redistribut|spdx|cc0|cc by", line, re.I)]
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["line"])
+        yield pa.RecordBatch.from_arrays([pa.array([_stretch(line) for line in out], pa.string())], ["line"])
 
 
 def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_PARAGRAPHS) -> tuple[np.ndarray, float]:
     texts = lowest_texts(docs.select(text_or_empty(text_col).alias("text")).where("text <> ''"), most)
-    lines = texts.mapInArrow(_sample, "line string").select(F.substring("line", 1, 400).alias("line"))
+    lines = texts.mapInArrow(_sample, "line string")
     rows = lines.orderBy(F.xxhash64("line"), "line").limit(most).collect()           # a bounded sample of short strings
     return fit([r.line for r in rows])
 

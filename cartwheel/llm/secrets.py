@@ -12,7 +12,9 @@ between are decoded exactly.
 
 The field is trained by stochastic gradient on stretches around base findings, on plain stretches, and on copies whose
 secret and key word are replaced by made-up ones of other formats. At most ``TRAIN_STRETCHES`` texts and stretches of each kind are taken,
-those with the lowest hash, whatever the partitioning; decoding covers every whole text.
+those with the lowest hash, whatever the partitioning. Each of these texts gives a stretch of 80 characters more on both
+sides of every base finding, and one plain stretch of at most ``PLAIN_WORDS`` words without a finding, from a place anywhere
+in the text that its hash chooses. Decoding covers every whole text.
 
 Defined results: null and empty texts have no findings; repeated rows and null ids are judged one by one; extra columns
 are ignored; an empty table gives an empty result. Without any stretch to train on the field finds nothing. Offsets are
@@ -21,6 +23,7 @@ code points.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -44,7 +47,7 @@ HINT = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]
 KINDS = ("assign", "access", "hex", "field")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-TRAIN_STRETCHES = 1500
+TRAIN_STRETCHES, PLAIN_WORDS, PLAIN_CHARS = 1500, 40, 4000
 EPOCHS, RATE, TOGETHER = 8, 0.5, 32
 WORDS = 1 << 12
 SHAPES = 32 * 5 * 8
@@ -282,21 +285,40 @@ def _made_up(rnd: random.Random) -> tuple[str, str]:
     return rnd.choice(["signature", "private", "hmac"]), pick("0123456789ABCDEF", 40)
 
 
+def _plain(text: str, hits: list[tuple[int, int, int, int, int]]) -> str:
+    """At most ``PLAIN_WORDS`` words (and ``PLAIN_CHARS`` characters) in a row that touch no finding, at a place that the text's hash chooses."""
+    words = [m.span() for m in re.finditer(r"\S+", text)]
+    ends = np.maximum.accumulate([0, *(h[3] for h in hits)])  # of the findings so far, by their start
+    starts = np.array([h[2] for h in hits], dtype=np.int64)
+    first, last = np.array(words, dtype=np.int64).reshape(-1, 2).T
+    free = np.flatnonzero(ends[np.searchsorted(starts, last)] <= first)
+    if not len(free):
+        return ""
+    chosen = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little")
+    k = chosen % len(free)
+    runs = np.cumsum(np.diff(free, prepend=free[0]) > 1)
+    left, right = np.searchsorted(runs, runs[k]), np.searchsorted(runs, runs[k], side="right")
+    at = max(int(left), min(k, int(right) - PLAIN_WORDS))
+    part = text[words[free[at]][0] : words[free[min(at + PLAIN_WORDS, int(right)) - 1]][1]]
+    cut = chosen % max(1, len(part) - PLAIN_CHARS + 1)
+    return part[cut : cut + PLAIN_CHARS]
+
+
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, order, text, first, end): a stretch of text around a finding, or (kind 0) a plain one."""
+    """(kind, order, text, first, end): a stretch of text around each finding, and (kind 0) a plain one."""
     for batch in steps(batches):
         out = []
         for text in batch.column("text").to_pylist():
             hits = base_findings(text, text.encode())
-            if not hits:
-                words = [m.span() for m in re.finditer(r"\S+", text[:4000])]
-                if words:
-                    a, b = words[0][0], words[min(len(words), 40) - 1][1]
-                    out.append((0, text[a:b], -1, -1))
-                continue
-            for _, kind, _, end, first in hits[:4]:
-                if any(f[0] <= first < f[3] for f in hits if f[1] != kind) and kind == 2:
-                    continue
+            plain = _plain(text, hits)
+            if plain:
+                out.append((0, plain, -1, -1))
+            within = [f for f in hits if f[1] != 2]
+            ends = np.maximum.accumulate([0, *(f[3] for f in within)])
+            starts = [f[0] for f in within]
+            for _, kind, _, end, first in hits:
+                if kind == 2 and ends[bisect.bisect_right(starts, first)] > first:
+                    continue                                  # a part of another finding
                 a, b = max(0, first - 80), min(len(text), end + 80)
                 out.append((1, text[a:b], first - a, end - a))
         rows = [(k, int.from_bytes(hashlib.blake2b(f"{t}|{s}".encode(), digest_size=8).digest(), "little", signed=True), t, s, e) for k, t, s, e in out]
@@ -320,8 +342,11 @@ def _tagged(text: str, first: int, end: int) -> tuple[np.ndarray, np.ndarray] |
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sorted({(r["at"], r["kind"], r["text"], r["first"], r["end"]) for b in batches for r in b.to_pylist()})
-    rows = [r for kind in (0, 1) for r in [x for x in rows if x[1] == kind][:TRAIN_STRETCHES]]
+    lowest: dict[int, list] = {0: [], 1: []}                  # of each kind, and no more is held
+    for batch in steps(batches):
+        new = {(r["at"], r["kind"], r["text"], r["first"], r["end"]) for r in batch.to_pylist()}
+        lowest = {kind: sorted({*rows, *(r for r in new if r[1] == kind)})[:TRAIN_STRETCHES] for kind, rows in lowest.items()}
+    rows = [*lowest[0], *lowest[1]]
     rnd = random.Random(11)
     examples = []
     plain = [r[2] for r in rows if r[1] == 0]

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -267,6 +268,30 @@ def test_training_samples_are_of_distinct_texts(spark):
         assert len(got) == len(set(got)) <= min(most, 8) and (got or most < 4) and (most != 20 or set(got) == set(texts))
 
 
+def test_training_stretches_come_from_the_whole_text():
+    def made(run, texts):
+        return [r for b in run(iter([pa.record_batch([pa.array(texts, pa.string())], ["text"])])) for r in b.to_pylist()]
+
+    words = [" ".join(f"w{i}x{k}" for i in range(400)) for k in range(40)]
+    plain = [r["text"] for r in made(secrets._stretches, words)]
+    assert len(plain) == 40 and all(p in t and len(p.split()) == 40 for p, t in zip(plain, words, strict=True))
+    places = [int(p.split()[0][1:].split("x")[0]) for p in plain]
+    assert min(places) < 100 and max(places) >= 300
+    mixed = "a few words before " + " and more text ".join(f"token = abcdef{k}" for k in range(9)) + " some words behind"
+    got = made(secrets._stretches, [mixed, "token=abcdefgh", "", " \n", "d" * 40, "é " + "z+!" * 3000])
+    assert sum(r["kind"] for r in got) == 9 + 1 + 1
+    plain = [r["text"] for r in got if not r["kind"]]
+    assert len(plain) == 2 and plain[0] in mixed and not secrets.ASSIGN.search(plain[0]) and len(plain[1]) <= 4000
+    own = [r["text"][r["first"] : r["end"]] for r in got if r["kind"]]
+    assert own == [*(f"abcdef{k}" for k in range(9)), "abcdefgh", "d" * 40]
+
+    lines = made(licenses._sample, ["\n".join(words), "short line", "q" * 900])
+    assert len(lines) == 42 and all(0 < len(r["line"]) <= 400 for r in lines)
+    places = [int(r["line"].split()[0][1:].split("x")[0]) for r in lines[:40]]
+    assert all(r["line"] in t and set(r["line"].split()) <= set(t.split()) for r, t in zip(lines, words, strict=False))
+    assert min(places) < 100 and max(places) >= 250
+
+
 def test_pipeline_stages(spark):
     path = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{path}/documents.parquet")
