@@ -11,7 +11,8 @@ least ``THRESHOLD`` percent, and grouped by links.
    none of them with probability (1 - 0.85**6)**32 = 3e-7, less above it.
 4. In each bucket every class is paired with one centre (by ``CENTRES`` orders, so that bands vary). A pair goes on if the sizes allow
    the similarity and the share of equal registers, corrected for chance collisions, is above ``FLOOR`` (4.5 standard
-   deviations below the threshold). Then the full sets are compared.
+   deviations below the threshold), or the smaller set has fewer than ``SMALL`` shingles: such sets borrow registers, so
+   that their estimate strays further. Then the full sets are compared.
 5. Centres leave open the pairs of a bucket that the links of step 4 don't connect yet. Those are compared inside
    blocks of a bucket, first by registers, then on full sets where the estimate allows a link and no link found in the
    block joins the two already. Only links leave a block, so a hot bucket never expands into its pairs, and no pair is
@@ -41,6 +42,8 @@ BANDS, ROWS = 32, 6
 #: Orders by which the bands choose their centres.
 CENTRES = 2
 FLOOR = 0.85 - 4.5 * (0.85 * 0.15 / REGISTERS) ** 0.5
+#: Pairs with a set of fewer shingles are compared in full whatever their registers say.
+SMALL = 300
 #: Chance that two unlike registers collide.
 COLLISION = 0.169919487159739 / 2**MANTISSA
 #: A set of fewer shingles than this can only be linked with an equal one.
@@ -120,7 +123,8 @@ def estimate(equal: np.ndarray) -> np.ndarray:
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in steps(batches, "ra"):
         a, b = (flat(batch.column(c))[0].view("<u2").reshape(-1, REGISTERS) for c in ("ra", "rb"))
-        keep = estimate((a == b).sum(1)) >= FLOOR
+        least = np.minimum(*(np.asarray(batch.column(c)) for c in ("na", "nb")))
+        keep = (estimate((a == b).sum(1)) >= FLOOR) | (least < SMALL)
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
@@ -168,7 +172,7 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(js):
                 continue
             same = regs[js] == regs[i]
-            good = estimate(same.sum(1)) >= FLOOR
+            good = (estimate(same.sum(1)) >= FLOOR) | (np.minimum(n[js], n[i]) < SMALL)
             js, same = js[good], same[good]
             if band and len(js):                              # a pair is for the first band that it shares
                 js = js[~same[:, : band * ROWS].reshape(len(js), band, ROWS).all(2).any(1)]
@@ -237,7 +241,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     pairs = in_buckets.where("cid <> centre").select(F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")).distinct()
     sized = [classes.select(F.col("cid").alias(e), F.col("n").alias(f"n{e}"), F.col("regs").alias(f"r{e}")) for e in "ab"]
     near = pairs.join(sized[0], "a").join(sized[1], "b").where(f"100 * least(na, nb) >= {THRESHOLD} * greatest(na, nb)")
-    star = stored(near.select("a", "b", "ra", "rb").mapInArrow(_plausible, "a long, b long"), "near-pairs")
+    star = stored(near.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_plausible, "a long, b long"), "near-pairs")
     links = _verified(star, classes, docs, id_col, text_col)
 
     comps = components(links)

@@ -292,6 +292,17 @@ def test_training_stretches_come_from_the_whole_text():
     assert min(places) < 100 and max(places) >= 250
 
 
+def test_small_sets_are_compared_in_full_whatever_their_registers_say():
+    far = np.arange(hyperminhash.REGISTERS, dtype="<u2")
+    regs = [(far + d).astype("<u2").tobytes() for d in (0, 1)]
+    pairs = pa.record_batch([pa.array([1, 2, 3]), pa.array([4, 5, 6]), pa.array([20, 299, 300]), pa.array([22, 340, 330]), pa.array([regs[0]] * 3, pa.binary()), pa.array([regs[1]] * 3, pa.binary())], ["a", "b", "na", "nb", "ra", "rb"])
+    assert [r["a"] for b in hyperminhash._plausible(iter([pairs])) for r in b.to_pylist()] == [1, 2]
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join([*words, "x"])]
+    block = pa.record_batch([pa.array(x, pa.int64()) for x in ([0, 0], [5, 5], [0, 0], [0, 0], [0, 0], [1, 2], [1, 2], [58, 59])] + [pa.array(regs, pa.binary()), pa.array(texts)], ["band", "bucket", "x", "y", "side", "cid", "comp", "n", "regs", "text"])
+    assert [r for b in hyperminhash._block_pairs(iter([block])) for r in b.to_pylist()] == [{"a": 1, "b": 2}]
+
+
 def test_pipeline_stages(spark):
     path = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{path}/documents.parquet")
