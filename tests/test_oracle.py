@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import digest
+from cartwheel.plans import catalog
 from cartwheel.sources.driver_tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +24,8 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
@@ -31,11 +33,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and df.columns[:2] == ["user_id", "event_timestamp"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(entry.oracle_sql()[name])
+    res = con.execute(catalog.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
