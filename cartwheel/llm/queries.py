@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, packing, pages, quality, secrets, substring, suffix
+from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, packing, pages, quality, secrets, substring, suffix, topk
 from cartwheel.llm.common import table
 
 
@@ -50,9 +50,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 _ALL = (
     op1_substring_dedup, op2_packing, op3_exact_dedup, op4_html_text, op5_decontamination, op6_near_dedup, op7_quality,
-    op8_suffix_dedup, op9_licenses, op10_secrets,
+    op8_suffix_dedup, op9_licenses, op10_secrets, op13_exact_topk,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
@@ -105,3 +109,14 @@ SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coal
        coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w.w) AS contaminated
 FROM w LEFT JOIN words USING (r) LEFT JOIN items USING (r) WHERE w.kind = 'd'
 """
+
+#: The stated queries against all other rows, scored in whole numbers.
+ORACLE_SQL["op13_exact_topk"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, c.r, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id NULLS LAST, r) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 10
+"""
