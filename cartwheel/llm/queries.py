@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, packing, pages, quality, secrets, substring, suffix, topk
+from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, packing, pages, quality, secrets, substring, suffix, topk, trie
 from cartwheel.llm.common import table
 
 
@@ -50,13 +50,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.mixed_trie(table(spark, sf_dir, "conversations")).drop("n_nodes")
+
+
 def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
 _ALL = (
     op1_substring_dedup, op2_packing, op3_exact_dedup, op4_html_text, op5_decontamination, op6_near_dedup, op7_quality,
-    op8_suffix_dedup, op9_licenses, op10_secrets, op13_exact_topk,
+    op8_suffix_dedup, op9_licenses, op10_secrets, op12_prefix_trie, op13_exact_topk,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
@@ -110,6 +114,42 @@ SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coal
 FROM w LEFT JOIN words USING (r) LEFT JOIN items USING (r) WHERE w.kind = 'd'
 """
 
+#: CRC-32 as a fold over bytes; ``t`` is the table of its polynomial.
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b: xor(a >> 1, 3988292384 * (a & 1)), CAST(i AS BIGINT))) AS t)"""
+
+
+def _crc(text: str) -> str:
+    code = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(4294967295, list_reduce({code}, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), CAST(4294967295 AS BIGINT)))"
+
+
+#: Whole prefixes as strings; every node adds its leaf and its savings to all of its prefixes.
+ORACLE_SQL["op12_prefix_trie"] = f"""
+WITH {_CRC_TABLE},
+r AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place, role, text
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM r), crc_table),
+b AS (
+  SELECT c.conv_id, 0 AS part, place, role, text FROM c JOIN r ON r.conv_id = c.base AND place < h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM c JOIN r ON r.conv_id = c.conv_id AND place >= h),
+s AS (SELECT conv_id, row_number() OVER w AS depth, length(text) AS n,
+             sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w) AS k
+      FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+m AS (SELECT conv_id, 0 AS depth, '' AS k, 0 AS n FROM c UNION ALL SELECT conv_id, depth, k, n FROM s),
+e AS (SELECT conv_id, depth, k, depth = max(depth) OVER (PARTITION BY conv_id) AS ends, lag(k) OVER (PARTITION BY conv_id ORDER BY depth) AS pk, n FROM m),
+node AS (SELECT depth, k, min(conv_id) AS conv_id, min(pk) AS pk, count(*) AS n_convs, (count(*) - 1) * min(n) AS saved,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+         FROM e GROUP BY depth, k),
+kids AS (SELECT depth - 1 AS depth, pk AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1, 2),
+flat AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (depth, k)),
+sub AS (SELECT e.depth, e.k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved
+        FROM flat JOIN e ON e.conv_id = flat.conv_id AND e.depth <= flat.depth GROUP BY e.depth, e.k)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       CAST(sub.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM flat f JOIN sub USING (depth, k) LEFT JOIN node p ON p.depth = f.depth - 1 AND p.k = f.pk
+"""
+
 #: The stated queries against all other rows, scored in whole numbers.
 ORACLE_SQL["op13_exact_topk"] = r"""
 WITH v AS (
