@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, packing, pages, quality, secrets, substring, suffix, topk, trie
+from cartwheel.llm import decontaminate, exact, hyperminhash, licenses, packing, pages, quality, repair, secrets, substring, suffix, topk, trie
 from cartwheel.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.mixed_trie(table(spark, sf_dir, "conversations")).drop("n_nodes")
 
@@ -60,7 +64,7 @@ def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_substring_dedup, op2_packing, op3_exact_dedup, op4_html_text, op5_decontamination, op6_near_dedup, op7_quality,
-    op8_suffix_dedup, op9_licenses, op10_secrets, op12_prefix_trie, op13_exact_topk,
+    op8_suffix_dedup, op9_licenses, op10_secrets, op11_structure_repair, op12_prefix_trie, op13_exact_topk,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
@@ -124,6 +128,55 @@ def _crc(text: str) -> str:
     return f"xor(4294967295, list_reduce({code}, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), CAST(4294967295 AS BIGINT)))"
 
 
+def _and(path: str, cost: str, letter: str) -> str:
+    """The path with one more letter; a path is its cost in nine digits and its letters, so the least string is the best."""
+    return f"(lpad(CAST(CAST({path}[1:9] AS BIGINT) + {cost} AS VARCHAR), 9, '0') || {path}[10:] || '{letter}')"
+
+
+def _fold_row() -> str:
+    """Paths (e: nothing yet, s: system, u: user, a: assistant) over inserts and one row (i: initial, x: must go, t: truncated)."""
+    up = f"least(p.u, {_and('p.e', '2', 'I')}, {_and('p.s', '2', 'I')}, {_and('p.a', '2', 'I')})"
+    filled = f"list_transform([{{'e': p.e, 's': p.s, 'a': p.a, 'u': {up}, 'r': r}}], lambda q: {{'e': q.e, 's': q.s, 'u': q.u, 'a': least(q.a, {_and('q.u', '2', 'I')}), 'r': q.r}})[1]"
+    keep = lambda path, i: f"CASE WHEN NOT q.r.x AND q.r.i = '{i}' THEN {_and(path, 'q.r.t', 'K')} END"
+    role = lambda path: f"CASE WHEN NOT q.r.x THEN {_and(path, '2 + q.r.t', 'R')} END"
+    before = ("q.e", "q.s", "q.a")
+    user = ", ".join([*(keep(b, "u") for b in before), *(role(b) for b in before)])
+    return (f"list_transform([{filled}], lambda q: {{'e': {_and('q.e', '3', 'D')}, 's': least({_and('q.s', '3', 'D')}, {keep('q.e', 's')}), "
+            f"'u': least({_and('q.u', '3', 'D')}, {user}), 'a': least({_and('q.a', '3', 'D')}, {keep('q.u', 'a')}, {role('q.u')}), 'r': r}})[1]")
+
+
+#: The cheapest edits as a fold over the rows of a conversation, least strings in place of weights; then the edits applied.
+ORACLE_SQL["op11_structure_repair"] = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_crc("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations, crc_table),
+g AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM d WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM g),
+f AS (SELECT *, left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before,
+             CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault FROM o),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+             count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+             count_if(before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal,
+             list({{'i': i, 'x': fault IN ('blank', 'duplicate'), 't': CAST(fault = 'truncated' AS BIGINT)}} ORDER BY place) AS rows FROM f GROUP BY conv_id),
+z AS (SELECT {{'e': '000000000', 's': CAST(NULL AS VARCHAR), 'u': CAST(NULL AS VARCHAR), 'a': CAST(NULL AS VARCHAR), 'r': {{'i': '', 'x': false, 't': CAST(0 AS BIGINT)}}}} AS start),
+p AS (SELECT c.*, list_reduce(list_transform(rows, lambda r: {{'e': CAST(NULL AS VARCHAR), 's': CAST(NULL AS VARCHAR), 'u': CAST(NULL AS VARCHAR), 'a': CAST(NULL AS VARCHAR), 'r': r}}),
+             lambda p, w: list_transform([w.r], lambda r: {_fold_row()})[1], start) AS p FROM c, z),
+b AS (SELECT * EXCLUDE (p, rows), least(p.e, p.a, {_and('p.u', '2', 'I')}, {_and(_and('p.s', '2', 'I'), '2', 'I')}) AS best FROM p),
+l AS (SELECT conv_id, unnest(string_split(best[10:], '')) AS letter, generate_subscripts(string_split(best[10:], ''), 1) AS nr FROM b WHERE length(best) > 9),
+n AS (SELECT *, CASE WHEN letter <> 'I' THEN count(*) FILTER (WHERE letter <> 'I') OVER (PARTITION BY conv_id ORDER BY nr) END AS place FROM l),
+k AS (SELECT n.conv_id, nr, letter, role, coalesce(text, '') AS text, row_number() OVER w AS nth, first_value(letter = 'K' AND role LIKE 's%') OVER w AS led
+      FROM n LEFT JOIN o ON o.conv_id IS NOT DISTINCT FROM n.conv_id AND o.place = n.place WHERE letter <> 'D' WINDOW w AS (PARTITION BY n.conv_id ORDER BY nr)),
+h AS (SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (nth - CAST(coalesce(led, false) AS BIGINT)) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY nr)) AS sha
+      FROM k GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(CAST(best[1:9] AS BIGINT), 0) AS cost, coalesce(best[10:], '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 #: Whole prefixes as strings; every node adds its leaf and its savings to all of its prefixes.
 ORACLE_SQL["op12_prefix_trie"] = f"""
 WITH {_CRC_TABLE},
