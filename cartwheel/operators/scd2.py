@@ -15,6 +15,9 @@ millions of versions is not one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,10 +93,11 @@ def scd2_merge(history: DataFrame, changes: DataFrame, keys: list[str], sequence
     (semi/anti), no per-key collection.
     """
     cols = [c for c in changes.columns if c not in set(except_columns)]
-    touched = changes.select(*keys).distinct()
+    touched = changes.select(*(F.col(k).alias(f"_t{i}") for i, k in enumerate(keys))).distinct()
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)))
     stored = history.drop(START, END)
-    affected = stored.join(touched, keys, "left_semi")
-    untouched = history.join(touched, keys, "left_anti")
+    affected = stored.join(touched, same, "left_semi")
+    untouched = history.join(touched, same, "left_anti")
     rebuilt = scd2_history(affected.select(*cols).unionByName(changes.select(*cols)), keys,
                            sequence_by, tie_breaker=tie_breaker, num_partitions=num_partitions)
     return untouched.unionByName(rebuilt.select(*history.columns))

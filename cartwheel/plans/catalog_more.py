@@ -553,7 +553,7 @@ def q_spine_stream(spark, sf_dir):
 @register("scd2_incremental", WH("SELECT * FROM history"))
 def q_scd2_incremental(spark, sf_dir):
     """Two snapshot deliveries streamed through typing, rules and imputation
-    into the per-batch SCD2 merge; the newest version is the history."""
+    into the per-batch SCD2 merge; the published buckets are the history."""
     root = scratch_path(spark, "stream-scd2")
     raw = dt.fixture_customers(spark, sf_dir)
     early = F.coalesce(F.col("user_updated_at"), _utc("1900-01-01")) < _utc(CUTOFF)
@@ -565,7 +565,7 @@ def q_scd2_incremental(spark, sf_dir):
         flows.scd2_incremental(clean, f"{root}/history", f"{root}/_checkpoint", ["user_id"],
                                "user_updated_at", except_columns=list(schemas.LINEAGE_COLUMNS),
                                tie_breaker="source_seq")
-    return present(spark.read.parquet(flows.latest_version(spark, f"{root}/history")))
+    return present(flows.scd2_table(spark, f"{root}/history"))
 
 
 def _land_all(spark: SparkSession, sf_dir: str, layout: files.Layout) -> None:

@@ -17,12 +17,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.timestamps import parse_timestamp
 from ..operators import joins, quality, spine
 from ..sources import files
+from ..sources.manifest import ManifestTable, hash_bucket
 
 EVENTS_DELAY = "30 days"
 LABELS_DELAY = "24 hours"
@@ -164,36 +166,53 @@ def fan_in(*streams: DataFrame) -> DataFrame:
     return out
 
 
+SCD2_BUCKETS = 256
+
+
 def scd2_incremental(changes: DataFrame, history_root: str, checkpoint: str, keys: list[str],
                      sequence_by: str, except_columns: list[str] | tuple[str, ...] = (),
-                     tie_breaker: str | None = None) -> StreamingQuery:
-    """Maintain SCD2 history from a change stream, one version folder per batch.
-
-    Each micro-batch reads the newest committed version, rebuilds only the
-    touched keys (:func:`scd2.scd2_merge`) and writes the next one,
-    ``{history_root}/version={number}.{query id}-{batch id}``. The name says who
-    wrote it: a replayed batch rewrites its own folder, and a query with a new
-    checkpoint goes on from the history that it finds. A plan never reads and
-    overwrites the same path.
+                     tie_breaker: str | None = None, buckets: int = SCD2_BUCKETS) -> StreamingQuery:
+    """Maintain SCD2 history from a change stream, rewriting only the hash buckets that a micro-batch touches.
+
+    The history is a :class:`ManifestTable` in buckets of the key. Each
+    micro-batch reads the current files of its buckets, rebuilds the touched
+    keys in them (:func:`scd2.scd2_merge`) and publishes new files for these
+    buckets by one manifest; all other buckets keep their files. A replayed
+    batch that was published before the crash is skipped, one that was not is
+    written again; a query with a new checkpoint goes on from the published
+    history. ``buckets`` counts for a new table, later runs use the table's own.
     """
     from ..operators import scd2
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        writer = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
-        current = latest_version(spark, history_root, other_than=writer)
-        batch = batch.drop(*[c for c in except_columns if c in batch.columns])
-        if current is None:
-            new = scd2.scd2_history(batch, keys, sequence_by, tie_breaker=tie_breaker)
-        else:
-            new = scd2.scd2_merge(spark.read.parquet(current), batch, keys, sequence_by,
-                                  tie_breaker=tie_breaker)
-        number = version_number(current) + 1 if current else 0
-        new.write.mode("overwrite").parquet(f"{history_root}/version={number:012d}.{writer}")
+        table = ManifestTable(spark, history_root)
+        now = table.snapshot()
+        writer = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if now.applied.get(writer, -1) >= batch_id:
+            return
+        n = now.settings.get("buckets", buckets)
+        by = {"bucket": hash_bucket(keys, n)}
+        batch = batch.drop(*[c for c in except_columns if c in batch.columns]).persist()
+        try:
+            parts = table.touched(batch.filter(F.col(sequence_by).isNotNull()), by)
+            stored = table.read(now, parts) if parts else None
+            if stored is None:
+                new = scd2.scd2_history(batch, keys, sequence_by, tie_breaker=tie_breaker)
+            else:
+                new = scd2.scd2_merge(stored, batch, keys, sequence_by, tie_breaker=tie_breaker)
+            table.commit(new, by, parts, writer, batch_id, now, {"buckets": n})
+        finally:
+            batch.unpersist()
 
     return run_for_each_batch(changes, apply, checkpoint)
 
 
+def scd2_table(spark: SparkSession, history_root: str) -> DataFrame | None:
+    """The published history that :func:`scd2_incremental` maintains."""
+    return ManifestTable(spark, history_root).read()
+
+
 def version_number(path: str) -> int:
     return int(path.rsplit("/version=", 1)[1].split(".", 1)[0])
 

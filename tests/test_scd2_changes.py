@@ -84,9 +84,10 @@ def test_scd2_merge_equals_full_rebuild(spark):
 
 
 def test_incremental_history_survives_a_new_checkpoint(spark, tmp_path):
-    """Versions go on from the newest one; a query with a new checkpoint starts at batch 0 again."""
+    """The history goes on from what is published; a query with a new checkpoint starts at batch 0 again."""
     from pyspark.sql.types import StructType
 
+    from cartwheel.sources.manifest import ManifestTable
     from cartwheel.streaming import flows
 
     schema = StructType.fromDDL("k string, seq timestamp, v string")
@@ -96,10 +97,10 @@ def test_incremental_history_survives_a_new_checkpoint(spark, tmp_path):
         spark.createDataFrame([(k, ts(t), v) for k, t, v in rows], schema).write.parquet(f"{landing}/{name}")
         stream = spark.readStream.schema(schema).parquet(f"{landing}/{name}")
         flows.scd2_incremental(stream, root, f"{tmp_path}/{checkpoint}", ["k"], "seq")
-        return flows.version_number(flows.latest_version(spark, root))
+        return ManifestTable(spark, root).snapshot().number
 
     assert land_and_run([("a", "2024-01-01 00:00:00", "1")], "one", "c1") == 0
     assert land_and_run([("a", "2024-01-03 00:00:00", "3")], "two", "c2") == 1
     assert land_and_run([("z", "2024-01-01 00:00:00", "z"), ("a", "2024-01-02 00:00:00", "2")], "three", "c3") == 2
-    got = spark.read.parquet(flows.latest_version(spark, root)).orderBy("k", "__START_AT").collect()
+    got = flows.scd2_table(spark, root).orderBy("k", "__START_AT").collect()
     assert [(r.k, r.v, r["__END_AT"] is None) for r in got] == [("a", "1", False), ("a", "2", False), ("a", "3", True), ("z", "z", True)]
