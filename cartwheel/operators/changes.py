@@ -7,7 +7,7 @@ with partial aggregation and hash partitioning; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -30,35 +30,65 @@ def latest_per_key(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
               .select(*df.columns))
 
 
-def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
-    """Row-level changes from ``before`` to ``after`` keyed by ``keys``.
+COPIES = "_copies"
 
-    ``_change_type`` is ``insert`` / ``delete`` / ``update_preimage`` /
-    ``update_postimage`` (an update yields both images); unchanged rows are
-    omitted. Rows are compared null-safely over all non-key columns. One
-    full outer join on the key (a hash or sort-merge join; keys are unique).
+
+def net_rows(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Distinct rows that occur more or less often in ``after`` than in ``before``, with the difference as ``_copies``.
+
+    Both sides are counted in one aggregation over whole rows, in which null equals null. Unchanged rows cancel out, so a
+    key that repeats any number of times costs one row per distinct content.
     """
-    cols = [c for c in after.columns if c not in keys]
-    if sorted(cols) != sorted(c for c in before.columns if c not in keys):
+    if sorted(before.columns) != sorted(after.columns):
         raise ValueError("before and after must have the same columns")
-    b = before.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_b"))
-    a = after.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_a"))
-    j = b.join(a, keys, "full_outer")
+    return compacted(before.select(*after.columns, F.lit(-1).cast("long").alias(COPIES))
+                     .union(after.withColumn(COPIES, F.lit(1).cast("long"))))
+
+
+def compacted(net: DataFrame) -> DataFrame:
+    """Add up ``_copies`` per row; rows that cancel out go."""
+    rows = [c for c in net.columns if c != COPIES]
+    return net.groupBy(*rows).agg(F.sum(COPIES).alias(COPIES)).filter(F.col(COPIES) != 0)
+
+
+def no_net_rows(table: DataFrame) -> DataFrame:
+    return table.withColumn(COPIES, F.lit(0).cast("long")).limit(0)
+
+
+def feed_of(net: DataFrame, keys: list[str]) -> DataFrame:
+    """The change feed of net rows: within a key, the rows that went and those that came are paired in the order of
+    their content (null first) as pre- and postimage of an update; what is left over is deleted or inserted.
+
+    The one shuffle by key holds changed rows only. Rows of one key are ranked in one task, sorted with spill.
+    """
+    cols = [c for c in net.columns if c not in keys and c != COPIES]
+    rows = net.select(*keys, F.struct(*cols).alias("_r"), (F.col(COPIES) > 0).alias("_came"),
+                      F.explode(F.sequence(F.lit(1).cast("long"), F.abs(COPIES)))).drop("col").repartition(*keys)
+    order = Window.partitionBy(*keys, "_came").orderBy(*(F.asc_nulls_first(f"_r.{c}") for c in cols))
+    pairs = (rows.withColumn("_rank", F.row_number().over(order)).groupBy(*keys, "_rank")
+                 .agg(F.max(F.when(~F.col("_came"), F.col("_r"))).alias("_b"), F.max(F.when(F.col("_came"), F.col("_r"))).alias("_a")))
 
     def image(side: str, kind: str):
         return F.struct(F.col(side).alias("_r"), F.lit(kind).alias(CHANGE_TYPE))
 
-    empty = F.array().cast(f"array<struct<_r:{a.schema['_a'].dataType.simpleString()},"
-                           f"{CHANGE_TYPE}:string>>")
-    changes = (F.when(F.col("_b").isNull(), F.array(image("_a", INSERT)))
-                .when(F.col("_a").isNull(), F.array(image("_b", DELETE)))
-                .when(~F.col("_b").eqNullSafe(F.col("_a")),
-                      F.array(image("_b", PRE), image("_a", POST)))
-                .otherwise(empty))
-    out = j.select(*keys, F.inline(changes))
+    images = (F.when(F.col("_b").isNull(), F.array(image("_a", INSERT)))
+               .when(F.col("_a").isNull(), F.array(image("_b", DELETE)))
+               .otherwise(F.array(image("_b", PRE), image("_a", POST))))
+    out = pairs.select(*keys, F.inline(images))
     return out.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols], CHANGE_TYPE)
 
 
+def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """Row-level changes from ``before`` to ``after`` keyed by ``keys``.
+
+    ``_change_type`` is ``insert`` / ``delete`` / ``update_preimage`` /
+    ``update_postimage`` (an update yields both images); unchanged rows are
+    omitted. Keys and values compare null-safely; rows that share a key are
+    taken as a multiset, so equal tables give no change whatever they hold.
+    """
+    return feed_of(net_rows(before, after), keys)
+
+
 def primary_key_audit(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their multiplicity."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))

@@ -17,7 +17,7 @@ from ..operators import changes, joins, quality, scd2
 from ..operators import profile as prof
 from ..session import scratch_path
 from ..sources import driver_tables as dt
-from ..sources import files
+from ..sources import files, versions
 from ..streaming import flows
 from . import oracle
 from . import pipeline as pl
@@ -304,7 +304,7 @@ _NONKEY = [c for c in (*prof.PROFILE_ATTRIBUTES, "__START_AT", "__END_AT", "age_
                        "loyalty_segment") if c not in KEYS]
 
 
-def _change_feed_sql() -> str:
+def _change_feed_sql(cutoff: str = CUTOFF) -> str:
     on = "a.user_id = b.user_id AND a.__START_AT = b.__START_AT"
     row_a = "ROW(" + ", ".join(f"a.{c}" for c in _NONKEY) + ")"
     row_b = "ROW(" + ", ".join(f"b.{c}" for c in _NONKEY) + ")"
@@ -320,7 +320,7 @@ SELECT a.*, 'update_preimage' AS _change_type FROM v1_profile a JOIN profile b O
 UNION ALL
 SELECT b.*, 'update_postimage' AS _change_type FROM v1_profile a JOIN profile b ON {on}
  WHERE {row_a} IS DISTINCT FROM {row_b}"""
-    v1 = history_ctes("v1_", f"user_updated_at < TIMESTAMP '{CUTOFF}'")
+    v1 = history_ctes("v1_", f"user_updated_at < TIMESTAMP '{cutoff}'")
     return f"WITH {oracle.base_ctes()},{history_ctes()},{v1}\n{body}"
 
 
@@ -342,10 +342,47 @@ def q_change_feed_stored(spark, sf_dir):
     stored = []
     for refresh, s in enumerate((early, later)):
         files.write_table(pl.user_profile(s), f"{root}/version={refresh:012d}")
-        stored.append(spark.read.parquet(flows.latest_version(spark, root)))
+        stored.append(spark.read.parquet(versions.latest_version(spark, root)))
     return present(changes.change_feed(*stored, KEYS))
 
 
+#: Cut-offs of the refreshes before the last one, which holds everything.
+REFRESHES = (CUTOFF, "1998-04-01", "2000-01-01")
+
+
+@register("change_feed_range", _change_feed_sql(REFRESHES[0]))
+def q_change_feed_range(spark, sf_dir):
+    """Four refreshes of the profile table, each with its change log; the net feed from the first to the last."""
+    root = f"{scratch_path(spark, 'gold-refreshes')}/profile"
+    s = pl.silver_from_tables(spark, sf_dir)
+    for cut in (*REFRESHES, None):
+        customers = s.customers if cut is None else s.customers.filter(F.col("user_updated_at") < _utc(cut))
+        versions.write_refresh(pl.user_profile(replace(s, customers=customers)), root)
+    return present(versions.change_feed_range(spark, root, KEYS, 0, len(REFRESHES)))
+
+
+@register("change_feed_repeated_keys", W("""
+SELECT session_id, will_abandon, label_available_date, _change_type FROM (
+  WITH b AS (SELECT session_id, will_abandon, label_available_date FROM fx_labels WHERE day(label_available_date) <= 20),
+  a AS (SELECT session_id, CASE WHEN day(label_available_date) % 7 = 0 THEN 1 ELSE will_abandon END AS will_abandon, label_available_date
+        FROM fx_labels WHERE day(label_available_date) > 5),
+  went AS (SELECT * FROM b EXCEPT ALL SELECT * FROM a), came AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b),
+  w AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY will_abandon NULLS FIRST, label_available_date NULLS FIRST) AS rn FROM went),
+  c AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY will_abandon NULLS FIRST, label_available_date NULLS FIRST) AS rn FROM came)
+  SELECT w.*, CASE WHEN c.rn IS NULL THEN 'delete' ELSE 'update_preimage' END AS _change_type
+  FROM w LEFT JOIN c ON w.session_id IS NOT DISTINCT FROM c.session_id AND w.rn = c.rn
+  UNION ALL
+  SELECT c.*, CASE WHEN w.rn IS NULL THEN 'insert' ELSE 'update_postimage' END
+  FROM c LEFT JOIN w ON w.session_id IS NOT DISTINCT FROM c.session_id AND w.rn = c.rn)"""))
+def q_change_feed_repeated_keys(spark, sf_dir):
+    """The feed of labels by session, where one session has many labels: two months' ends differ, every seventh day's
+    labels are corrected."""
+    labels = dt.fixture_labels(spark, sf_dir)
+    day = F.dayofmonth(ts.as_wallclock("label_available_date"))
+    after = labels.withColumn("will_abandon", F.when(day % 7 == 0, 1).otherwise(F.col("will_abandon"))).filter(day > 5)
+    return present(changes.change_feed(labels.filter(day <= 20), after, ["session_id"]))
+
+
 def _features_sql_ctes() -> str:
     return f"{oracle.base_ctes()},{oracle.features_raw()}"
 

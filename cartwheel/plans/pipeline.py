@@ -86,14 +86,15 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     schemas, and a NULL in a NOT NULL column fails the write.
 
     Every refresh goes to its own ``version=`` folders, so a failed one leaves
-    the tables of the one before as they were, and two refreshes can be compared
-    (:func:`changes.change_feed`). Returns ``{table: path}`` plus
+    the tables of the one before as they were. The feature and profile tables get a
+    change log with every refresh (:func:`versions.change_feed_range`). Returns ``{table: path}`` plus
     ``_expectations`` (metrics per tag).
     """
     from .. import schemas
     from ..operators import changes
     from ..sources import files
-    from ..streaming.flows import latest_version, typed_events, typed_labels, version_number
+    from ..sources.versions import latest_version, version_number, write_changes
+    from ..streaming.flows import typed_events, typed_labels
 
     tables = BRONZE_TABLES + SILVER_TABLES + GOLD_TABLES
     stored = [latest_version(spark, layout.table(t)) for t in tables]
@@ -131,6 +132,7 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     for name, (df, ddl) in gold.items():
         declared = schemas.struct(ddl)
         store(changes.enforce_not_null(changes.conform(df, declared), changes.required_columns(declared)), name)
+        write_changes(spark, layout.table(name))
     store(spine.abandonment_spine(labelled), "gold_abandonment_spine")
     paths["_expectations"] = {tag: o.get for tag, o in observed.items()}
     return paths

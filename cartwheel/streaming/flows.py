@@ -213,26 +213,6 @@ def scd2_table(spark: SparkSession, history_root: str) -> DataFrame | None:
     return ManifestTable(spark, history_root).read()
 
 
-def version_number(path: str) -> int:
-    return int(path.rsplit("/version=", 1)[1].split(".", 1)[0])
-
-
-def latest_version(spark: SparkSession, root: str, other_than: str | None = None) -> str | None:
-    """Newest committed ``version=`` folder under ``root`` (committed = has
-    ``_SUCCESS``), leaving out the one of a given writer. Lists one directory."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return None
-    found = [st.getPath() for st in fs.listStatus(path)]
-    committed = [p.toString() for p in found if p.getName().startswith("version=")
-                 and not (other_than and p.getName().endswith(f".{other_than}"))
-                 and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return max(committed, key=version_number, default=None)
-
-
 # -- gold -------------------------------------------------------------------
 
 def spine_stream(labelled_stream: DataFrame) -> DataFrame:
