@@ -40,6 +40,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
 
 HOUR_MS = 3_600_000
@@ -64,134 +65,98 @@ FEATURE_COLUMNS = (
     "num_abandoned_confirmed_30d", "cart_value_24h_vs_avg_30d_ratio",
 )
 
-# delta columns of the enter/leave union: (name, SQL type)
-_COUNTS = [f"c_{w}" for w in WINDOWS]                # events with a session id
-_PARTS = [*(f"s{k}" for k in range(len(DIGITS))),     # cart value, digit by digit
-          "odd", "neg"]                              # NaN and +Inf (2**31 apart), -Inf
-_SUMS = [f"{p}_{w}" for p in _PARTS for w in WINDOWS]
-_NONNULL = ["n_1h", "n_24h", "n_30d"]                # cart value present (for avg)
-_DISTINCT = ["d_1h", "d_24h", "d_7d"]                # category occurrences
-_OTHER = ["a_24h", "b_30d"]                          # add-to-cart, abandoned
+# What an event adds to its frames, as it stands in one row of the enter/leave table:
+# c session id present, s0..s3 digits of the cart value, odd NaN and +Inf (2**31 apart), neg -Inf,
+# n cart value present, a add-to-cart, b abandoned.
+_PARTS = [*(f"s{k}" for k in range(len(DIGITS))), "odd", "neg"]
+_BASE = ["c", *_PARTS, "n", "a", "b"]
+# Kinds of rows: 0 the event enters; 1-4 it leaves a window; 5 its label becomes known;
+# 6 a category occurs, 7-10 that occurrence ends in a window; 11 and 12-15 the same for a session.
+_ENTER, _KNOWN = 0, 5
+_LEAVE = {w: i + 1 for i, w in enumerate(WINDOWS)}
+_FIRST = {"item_category": 6, "session_id": 11}
+_DISTINCT = {"item_category": ("d", ("1h", "24h", "7d")), "session_id": ("e", ("24h",))}
 
 
-def _zero(name: str) -> Column:
-    return F.lit(0).cast("long")
+def _deltas(pit: bool, sessions: bool) -> dict[str, str]:
+    """Running sums: name -> SQL of one row's contribution (NULL counts as none)."""
 
+    def span(column: str, w: str, enter: int = _ENTER) -> str:
+        return f"CASE kind WHEN {enter} THEN {column} WHEN {_LEAVE[w]} THEN -{column} END"
 
-_SESSIONS = ["e_24h"]                                # session occurrences (opt-in)
+    out = {f"c_{w}": span("c", w) for w in WINDOWS}
+    out |= {f"{p}_{w}": span(p, w) for p in _PARTS for w in WINDOWS}
+    out |= {f"n_{w}": span("n", w) for w in ("1h", "24h", "30d")}
+    out |= {"a_24h": span("a", "24h"), "b_30d": span("b", "30d", _KNOWN if pit else _ENTER)}
+    for column, (short, windows) in _DISTINCT.items():
+        first = _FIRST[column]
+        if column == "item_category" or sessions:
+            out |= {f"{short}_{w}": f"CASE kind WHEN {first} THEN 1L WHEN {first + _LEAVE[w]} THEN -1L END" for w in windows}
+    return out
 
 
-def _names(sessions: bool) -> list[str]:
-    return _COUNTS + _SUMS + _NONNULL + _DISTINCT + _OTHER + (_SESSIONS if sessions else [])
-
-
-def _delta_row(kind: int, pos: Column, ts: Column | None, user: Column,
-               values: dict[str, Column], mx_pre: Column | None = None,
-               mx_suf: Column | None = None, names: list[str] | None = None) -> Column:
-    fields = [F.lit(kind).alias("kind"), pos.alias("pos"), user.alias("user_id"),
-              (ts if ts is not None else F.lit(None).cast("timestamp")).alias("event_timestamp")]
-    for name in names or _names(False):
-        fields.append((values[name] if name in values else _zero(name)).alias(name))
-    fields.append((mx_pre if mx_pre is not None else F.lit(None).cast("double")).alias("mx_pre"))
-    fields.append((mx_suf if mx_suf is not None else F.lit(None).cast("double")).alias("mx_suf"))
-    return F.struct(*fields)
-
-
-def _day(ms: Column) -> Column:
-    return F.floor(ms / F.lit(DAY_MS))
-
-
-def _split_exact(v: Column) -> dict[str, Column]:
-    """``v`` as signed base-2**32 digits plus the counters of values without digits, all LONG; NULL -> zeros.
+def _split_exact(v: str) -> dict[str, str]:
+    """SQL of ``v`` (a double) as signed base-2**32 digits plus the counters of values without digits, all LONG; NULL -> 0.
 
     Scaling by powers of two, ``%`` and ``floor`` are exact on doubles, so the digits add up to ``v`` but for what lies
     below the last one. Running sums of digits stay exact over 2**31 rows.
     """
-    size = F.abs(v)
-    plain = v.isNotNull() & ~F.isnan(v) & (size < F.lit(2.0 ** 64))
-    sign = F.when(v < 0, -1).otherwise(1).cast("long")
+    plain = f"{v} IS NOT NULL AND NOT isnan({v}) AND abs({v}) < {2.0 ** 64!r}D"
     out = {}
     for k, e in enumerate(DIGITS):
-        rest = size if k == 0 else size % F.lit(2.0 ** (e + 32))
-        digit = F.floor(rest * F.lit(2.0 ** -e) + F.lit(0.5 if e == DIGITS[-1] else 0.0))
-        out[f"s{k}"] = F.when(plain, digit * sign).otherwise(0).cast("long")
-    out["odd"] = F.when(F.isnan(v), 1).when(~plain & (v > 0), 2 ** 31).otherwise(0).cast("long")
-    out["neg"] = F.when(~plain & ~F.isnan(v) & (v < 0), 1).otherwise(0).cast("long")
-    return {k: F.coalesce(c, F.lit(0).cast("long")) for k, c in out.items()}
+        rest = f"abs({v})" if k == 0 else f"abs({v}) % {2.0 ** (e + 32)!r}D"
+        digit = f"floor({rest} * {2.0 ** -e!r}D + {0.5 if e == DIGITS[-1] else 0.0}D)"
+        out[f"s{k}"] = f"CASE WHEN {plain} THEN CAST({digit} * CASE WHEN {v} < 0 THEN -1 ELSE 1 END AS BIGINT) ELSE 0L END"
+    out["odd"] = f"CASE WHEN isnan({v}) THEN 1L WHEN {v} > 0 AND NOT ({plain}) THEN {2 ** 31}L ELSE 0L END"
+    out["neg"] = f"CASE WHEN {v} < 0 AND NOT isnan({v}) AND NOT ({plain}) THEN 1L ELSE 0L END"
+    return out
+
+
+def _exact_total(prefix: str, w: str) -> str:
+    """SQL of the double that digit sums ``<prefix>s0_<w>`` ... stand for."""
+    odd, neg = f"{prefix}odd_{w}", f"{prefix}neg_{w}"
+    total = "0.0D"
+    for k in reversed(range(len(DIGITS))):
+        total = f"({total} + CAST({prefix}s{k}_{w} AS DOUBLE) * {2.0 ** DIGITS[k]!r}D)"
+    return (f"CASE WHEN {odd} % {2 ** 31}L > 0 OR ({odd} >= {2 ** 31}L AND {neg} > 0) THEN double('NaN') "
+            f"WHEN {odd} >= {2 ** 31}L THEN double('Infinity') WHEN {neg} > 0 THEN double('-Infinity') ELSE {total} END")
 
 
-def _exact_total(w: str) -> Column:
-    odd, neg = F.col(f"r_odd_{w}"), F.col(f"r_neg_{w}")
-    total = F.lit(0.0)
-    for k in reversed(range(len(DIGITS))):
-        total = total + F.col(f"r_s{k}_{w}").cast("double") * F.lit(2.0 ** DIGITS[k])
-    nan, high = odd % 2 ** 31 > 0, odd >= 2 ** 31
-    return (F.when(nan | (high & (neg > 0)), F.lit(float("nan")))
-            .when(high, F.lit(float("inf"))).when(neg > 0, F.lit(float("-inf"))).otherwise(total))
-
-
-def _event_rows(events: DataFrame, abandon_mode: str, names: list[str]) -> DataFrame:
-    # per-event contributions, computed once and then fanned out into rows
-    parts = _split_exact(F.col("cart_value").cast("double"))
-    events = events.select(
-        "user_id", "event_timestamp", "label_available_date",
-        F.unix_millis(F.col("event_timestamp")).alias("_ms"),
-        F.col("session_id").isNotNull().cast("long").alias("_c"),
-        *(c.alias(f"_{p}") for p, c in parts.items()),
-        F.col("cart_value").isNotNull().cast("long").alias("_n"),
-        F.coalesce(F.col("event_type") == "add_to_cart", F.lit(False)).cast("long").alias("_a"),
-        F.coalesce(F.col("will_abandon") == 1, F.lit(False)).cast("long").alias("_b"),
-        F.col("cart_value").cast("double").alias("_v"))
-    ms, c, n, a, b, v = (F.col(x) for x in ("_ms", "_c", "_n", "_a", "_b", "_v"))
-    user, ts = F.col("user_id"), F.col("event_timestamp")
-    pit = abandon_mode == "point_in_time"
+def _inputs() -> list[str]:
+    """SQL of what the features read of a labelled event, few bytes a row."""
+    return ["unix_millis(event_timestamp) AS _ms", "unix_millis(label_available_date) AS _label_ms",
+            "CAST(session_id IS NOT NULL AS BIGINT) AS c", "CAST(cart_value IS NOT NULL AS BIGINT) AS n",
+            "CAST(coalesce(event_type = 'add_to_cart', false) AS BIGINT) AS a",
+            "CAST(coalesce(will_abandon = 1, false) AS BIGINT) AS b", "CAST(cart_value AS DOUBLE) AS v"]
 
-    enter = {**{k: c for k in _COUNTS}, **{k: n for k in _NONNULL},
-             **{f"{p}_{w}": F.col(f"_{p}") for p in _PARTS for w in WINDOWS},
-             "a_24h": a, "b_30d": F.lit(0).cast("long") if pit else b}
-    # Max piece starting inside the event's own block: it covers the rest of
-    # that block, unless ts is the block's last millisecond (then the whole
-    # next block is covered by the 24 h leave row below).
-    own_block = F.when(F.pmod(ms + 1, F.lit(DAY_MS)) != 0, v)
-    rows = [_delta_row(0, ms, ts, user, enter, mx_pre=own_block, names=names)]
-    for w, width in WINDOWS.items():
-        leave = {f"c_{w}": -c, **{f"{p}_{w}": -F.col(f"_{p}") for p in _PARTS}}
-        if f"n_{w}" in _NONNULL:
-            leave[f"n_{w}"] = -n
-        if w == "24h":
-            leave["a_24h"] = -a
-        if w == "30d":
-            leave["b_30d"] = -b
-        rows.append(_delta_row(1, ms + F.lit(width), None, user, leave,
-                               mx_suf=v if w == "24h" else None, names=names))
+
+_VALUES = ["c", *(f"{x} AS {k}" for k, x in _split_exact("v").items()), "n", "a", "b", "v"]
+
+
+def _event_rows(events: DataFrame, pit: bool) -> DataFrame:
+    """One row when an event enters and one when it leaves each window, all with the same few columns."""
+    at = [f"named_struct('kind', {_ENTER}, 'pos', _ms)"]
+    at += [f"named_struct('kind', {_LEAVE[w]}, 'pos', _ms + {width}L)" for w, width in WINDOWS.items()]
     if pit:
-        label_ms = F.coalesce(F.unix_millis(F.col("label_available_date")), ms)
-        rows.append(_delta_row(2, label_ms, None, user, {"b_30d": b}, names=names))
-    out = events.select(F.inline(F.array(*rows)))
-    return out.filter((F.col("kind") != 2) | (F.col("b_30d") != 0)) if pit else out
-
-
-def _distinct_rows(events: DataFrame, column: str, targets: dict[str, str], names: list[str],
-                   num_partitions: int | None, direct_max_rows: int = DIRECT_MAX_ROWS,
-                   max_rows_hint: int | None = None) -> DataFrame:
-    """+1 / -1 deltas counting distinct non-NULL values of ``column`` per
-    user: each (user, value, ms) occurrence counts from its millisecond until
-    the value's next occurrence or until it leaves the window, whichever is
-    first. ``targets`` maps delta column -> window name."""
-    occ = (events.filter(F.col(column).isNotNull())
-                 .select("user_id", column, F.unix_millis(F.col("event_timestamp")).alias("ms"))
-                 .distinct())
+        at.append(f"named_struct('kind', {_KNOWN}, 'pos', coalesce(_label_ms, _ms))")
+    rows = events.selectExpr("user_id", "event_timestamp", *_VALUES, f"inline(array({', '.join(at)}))")
+    return rows.filter(f"kind <> {_KNOWN} OR b <> 0") if pit else rows
+
+
+def _distinct_rows(events: DataFrame, column: str, num_partitions: int | None,
+                   direct_max_rows: int = DIRECT_MAX_ROWS, max_rows_hint: int | None = None) -> DataFrame:
+    """+1 / -1 rows counting distinct non-NULL values of ``column`` per user:
+    each (user, value, ms) occurrence counts from its millisecond until the
+    value's next occurrence or until it leaves the window, whichever is first."""
+    occ = events.filter(F.col(column).isNotNull()).select("user_id", column, F.col("_ms").alias("ms")).distinct()
     occ = keyed_scan(occ, ["user_id", column], "ms",
                      [Scan("next_ms", F.col("ms"), "min", "after")],
                      num_partitions=num_partitions, direct_max_rows=direct_max_rows,
                      max_rows_hint=max_rows_hint)
-    one = F.lit(1).cast("long")
-    rows = [_delta_row(3, F.col("ms"), None, F.col("user_id"), {k: one for k in targets},
-                       names=names)]
-    for k, w in targets.items():
-        until = F.least(F.col("next_ms"), F.col("ms") + F.lit(WINDOWS[w]))
-        rows.append(_delta_row(3, until, None, F.col("user_id"), {k: -one}, names=names))
-    return occ.select(F.inline(F.array(*rows)))
+    first = _FIRST[column]
+    at = [f"named_struct('kind', {first}, 'pos', ms)"]
+    at += [f"named_struct('kind', {first + _LEAVE[w]}, 'pos', least(next_ms, ms + {WINDOWS[w]}L))" for w in _DISTINCT[column][1]]
+    return occ.selectExpr("user_id", f"inline(array({', '.join(at)}))")
 
 
 def largest_user(events: DataFrame) -> int:
@@ -206,7 +171,6 @@ def _order(df: DataFrame, distinct_sessions: bool) -> DataFrame:
 
 
 def behavior_features(events: DataFrame, abandon_mode: str = "reference",
-                      category_events: DataFrame | None = None,
                       num_partitions: int | None = None,
                       direct_max_rows: int = DIRECT_MAX_ROWS,
                       distinct_sessions: bool = False,
@@ -220,64 +184,99 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
 
     ``events``: labelled events (``user_id, session_id, event_timestamp,
     cart_value, event_type, item_category, will_abandon,
-    label_available_date``). ``category_events``: optional source for the
-    distinct-category occurrences (the unlabelled events give the same set
-    and skip recomputing the label join). ``abandon_mode``: ``reference``
+    label_available_date``); read once, eagerly. ``abandon_mode``: ``reference``
     counts abandoned events by event time; ``point_in_time`` only counts
     labels already available one millisecond before the row.
     """
     if abandon_mode not in ABANDON_MODES:
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
-    names = _names(distinct_sessions)
-    plain = category_events if category_events is not None else events
+    pit = abandon_mode == "point_in_time"
+    # the (label join's) rows are read three times below: stored once, in the few columns that count
+    path = scratch_path(events.sparkSession, "feature-inputs")
+    narrow = events.selectExpr("user_id", "event_timestamp", "item_category", *(["session_id"] if distinct_sessions else []), *_inputs())
+    narrow.write.parquet(path)
+    events = events.sparkSession.read.schema(narrow.schema).parquet(path)
     if user_rows is None and direct_max_rows > 0:
         user_rows = largest_user(events)
     # per labelled row at most: 1 query + 4 leave + 1 label row, and per
     # (value, ms) occurrence 4 category + 2 session rows -> 12 delta rows
     delta_hint = None if user_rows is None else 12 * user_rows
-    deltas = _event_rows(events, abandon_mode, names).unionByName(
-        _distinct_rows(plain, "item_category", {"d_1h": "1h", "d_24h": "24h", "d_7d": "7d"},
-                       names, num_partitions, direct_max_rows, user_rows))
-    if distinct_sessions:
-        deltas = deltas.unionByName(_distinct_rows(plain, "session_id", {"e_24h": "24h"}, names,
-                                                   num_partitions, direct_max_rows, user_rows))
-    scans = [Scan(f"r_{k}", F.col(k)) for k in names]
-    scans += [Scan("r_mx_pre", F.col("mx_pre"), "max", "before", per_block=True),
-              Scan("r_mx_suf", F.col("mx_suf"), "max", "from", per_block=True)]
-    scanned = keyed_scan(deltas, ["user_id"], "pos", scans, num_partitions=num_partitions,
-                         block=_day(F.col("pos")), direct_max_rows=direct_max_rows,
-                         max_rows_hint=delta_hint, keep=["kind", "event_timestamp"])
-    q = scanned.filter(F.col("kind") == 0)
-
-    def total(w):
-        return _exact_total(w)
-
-    def mean(w):
-        return F.when(F.col(f"r_n_{w}") > 0, total(w) / F.col(f"r_n_{w}"))
-
-    out = q.select(
+    rows = _event_rows(events, pit)
+    for column in ("item_category", "session_id") if distinct_sessions else ("item_category",):
+        rows = rows.unionByName(_distinct_rows(events, column, num_partitions, direct_max_rows, user_rows), allowMissingColumns=True)
+    scans = [Scan(f"r_{k}", F.expr(x)) for k, x in _deltas(pit, distinct_sessions).items()]
+    # Max piece starting inside the event's own block: it covers the rest of
+    # that block, unless ts is the block's last millisecond (then the whole
+    # next block is covered by the 24 h leave row).
+    own_block = F.expr(f"CASE WHEN kind = {_ENTER} AND pmod(pos + 1, {DAY_MS}L) <> 0 THEN v END")
+    tail = F.expr(f"CASE WHEN kind = {_LEAVE['24h']} THEN v END")
+    scans += [Scan("r_mx_pre", own_block, "max", "before", per_block=True),
+              Scan("r_mx_suf", tail, "max", "from", per_block=True)]
+    scanned = keyed_scan(rows, ["user_id"], "pos", scans, num_partitions=num_partitions,
+                         block=F.expr(f"floor(pos / {DAY_MS}D)"), direct_max_rows=direct_max_rows,
+                         max_rows_hint=delta_hint, keep=["kind", "event_timestamp"], inputs=[*_BASE, "v"])
+    out = _frame_values(scanned.filter(F.col("kind") == _ENTER), "r_", "greatest(r_mx_pre, r_mx_suf)",
+                        ["CAST(r_e_24h AS INT) AS distinct_sessions_24h"] if distinct_sessions else [])
+    return _order(out, distinct_sessions)
+
+
+def _frame_values(sums: DataFrame, p: str, highest: str, more: list[str] = ()) -> DataFrame:
+    """The feature columns from the sums of every frame (columns ``<p><delta name>``)."""
+
+    def total(w: str) -> str:
+        return _exact_total(p, w)
+
+    def mean(w: str) -> str:
+        return f"CASE WHEN {p}n_{w} > 0 THEN {total(w)} / {p}n_{w} END"
+
+    out = sums.selectExpr(
         "user_id", "event_timestamp",
-        F.col("r_c_1h").alias("count_events_1h"),
-        total("1h").alias("sum_cart_value_1h"),
-        mean("1h").alias("avg_cart_value_1h"),
-        F.col("r_d_1h").cast("int").alias("distinct_categories_1h"),
-        F.col("r_c_24h").alias("count_sessions_24h"),
-        total("24h").alias("sum_cart_value_24h"),
-        mean("24h").alias("avg_cart_value_24h"),
-        F.greatest("r_mx_pre", "r_mx_suf").alias("max_cart_value_24h"),
-        F.col("r_d_24h").cast("int").alias("distinct_categories_24h"),
-        F.col("r_a_24h").alias("count_add_to_cart_24h"),
-        F.col("r_c_7d").alias("count_events_7d"),
-        total("7d").alias("sum_cart_value_7d"),
-        F.col("r_d_7d").cast("int").alias("distinct_categories_7d"),
-        F.col("r_c_30d").alias("count_events_30d"),
-        total("30d").alias("sum_cart_value_30d"),
-        mean("30d").alias("avg_cart_value_30d"),
-        F.col("r_b_30d").alias("num_abandoned_confirmed_30d"),
-        *([F.col("r_e_24h").cast("int").alias("distinct_sessions_24h")] if distinct_sessions else []),
-    )
-    return _order(out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio()),
-                  distinct_sessions)
+        f"{p}c_1h AS count_events_1h",
+        f"{total('1h')} AS sum_cart_value_1h",
+        f"{mean('1h')} AS avg_cart_value_1h",
+        f"CAST({p}d_1h AS INT) AS distinct_categories_1h",
+        f"{p}c_24h AS count_sessions_24h",
+        f"{total('24h')} AS sum_cart_value_24h",
+        f"{mean('24h')} AS avg_cart_value_24h",
+        f"{highest} AS max_cart_value_24h",
+        f"CAST({p}d_24h AS INT) AS distinct_categories_24h",
+        f"{p}a_24h AS count_add_to_cart_24h",
+        f"{p}c_7d AS count_events_7d",
+        f"{total('7d')} AS sum_cart_value_7d",
+        f"CAST({p}d_7d AS INT) AS distinct_categories_7d",
+        f"{p}c_30d AS count_events_30d",
+        f"{total('30d')} AS sum_cart_value_30d",
+        f"{mean('30d')} AS avg_cart_value_30d",
+        f"{p}b_30d AS num_abandoned_confirmed_30d",
+        *more)
+    return out.withColumn("cart_value_24h_vs_avg_30d_ratio", spend_ratio())
+
+
+def latest_behavior_features(events: DataFrame, abandon_mode: str = "reference",
+                             unlabelled: DataFrame | None = None) -> DataFrame:
+    """The feature row of every user's newest event, the same values as in :func:`behavior_features`.
+
+    Where one row per user is asked for, its frames are fixed by the newest
+    time, so each is a conditional sum: events are joined with their user's
+    newest time and aggregated twice, by (user, category) and by user, with
+    partial aggregation. No sort and no running frame. ``unlabelled``: the events
+    before the label join, which know the newest times without it.
+    """
+    pit = abandon_mode == "point_in_time"
+    newest = (events if unlabelled is None else unlabelled).groupBy(F.col("user_id").alias("_u")).agg(F.max("event_timestamp").alias("_at"))
+    rows = events.selectExpr("user_id", "item_category", *_inputs()).selectExpr("user_id", "item_category", "_ms", "_label_ms", *_VALUES).join(newest, F.col("user_id").eqNullSafe(F.col("_u")))
+    rows = rows.withColumn("_end", F.unix_millis("_at")).filter(f"_ms >= _end - {max(WINDOWS.values())}L")
+    seen = {w: f"(_ms < _end AND _ms >= _end - {width}L)" for w, width in WINDOWS.items()}
+    known = f"({seen['30d']} AND coalesce(_label_ms, _ms) < _end)" if pit else seen["30d"]
+    sums = {f"c_{w}": ("c", seen[w]) for w in WINDOWS} | {f"{p}_{w}": (p, seen[w]) for p in _PARTS for w in WINDOWS}
+    sums |= {f"n_{w}": ("n", seen[w]) for w in ("1h", "24h", "30d")} | {"a_24h": ("a", seen["24h"]), "b_30d": ("b", known)}
+    first = [F.expr(f"sum(CASE WHEN {when} THEN {c} ELSE 0L END) AS {k}") for k, (c, when) in sums.items()]
+    first += [F.expr(f"max(CASE WHEN {seen[w]} AND item_category IS NOT NULL THEN 1L ELSE 0L END) AS d_{w}") for w in ("1h", "24h", "7d")]
+    first += [F.expr(f"max(CASE WHEN {seen['24h']} THEN v END) AS highest")]
+    by_category = rows.groupBy("user_id", F.col("_at").alias("event_timestamp"), "item_category").agg(*first)
+    names = [*sums, "d_1h", "d_24h", "d_7d"]
+    by_user = by_category.groupBy("user_id", "event_timestamp").agg(*(F.sum(k).alias(k) for k in names), F.max("highest").alias("highest"))
+    return _order(_frame_values(by_user, "", "highest"), False)
 
 
 def spend_ratio(sum_24h: str = "sum_cart_value_24h", avg_30d: str = "avg_cart_value_30d") -> Column:

@@ -43,34 +43,29 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
     ``right_ts <= left_ts`` (NULLs when there is none). Left rows are kept
     one-for-one.
 
-    Built as one skew-safe keyed scan over the union of both sides: right
-    rows carry ``struct(right_ts, tie, values)``, left rows carry NULL, and a
-    running max up to each position yields the latest right row. No range
-    join and no per-key collection, so a key holding a third of all rows is
-    still spread over many tasks. ``max_rows_hint``: a proven bound of the
-    rows per key over both sides (skips the plan choice's counting pass).
+    Built as one skew-safe keyed scan over the union of both sides: a running
+    max of the right times gives every left row the time of its hit, and an
+    equi-join on (key, time) brings the values, so no wide row is compared or
+    carried in the scan. Right rows that share key and time count as one, the
+    greatest by ``value_cols``. No range join and no per-key collection, so a
+    key holding a third of all rows is still spread over many tasks.
+    ``max_rows_hint``: a proven bound of the rows per key over both sides
+    (skips the plan choice's counting pass).
     """
-    rcols = [F.col(c) for c in value_cols]
-    r = right.select(
-        F.col(key).alias("_key"),
-        F.unix_micros(F.col(right_ts)).alias("_pos"),
-        F.struct(F.unix_micros(F.col(right_ts)).alias("t"), *rcols).alias("_val"),
-    )
+    r = right.select(F.col(key).alias("_rkey"), F.unix_micros(F.col(right_ts)).alias("_at"),
+                     F.struct(*[F.col(c) for c in value_cols]).alias("_val")).filter("_at IS NOT NULL")
     left_cols = left.columns
-    l_struct = F.struct(*[F.col(c) for c in left_cols]).alias("_left")
     lt = left.select(F.col(key).alias("_key"), F.unix_micros(F.col(left_ts)).alias("_pos"),
-                     l_struct)
-    val_type = r.schema["_val"].dataType
-    left_type = lt.schema["_left"].dataType
-    u = (lt.select("_key", "_pos", F.lit(None).cast(val_type).alias("_val"), "_left")
-           .unionByName(r.select("_key", "_pos", "_val",
-                                 F.lit(None).cast(left_type).alias("_left"))))
-    scanned = keyed_scan(u, ["_key"], "_pos", [Scan("_hit", F.col("_val"), "max", "upto")],
+                     F.struct(*[F.col(c) for c in left_cols]).alias("_left"))
+    u = lt.unionByName(r.select(F.col("_rkey").alias("_key"), F.col("_at").alias("_pos"), F.col("_at")), allowMissingColumns=True)
+    scanned = keyed_scan(u, ["_key"], "_pos", [Scan("_hit", F.col("_at"), "max", "upto")],
                          num_partitions=num_partitions, direct_max_rows=direct_max_rows,
-                         max_rows_hint=max_rows_hint)
-    out = scanned.filter(F.col("_left").isNotNull())
+                         max_rows_hint=max_rows_hint, keep=["_left"])
+    values = r.groupBy("_rkey", "_at").agg(F.max("_val").alias("_val"))
+    out = (scanned.filter(F.col("_left").isNotNull())
+                  .join(values, F.col("_key").eqNullSafe(F.col("_rkey")) & (F.col("_hit") == F.col("_at")), "left"))
     return out.select(*[F.col(f"_left.{c}").alias(c) for c in left_cols],
-                      *[F.col(f"_hit.{c}").alias(prefix + c) for c in value_cols])
+                      *[F.col(f"_val.{c}").alias(prefix + c) for c in value_cols])
 
 
 def version_lookup(left: DataFrame, history: DataFrame, key: str, ts: str, value_cols: list[str],

@@ -51,7 +51,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -62,13 +62,13 @@ from ..session import scratch_path
 # order instead of using UNBOUNDED FOLLOWING, a frame Spark re-aggregates for
 # every row (quadratic in the group size).
 FRAMES = {
-    "before": (Window.unboundedPreceding, -1),
-    "upto": (Window.unboundedPreceding, 0),
-    "from": (Window.unboundedPreceding, 0),
-    "after": (Window.unboundedPreceding, -1),
+    "before": "BETWEEN UNBOUNDED PRECEDING AND 1L PRECEDING",
+    "upto": "BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW",
+    "from": "BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW",
+    "after": "BETWEEN UNBOUNDED PRECEDING AND 1L PRECEDING",
 }
 FORWARD = ("before", "upto")
-OPS = {"sum": F.sum, "max": F.max, "min": F.min}
+OPS = ("sum", "max", "min")
 DIRECT_MAX_ROWS = 1_000_000
 
 
@@ -126,40 +126,56 @@ def largest_key(df: DataFrame, keys: list[str]) -> int:
     return int(top or 0)
 
 
-def _finish(df: DataFrame, scans: list[Scan], helpers: list[str], extra_drop: list[str]) -> DataFrame:
-    finals = {}
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _finish(df: DataFrame, scans: list[Scan], drop: list[str], carried: bool) -> DataFrame:
+    """Local value and carry put together. (Scans are many and wide: SQL text keeps building the plan cheap.)"""
+    finals = []
     for i, s in enumerate(scans):
-        lc, oc = F.col(f"_l{i}"), F.col(f"_o{i}")
         if s.op == "sum":
-            zero = F.lit(0).cast(df.schema[f"_l{i}"].dataType)
-            finals[s.name] = F.coalesce(lc, zero) + F.coalesce(oc, zero)
-        elif s.op == "max":
-            finals[s.name] = F.greatest(lc, oc)
+            value = f"coalesce(_l{i}, 0) + coalesce(_o{i}, 0)" if carried else f"coalesce(_l{i}, 0)"
         else:
-            finals[s.name] = F.least(lc, oc)
-    drop = ["_blk", *helpers, *extra_drop] + [f"_{p}{i}" for i in range(len(scans)) for p in "vlo"]
-    return df.withColumns(finals).drop(*drop)
+            value = f"{'greatest' if s.op == 'max' else 'least'}(_l{i}, _o{i})" if carried else f"_l{i}"
+        finals.append(f"{value} AS {_q(s.name)}")
+    gone = {"_blk", *drop} | {f"_{p}{i}" for i in range(len(scans)) for p in "vlo"} | {s.name for s in scans}
+    return df.selectExpr(*(_q(c) for c in df.columns if c not in gone), *finals)
 
 
 def _local_windows(df: DataFrame, part: list[str], pos: str, scans: list[Scan],
-                   block_part: list[str]) -> DataFrame:
-    """Running frames per group; per-block scans also restart at each block."""
-    cols = {}
+                   block_part: list[str], late: bool) -> DataFrame:
+    """Running frames per group; per-block scans also restart at each block.
+
+    Scans that share an order are one window. ``late`` computes each window's
+    values right before it, the window of most scans last, so that the others
+    sort narrow rows.
+    """
+    windows: dict[tuple, list[int]] = {}
     for i, s in enumerate(scans):
-        spec = Window.partitionBy(*(block_part if s.per_block else part))
-        order = F.col(pos).asc() if s.frame in FORWARD else F.col(pos).desc()
-        cols[f"_l{i}"] = OPS[s.op](f"_v{i}").over(spec.orderBy(order).rangeBetween(*FRAMES[s.frame]))
-    return df.withColumns(cols)
+        windows.setdefault((s.per_block, s.frame in FORWARD), []).append(i)
+    for (per_block, forward), members in sorted(windows.items(), key=lambda w: len(w[1])):
+        if late:
+            df = df.withColumns({f"_v{i}": scans[i].value for i in members})
+        keys = ", ".join(_q(c) for c in (block_part if per_block else part))
+        over = f"OVER (PARTITION BY {keys} ORDER BY {_q(pos)} {'ASC' if forward else 'DESC'} RANGE"
+        kept = [_q(c) for c in df.columns if not late or c not in {f"_v{i}" for i in members}]
+        df = df.selectExpr(*kept, *(f"{scans[i].op}(_v{i}) {over} {FRAMES[scans[i].frame]}) AS _l{i}" for i in members))
+    return df
 
 
 def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
                num_partitions: int | None = None, block: Column | None = None,
                direct_max_rows: int = DIRECT_MAX_ROWS,
-               max_rows_hint: int | None = None, keep: list[str] | None = None) -> DataFrame:
+               max_rows_hint: int | None = None, keep: list[str] | None = None,
+               inputs: list[str] | None = None) -> DataFrame:
     """Add one column per :class:`Scan` holding its running aggregate.
 
     ``keep``: the columns besides keys and ``pos`` that the result needs
     (default all); the others are dropped before any sort or shuffle.
+    ``inputs``: the columns that the scans' values are made of. If given, these
+    are what is shuffled and stored, and the values are made after that; good
+    for many scans over few columns.
 
     Eager: the plan choice runs one aggregation (skipped when the caller
     passes ``max_rows_hint``, a proven upper bound of the busiest key's row
@@ -168,38 +184,34 @@ def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
     """
     d, kcols, helpers = _non_null_keys(df, keys)
     d = d.withColumn("_blk", (block if block is not None else F.lit(0)).cast("long"))
-    d = d.withColumns({f"_v{i}": s.value for i, s in enumerate(scans)})
+    values = {f"_v{i}": s.value for i, s in enumerate(scans)}
+    late = inputs is not None
+    if not late:
+        d = d.withColumns(values)
     if keep is not None:
-        d = d.select(*keys, *helpers, pos, *keep, "_blk", *(f"_v{i}" for i in range(len(scans))))
+        sources = [c for c in (inputs if late else values) if c not in {*keys, pos, *keep}]
+        d = d.select(*keys, *helpers, pos, *keep, *sources, "_blk")
+        helpers = helpers + (sources if late else [])
     busiest = (lambda: max_rows_hint) if max_rows_hint is not None else (lambda: largest_key(d, kcols))
     if direct_max_rows > 0 and busiest() <= direct_max_rows:
-        local = _local_windows(d, kcols, pos, scans, [*kcols, "_blk"])
-        local = local.withColumns({f"_o{i}": F.lit(None).cast(local.schema[f"_l{i}"].dataType)
-                                   for i in range(len(scans))})
-        return _finish(local, scans, helpers, [])
+        if late:
+            d = d.repartition(*kcols)
+        return _finish(_local_windows(d, kcols, pos, scans, [*kcols, "_blk"], late), scans, helpers, False)
     pieces = range_pieces(d, [*kcols, pos], num_partitions)
     part = ["_pid", *kcols, "_blk"]
+    local = _local_windows(pieces.repartition(*part) if late else pieces, part, pos, scans, part, late)
 
-    local = _local_windows(pieces, part, pos, scans, part)
+    totals = (pieces.withColumns(values) if late else pieces).groupBy(*part).agg(*[F.expr(f"{s.op}(_v{i}) AS _t{i}") for i, s in enumerate(scans)])
 
-    totals = pieces.groupBy(*part).agg(*[OPS[s.op](f"_v{i}").alias(f"_t{i}")
-                                         for i, s in enumerate(scans)])
-
-    def carry_window(s: Scan) -> Window:
+    def carry(i: int, s: Scan) -> str:
         # all earlier (forward) or later (backward) groups of the key -- or
         # of the key's block -- as a running frame
-        if s.per_block:
-            spec = Window.partitionBy(*kcols, "_blk")
-            order = [F.col("_pid")]
-        else:
-            spec = Window.partitionBy(*kcols)
-            order = [F.col("_pid"), F.col("_blk")]
-        order = [o.asc() if s.frame in FORWARD else o.desc() for o in order]
-        return spec.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-
-    carries = {f"_o{i}": OPS[s.op](f"_t{i}").over(carry_window(s))
-               for i, s in enumerate(scans)}
-    carry = totals.withColumns(carries).select(*part, *carries)
-
-    joined = local.join(carry, on=part, how="left")
-    return _finish(joined, scans, helpers, ["_pid"])
+        order = "ASC" if s.frame in FORWARD else "DESC"
+        group = [*kcols, "_blk"] if s.per_block else kcols
+        by = ["_pid"] if s.per_block else ["_pid", "_blk"]
+        return (f"{s.op}(_t{i}) OVER (PARTITION BY {', '.join(map(_q, group))} ORDER BY {', '.join(f'{c} {order}' for c in by)} "
+                f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _o{i}")
+
+    carries = totals.selectExpr(*map(_q, part), *(carry(i, s) for i, s in enumerate(scans)))
+    joined = local.join(carries, on=part, how="left")
+    return _finish(joined, scans, [*helpers, "_pid"], True)

@@ -68,7 +68,7 @@ def q_behavior_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_behavior_features_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship with running frames per user, whatever the busiest user holds."""
     s = pl.silver_from_tables(spark, sf_dir)
-    f = pl.features.behavior_features(pl.labelled_events(s), category_events=s.events, direct_max_rows=2 ** 62)
+    f = pl.features.behavior_features(pl.labelled_events(s), direct_max_rows=2 ** 62)
     return present(f, FEATURE_DOUBLES)
 
 
@@ -77,7 +77,7 @@ def q_behavior_features_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship forced onto the hot-key plan (enter/leave scan over
     range pieces) -- what runs when one user is too big for one task."""
     s = pl.silver_from_tables(spark, sf_dir)
-    f = pl.features.behavior_features(pl.labelled_events(s), category_events=s.events,
+    f = pl.features.behavior_features(pl.labelled_events(s),
                                       direct_max_rows=0)
     return present(f, FEATURE_DOUBLES)
 
@@ -122,7 +122,7 @@ FROM features f JOIN ds ON f.user_id = ds.user_id AND f.event_timestamp = ds.eve
 def q_distinct_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True distinct sessions in 24 h next to the original event count."""
     s = pl.silver_from_tables(spark, sf_dir)
-    f = pl.features.behavior_features(pl.labelled_events(s), category_events=s.events,
+    f = pl.features.behavior_features(pl.labelled_events(s),
                                       distinct_sessions=True)
     return present(f.select("user_id", "event_timestamp", "count_sessions_24h",
                             "distinct_sessions_24h").distinct())

@@ -393,8 +393,7 @@ SELECT * EXCLUDE (rn) FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC) AS rn FROM r)
 WHERE rn = 1""")
 def q_latest(spark, sf_dir):
-    f = pl.behavior_features(pl.silver_from_tables(spark, sf_dir))
-    return present(changes.latest_per_key(f, ["user_id"], "event_timestamp"), FEATURE_DOUBLES)
+    return present(pl.latest_features(pl.silver_from_tables(spark, sf_dir)), FEATURE_DOUBLES)
 
 
 @register("primary_key_audit", W(
@@ -469,19 +468,7 @@ FROM sp ASOF LEFT JOIN r
 def q_training_set(spark, sf_dir):
     """Spine payload and label, every profile attribute, every behaviour feature."""
     s = pl.silver_from_tables(spark, sf_dir)
-    labelled = pl.labelled_events(s)
-    # one counting pass bounds both the feature plan and the as-of lookup:
-    # per user, spine rows and feature rows are each the user's labelled rows
-    busiest = pl.features.largest_user(labelled)
-    spine_df = labelled.select(*schemas.SPINE_COLUMNS)
-    with_profile = joins.version_lookup(spine_df, pl.user_profile(s), "user_id", "event_timestamp",
-                                        PROFILE_VALUES)
-    # the bound lets the lookup skip its counting pass, so the (lazy) feature
-    # table is computed exactly once
-    feats = pl.features.behavior_features(labelled, category_events=s.events, user_rows=busiest)
-    out = joins.asof_lookup(with_profile, feats, "user_id", "event_timestamp", "event_timestamp",
-                            list(pl.features.FEATURE_COLUMNS[2:]), max_rows_hint=2 * busiest)
-    return present(out, FEATURE_DOUBLES)
+    return present(pl.training_set(s, PROFILE_VALUES), FEATURE_DOUBLES)
 
 
 # --------------------------------------------------------------------------

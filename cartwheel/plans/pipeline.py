@@ -12,7 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from .. import schemas
 from ..operators import features, joins, quality, scd2, profile, spine
+from ..session import scratch_path
 from ..sources import driver_tables as dt
 
 
@@ -46,8 +48,12 @@ def labelled_events(s: Silver) -> DataFrame:
 
 def behavior_features(s: Silver, abandon_mode: str = "reference",
                       num_partitions: int | None = None) -> DataFrame:
-    return features.behavior_features(labelled_events(s), abandon_mode=abandon_mode,
-                                      category_events=s.events, num_partitions=num_partitions)
+    return features.behavior_features(labelled_events(s), abandon_mode=abandon_mode, num_partitions=num_partitions)
+
+
+def latest_features(s: Silver) -> DataFrame:
+    """Every user's newest feature row, for online serving."""
+    return features.latest_behavior_features(labelled_events(s), unlabelled=s.events)
 
 
 def users_history(s: Silver, tie_breaker: str | None = "source_seq") -> DataFrame:
@@ -64,6 +70,29 @@ def abandonment_spine(s: Silver) -> DataFrame:
     return spine.abandonment_spine(labelled_events(s))
 
 
+def training_set(s: Silver, profile_values: list[str]) -> DataFrame:
+    """Every labelled event with the profile and the features as they were at its time.
+
+    The labelled rows feed the spine, the features and both lookups, and the
+    feature rows both sides of theirs: each is computed once and stored.
+    """
+    spark = s.events.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    labelled = stored(labelled_events(s), "training-labelled")
+    busiest = features.largest_user(labelled)
+    table = stored(features.behavior_features(labelled, user_rows=busiest), "training-features")
+    with_profile = joins.version_lookup(labelled.select(*schemas.SPINE_COLUMNS), user_profile(s), "user_id", "event_timestamp",
+                                        profile_values)
+    # per user, spine rows and feature rows are each the user's labelled rows
+    return joins.asof_lookup(with_profile, table, "user_id", "event_timestamp", "event_timestamp",
+                             list(features.FEATURE_COLUMNS[2:]), max_rows_hint=2 * busiest)
+
+
 BRONZE_TABLES = ("bronze_customers", "bronze_cart_events", "bronze_labels")
 SILVER_TABLES = ("silver_quarantine_customers", "silver_quarantine_cart_events",
                  "silver_quarantine_labels", "silver_clean_customers", "silver_clean_cart_events",
@@ -90,7 +119,6 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     change log with every refresh (:func:`versions.change_feed_range`). Returns ``{table: path}`` plus
     ``_expectations`` (metrics per tag).
     """
-    from .. import schemas
     from ..operators import changes
     from ..sources import files
     from ..sources.versions import latest_version, version_number, write_changes
@@ -127,7 +155,7 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     history = store(users_history(s, tie_breaker), "silver_users_history")
     labelled = store(labelled_events(s), "silver_abandonment_events")
 
-    gold = {"gold_user_behavior_features": (features.behavior_features(labelled, category_events=s.events), schemas.BEHAVIOR_FEATURES_DDL),
+    gold = {"gold_user_behavior_features": (features.behavior_features(labelled), schemas.BEHAVIOR_FEATURES_DDL),
             "gold_user_profile": (profile.user_profile(history), schemas.USER_PROFILE_DDL)}
     for name, (df, ddl) in gold.items():
         declared = schemas.struct(ddl)
