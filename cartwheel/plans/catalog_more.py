@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sources import driver_tables as dt
 from ..sources import files, versions
 from ..streaming import flows
-from . import oracle
+from . import incremental, oracle
 from . import pipeline as pl
 from .catalog import FEATURE_DOUBLES, present, register
 
@@ -396,6 +396,24 @@ def q_latest(spark, sf_dir):
     return present(pl.latest_features(pl.silver_from_tables(spark, sf_dir)), FEATURE_DOUBLES)
 
 
+@register("incremental_features", oracle.behavior_features())
+def q_incremental_features(spark, sf_dir):
+    """A base and three increments of clean events and labels, some events weeks late and labels before or after their
+    events; the kept feature table equals the full computation."""
+    s = pl.silver_from_tables(spark, sf_dir)
+    view = incremental.FeatureView(spark, scratch_path(spark, "feature-view"), buckets=4)
+
+    def arrival(time: str, *days: int):
+        day = F.dayofmonth(ts.as_wallclock(time))
+        return sum(((day > d).cast("int") for d in days), F.lit(0))
+
+    events = s.events.withColumn("_n", F.when(F.col("event_id") % 97 == 0, 3).otherwise(arrival("event_timestamp", 15, 20, 25)))
+    labels = s.labels.withColumn("_n", arrival("label_available_date", 14, 22, 26))
+    for n in range(4):
+        view.refresh(events.filter(F.col("_n") == n).drop("_n"), labels.filter(F.col("_n") == n).drop("_n"), n)
+    return present(view.table(), FEATURE_DOUBLES)
+
+
 @register("primary_key_audit", W(
     "SELECT user_id, event_timestamp, CAST(COUNT(*) AS BIGINT) AS occurrences FROM labelled "
     "GROUP BY user_id, event_timestamp HAVING COUNT(*) > 1"))

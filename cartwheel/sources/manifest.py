@@ -34,7 +34,7 @@ def hash_bucket(keys: list[str], buckets: int) -> Column:
 @dataclass(frozen=True)
 class Snapshot:
     number: int = -1
-    folders: dict[str, str] = field(default_factory=dict)      # part -> commit folder that holds its files
+    folders: dict[str, list[str]] = field(default_factory=dict)  # part -> commit folders that hold its files
     applied: dict[str, int] = field(default_factory=dict)      # writer -> its last batch
     settings: dict = field(default_factory=dict)
 
@@ -73,7 +73,7 @@ class ManifestTable:
         """All rows, or those of some parts; None if there are no files."""
         snapshot = snapshot or self.snapshot()
         wanted = snapshot.folders if parts is None else [p for p in parts if p in snapshot.folders]
-        paths = [f"{self.root}/data/{snapshot.folders[p]}/{p}" for p in wanted]
+        paths = [f"{self.root}/data/{f}/{p}" for p in wanted for f in snapshot.folders[p]]
         return self.spark.read.parquet(*paths) if paths else None
 
     # -- writing ------------------------------------------------------------
@@ -85,8 +85,9 @@ class ManifestTable:
         return sorted("/".join(f"{n}={r[n]}" for n in by) for r in names)
 
     def commit(self, rows: DataFrame | None, by: dict[str, Column], parts: Iterable[str], writer: str, batch: int,
-               base: Snapshot | None = None, settings: dict | None = None) -> Snapshot:
-        """Replace ``parts`` by ``rows`` (their whole new content; a part without rows goes) and publish.
+               base: Snapshot | None = None, settings: dict | None = None, append: bool = False) -> Snapshot:
+        """Replace ``parts`` by ``rows`` (their whole new content; a part without rows goes) and publish. ``append``
+        adds the rows to the parts instead, whose files stay.
 
         ``base``: the snapshot that ``rows`` were made from; a commit in between raises :class:`ConcurrentCommit`.
         A ``batch`` that ``writer`` has published already changes nothing.
@@ -95,13 +96,13 @@ class ManifestTable:
         if base.applied.get(writer, -1) >= batch:
             return base
         parts, folder = list(parts), f"{base.number + 1:012d}.{writer}"
-        folders = {p: f for p, f in base.folders.items() if p not in set(parts)}
+        folders = {p: f for p, f in base.folders.items() if append or p not in set(parts)}
         if parts:
             marked = rows.withColumns({f"_part_{n}": c for n, c in by.items()})
             marked = marked.withColumnsRenamed({f"_part_{n}": n for n in by}) if not set(by) & set(rows.columns) else self._refuse(by)
             # REBALANCE deals rows out by part and lets AQE split large parts and join small ones
             marked.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(f"{self.root}/data/{folder}")
-            folders |= {p: folder for p in parts if self._fs.exists(self._path("data", folder, p))}
+            folders |= {p: [*folders.get(p, []), folder] for p in parts if self._fs.exists(self._path("data", folder, p))}
         new = Snapshot(base.number + 1, folders, base.applied | {writer: batch}, base.settings | (settings or {}))
         self._publish(new)
         return new
@@ -127,7 +128,7 @@ class ManifestTable:
         reader uses them and no commit is under way. Returns the number of commit folders removed."""
         numbers = self.numbers()
         old, kept = numbers[: -max(1, keep)], numbers[-max(1, keep):]
-        needed = {f for n in kept for f in self.snapshot(n).folders.values()}
+        needed = {f for n in kept for held in self.snapshot(n).folders.values() for f in held}
         gone = [f for f in self._names("data") if f not in needed and int(f.split(".", 1)[0]) <= max(kept, default=-1)]
         for n in old:
             self._fs.delete(self._path("manifests", f"{n:012d}.json"), False)

@@ -34,7 +34,7 @@ class Feed:
 
     def files(self):
         snap = ManifestTable(self.spark, self.root).snapshot()
-        return {p: sorted(os.listdir(f"{self.root}/data/{f}/{p}")) + [f] for p, f in snap.folders.items()}
+        return {p: [(f, sorted(os.listdir(f"{self.root}/data/{f}/{p}"))) for f in held] for p, held in snap.folders.items()}
 
     def check(self):
         got = flows.scd2_table(self.spark, self.root)
@@ -127,6 +127,17 @@ def test_concurrent_commit_is_refused_and_old_snapshots_stay_readable(spark, tmp
     assert table.expire(keep=1) == 3 and read(None) == [("new", 1)] and table.numbers() == [2]
 
 
+def test_append_keeps_the_files_of_a_part(spark, tmp_path):
+    table = ManifestTable(spark, str(tmp_path / "t"))
+    by = {"p": F.col("v").cast("int")}
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
+    first = table.commit(df, by, table.touched(df, by), "w", 0, append=True)
+    second = table.commit(df.where("v = 1"), by, ["p=1"], "w", 1, append=True)
+    assert second.folders["p=1"][:1] == first.folders["p=1"] and second.folders["p=2"] == first.folders["p=2"]
+    assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("a", 1), ("b", 2)]
+    assert sorted(map(tuple, table.read(parts=["p=2", "p=9"]).collect())) == [("b", 2)]
+
+
 def test_parts_may_not_hide_a_column(spark, tmp_path):
     table = ManifestTable(spark, str(tmp_path / "t"))
     with pytest.raises(ValueError):
