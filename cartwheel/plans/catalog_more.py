@@ -493,7 +493,8 @@ def q_training_set(spark, sf_dir):
 # Streaming: file ingest, fan-out, stream-stream join, spine
 # --------------------------------------------------------------------------
 EVENTS_JSON_WITH_ID = schemas.EVENTS_JSON_DDL + ", event_id BIGINT"
-SENTINEL = "__flush__"
+#: Later than any time in the data, with the 30 days that an event waits for its labels.
+FOREVER = "2100-01-01T00:00:00"
 
 
 def _land_events(spark: SparkSession, events: DataFrame, path: str) -> None:
@@ -507,18 +508,6 @@ def _land_labels(spark: SparkSession, labels: DataFrame, path: str) -> None:
            .write.mode("append").json(path))
 
 
-def _flush_markers(spark: SparkSession, layout: files.Layout) -> None:
-    """One far-future event and label: advances both watermarks past all
-    real rows so the join emits its pending unmatched events."""
-    ev = spark.createDataFrame(
-        [(SENTINEL, "0", 0.0, "2100-01-01T00:00:00.000000", "view", "cat0", -1)],
-        schemas.struct(EVENTS_JSON_WITH_ID))
-    lb = spark.createDataFrame([(SENTINEL, 0, "2100-01-01T00:00:00.000000")],
-                               schemas.struct(schemas.LABELS_JSON_DDL))
-    ev.write.mode("append").json(layout.events)
-    lb.write.mode("append").json(layout.labels)
-
-
 def _stream_ingest(spark, sf_dir, what: str) -> DataFrame:
     root = scratch_path(spark, f"stream-ingest-{what}")
     if what == "events":
@@ -565,31 +554,68 @@ def q_stream_clean(spark, sf_dir):
 
 
 def _stream_label_join(spark, sf_dir) -> files.Layout:
-    """Full streaming silver over landed JSON in two triggered runs: the
-    data, then flush markers that move both watermarks past every real row."""
+    """Full streaming silver over landed JSON in one triggered run. Heartbeats declare both inputs complete, so the run
+    also gives out the events that no label meets."""
     layout = files.Layout(scratch_path(spark, "stream-join"))
     _land_events(spark, dt.fixture_events(spark, sf_dir), layout.events)
     _land_labels(spark, dt.fixture_labels(spark, sf_dir), layout.labels)
-    for landed_flush in (False, True):
-        if landed_flush:
-            _flush_markers(spark, layout)
-        flows.run_silver_join(spark, layout, events_schema=schemas.struct(EVENTS_JSON_WITH_ID),
-                              state_partitions=spark.sparkContext.defaultParallelism)
+    flows.heartbeat(spark, layout, FOREVER, FOREVER)
+    flows.run_silver_join(spark, layout, events_schema=schemas.struct(EVENTS_JSON_WITH_ID),
+                          state_partitions=spark.sparkContext.defaultParallelism)
     return layout
 
 
 @register("stream_label_join", W("SELECT * FROM labelled"))
 def q_stream_label_join(spark, sf_dir):
     layout = _stream_label_join(spark, sf_dir)
-    out = spark.read.parquet(layout.table("silver_abandonment_events"))
-    return present(out.filter(F.col("session_id") != SENTINEL))
+    return present(spark.read.parquet(layout.table("silver_abandonment_events")))
 
 
 @register("spine_stream", W(SPINE_SQL))
 def q_spine_stream(spark, sf_dir):
     layout = _stream_label_join(spark, sf_dir)
-    out = spark.read.parquet(flows.run_spine(spark, layout))
-    return present(out.filter(F.col("session_id") != SENTINEL))
+    return present(spark.read.parquet(flows.run_spine(spark, layout)))
+
+
+COMPLETE = "2024-01-20T00:00:00"
+
+
+@register("stream_reconciliation", W(f"""
+SELECT 'events' AS input, count(*) AS landed, count_if(NOT ok) AS quarantined, count_if(ok AND late) AS late,
+       count_if(ok AND NOT late) AS clean, count_if(ok AND NOT late) AS joined, CAST(0 AS BIGINT) AS pending
+FROM (SELECT COALESCE({oracle.conj('transactions')}, FALSE) AS ok,
+             event_id % 7 = 0 AND event_timestamp <= TIMESTAMP '{COMPLETE}' AS late FROM fx_events)
+UNION ALL
+SELECT 'labels', count(*), count_if(NOT ok), count_if(ok AND late), count_if(ok AND NOT late), NULL, NULL
+FROM (SELECT COALESCE({oracle.conj('labels')}, FALSE) AS ok,
+             length(session_id) % 2 = 0 AND label_available_date <= TIMESTAMP '{COMPLETE}' AS late FROM fx_labels)"""))
+def q_stream_reconciliation(spark, sf_dir):
+    """Two runs with late deliveries: after the first, both inputs are declared complete up to a day; of the second
+    delivery what is older is kept as late, the rest is joined. Every landed row is accounted for."""
+    layout = files.Layout(scratch_path(spark, "stream-late"))
+    events, labels = dt.fixture_events(spark, sf_dir), dt.fixture_labels(spark, sf_dir)
+    second = {"events": F.col("event_id") % 7 == 0, "labels": F.length("session_id") % 2 == 0}
+    for late, until in ((False, COMPLETE), (True, FOREVER)):
+        _land_events(spark, events.filter(second["events"] == late), layout.events)
+        _land_labels(spark, labels.filter(second["labels"] == late), layout.labels)
+        flows.heartbeat(spark, layout, until, until)
+        flows.run_silver_join(spark, layout, events_schema=schemas.struct(EVENTS_JSON_WITH_ID),
+                              state_partitions=spark.sparkContext.defaultParallelism)
+    landed = {"events": spark.read.text(layout.events), "labels": spark.read.text(layout.labels)}
+    return flows.stream_reconciliation(spark, layout, landed, "event_id")
+
+
+@register("stream_expectation_metrics", W(_metrics_sql("transactions")))
+def q_stream_expectation_metrics(spark, sf_dir):
+    """Rule metrics of a stream routed in two triggered runs, kept with its batches and summed over all of them."""
+    root = scratch_path(spark, "stream-metrics")
+    events = dt.fixture_events(spark, sf_dir)
+    for part in (0, 1):
+        _land_events(spark, events.filter(F.col("event_id") % 2 == part), f"{root}/landing")
+        bronze = flows.bronze_events(spark, f"{root}/landing", schemas.struct(EVENTS_JSON_WITH_ID))
+        evaluated = quality.evaluate(flows.typed_events(bronze), "transactions").drop(*schemas.LINEAGE_COLUMNS)
+        flows.fan_out(evaluated, f"{root}/clean", f"{root}/quarantine", f"{root}/_checkpoint", metrics=("transactions", f"{root}/metrics"))
+    return flows.stream_expectations(spark, f"{root}/metrics")
 
 
 @register("scd2_incremental", WH("SELECT * FROM history"))

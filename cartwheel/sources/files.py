@@ -22,7 +22,10 @@ from ..functions.timestamps import parse_timestamp
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each input lands, relative to one root folder."""
+    """Where each input lands, relative to one root folder.
+
+    Fixed values: the folder names of the landing zone (context, events/transactions, events/labels).
+    """
 
     root: str
 
@@ -42,6 +45,10 @@ class Layout:
     def labels(self) -> str:
         return f"{self.landing}/events/labels"
 
+    @property
+    def control(self) -> str:
+        return f"{self.landing}/control"
+
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/tables/{name}"
 
