@@ -17,6 +17,7 @@ one text's tokens.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,13 +31,16 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import steps, stored, text_or_empty
 
 CAPACITY, END, SHARD = 2048, 0, 200_000
+#: A run of white space of this length is left to the tokenizer file: the pattern's look-ahead recurses over the run.
+LONG_SPACE = re.compile(r"\s{20000}")
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 class Encoder:
     """Token ids as little-endian 32-bit bytes, those of the ``tokenizers`` file ``path``.
 
     ``ranks`` is the same vocabulary for tiktoken, which gives the same ids several times faster; it takes every text but
-    those that hold the string of a special token, which the tokenizer file treats in its own way.
+    those that hold the string of a special token, which the tokenizer file treats in its own way, or a very long run of
+    white space.
     """
 
     def __init__(self, path: str, ranks: str, pattern: str) -> None:
@@ -53,7 +57,7 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or LONG_SPACE.search(text):
             return self.reference(text)
         return array("I", self.fast.encode_ordinary(text)).tobytes()
 
