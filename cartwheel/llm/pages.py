@@ -55,7 +55,10 @@ PLAIN_NAMES = re.compile(
     r"|site|page|global|main|primary|secondary|mobile|desktop|sticky|fixed|floating|media|posts?|entry|articles?|stories|js",
     re.I,
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|$)|<!?/?[a-zA-Z][^>]*>|<\?[^>]*>", re.I | re.S)
+#: The rest of a tag; a quoted value may hold ">".
+_REST = r"""(?:[^>=]++|=\s*+"[^"<]*+"|=\s*+'[^'<]*+'|=)*+>"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|iframe)\b{_REST}.*?(?:</\1\s*+>|$)|<!?/?[a-zA-Z]{_REST}|<\?[^>]*>", re.I | re.S)
+_ENDED = re.compile(r"(?:-->|</(?:script|style|noscript|template|svg|iframe)\s*>)\Z", re.I)
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""\shidden(?=[\s>/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -75,36 +78,51 @@ class Page:
         self.named: list[tuple[int, int, bool]] = []          # forms (True) and elements with a name that is skipped
         stack: list[tuple[str, int, bool, bool, bool]] = []
         self._skip, self._main = 0, 0
-        at = 0
-        for m in _TOKEN.finditer(source):
+        opened: dict[str, list[int]] = {}                     # places in the stack of the open elements of a name
+        barriers: list[int] = []                              # and of those that stray end tags do not reach out of
+
+        def pop() -> None:
+            element = stack.pop()
+            opened[element[0]].pop()
+            if barriers and barriers[-1] == len(stack):
+                barriers.pop()
+            self._close(element)
+
+        at, tags = 0, source.rfind(">") + 1                   # no tag ends after that
+        for m in _TOKEN.finditer(source, 0, tags):
             if m.start() > at:
                 self._add_text(source[at : m.start()])
             at = m.end()
+            if at == tags and (m.group(1) or m.group().startswith("<!--")) and not _ENDED.search(m.group()):
+                at = len(source)                              # a comment or script without an end goes on to the page's end
             tag = _NAME.match(m.group())
             if m.group(1) or not tag:
                 continue
             name, closing = tag[2].lower(), bool(tag[1])
             if closing:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] != name and name in INLINE | {"p"} and (stack[depth][0] in CONTAINERS or stack[depth][2] or stack[depth][4]):
-                        break                                 # a stray end tag closes nothing outside its container
-                    if stack[depth][0] == name:
-                        self._add_tag(name)
-                        while len(stack) > depth:
-                            self._close(stack.pop())
-                        break
+                places = opened.get(name)
+                if places and not (name in INLINE | {"p"} and barriers and barriers[-1] > places[-1]):
+                    self._add_tag(name)
+                    depth = places[-1]
+                    while len(stack) > depth:
+                        pop()
                 continue
             if name not in VOID and not m.group().endswith("/>"):
                 main = name in ("article", "main")
                 skip = name in SKIPPED or (name == "header" and not self._main) or (name not in ("html", "body") and bool(_HIDDEN.search(m.group())))
-                stack.append((name, len(self.kind), skip, main, name == "form" or self._marked(m.group(), name)))
+                named = name == "form" or self._marked(m.group(), name)
+                opened.setdefault(name, []).append(len(stack))
+                if name in CONTAINERS or skip or named:
+                    barriers.append(len(stack))
+                stack.append((name, len(self.kind), skip, main, named))
                 self._skip += skip
                 self._main += main
             self._add_tag(name)
-        if at < len(source):
-            self._add_text(source[at:])
+        rest = source[at:].partition("<!--")[0]
+        if rest:
+            self._add_text(rest)
         while stack:
-            self._close(stack.pop())
+            pop()
         self._skip_named()
 
     @staticmethod
