@@ -52,6 +52,21 @@ def lowest_texts(texts: DataFrame, most: int) -> DataFrame:
     return out.distinct().orderBy("_at", "text").limit(most).select("text")
 
 
+def absent(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, kind: str = "left_anti") -> DataFrame:
+    """``docs`` without (or, by ``left_semi``, only) the rows whose ``row_key`` is in ``keys`` (k1, k2). Columns stay as they are."""
+    names = [absent(docs, "_k1"), absent(docs, "_k2")]
+    marked = docs.withColumns(dict(zip(names, row_key(id_col, text_or_empty(text_col)), strict=True)))
+    return marked.join(keys.select(*(F.col(k).alias(n) for k, n in zip(("k1", "k2"), names, strict=True))), names, kind).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def row_key(id_col: str, text: Column) -> list[Column]:
     """Two hash columns that name a row by its id and text. They are never null; rows that agree in both id and
     text share a key and get the same result, so ids may be null or repeated."""

@@ -11,7 +11,7 @@ items, each with its own automaton and pass over the documents, and the hits are
 
 Defined results: null and empty texts have no words and no hits; items without words have no window; items with a null
 id mark words but are not listed; repeated items count once by id; repeated documents are judged one by one; extra
-columns are kept by ``drop_contaminated``; empty tables give no hits or an empty result. Memory per task: the automaton
+columns are kept by ``clean_documents``; empty tables give no hits or an empty result. Memory per task: the automaton
 and the longest text.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import flat, row_key, steps, stored, text_or_empty
+from cartwheel.llm.common import flat, row_key, steps, stored, text_or_empty, without_rows
 
 WINDOW, COVERAGE = 13, 20           # words; hits times COVERAGE reach the words of a document
 BLOCK_WORDS = 500_000
@@ -230,9 +230,7 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones, all columns unchanged; other documents are left as they are."""
-    key = dict(zip(("_k1", "_k2"), row_key(id_col, text_or_empty(text_col)), strict=True))
-    text = docs.select(F.struct(*key.values()).alias("_key"), text_or_empty(text_col).alias("text"))
+    text = docs.select(F.struct(*row_key(id_col, text_or_empty(text_col))).alias("_key"), text_or_empty(text_col).alias("text"))
     found = contamination(text, items, "_key", "text", **options).withColumn("n_hit", covered_words())
     gone = stored(found.where(is_contaminated()).select("_key.k1", "_key.k2").distinct(), "contaminated")
-    gone = gone.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    return docs.withColumns(key).join(gone, ["_k1", "_k2"], "left_anti").select(docs.columns)
+    return without_rows(docs, gone, id_col, text_col)

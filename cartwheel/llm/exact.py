@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import row_key, stored, text_or_empty
+from cartwheel.llm.common import absent, row_key, stored, text_or_empty, without_rows
 
 PREFIX = 64
 WHITE = "[\\x20\\x09-\\x0D]+"
@@ -76,11 +76,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one row left of every group of equal texts, all columns unchanged."""
     decided = _decided(_tagged(docs, id_col, text_col, hash_all=False))
     verdicts = decided.where("group_size > 1").groupBy("k1", "k2").agg(F.max("kept").alias("_keep"), F.count("*").alias("_same"))
-    verdicts = stored(verdicts.where("not _keep or _same > 1"), "exact-verdicts").withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    k1, k2 = row_key(id_col, text_or_empty(text_col))
-    marked = docs.withColumns({"_k1": k1, "_k2": k2})
-    out = marked.join(verdicts.select("_k1", "_k2"), ["_k1", "_k2"], "left_anti").select(docs.columns)
+    verdicts = stored(verdicts.where("not _keep or _same > 1"), "exact-verdicts")
+    out = without_rows(docs, verdicts, id_col, text_col)
     repeated = verdicts.where("_keep")                       # rows that agree in id and text: one of them stays
     if repeated.isEmpty():
         return out
-    return out.unionByName(marked.join(repeated, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(docs.columns))
+    k1, k2 = absent(docs, "_k1"), absent(docs, "_k2")
+    same = without_rows(docs, repeated, id_col, text_col, "left_semi").withColumns(dict(zip((k1, k2), row_key(id_col, text_or_empty(text_col)), strict=True)))
+    return out.unionByName(same.dropDuplicates([k1, k2]).select(out.columns))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import flat, row_key, steps, stored, text_or_empty, words_flat
+from cartwheel.llm.common import flat, row_key, steps, stored, text_or_empty, without_rows, words_flat
 from cartwheel.llm.components import components
 from cartwheel.llm.windows import mix, prefix_hash, range_hash, word_hashes
 
@@ -279,6 +279,5 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the document of the smallest id left of every group, all columns unchanged."""
-    gone = groups(docs, id_col, text_col).where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
-    key = dict(zip(("_k1", "_k2"), row_key(id_col, text_or_empty(text_col)), strict=True))
-    return docs.withColumns(key).join(stored(gone, "near-gone"), ["_k1", "_k2"], "left_anti").select(docs.columns)
+    gone = groups(docs, id_col, text_col).where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select("k1", "k2").distinct()
+    return without_rows(docs, stored(gone, "near-gone"), id_col, text_col)

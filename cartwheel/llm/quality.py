@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import flat, lowest, steps, text_or_empty, words_flat
+from cartwheel.llm.common import absent, flat, lowest, steps, text_or_empty, words_flat
 from cartwheel.llm.windows import mix, word_hashes
 
 BITS = 18
@@ -130,31 +130,32 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = lowest(narrow, F.xxhash64("_id", "label"), rows).withColumnRenamed("_at", "at")
     ids = [r[0] for r in sample.select("_id").distinct().collect()]                    # at most ``rows`` ids
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text")).where(F.col("_id").isin(ids))
-    known = texts.join(sample, "_id")
+    known = texts.groupBy("_id").agg(F.min("text").alias("text")).join(sample, "_id")  # of repeated ids one text
     found = known.select("text", "label", "at").repartition(1).mapInArrow(_fit, "model binary").collect()
     return np.frombuffer(found[0].model, dtype="<f8") if found else np.zeros(1 << BITS)
 
 
-def _score(model):
+def _score(model, text: str, score: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = model.value
         for batch in steps(batches):
-            out = scores(weights, *flat(pc.fill_null(batch.column("_text"), "")))
-            rest = batch.drop_columns(["_text"])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(out)], [*rest.schema.names, "score"])
+            out = scores(weights, *flat(pc.fill_null(batch.column(text), "")))
+            rest = batch.drop_columns([text])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(out)], [*rest.schema.names, score])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return run(b for batch in batches for b in steps([batch], "_text"))
+        return run(b for batch in batches for b in steps([batch], text))
 
     return cut
 
 
-def scored(docs: DataFrame, model: np.ndarray, text_col: str = "text") -> DataFrame:
-    """``docs`` with a double ``score`` from 0 to 1."""
+def scored(docs: DataFrame, model: np.ndarray, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with a double ``score_col`` from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers
     kind = docs.schema.fields
-    schema = type(docs.schema)([*kind]).add("score", "double")
-    return docs.withColumn("_text", text_or_empty(text_col)).mapInArrow(_score(shared), schema)
+    schema = type(docs.schema)([*kind]).add(score_col, "double")
+    text = absent(docs, "_text")
+    return docs.withColumn(text, text_or_empty(text_col)).mapInArrow(_score(shared, text, score_col), schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,4 +169,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rejected ones, all columns unchanged."""
     model = train(docs, labels, id_col, text_col)
-    return scored(docs, model, text_col).where(F.col("score") >= THRESHOLD).drop("score")
+    score = absent(docs, "score")
+    return scored(docs, model, text_col, score).where(F.col(score) >= THRESHOLD).drop(score)
