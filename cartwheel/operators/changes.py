@@ -7,6 +7,9 @@ with partial aggregation and hash partitioning; nothing is collected.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -55,6 +58,11 @@ def no_net_rows(table: DataFrame) -> DataFrame:
     return table.withColumn(COPIES, F.lit(0).cast("long")).limit(0)
 
 
+def expanded(net: DataFrame) -> DataFrame:
+    """Net rows that came, one row per copy."""
+    return net.withColumn(COPIES, F.explode(F.sequence(F.lit(1).cast("long"), COPIES))).drop(COPIES)
+
+
 def feed_of(net: DataFrame, keys: list[str]) -> DataFrame:
     """The change feed of net rows: within a key, the rows that went and those that came are paired in the order of
     their content (null first) as pre- and postimage of an update; what is left over is deleted or inserted.
@@ -107,6 +115,14 @@ class ConstraintViolation(ValueError):
     pass
 
 
+def require_primary_key(df: DataFrame, keys: list[str]) -> None:
+    """Raise :class:`ConstraintViolation` if a key repeats or holds a null; one pass, at most five keys reach the driver."""
+    null = reduce(or_, (F.col(k).isNull() for k in keys))
+    bad = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).filter((F.col("occurrences") > 1) | null).limit(5).collect()
+    if bad:
+        raise ConstraintViolation(f"primary key {keys} is violated, for example by {[tuple(r) for r in bad]}")
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` onto a declared schema: declared order and types (cast),
     extra columns dropped; a missing column raises. NOT NULL declarations are

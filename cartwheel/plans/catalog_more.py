@@ -434,6 +434,23 @@ def _not_null_sql() -> str:
     return WH("\nUNION ALL\n".join(parts))
 
 
+@register("snapshot_append_stream", W("SELECT user_id, source_seq, user_updated_at FROM fx_customers_raw"))
+def q_snapshot_append(spark, sf_dir):
+    """Customer snapshots rewritten four times, the last one delivered twice, followed by a stream in three runs: every row
+    of every snapshot comes once."""
+    base = scratch_path(spark, "snapshots")
+    raw = dt.fixture_customers(spark, sf_dir).select("user_id", "source_seq", "user_updated_at")
+    cuts = (*REFRESHES, None, None)
+    for i, cut in enumerate(cuts):
+        snapshot = raw if cut is None else raw.filter(F.coalesce(F.col("user_updated_at"), _utc("1900-01-01")) < _utc(cut))
+        versions.write_refresh(snapshot, f"{base}/table")
+        if i in (1, 3, 4):
+            versions.append_new_rows(spark, f"{base}/table", f"{base}/new")
+            stream = spark.readStream.schema(raw.schema).parquet(f"{base}/new/version=*")
+            flows.run_available_now(stream, f"{base}/out", f"{base}/_checkpoint")
+    return present(spark.read.schema(raw.schema).parquet(f"{base}/out"))
+
+
 @register("not_null_check", _not_null_sql())
 def q_not_null(spark, sf_dir):
     s = pl.silver_from_tables(spark, sf_dir)

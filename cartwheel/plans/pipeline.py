@@ -112,7 +112,8 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     (:func:`quality.write_routed`) with its expectation metrics observed during
     that pass; its clean and quarantine tables are the two partitions of that
     write. The feature and profile tables are conformed to their declared
-    schemas, and a NULL in a NOT NULL column fails the write.
+    schemas and commented, and a NULL in a NOT NULL column, or a repeated key of
+    the profile table, fails the write.
 
     Every refresh goes to its own ``version=`` folders, so a failed one leaves
     the tables of the one before as they were. The feature and profile tables get a
@@ -121,7 +122,7 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     """
     from ..operators import changes
     from ..sources import files
-    from ..sources.versions import latest_version, version_number, write_changes
+    from ..sources.versions import latest_version, version_number, write_refresh
     from ..streaming.flows import typed_events, typed_labels
 
     tables = BRONZE_TABLES + SILVER_TABLES + GOLD_TABLES
@@ -157,10 +158,12 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
 
     gold = {"gold_user_behavior_features": (features.behavior_features(labelled), schemas.BEHAVIOR_FEATURES_DDL),
             "gold_user_profile": (profile.user_profile(history), schemas.USER_PROFILE_DDL)}
+    # label repeats make several feature rows of one (user, time), so only the profile's key is enforced
+    keys = {"gold_user_profile": list(schemas.USER_PROFILE_PK)}
     for name, (df, ddl) in gold.items():
         declared = schemas.struct(ddl)
-        store(changes.enforce_not_null(changes.conform(df, declared), changes.required_columns(declared)), name)
-        write_changes(spark, layout.table(name))
-    store(spine.abandonment_spine(labelled), "gold_abandonment_spine")
+        rows = changes.enforce_not_null(changes.conform(df, declared), changes.required_columns(declared))
+        write_refresh(files.with_comments(rows, name), layout.table(name), refresh, keys.get(name))
+    store(files.with_comments(spine.abandonment_spine(labelled), "gold_abandonment_spine"), "gold_abandonment_spine")
     paths["_expectations"] = {tag: o.get for tag, o in observed.items()}
     return paths

@@ -51,6 +51,22 @@ SPINE_COLUMNS = ("session_id", "user_id", "event_timestamp", "will_abandon",
                  "label_available_date", "item_category", "cart_value", "event_type")
 
 
+# What the published tables and their columns hold. Written with the tables (column metadata of the files).
+TABLE_COMMENTS = {
+    "gold_user_behavior_features": "Rolling cart behaviour of a user before each labelled event; no frame holds the event itself",
+    "gold_user_profile": "Versions of a customer's profile with derived segments, valid from __START_AT to __END_AT",
+    "gold_abandonment_spine": "Labelled events: what a training row is about and when its label became known",
+}
+COLUMN_COMMENTS = {
+    "user_id": "Customer", "event_timestamp": "Time of the event (UTC)", "__START_AT": "First instant of the version",
+    "__END_AT": "First instant of the next version; null while open", "age_group": "Segment by age",
+    "loyalty_segment": "Segment by returns and membership", "will_abandon": "Label: 1 if the session's cart was abandoned",
+    "label_available_date": "When the label became known", "cart_value_24h_vs_avg_30d_ratio": "Spend of 24 h over the mean of 30 days",
+} | {f"{what}_{w}": f"{text} in the {w} before the event" for w in ("1h", "24h", "7d", "30d") for what, text in (
+    ("count_events", "Events"), ("sum_cart_value", "Sum of cart values"), ("avg_cart_value", "Mean cart value"), ("max_cart_value", "Highest cart value"),
+    ("distinct_categories", "Distinct categories"), ("count_sessions", "Events with a session"), ("count_add_to_cart", "Added to the cart"),
+    ("num_abandoned_confirmed", "Events whose label says abandoned"))}
+
 
 def struct(ddl: str) -> StructType:
     """Parse a DDL column list (needs an active session)."""

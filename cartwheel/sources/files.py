@@ -144,6 +144,24 @@ def stream_csv(spark: SparkSession, path: str, schema: StructType | None = None)
     return with_lineage(reader.schema(schema or schemas.customers_csv()).load(path))
 
 
+def with_comments(df: DataFrame, table: str, comments: dict[str, str] | None = None) -> DataFrame:
+    """``df`` with comments in its columns' metadata, the table's own on the first column. Parquet files keep them."""
+    texts = schemas.COLUMN_COMMENTS if comments is None else comments
+    out = []
+    for i, f in enumerate(df.schema.fields):
+        more = {"comment": texts[f.name]} if f.name in texts else {}
+        if i == 0 and table in schemas.TABLE_COMMENTS:
+            more["table_comment"] = schemas.TABLE_COMMENTS[table]
+        out.append(F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, **more}))
+    return df.select(*out)
+
+
+def comments_of(df: DataFrame) -> tuple[str | None, dict[str, str]]:
+    """(table comment, column comments) of a table read back."""
+    fields = df.schema.fields
+    return fields[0].metadata.get("table_comment"), {f.name: f.metadata["comment"] for f in fields if "comment" in f.metadata}
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Full-refresh (``overwrite``) or append write of a table folder."""

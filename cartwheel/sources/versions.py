@@ -53,17 +53,63 @@ def write_changes(spark: SparkSession, root: str) -> list[int]:
     return done
 
 
-def write_refresh(df: DataFrame, root: str, number: int | None = None) -> int:
-    """Store ``df`` as the next version (or the given number) together with its change log."""
-    spark = df.sparkSession
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    jvm = spark.sparkContext._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise RuntimeError(f"{new} is there already")
+
+
+def write_refresh(df: DataFrame, root: str, number: int | None = None, primary_key: list[str] | None = None) -> int:
+    """Store ``df`` as the next version (or the given number) together with its change log.
+
+    ``primary_key``: the rows are staged first and published by a rename only if no key repeats or holds a null; else
+    :class:`changes.ConstraintViolation`, and the newest version stays what it was. Staged rows are sorted by the key within
+    each file, so a (key, time) lookup reads few row groups.
+    """
+    spark, root = df.sparkSession, root.rstrip("/")
     newest = latest_version(spark, root)
     if number is None:
         number = version_number(newest) + 1 if newest else 0
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/version={number:012d}")
+    target = f"{root}/version={number:012d}"
+    if primary_key is None:
+        df.write.mode("overwrite").parquet(target)
+    else:
+        staged = f"{root}.staged/version={number:012d}"
+        df.repartition(*primary_key[:1]).sortWithinPartitions(*primary_key).write.mode("overwrite").parquet(staged)
+        changes.require_primary_key(spark.read.schema(df.schema).parquet(staged), primary_key)
+        _rename(spark, staged, target)
     write_changes(spark, root)
     return number
 
 
+def append_new_rows(spark: SparkSession, root: str, out: str) -> list[int]:
+    """Turn a table that is rewritten by every refresh into one that only grows: for each version not taken over yet, the
+    rows that it added (a row that came twice comes twice) go to a folder ``version=`` of ``out``, which a stream can read.
+
+    A version is taken over once: its folder counts when it is whole, and a crash before that writes it again. A snapshot
+    that is delivered again adds nothing. Returns the versions taken over.
+    """
+    done = {version_number(p) for p in versions(spark, out)}
+    logs = {version_number(p): p for p in versions(spark, _log_root(root))}
+    taken = []
+    for path in versions(spark, root):
+        number = version_number(path)
+        if number in done:
+            continue
+        if number in logs:
+            net = spark.read.parquet(logs[number])
+            rows = changes.expanded(net.filter(f"{changes.COPIES} > 0"))
+        elif number == version_number(versions(spark, root)[0]) and not done:
+            rows = spark.read.parquet(path)
+        else:
+            raise ValueError(f"version {number} of {root} has no change log; write_changes() writes it")
+        rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/version={number:012d}")
+        taken.append(number)
+    return taken
+
+
 def change_feed_range(spark: SparkSession, root: str, keys: list[str], first: int, last: int) -> DataFrame:
     """The net change feed from version ``first`` to version ``last``, from the logs in between. A row that came and went
     within the range is in neither image; an update that happened in several steps is one update."""
