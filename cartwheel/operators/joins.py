@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
@@ -34,6 +34,32 @@ def label_interval_join(events: DataFrame, labels: DataFrame,
               .select(F.col("ev.*"), F.col("lbl.will_abandon"), F.col("lbl.label_available_date")))
 
 
+#: Width of a slice in days; a label meets events of as many slices as its horizon touches.
+SLICE_DAYS = 30
+
+
+def label_interval_join_sliced(events: DataFrame, labels: DataFrame, horizon_days: int = 30, slice_days: int = SLICE_DAYS) -> DataFrame:
+    """The batch :func:`label_interval_join` for sessions of any size: joined on (session, time slice).
+
+    An event lies in one slice. A label is copied to the slices of the events it can meet -- two, where a slice is as long
+    as the horizon -- so every pair meets exactly once, and the events and the labels of one long session are both dealt out
+    by slice. Skewed sessions inside one slice are left to AQE, which splits the events' side.
+    """
+    day = F.lit(86_400_000).cast("long")
+
+    def slice_of(time: Column, back: int = 0) -> Column:
+        return F.floor((F.unix_millis(time) - day * back) / (day * slice_days)).cast("long")
+
+    lb = labels.select("session_id", "will_abandon", "label_available_date").withColumn(
+        "_slice", F.explode(F.sequence(slice_of(F.col("label_available_date"), horizon_days), slice_of(F.col("label_available_date")))))
+    ev = events.withColumn("_slice", slice_of(F.col("event_timestamp"))).alias("ev")
+    lb = lb.alias("lbl")
+    cond = [F.col("ev.session_id") == F.col("lbl.session_id"), F.col("ev._slice") == F.col("lbl._slice"),
+            F.col("lbl.label_available_date") >= F.col("ev.event_timestamp"),
+            F.col("lbl.label_available_date") <= F.col("ev.event_timestamp") + F.expr(f"INTERVAL {horizon_days} DAYS")]
+    return ev.join(lb, cond, "left").select(*(F.col(f"ev.{c}") for c in events.columns), F.col("lbl.will_abandon"), F.col("lbl.label_available_date"))
+
+
 def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                 value_cols: list[str], prefix: str = "",
                 num_partitions: int | None = None,

@@ -17,7 +17,8 @@ from ..operators import changes, joins, quality, scd2
 from ..operators import profile as prof
 from ..session import scratch_path
 from ..sources import driver_tables as dt
-from ..sources import files, versions
+from ..sources import evolving, files, versions
+from ..sources.manifest import ManifestTable
 from ..streaming import flows
 from . import incremental, oracle
 from . import pipeline as pl
@@ -176,6 +177,12 @@ def q_label_join(spark, sf_dir):
     return present(pl.labelled_events(pl.silver_from_tables(spark, sf_dir)))
 
 
+@register("label_interval_join_sliced", W("SELECT * FROM labelled"))
+def q_label_join_sliced(spark, sf_dir):
+    s = pl.silver_from_tables(spark, sf_dir)
+    return present(joins.label_interval_join_sliced(s.events, s.labels))
+
+
 @register("spine", W(SPINE_SQL))
 def q_spine(spark, sf_dir):
     return present(pl.abandonment_spine(pl.silver_from_tables(spark, sf_dir)))
@@ -635,6 +642,38 @@ def q_stream_expectation_metrics(spark, sf_dir):
     return flows.stream_expectations(spark, f"{root}/metrics")
 
 
+@register("append_flows", W("SELECT 'events' AS flow, session_id, event_timestamp AS at FROM fx_events UNION ALL "
+                            "SELECT 'labels', session_id, label_available_date FROM fx_labels"))
+def q_append_flows(spark, sf_dir):
+    """Two flows with checkpoints of their own into one target; the second is added after the first has run twice."""
+    root = scratch_path(spark, "flows")
+    events, labels = dt.fixture_events(spark, sf_dir), dt.fixture_labels(spark, sf_dir)
+    inputs = {"events": events.select(F.lit("events").alias("flow_name"), "session_id", F.col("event_timestamp").alias("at"), F.col("event_id").alias("n")),
+              "labels": labels.select(F.lit("labels").alias("flow_name"), "session_id", F.col("label_available_date").alias("at"), F.length("session_id").cast("long").alias("n"))}
+    for name, part in (("events", 0), ("events", 1), ("labels", 0), ("labels", 1)):
+        rows = inputs[name]
+        rows.filter(F.col("n") % 2 == part).write.mode("append").parquet(f"{root}/{name}")
+        flows.append_flow(spark.readStream.schema(rows.schema).parquet(f"{root}/{name}"), f"{root}/target", name, f"{root}/_checkpoint_{name}")
+    return present(ManifestTable(spark, f"{root}/target").read().select(F.col("flow_name").alias("flow"), "session_id", "at"))
+
+
+@register("ingest_inferred_types", W("""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 1000 AS VARCHAR)
+                      WHEN event_id % 3 = 1 THEN CAST(event_id % 1000 + 0.5E0 AS VARCHAR) ELSE 'v' || CAST(event_id AS VARCHAR) END AS amount,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 10 + 0.25E0 END AS extra FROM fx_events"""))
+def q_ingest_inferred(spark, sf_dir):
+    """Three deliveries in which a column is first a whole number, then a decimal, then text, and another column comes
+    later: types are inferred in every run, and older files are read as the widened type."""
+    root = scratch_path(spark, "evolving")
+    n = F.col("event_id")
+    amounts = ((n % 1000).cast("long"), (n % 1000) + F.lit(0.5), F.concat(F.lit("v"), n.cast("string")))
+    for k, amount in enumerate(amounts):
+        rows = dt.fixture_events(spark, sf_dir).filter(n % 3 == k).select("event_id", amount.alias("amount"), *([((n % 10) + F.lit(0.25)).alias("extra")] if k else []))
+        rows.write.mode("append").json(f"{root}/landing")
+        evolving.ingest(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint")
+    return evolving.read(spark, f"{root}/table").drop(*schemas.LINEAGE_COLUMNS)
+
+
 @register("scd2_incremental", WH("SELECT * FROM history"))
 def q_scd2_incremental(spark, sf_dir):
     """Two snapshot deliveries streamed through typing, rules and imputation
@@ -649,7 +688,7 @@ def q_scd2_incremental(spark, sf_dir):
         clean = quality.clean(quality.evaluate(quality.impute_sequence(bronze), "customers"))
         flows.scd2_incremental(clean, f"{root}/history", f"{root}/_checkpoint", ["user_id"],
                                "user_updated_at", except_columns=list(schemas.LINEAGE_COLUMNS),
-                               tie_breaker="source_seq")
+                               tie_breaker="source_seq", buckets=32)
     return present(flows.scd2_table(spark, f"{root}/history"))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from ..functions.timestamps import parse_timestamp
 from ..operators import joins, quality, spine
 from ..sources import files
-from ..sources.manifest import ManifestTable, hash_bucket
+from ..sources.manifest import ConcurrentCommit, ManifestTable, hash_bucket
 
 EVENTS_DELAY = "30 days"
 LABELS_DELAY = "24 hours"
@@ -251,6 +251,26 @@ def fan_in(*streams: DataFrame) -> DataFrame:
     return out
 
 
+def append_flow(stream: DataFrame, target: str, flow: str, checkpoint: str) -> StreamingQuery:
+    """One of several flows that append to one target, each with a checkpoint of its own.
+
+    The target is a :class:`ManifestTable` with a part per flow. A micro-batch writes its files and publishes them in
+    one commit that names the flow and the batch, so a replay adds nothing, and a flow can be added, stopped or started
+    anew without touching the others' checkpoints. Flows that commit at the same time take turns.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        table = ManifestTable(spark, target)
+        writer = f"{flow}.{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+        while True:
+            try:
+                table.commit(batch, {"flow": F.lit(flow)}, [f"flow={flow}"], writer, batch_id, append=True)
+                return
+            except ConcurrentCommit:
+                continue
+    return run_for_each_batch(stream, write, checkpoint)
+
+
 SCD2_BUCKETS = 256
 
 
