@@ -4,7 +4,8 @@ Items and documents are lower-cased (A-Z only) and cut into words: runs of digit
 ASCII. The automaton holds every run of words of every item; a document's words stream through it once, and the state
 gives the longest item substring that ends at each word. Where that reaches ``window`` words, the last ``window`` words
 are hit; an item of fewer words is one window of its own and is found through the suffix links. A document is
-contaminated when it has hits and they cover at least ``coverage`` of its words.
+contaminated when it has hits and they cover at least ``coverage`` of its words: ``clean_documents`` drops those,
+``remove_spans`` keeps all documents and takes the hit spans out of their texts.
 
 The automaton is broadcast. Its size is bounded: a benchmark of more than ``block_words`` words is dealt into blocks of
 items, each with its own automaton and pass over the documents, and the hits are joined afterwards.
@@ -18,6 +19,7 @@ and the longest text.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import flat, row_key, steps, stored, text_or_empty, without_rows
+from cartwheel.llm.common import absent, flat, row_key, steps, stored, text_or_empty, without_rows
 
 WINDOW, COVERAGE = 13, 20           # words; hits times COVERAGE reach the words of a document
 BLOCK_WORDS = 500_000
@@ -228,6 +230,50 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     return found.select(id_col, "n_words", covered_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).withColumn("contaminated", is_contaminated())
 
 
+def _cut(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            texts = []
+            for text, spans, whole in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "whole")), strict=True):
+                texts.append(without_spans(text, [(s["start"], s["end"]) for s in spans], 0 if whole else least))
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), pa.array(texts, pa.string())], ["k1", "k2", "cut"])
+
+    return run
+
+
+def without_spans(text: str, spans: list[tuple[int, int]], least: int) -> str:
+    """``text`` without the words of the spans [start, end) and what stands between them. Spans that overlap or touch count
+    as one; those of fewer than ``least`` words stay."""
+    joined: list[list[int]] = []
+    for a, b in sorted(spans):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b])
+    raw = text.encode()
+    places = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(_TABLE))]
+    kept, at = [], 0
+    for a, b in joined:
+        if b - a >= least:
+            kept.append(raw[at : places[a][0]])
+            at = places[b - 1][1]
+    return b"".join([*kept, raw[at:]]).decode()
+
+
+def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = WINDOW, **options) -> DataFrame:
+    """``docs`` with hit spans taken out of their texts: spans of ``least_words`` words or more, and in contaminated documents
+    all spans. Other texts, and all other columns, are left as they are."""
+    names = [absent(docs, n) for n in ("_k1", "_k2", "_cut")]
+    rows = docs.select(*row_key(id_col, text_or_empty(text_col)), text_or_empty(text_col).alias("text"))
+    keyed = rows.select(F.struct("k1", "k2").alias("_key"), "text")
+    found = contamination(keyed, items, "_key", "text", **options).where(F.size("spans") > 0).withColumn("n_hit", covered_words())
+    hits = stored(found.select("_key.k1", "_key.k2", "spans", is_contaminated().alias("whole")).dropDuplicates(["k1", "k2"]), "hit-spans")
+    texts = rows.join(hits, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).mapInArrow(_cut(least_words), "k1 long, k2 long, cut string")
+    marked = docs.withColumns(dict(zip(names, row_key(id_col, text_or_empty(text_col)), strict=False)))
+    out = marked.join(texts.toDF(*names), names[:2], "left")
+    return out.select(*(F.coalesce(F.col(names[2]), F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones, all columns unchanged; other documents are left as they are."""
     text = docs.select(F.struct(*row_key(id_col, text_or_empty(text_col))).alias("_key"), text_or_empty(text_col).alias("text"))

@@ -84,3 +84,21 @@ def test_sample_bound_holds_for_repeated_ids(spark):
     model = quality.train(docs, labels, rows=2)
     again = quality.train(docs.distinct(), labels, rows=2)
     assert (model == again).all()
+
+
+def test_spans_are_taken_out_and_the_rest_stays(spark):
+    from cartwheel.llm import decontaminate
+
+    item = "What is the name of the tall red bird that sings at night in spring"      # 15 words
+    long = " ".join(f"w{i}" for i in range(400))
+    rows = [(1, f"Été: {long}! {item.upper()}, and so on.", "a"), (2, f"{item} tail", "b"), (3, "short one here", "c"), (4, None, "d"), (4, None, "d"),
+            (5, f"{long} tiny item {long}", "e"), (6, "x tiny ITEM y", "f"), (7, f"{long} {item} {item}.", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _cut string")
+    items = spark.createDataFrame([("q1", item), ("q2", "tiny item"), ("q3", None)], "item_id string, text string")
+    for block in (500_000, 5):
+        got = decontaminate.remove_spans(docs, items, block_words=block)
+        assert got.columns == docs.columns
+        texts = {r.doc_id: r.text for r in got.collect()}
+        assert got.count() == 8 and {r._cut for r in got.collect()} == set("abcdefg")
+        assert texts == {1: f"Été: {long}! , and so on.", 2: " tail", 3: "short one here", 4: None, 5: f"{long} tiny item {long}", 6: "x  y", 7: f"{long} ."}
+    assert decontaminate.remove_spans(docs, items.limit(0)).exceptAll(docs).count() == 0
