@@ -70,20 +70,15 @@ def feed_of(net: DataFrame, keys: list[str]) -> DataFrame:
     The one shuffle by key holds changed rows only. Rows of one key are ranked in one task, sorted with spill.
     """
     cols = [c for c in net.columns if c not in keys and c != COPIES]
-    rows = net.select(*keys, F.struct(*cols).alias("_r"), (F.col(COPIES) > 0).alias("_came"),
-                      F.explode(F.sequence(F.lit(1).cast("long"), F.abs(COPIES)))).drop("col").repartition(*keys)
-    order = Window.partitionBy(*keys, "_came").orderBy(*(F.asc_nulls_first(f"_r.{c}") for c in cols))
-    pairs = (rows.withColumn("_rank", F.row_number().over(order)).groupBy(*keys, "_rank")
-                 .agg(F.max(F.when(~F.col("_came"), F.col("_r"))).alias("_b"), F.max(F.when(F.col("_came"), F.col("_r"))).alias("_a")))
-
-    def image(side: str, kind: str):
-        return F.struct(F.col(side).alias("_r"), F.lit(kind).alias(CHANGE_TYPE))
-
-    images = (F.when(F.col("_b").isNull(), F.array(image("_a", INSERT)))
-               .when(F.col("_a").isNull(), F.array(image("_b", DELETE)))
-               .otherwise(F.array(image("_b", PRE), image("_a", POST))))
-    out = pairs.select(*keys, F.inline(images))
-    return out.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols], CHANGE_TYPE)
+    rows = (net.withColumn("_came", F.col(COPIES) > 0).withColumn(COPIES, F.explode(F.sequence(F.lit(1).cast("long"), F.abs(COPIES))))
+               .repartition(*keys))
+    # an image has a partner if the other side of its key has as many rows as its rank
+    key = Window.partitionBy(*keys)
+    rank = F.row_number().over(Window.partitionBy(*keys, "_came").orderBy(*(F.asc_nulls_first(c) for c in cols)))
+    ranked = rows.withColumn("_rank", rank).withColumns({"_in": F.count_if("_came").over(key), "_out": F.count_if(~F.col("_came")).over(key)})
+    kind = (F.when(F.col("_came"), F.when(F.col("_rank") <= F.col("_out"), POST).otherwise(INSERT))
+             .otherwise(F.when(F.col("_rank") <= F.col("_in"), PRE).otherwise(DELETE)))
+    return ranked.select(*keys, *cols, kind.alias(CHANGE_TYPE))
 
 
 def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:

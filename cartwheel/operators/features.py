@@ -174,7 +174,7 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                       num_partitions: int | None = None,
                       direct_max_rows: int = DIRECT_MAX_ROWS,
                       distinct_sessions: bool = False,
-                      user_rows: int | None = None) -> DataFrame:
+                      user_rows: int | None = None, stored: bool = False) -> DataFrame:
     """The 20-column behaviour feature table, one row per input row (see module docstring).
 
     One plan at every size; ``direct_max_rows`` (0 forces range pieces) only decides how :func:`keyed_scan` runs it,
@@ -184,7 +184,8 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
 
     ``events``: labelled events (``user_id, session_id, event_timestamp,
     cart_value, event_type, item_category, will_abandon,
-    label_available_date``); read once, eagerly. ``abandon_mode``: ``reference``
+    label_available_date``); read once, eagerly, unless ``stored`` says that they
+    are a table and not a plan. ``abandon_mode``: ``reference``
     counts abandoned events by event time; ``point_in_time`` only counts
     labels already available one millisecond before the row.
     """
@@ -192,10 +193,12 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
     pit = abandon_mode == "point_in_time"
     # the (label join's) rows are read three times below: stored once, in the few columns that count
-    path = scratch_path(events.sparkSession, "feature-inputs")
     narrow = events.selectExpr("user_id", "event_timestamp", "item_category", *(["session_id"] if distinct_sessions else []), *_inputs())
-    narrow.write.parquet(path)
-    events = events.sparkSession.read.schema(narrow.schema).parquet(path)
+    if not stored:
+        path = scratch_path(events.sparkSession, "feature-inputs")
+        narrow.write.parquet(path)
+        narrow = events.sparkSession.read.schema(narrow.schema).parquet(path)
+    events = narrow
     if user_rows is None and direct_max_rows > 0:
         user_rows = largest_user(events)
     # per labelled row at most: 1 query + 4 leave + 1 label row, and per

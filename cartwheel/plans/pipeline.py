@@ -85,8 +85,9 @@ def training_set(s: Silver, profile_values: list[str]) -> DataFrame:
 
     labelled = stored(labelled_events(s), "training-labelled")
     busiest = features.largest_user(labelled)
-    table = stored(features.behavior_features(labelled, user_rows=busiest), "training-features")
-    with_profile = joins.version_lookup(labelled.select(*schemas.SPINE_COLUMNS), user_profile(s), "user_id", "event_timestamp",
+    table = stored(features.behavior_features(labelled, user_rows=busiest, stored=True), "training-features")
+    profiles = stored(user_profile(s), "training-profiles")
+    with_profile = joins.version_lookup(labelled.select(*schemas.SPINE_COLUMNS), profiles, "user_id", "event_timestamp",
                                         profile_values)
     # per user, spine rows and feature rows are each the user's labelled rows
     return joins.asof_lookup(with_profile, table, "user_id", "event_timestamp", "event_timestamp",
@@ -156,7 +157,7 @@ def run_batch(spark: SparkSession, layout, on_null: str = "quarantine",
     history = store(users_history(s, tie_breaker), "silver_users_history")
     labelled = store(labelled_events(s), "silver_abandonment_events")
 
-    gold = {"gold_user_behavior_features": (features.behavior_features(labelled), schemas.BEHAVIOR_FEATURES_DDL),
+    gold = {"gold_user_behavior_features": (features.behavior_features(labelled, stored=True), schemas.BEHAVIOR_FEATURES_DDL),
             "gold_user_profile": (profile.user_profile(history), schemas.USER_PROFILE_DDL)}
     # label repeats make several feature rows of one (user, time), so only the profile's key is enforced
     keys = {"gold_user_profile": list(schemas.USER_PROFILE_PK)}
