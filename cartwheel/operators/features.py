@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
+from .scan import DIRECT_MAX_ROWS, Scan, key_sizes, keyed_scan
 
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
@@ -130,40 +130,41 @@ def _inputs() -> list[str]:
             "CAST(coalesce(will_abandon = 1, false) AS BIGINT) AS b", "CAST(cart_value AS DOUBLE) AS v"]
 
 
-_VALUES = ["c", *(f"{x} AS {k}" for k, x in _split_exact("v").items()), "n", "a", "b", "v"]
+_DIGITS = [f"{x} AS {k}" for k, x in _split_exact("v").items()]
+_VALUES = ["c", *_DIGITS, "n", "a", "b", "v"]
 
 
-def _event_rows(events: DataFrame, pit: bool) -> DataFrame:
-    """One row when an event enters and one when it leaves each window, all with the same few columns."""
-    at = [f"named_struct('kind', {_ENTER}, 'pos', _ms)"]
-    at += [f"named_struct('kind', {_LEAVE[w]}, 'pos', _ms + {width}L)" for w, width in WINDOWS.items()]
-    if pit:
-        at.append(f"named_struct('kind', {_KNOWN}, 'pos', coalesce(_label_ms, _ms))")
-    rows = events.selectExpr("user_id", "event_timestamp", *_VALUES, f"inline(array({', '.join(at)}))")
-    return rows.filter(f"kind <> {_KNOWN} OR b <> 0") if pit else rows
+def _occurrences(events: DataFrame, column: str, num_partitions: int | None,
+                 direct_max_rows: int = DIRECT_MAX_ROWS, sizes: tuple[int | None, int] | None = None) -> DataFrame:
+    """Each (user, non-NULL value of ``column``, ms) with the value's next occurrence ``_next``."""
+    occ = events.filter(F.col(column).isNotNull()).select("user_id", column, "_ms").distinct()
+    top, total = sizes or (None, None)
+    occ = keyed_scan(occ, ["user_id", column], "_ms",
+                     [Scan("_next", F.col("_ms"), "min", "after")],
+                     num_partitions=num_partitions, direct_max_rows=direct_max_rows,
+                     max_rows_hint=top, rows_hint=total)
+    return occ.select("user_id", "_ms", "_next", F.lit(_FIRST[column]).alias("_first"))
 
 
-def _distinct_rows(events: DataFrame, column: str, num_partitions: int | None,
-                   direct_max_rows: int = DIRECT_MAX_ROWS, max_rows_hint: int | None = None) -> DataFrame:
-    """+1 / -1 rows counting distinct non-NULL values of ``column`` per user:
-    each (user, value, ms) occurrence counts from its millisecond until the
-    value's next occurrence or until it leaves the window, whichever is first."""
-    occ = events.filter(F.col(column).isNotNull()).select("user_id", column, F.col("_ms").alias("ms")).distinct()
-    occ = keyed_scan(occ, ["user_id", column], "ms",
-                     [Scan("next_ms", F.col("ms"), "min", "after")],
-                     num_partitions=num_partitions, direct_max_rows=direct_max_rows,
-                     max_rows_hint=max_rows_hint)
-    first = _FIRST[column]
-    at = [f"named_struct('kind', {first}, 'pos', ms)"]
-    at += [f"named_struct('kind', {first + _LEAVE[w]}, 'pos', least(next_ms, ms + {WINDOWS[w]}L))" for w in _DISTINCT[column][1]]
-    return occ.selectExpr("user_id", f"inline(array({', '.join(at)}))")
+def _changes(pit: bool, columns: tuple[str, ...]) -> str:
+    """SQL of the (kind, pos) of the rows that stand for one event or occurrence: an event enters and leaves each window;
+    an occurrence counts from its millisecond until the value's next one or until it leaves the window, whichever is first."""
+
+    def rows(at: list[tuple[int, str]]) -> str:
+        return f"array({', '.join(f'named_struct({chr(39)}kind{chr(39)}, {kind}, {chr(39)}pos{chr(39)}, {pos})' for kind, pos in at)})"
+
+    at = [(_ENTER, "_ms")] + [(_LEAVE[w], f"_ms + {width}L") for w, width in WINDOWS.items()]
+    out = f"CASE WHEN b <> 0 THEN {rows([*at, (_KNOWN, 'coalesce(_label_ms, _ms)')])} ELSE {rows(at)} END" if pit else rows(at)
+    for column in columns:
+        first = _FIRST[column]
+        ends = [(first + _LEAVE[w], f"least(_next, _ms + {WINDOWS[w]}L)") for w in _DISTINCT[column][1]]
+        out = f"CASE WHEN _first = {first} THEN {rows([(first, '_ms'), *ends])} ELSE {out} END"
+    return f"inline({out})"
 
 
-def largest_user(events: DataFrame) -> int:
-    """Row count of the busiest user: one partially aggregated pass, one
-    number to the driver."""
-    top = events.groupBy("user_id").count().agg(F.max("count")).first()[0]
-    return int(top or 0)
+def user_sizes(events: DataFrame) -> tuple[int, int]:
+    """Row counts of the busiest user and of all users."""
+    return key_sizes(events, ["user_id"])
 
 
 def _order(df: DataFrame, distinct_sessions: bool) -> DataFrame:
@@ -174,12 +175,12 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                       num_partitions: int | None = None,
                       direct_max_rows: int = DIRECT_MAX_ROWS,
                       distinct_sessions: bool = False,
-                      user_rows: int | None = None, stored: bool = False) -> DataFrame:
+                      sizes: tuple[int, int] | None = None, stored: bool = False) -> DataFrame:
     """The 20-column behaviour feature table, one row per input row (see module docstring).
 
     One plan at every size; ``direct_max_rows`` (0 forces range pieces) only decides how :func:`keyed_scan` runs it,
-    and all its sums are of LONG columns, so the results agree bit for bit. ``user_rows``: the busiest user's row count
-    if the caller measured it already. ``distinct_sessions`` appends ``distinct_sessions_24h``, the number of distinct
+    and all its sums are of LONG columns, so the results agree bit for bit. ``sizes``: :func:`user_sizes` of the events
+    if the caller measured them already. ``distinct_sessions`` appends ``distinct_sessions_24h``, the number of distinct
     sessions in the 24 h frame (``count_sessions_24h`` keeps its original meaning: events with a session id).
 
     ``events``: labelled events (``user_id, session_id, event_timestamp,
@@ -199,14 +200,14 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
         narrow.write.parquet(path)
         narrow = events.sparkSession.read.schema(narrow.schema).parquet(path)
     events = narrow
-    if user_rows is None and direct_max_rows > 0:
-        user_rows = largest_user(events)
+    top, total = sizes or user_sizes(events)
+    columns = ("item_category", "session_id") if distinct_sessions else ("item_category",)
     # per labelled row at most: 1 query + 4 leave + 1 label row, and per
     # (value, ms) occurrence 4 category + 2 session rows -> 12 delta rows
-    delta_hint = None if user_rows is None else 12 * user_rows
-    rows = _event_rows(events, pit)
-    for column in ("item_category", "session_id") if distinct_sessions else ("item_category",):
-        rows = rows.unionByName(_distinct_rows(events, column, num_partitions, direct_max_rows, user_rows), allowMissingColumns=True)
+    delta_rows = 9 + pit + 2 * distinct_sessions
+    rows = events.select("user_id", "event_timestamp", "_ms", "_label_ms", *(c for c in _BASE if c not in _PARTS), "v")
+    for column in columns:
+        rows = rows.unionByName(_occurrences(events, column, num_partitions, direct_max_rows, (top, total)), allowMissingColumns=True)
     scans = [Scan(f"r_{k}", F.expr(x)) for k, x in _deltas(pit, distinct_sessions).items()]
     # Max piece starting inside the event's own block: it covers the rest of
     # that block, unless ts is the block's last millisecond (then the whole
@@ -217,7 +218,8 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
               Scan("r_mx_suf", tail, "max", "from", per_block=True)]
     scanned = keyed_scan(rows, ["user_id"], "pos", scans, num_partitions=num_partitions,
                          block=F.expr(f"floor(pos / {DAY_MS}D)"), direct_max_rows=direct_max_rows,
-                         max_rows_hint=delta_hint, keep=["kind", "event_timestamp"], inputs=[*_BASE, "v"])
+                         max_rows_hint=12 * top, rows_hint=delta_rows * total, keep=["kind", "event_timestamp"],
+                         inputs=[*_BASE, "v"], expand=[*_DIGITS, _changes(pit, columns)])
     out = _frame_values(scanned.filter(F.col("kind") == _ENTER), "r_", "greatest(r_mx_pre, r_mx_suf)",
                         ["CAST(r_e_24h AS INT) AS distinct_sessions_24h"] if distinct_sessions else [])
     return _order(out, distinct_sessions)

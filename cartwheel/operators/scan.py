@@ -14,13 +14,13 @@ that:
    executor loss consistent.
 2. Local pass: a window over ``(piece, keys)`` -- each group is at most one
    range partition -- gives the running value inside the piece.
-3. Carry pass: one row per ``(piece, keys)`` with the piece total (partial
+3. Carry pass, only for keys that lie in more than one piece (fewer than there
+   are pieces): one row per ``(piece, keys)`` with the piece total (partial
    aggregation keeps this shuffle small); a window over those totals gives
    each piece the aggregate of all earlier (or later) pieces of its key.
-4. Carries are joined back on ``(piece, keys)`` -- the columns the local
-   window is already hash-partitioned by, so the big side is not shuffled
-   again (AQE broadcasts the carry table instead when its measured size is
-   small).
+4. Carries, at most a row or two per piece, are joined back on
+   ``(piece, keys)`` -- the columns the local window is already
+   hash-partitioned by, so the big side is not shuffled again.
 
 Frames (relative to the current row's ``pos``; equal positions are peers):
 
@@ -40,6 +40,10 @@ key fits one task comfortably, so the direct plan -- one
 that (a hot key) the range-piece plan above. ``direct_max_rows=0`` forces
 pieces.
 
+Memory: rows are dealt out to tasks of about ``ROWS_PER_TASK`` rows, however
+many that makes; ``spark.sql.shuffle.partitions`` is the least number. So what
+a task sorts does not grow with the table, and nothing spills.
+
 ``block`` optionally sub-divides each key (e.g. a day number); it must be a
 non-decreasing function of ``pos``. A scan with ``per_block=True`` restarts
 at every block, the others run across blocks. Keep scanned values
@@ -49,9 +53,10 @@ then runs as a hash aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -70,6 +75,7 @@ FRAMES = {
 FORWARD = ("before", "upto")
 OPS = ("sum", "max", "min")
 DIRECT_MAX_ROWS = 1_000_000
+ROWS_PER_TASK = 500_000
 
 
 @dataclass(frozen=True)
@@ -87,14 +93,14 @@ class Scan:
             raise ValueError(f"frame must be one of {sorted(FRAMES)}")
 
 
-def _non_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str], list[str]]:
+def _non_null_keys(df: DataFrame, keys: list[str], always: bool = False) -> tuple[DataFrame, list[str], list[str]]:
     """Join-safe key columns: nullable keys become (is-null flag, filled value)
     so plain equality -- the same columns the local window partitions by --
-    also matches NULL keys."""
+    also matches NULL keys. ``always``: keys that cannot be NULL too."""
     cols, helpers = [], []
     for i, k in enumerate(keys):
         field = df.schema[k]
-        if not field.nullable:
+        if not field.nullable and not always:
             cols.append(k)
             continue
         if isinstance(field.dataType, StringType):
@@ -109,6 +115,18 @@ def _non_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]
     return df, cols, helpers
 
 
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Tasks for so many rows: the session's shuffle partitions, or more if a task got over ``ROWS_PER_TASK`` rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
+def dealt(df: DataFrame, rows: int, by: Sequence[str]) -> DataFrame:
+    """``df`` (of about ``rows`` rows) dealt out by columns; AQE may join partitions of a small one."""
+    spark = df.sparkSession
+    n = task_count(spark, rows)
+    return df.repartition(n, *by) if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*by)
+
+
 def range_pieces(df: DataFrame, sort_cols: list[str], num_partitions: int | None = None,
                  purpose: str = "scan") -> DataFrame:
     """Range-partition ``df`` on ``sort_cols`` and store it with its piece id
@@ -121,9 +139,10 @@ def range_pieces(df: DataFrame, sort_cols: list[str], num_partitions: int | None
     return spark.read.parquet(path)
 
 
-def largest_key(df: DataFrame, keys: list[str]) -> int:
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
+def key_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Row counts of the busiest key and of all: one partially aggregated pass, two numbers to the driver."""
+    top, rows = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return int(top or 0), int(rows or 0)
 
 
 def _q(name: str) -> str:
@@ -147,17 +166,19 @@ def _local_windows(df: DataFrame, part: list[str], pos: str, scans: list[Scan],
                    block_part: list[str], late: bool) -> DataFrame:
     """Running frames per group; per-block scans also restart at each block.
 
-    Scans that share an order are one window. ``late`` computes each window's
-    values right before it, the window of most scans last, so that the others
-    sort narrow rows.
+    Scans that share an order are one window, the window of most scans last.
+    ``late`` computes each window's values after its sort, so that all sort
+    narrow rows.
     """
     windows: dict[tuple, list[int]] = {}
     for i, s in enumerate(scans):
         windows.setdefault((s.per_block, s.frame in FORWARD), []).append(i)
     for (per_block, forward), members in sorted(windows.items(), key=lambda w: len(w[1])):
+        group = block_part if per_block else part
         if late:
+            df = df.sortWithinPartitions(*(F.col(_q(c)) for c in group), F.col(_q(pos)).asc() if forward else F.col(_q(pos)).desc())
             df = df.withColumns({f"_v{i}": scans[i].value for i in members})
-        keys = ", ".join(_q(c) for c in (block_part if per_block else part))
+        keys = ", ".join(map(_q, group))
         over = f"OVER (PARTITION BY {keys} ORDER BY {_q(pos)} {'ASC' if forward else 'DESC'} RANGE"
         kept = [_q(c) for c in df.columns if not late or c not in {f"_v{i}" for i in members}]
         df = df.selectExpr(*kept, *(f"{scans[i].op}(_v{i}) {over} {FRAMES[scans[i].frame]}) AS _l{i}" for i in members))
@@ -168,50 +189,74 @@ def keyed_scan(df: DataFrame, keys: list[str], pos: str, scans: list[Scan],
                num_partitions: int | None = None, block: Column | None = None,
                direct_max_rows: int = DIRECT_MAX_ROWS,
                max_rows_hint: int | None = None, keep: list[str] | None = None,
-               inputs: list[str] | None = None) -> DataFrame:
+               inputs: list[str] | None = None, rows_hint: int | None = None,
+               expand: list[str] | None = None) -> DataFrame:
     """Add one column per :class:`Scan` holding its running aggregate.
 
     ``keep``: the columns besides keys and ``pos`` that the result needs
-    (default all); the others are dropped before any sort or shuffle.
+    (default all); the others are dropped before any sort.
     ``inputs``: the columns that the scans' values are made of. If given, these
-    are what is shuffled and stored, and the values are made after that; good
+    are what is sorted and stored, and the values are made after that; good
     for many scans over few columns.
+    ``expand``: SQL of more columns, ``inline(...)`` among them if a row of
+    ``df`` stands for several; made after the rows were dealt out by key, so
+    that few are shuffled (``pos`` may be one of them).
 
     Eager: the plan choice runs one aggregation (skipped when the caller
     passes ``max_rows_hint``, a proven upper bound of the busiest key's row
-    count), and the range-piece plan stores its pieces before the (lazy)
-    result is returned.
+    count, and ``rows_hint``, one of all rows), and the range-piece plan stores
+    its pieces before the (lazy) result is returned.
     """
     d, kcols, helpers = _non_null_keys(df, keys)
-    d = d.withColumn("_blk", (block if block is not None else F.lit(0)).cast("long"))
     values = {f"_v{i}": s.value for i, s in enumerate(scans)}
     late = inputs is not None
-    if not late:
-        d = d.withColumns(values)
-    if keep is not None:
-        sources = [c for c in (inputs if late else values) if c not in {*keys, pos, *keep}]
-        d = d.select(*keys, *helpers, pos, *keep, *sources, "_blk")
-        helpers = helpers + (sources if late else [])
-    busiest = (lambda: max_rows_hint) if max_rows_hint is not None else (lambda: largest_key(d, kcols))
-    if direct_max_rows > 0 and busiest() <= direct_max_rows:
-        if late:
-            d = d.repartition(*kcols)
+    sources = [c for c in (inputs if late else values) if c not in {*keys, pos, *(keep or ())}] if keep is not None else []
+    own = helpers
+
+    def rows_of(d: DataFrame) -> DataFrame:
+        if expand is not None:
+            d = d.selectExpr("*", *expand)
+        d = d.withColumn("_blk", (block if block is not None else F.lit(0)).cast("long"))
+        if not late:
+            d = d.withColumns(values)
+        return d if keep is None else d.select(*keys, *own, pos, *keep, *sources, "_blk")
+
+    helpers = helpers + (sources if late else [])
+    if rows_hint is None or (max_rows_hint is None and direct_max_rows > 0):
+        max_rows_hint, rows_hint = key_sizes(rows_of(d), kcols)
+    if direct_max_rows > 0 and max_rows_hint <= direct_max_rows:
+        d = rows_of(dealt(d, rows_hint, kcols))
         return _finish(_local_windows(d, kcols, pos, scans, [*kcols, "_blk"], late), scans, helpers, False)
-    pieces = range_pieces(d, [*kcols, pos], num_partitions)
-    part = ["_pid", *kcols, "_blk"]
-    local = _local_windows(pieces.repartition(*part) if late else pieces, part, pos, scans, part, late)
-
-    totals = (pieces.withColumns(values) if late else pieces).groupBy(*part).agg(*[F.expr(f"{s.op}(_v{i}) AS _t{i}") for i, s in enumerate(scans)])
-
-    def carry(i: int, s: Scan) -> str:
-        # all earlier (forward) or later (backward) groups of the key -- or
-        # of the key's block -- as a running frame
-        order = "ASC" if s.frame in FORWARD else "DESC"
-        group = [*kcols, "_blk"] if s.per_block else kcols
-        by = ["_pid"] if s.per_block else ["_pid", "_blk"]
-        return (f"{s.op}(_t{i}) OVER (PARTITION BY {', '.join(map(_q, group))} ORDER BY {', '.join(f'{c} {order}' for c in by)} "
+    n = num_partitions or task_count(df.sparkSession, rows_hint)
+    if expand is not None:
+        d = dealt(d, rows_hint, d.columns)      # no task makes many rows of its few
+    pieces = range_pieces(rows_of(d), [*kcols, pos], n)
+    part = ["_pid", *kcols]
+    local = _local_windows(dealt(pieces, rows_hint, part), part, pos, scans, [*part, "_blk"], late)
+
+    # each end of a piece can lie inside a key, so fewer keys than pieces need what other pieces hold
+    cut = pieces.groupBy(*kcols).agg(F.min("_pid").alias("_lo"), F.max("_pid").alias("_hi")).filter("_lo < _hi").select(*kcols).collect()
+    if not cut:
+        return _finish(local, scans, [*helpers, "_pid"], False)
+    shared = pieces
+    for c in kcols:
+        shared = shared.filter(F.col(c).isin(list({r[c] for r in cut})))
+
+    def carry(i: int, group: list[str]) -> str:
+        # all earlier (forward) or later (backward) pieces of the key -- or of the key's block -- as a running frame
+        order = "ASC" if scans[i].frame in FORWARD else "DESC"
+        return (f"{scans[i].op}(_t{i}) OVER (PARTITION BY {', '.join(map(_q, group))} ORDER BY _pid {order} "
                 f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _o{i}")
 
-    carries = totals.selectExpr(*map(_q, part), *(carry(i, s) for i, s in enumerate(scans)))
+    block_scans = [i for i, s in enumerate(scans) if s.per_block]
+    plain = [i for i, s in enumerate(scans) if not s.per_block]
+    totals = (shared.withColumns(values) if late else shared).groupBy(*part, "_blk").agg(*[F.expr(f"{s.op}(_v{i}) AS _t{i}") for i, s in enumerate(scans)])
+    totals = totals.selectExpr(*map(_q, part), "_blk", *(f"_t{i}" for i in plain), *(carry(i, [*kcols, "_blk"]) for i in block_scans))
+    # a key's rows in a piece share only their first block with earlier pieces and only their last with later ones
+    totals = totals.groupBy(*part).agg(F.min("_blk").alias("_first_blk"), F.max("_blk").alias("_last_blk"),
+                                       *[F.expr(f"{scans[i].op}(_t{i}) AS _t{i}") for i in plain], *[F.max(f"_o{i}").alias(f"_o{i}") for i in block_scans])
+    carries = totals.selectExpr(*map(_q, part), "_first_blk", "_last_blk", *(f"_o{i}" for i in block_scans), *(carry(i, kcols) for i in plain))
     joined = local.join(carries, on=part, how="left")
-    return _finish(joined, scans, [*helpers, "_pid"], True)
+    ends = {i: "_first_blk" if scans[i].frame in FORWARD else "_last_blk" for i in block_scans}
+    joined = joined.withColumns({f"_o{i}": F.expr(f"CASE WHEN _blk = {end} THEN _o{i} END") for i, end in ends.items()}) if ends else joined
+    return _finish(joined, scans, [*helpers, "_pid", "_first_blk", "_last_blk"], True)

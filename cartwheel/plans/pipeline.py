@@ -84,14 +84,14 @@ def training_set(s: Silver, profile_values: list[str]) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path)
 
     labelled = stored(labelled_events(s), "training-labelled")
-    busiest = features.largest_user(labelled)
-    table = stored(features.behavior_features(labelled, user_rows=busiest, stored=True), "training-features")
+    top, total = features.user_sizes(labelled)
+    table = stored(features.behavior_features(labelled, sizes=(top, total), stored=True), "training-features")
     profiles = stored(user_profile(s), "training-profiles")
     with_profile = joins.version_lookup(labelled.select(*schemas.SPINE_COLUMNS), profiles, "user_id", "event_timestamp",
                                         profile_values)
     # per user, spine rows and feature rows are each the user's labelled rows
     return joins.asof_lookup(with_profile, table, "user_id", "event_timestamp", "event_timestamp",
-                             list(features.FEATURE_COLUMNS[2:]), max_rows_hint=2 * busiest)
+                             list(features.FEATURE_COLUMNS[2:]), max_rows_hint=2 * top)
 
 
 BRONZE_TABLES = ("bronze_customers", "bronze_cart_events", "bronze_labels")
