@@ -14,6 +14,7 @@ SCHEMA = ("session_id string, user_id string, event_timestamp timestamp, cart_va
 LIMIT = 100
 CASES = {
     "incremental_features": (features.FEATURE_COLUMNS, {}),
+    "behavior_features_direct": (features.FEATURE_COLUMNS, {"direct_max_rows": 2 ** 62}),
 }
 
 
