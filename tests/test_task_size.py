@@ -16,6 +16,7 @@ CASES = {
     "incremental_features": (features.FEATURE_COLUMNS, {}),
     "behavior_features_direct": (features.FEATURE_COLUMNS, {"direct_max_rows": 2 ** 62}),
     "pipeline_end_to_end": (features.FEATURE_COLUMNS, {"stored": True}),
+    "schema_conformance": (features.FEATURE_COLUMNS, {"sizes": (5, 300)}),
 }
 
 
