@@ -17,6 +17,7 @@ CASES = {
     "behavior_features_direct": (features.FEATURE_COLUMNS, {"direct_max_rows": 2 ** 62}),
     "pipeline_end_to_end": (features.FEATURE_COLUMNS, {"stored": True}),
     "schema_conformance": (features.FEATURE_COLUMNS, {"sizes": (5, 300)}),
+    "behavior_features": (features.FEATURE_COLUMNS, {"num_partitions": 3}),
 }
 
 
