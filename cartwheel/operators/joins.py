@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import DIRECT_MAX_ROWS, Scan, keyed_scan
+from .scan import DIRECT_MAX_ROWS, Scan, _non_null_keys, dealt, key_sizes, keyed_scan
 
 LABEL_HORIZON = "30 days"
 
@@ -64,7 +64,7 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
                 value_cols: list[str], prefix: str = "",
                 num_partitions: int | None = None,
                 direct_max_rows: int = DIRECT_MAX_ROWS,
-                max_rows_hint: int | None = None) -> DataFrame:
+                sizes_hint: tuple[int, int] | None = None) -> DataFrame:
     """For every left row, the right row with the same key and the latest
     ``right_ts <= left_ts`` (NULLs when there is none). Left rows are kept
     one-for-one.
@@ -75,8 +75,9 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
     carried in the scan. Right rows that share key and time count as one, the
     greatest by ``value_cols``. No range join and no per-key collection, so a
     key holding a third of all rows is still spread over many tasks.
-    ``max_rows_hint``: a proven bound of the rows per key over both sides
-    (skips the plan choice's counting pass).
+    ``sizes_hint``: proven bounds of the rows per key and of all rows over both
+    sides (skips the plan choice's counting pass). The join is dealt out by the
+    number of rows, too.
     """
     r = right.select(F.col(key).alias("_rkey"), F.unix_micros(F.col(right_ts)).alias("_at"),
                      F.struct(*[F.col(c) for c in value_cols]).alias("_val")).filter("_at IS NOT NULL")
@@ -84,12 +85,19 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
     lt = left.select(F.col(key).alias("_key"), F.unix_micros(F.col(left_ts)).alias("_pos"),
                      F.struct(*[F.col(c) for c in left_cols]).alias("_left"))
     u = lt.unionByName(r.select(F.col("_rkey").alias("_key"), F.col("_at").alias("_pos"), F.col("_at")), allowMissingColumns=True)
+    top, rows = sizes_hint or key_sizes(u, ["_key"])
     scanned = keyed_scan(u, ["_key"], "_pos", [Scan("_hit", F.col("_at"), "max", "upto")],
                          num_partitions=num_partitions, direct_max_rows=direct_max_rows,
-                         max_rows_hint=max_rows_hint, keep=["_left"])
-    values = r.groupBy("_rkey", "_at").agg(F.max("_val").alias("_val"))
-    out = (scanned.filter(F.col("_left").isNotNull())
-                  .join(values, F.col("_key").eqNullSafe(F.col("_rkey")) & (F.col("_hit") == F.col("_at")), "left"))
+                         max_rows_hint=top, rows_hint=rows, keep=["_left"]).filter(F.col("_left").isNotNull())
+    r, rkeys, _ = _non_null_keys(r, ["_rkey"], always=True)
+    r = r.withColumnsRenamed({k: f"_r{k}" for k in rkeys})
+    scanned, keys, _ = _non_null_keys(scanned, ["_key"], always=True)
+    rkeys = [f"_r{k}" for k in rkeys]
+    values = dealt(r, rows, [*rkeys, "_at"]).groupBy(*rkeys, "_at").agg(F.max("_val").alias("_val"))
+    # rows without a hit look for their own time, which no right row of their key has: so they do not all meet in one task
+    scanned = dealt(scanned.withColumn("_hit", F.coalesce("_hit", "_pos")), rows, [*keys, "_hit"])
+    on = [F.col(a) == F.col(b) for a, b in zip([*keys, "_hit"], [*rkeys, "_at"], strict=True)]
+    out = scanned.join(values, on, "left")
     return out.select(*[F.col(f"_left.{c}").alias(c) for c in left_cols],
                       *[F.col(f"_val.{c}").alias(prefix + c) for c in value_cols])
 

@@ -91,7 +91,7 @@ def training_set(s: Silver, profile_values: list[str]) -> DataFrame:
                                         profile_values)
     # per user, spine rows and feature rows are each the user's labelled rows
     return joins.asof_lookup(with_profile, table, "user_id", "event_timestamp", "event_timestamp",
-                             list(features.FEATURE_COLUMNS[2:]), max_rows_hint=2 * top)
+                             list(features.FEATURE_COLUMNS[2:]), sizes_hint=(2 * top, 2 * total))
 
 
 BRONZE_TABLES = ("bronze_customers", "bronze_cart_events", "bronze_labels")

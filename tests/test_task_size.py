@@ -6,7 +6,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.operators import features, scan
+from cartwheel.operators import features, joins, scan
 from conftest import ts
 
 SCHEMA = ("session_id string, user_id string, event_timestamp timestamp, cart_value double, "
@@ -54,3 +54,19 @@ def test_feature_rows_of_a_task_are_bounded(spark, monkeypatch, name):
 def test_events_are_shuffled_before_they_become_many_rows(spark):
     plan = features.behavior_features(events(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.index("Generate inline") < plan.index("RepartitionByExpression")
+
+
+def test_lookup_deals_its_join_out_by_rows(spark, monkeypatch):
+    start = ts("2024-01-01 00:00:00")
+    left = spark.createDataFrame([(i, "hot" if i % 2 else None, start + timedelta(minutes=i)) for i in range(600)], "id int, k string, at timestamp")
+    right = spark.createDataFrame([("hot" if i % 3 else None, start + timedelta(minutes=300 + i), i) for i in range(0, 300, 7)], "k string, since timestamp, val int")
+
+    def lookup():
+        return joins.asof_lookup(left, right, "k", "at", "since", ["val"])
+
+    whole = content(lookup())
+    assert len(whole) == 600 and sum("val=None" in r for r in whole) > 300       # those before the first hit
+    monkeypatch.setattr(scan, "ROWS_PER_TASK", 20)
+    out = lookup()
+    assert out.rdd.getNumPartitions() >= 600 / 20 and largest_task(out) < 80       # also of one key's rows without a hit
+    assert content(out) == whole
