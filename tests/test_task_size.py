@@ -18,6 +18,7 @@ CASES = {
     "pipeline_end_to_end": (features.FEATURE_COLUMNS, {"stored": True}),
     "schema_conformance": (features.FEATURE_COLUMNS, {"sizes": (5, 300)}),
     "behavior_features": (features.FEATURE_COLUMNS, {"num_partitions": 3}),
+    "behavior_max": (["user_id", "event_timestamp", "max_cart_value_24h"], {}),
 }
 
 
