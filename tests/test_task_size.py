@@ -19,6 +19,7 @@ CASES = {
     "schema_conformance": (features.FEATURE_COLUMNS, {"sizes": (5, 300)}),
     "behavior_features": (features.FEATURE_COLUMNS, {"num_partitions": 3}),
     "behavior_max": (["user_id", "event_timestamp", "max_cart_value_24h"], {}),
+    "behavior_avgs": (["user_id", "event_timestamp", "avg_cart_value_1h", "avg_cart_value_24h", "avg_cart_value_30d"], {}),
 }
 
 
