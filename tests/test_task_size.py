@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.operators import features, joins, scan
+from cartwheel.operators.scan import Scan, keyed_scan
 from conftest import ts
 
 SCHEMA = ("session_id string, user_id string, event_timestamp timestamp, cart_value double, "
@@ -72,3 +73,22 @@ def test_lookup_deals_its_join_out_by_rows(spark, monkeypatch):
     out = lookup()
     assert out.rdd.getNumPartitions() >= 600 / 20 and largest_task(out) < 80       # also of one key's rows without a hit
     assert content(out) == whole
+
+
+@pytest.mark.parametrize("limit", [7, 40, 10 ** 6])
+def test_pieces_of_hot_keys_carry_sums_and_blocks(spark, monkeypatch, limit):
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), rng.randrange(600), rng.choice([None, *range(-4, 9)])) for _ in range(900)]
+    df = spark.createDataFrame(rows, "k string, pos long, v long")
+    scans = [Scan("s", F.col("v")), Scan("u", F.col("v"), "sum", "from"), Scan("m", F.col("v"), "max", "before", per_block=True),
+             Scan("n", F.col("v"), "min", "after", per_block=True), Scan("t", F.col("v"), "sum", "upto", per_block=True)]
+    block = F.expr("floor(pos / 50D)")
+    whole = content(keyed_scan(df, ["k"], "pos", scans, block=block))
+    monkeypatch.setattr(scan, "ROWS_PER_TASK", limit)
+    written = []
+    monkeypatch.setattr(scan, "range_pieces", lambda d, by, n, f=scan.range_pieces: written.append(f(d, by, n)) or written[-1])
+    assert content(keyed_scan(df, ["k"], "pos", scans, block=block, direct_max_rows=0)) == whole
+    assert content(keyed_scan(df, ["k"], "pos", scans, block=block, direct_max_rows=0, inputs=["v"], keep=["v"])) == whole
+    # as many pieces as rows ask for, cut by a sample
+    sizes = [r["count"] for r in written[0].groupBy("_pid").count().collect()]
+    assert limit > 900 or (len(sizes) > 0.5 * 900 / limit and max(sizes) < 4 * limit)
