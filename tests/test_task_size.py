@@ -21,6 +21,7 @@ CASES = {
     "behavior_features": (features.FEATURE_COLUMNS, {"num_partitions": 3}),
     "behavior_max": (["user_id", "event_timestamp", "max_cart_value_24h"], {}),
     "behavior_avgs": (["user_id", "event_timestamp", "avg_cart_value_1h", "avg_cart_value_24h", "avg_cart_value_30d"], {}),
+    "spend_ratio": (["user_id", "event_timestamp", "sum_cart_value_24h", "avg_cart_value_30d", "cart_value_24h_vs_avg_30d_ratio"], {}),
 }
 
 
