@@ -22,6 +22,7 @@ CASES = {
     "behavior_max": (["user_id", "event_timestamp", "max_cart_value_24h"], {}),
     "behavior_avgs": (["user_id", "event_timestamp", "avg_cart_value_1h", "avg_cart_value_24h", "avg_cart_value_30d"], {}),
     "spend_ratio": (["user_id", "event_timestamp", "sum_cart_value_24h", "avg_cart_value_30d", "cart_value_24h_vs_avg_30d_ratio"], {}),
+    "behavior_counts": (["user_id", "event_timestamp", "count_events_1h", "count_sessions_24h", "count_events_7d", "count_events_30d"], {}),
 }
 
 
