@@ -167,15 +167,16 @@ def user_sizes(events: DataFrame) -> tuple[int, int]:
     return key_sizes(events, ["user_id"])
 
 
-def _order(df: DataFrame, distinct_sessions: bool) -> DataFrame:
-    return df.select(*FEATURE_COLUMNS, *(["distinct_sessions_24h"] if distinct_sessions else []))
+def _order(df: DataFrame, distinct_sessions: bool, carried: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*FEATURE_COLUMNS, *(["distinct_sessions_24h"] if distinct_sessions else []), *carried)
 
 
 def behavior_features(events: DataFrame, abandon_mode: str = "reference",
                       num_partitions: int | None = None,
                       direct_max_rows: int = DIRECT_MAX_ROWS,
                       distinct_sessions: bool = False,
-                      sizes: tuple[int, int] | None = None, stored: bool = False) -> DataFrame:
+                      sizes: tuple[int, int] | None = None, stored: bool = False,
+                      carried: tuple[str, ...] = ()) -> DataFrame:
     """The 20-column behaviour feature table, one row per input row (see module docstring).
 
     One plan at every size; ``direct_max_rows`` (0 forces range pieces) only decides how :func:`keyed_scan` runs it,
@@ -188,13 +189,14 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
     label_available_date``); read once, eagerly, unless ``stored`` says that they
     are a table and not a plan. ``abandon_mode``: ``reference``
     counts abandoned events by event time; ``point_in_time`` only counts
-    labels already available one millisecond before the row.
+    labels already available one millisecond before the row. ``carried``: more
+    columns of ``events``, returned with each row as they are.
     """
     if abandon_mode not in ABANDON_MODES:
         raise ValueError(f"abandon_mode must be one of {ABANDON_MODES}")
     pit = abandon_mode == "point_in_time"
     # the (label join's) rows are read three times below: stored once, in the few columns that count
-    narrow = events.selectExpr("user_id", "event_timestamp", "item_category", *(["session_id"] if distinct_sessions else []), *_inputs())
+    narrow = events.selectExpr("user_id", "event_timestamp", "item_category", *(["session_id"] if distinct_sessions else []), *_inputs(), *carried)
     if not stored:
         path = scratch_path(events.sparkSession, "feature-inputs")
         narrow.write.parquet(path)
@@ -205,7 +207,7 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
     # per labelled row at most: 1 query + 4 leave + 1 label row, and per
     # (value, ms) occurrence 4 category + 2 session rows -> 12 delta rows
     delta_rows = 9 + pit + 2 * distinct_sessions
-    rows = events.select("user_id", "event_timestamp", "_ms", "_label_ms", *(c for c in _BASE if c not in _PARTS), "v")
+    rows = events.select("user_id", "event_timestamp", "_ms", "_label_ms", *(c for c in _BASE if c not in _PARTS), "v", *carried)
     for column in columns:
         rows = rows.unionByName(_occurrences(events, column, num_partitions, direct_max_rows, (top, total)), allowMissingColumns=True)
     scans = [Scan(f"r_{k}", F.expr(x)) for k, x in _deltas(pit, distinct_sessions).items()]
@@ -218,11 +220,11 @@ def behavior_features(events: DataFrame, abandon_mode: str = "reference",
               Scan("r_mx_suf", tail, "max", "from", per_block=True)]
     scanned = keyed_scan(rows, ["user_id"], "pos", scans, num_partitions=num_partitions,
                          block=F.expr(f"floor(pos / {DAY_MS}D)"), direct_max_rows=direct_max_rows,
-                         max_rows_hint=12 * top, rows_hint=delta_rows * total, keep=["kind", "event_timestamp"],
+                         max_rows_hint=12 * top, rows_hint=delta_rows * total, keep=["kind", "event_timestamp", *carried],
                          inputs=[*_BASE, "v"], expand=[*_DIGITS, _changes(pit, columns)])
     out = _frame_values(scanned.filter(F.col("kind") == _ENTER), "r_", "greatest(r_mx_pre, r_mx_suf)",
-                        ["CAST(r_e_24h AS INT) AS distinct_sessions_24h"] if distinct_sessions else [])
-    return _order(out, distinct_sessions)
+                        [*(["CAST(r_e_24h AS INT) AS distinct_sessions_24h"] if distinct_sessions else []), *carried])
+    return _order(out, distinct_sessions, carried)
 
 
 def _frame_values(sums: DataFrame, p: str, highest: str, more: list[str] = ()) -> DataFrame:

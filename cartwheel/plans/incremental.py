@@ -88,20 +88,21 @@ class FeatureView:
 
         touched = self._touched(events, labels)
         dirty = self._stored(_dirty_days(touched), "view-dirty")
-        needed = self._stored(touched.select("user_id", F.explode(F.sequence(F.col("day") - REACH, F.col("day") + REACH)).alias("day")).distinct(), "view-needed")
+        needed = touched.select("user_id", F.explode(F.sequence(F.col("day") - REACH, F.col("day") + REACH)).alias("day")).distinct()
+        needed = self._stored(needed.join(dirty, ["user_id", "day"], "left"), "view-needed")
         parts = ManifestTable.touched(dirty, self._by_user(F.col("day")))
         if not parts:
             return Refreshed(0, 0, 0, len(self.features.commit(None, {}, [], writer, number, before).folders))
 
         day = _day(_ms("event_timestamp"))
-        new = self._stored(_marked(self._computed(needed), dirty, day).filter("_dirty").drop("_dirty"), "view-recomputed")
+        rows, copied = self._computed(needed).filter("_dirty").drop("_dirty"), 0
         old = self.features.read(before, parts)
-        rows, copied = new, 0
         if old is not None:
-            kept = self._stored(_marked(old, dirty, day).filter("NOT _dirty").drop("_dirty"), "view-kept")
-            rows, copied = new.unionByName(kept), kept.count()
+            rows = rows.unionByName(_marked(old, dirty, day).filter("NOT _dirty").drop("_dirty"))
+            copied = _marked(old.select("user_id", "event_timestamp"), dirty, day).filter("NOT _dirty").count()
         after = self.features.commit(rows, self._by_user(day), parts, writer, number, before)
-        return Refreshed(new.count(), copied, len(parts), len(after.folders))
+        written = self.features.read(after, parts)      # what was computed and what was copied, and nothing else
+        return Refreshed((0 if written is None else written.count()) - copied, copied, len(parts), len(after.folders))
 
     def _touched(self, events: DataFrame, labels: DataFrame) -> DataFrame:
         """(user_id, day, first, last): the days with touched events and the bounds of their times."""
@@ -120,15 +121,16 @@ class FeatureView:
         return self._stored(days, "view-touched")
 
     def _computed(self, needed: DataFrame) -> DataFrame:
-        """Features over the events of the needed user days (right for those with all 30 days before them)."""
+        """Features over the events of the needed user days (right for those with all 30 days before them), with ``_dirty``:
+        events are marked, as their rows are much shorter than feature rows."""
         inputs = self.events.read(parts=ManifestTable.touched(needed, self._by_user(F.col("day"))))
-        inputs = inputs.withColumn("_day", _day(_ms("event_timestamp"))).join(needed.withColumnRenamed("day", "_day"), ["user_id", "_day"], "left_semi").drop("_day")
+        inputs = _marked(inputs, needed, _day(_ms("event_timestamp")), "inner")
         first, last = needed.agg(F.min("day"), F.max("day")).first()
         slices = range(first // SLICE, (last + REACH) // SLICE + 1)
         labels = self.labels.read(parts=[p for p in self.labels.snapshot().folders if int(p.rsplit("=", 1)[1]) in slices])
         if labels is None:
             labels = self.spark.createDataFrame([], "session_id string, will_abandon int, label_available_date timestamp")
-        return features.behavior_features(joins.label_interval_join(inputs, labels), abandon_mode=self.abandon_mode)
+        return features.behavior_features(joins.label_interval_join(inputs, labels), abandon_mode=self.abandon_mode, carried=("_dirty",))
 
 
 def _dirty_days(touched: DataFrame) -> DataFrame:
@@ -139,8 +141,8 @@ def _dirty_days(touched: DataFrame) -> DataFrame:
         F.max(F.when(F.col("n") == REACH, F.col("last") + F.lit(REACH * DAY_MS))).alias("until"))
 
 
-def _marked(rows: DataFrame, dirty: DataFrame, day: Column) -> DataFrame:
+def _marked(rows: DataFrame, dirty: DataFrame, day: Column, how: str = "left") -> DataFrame:
     d = dirty.withColumnsRenamed({"user_id": "_u", "day": "_d"})
     ms = _ms("event_timestamp")
     mark = F.coalesce(F.col("whole") | F.coalesce(ms >= F.col("since"), F.lit(False)) | F.coalesce(ms <= F.col("until"), F.lit(False)), F.lit(False))
-    return rows.join(d, (F.col("user_id") == F.col("_u")) & (day == F.col("_d")), "left").select(*rows.columns, mark.alias("_dirty"))
+    return rows.join(d, (F.col("user_id") == F.col("_u")) & (day == F.col("_d")), how).select(*rows.columns, mark.alias("_dirty"))

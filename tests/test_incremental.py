@@ -100,3 +100,14 @@ def test_crash_between_the_tables_and_replay(spark, tmp_path, monkeypatch):
     expected = full(spark, feed.events, feed.labels)
     assert stored(feed.view) == expected
     assert feed.again(*more).recomputed == 0 and stored(feed.view) == expected
+
+
+def test_feature_rows_are_written_by_the_commit_alone(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    feed, kept = Feed(spark, tmp_path / "v"), []
+    monkeypatch.setattr(FeatureView, "_stored", lambda self, df, name, f=FeatureView._stored: kept.append(df.columns) or f(self, df, name))
+    feed.take([event(rng, u, d) for u in ("a", "b") for d in range(0, 60, 4)], [label(rng, "a", 3)])
+    done = feed.take([event(rng, "a", 50)], [])
+    assert 0 < done.recomputed < 20 and done.copied > 0
+    assert len(kept) == 6 and not any("count_events_1h" in columns for columns in kept)
+    assert stored(feed.view) == full(spark, feed.events, feed.labels)
