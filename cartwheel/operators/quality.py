@@ -135,7 +135,14 @@ def write_routed(df: DataFrame, rules: dict[str, str] | str, path: str,
     ev = evaluate(df, rules, on_null)
     if observation is not None:
         ev = observe_expectations(ev, rules, observation)
-    ev.write.mode("overwrite").partitionBy(FLAG).parquet(path)
     spark = df.sparkSession
+    # a task keeps a file open for each flag value (false, true, NULL), so it does not sort its whole split by the flag
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, max(3, int(before)))
+    try:
+        ev.write.mode("overwrite").partitionBy(FLAG).parquet(path)
+    finally:
+        spark.conf.set(name, before)
     stored = spark.read.schema(ev.schema).parquet(path)
     return clean(stored), quarantined(stored)

@@ -110,3 +110,27 @@ def test_write_routed_single_pass_keeps_null_flag_rows(spark):
     stored = spark.read.parquet(path)
     assert stored.filter(F.col("is_quarantined").isNull()).count() == 1   # visible, not lost
     assert obs.get["rows"] == 3
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_write_routed_sorts_no_split_by_the_flag(spark, monkeypatch, tmp_path, fails):
+    # Spark sorts what a task writes by the partition column unless it may keep a file open per value
+    from pyspark.sql import DataFrameWriter
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(name)
+
+    def parquet(self, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(name)))
+        if fails:
+            raise RuntimeError("disk full")
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    if fails:
+        with pytest.raises(RuntimeError):
+            quality.write_routed(_customers(spark), "customers", str(tmp_path / "routed"), "reference")
+    else:
+        clean, bad = quality.write_routed(_customers(spark), "customers", str(tmp_path / "routed"), "reference")
+        assert clean.count() == bad.count() == 1
+        assert spark.read.schema(f"user_id string, {quality.FLAG} boolean").parquet(str(tmp_path / "routed")).filter(f"{quality.FLAG} IS NULL").count() == 1
+    assert seen == [3] and spark.conf.get(name) == before
