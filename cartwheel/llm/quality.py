@@ -135,27 +135,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return np.frombuffer(found[0].model, dtype="<f8") if found else np.zeros(1 << BITS)
 
 
-def _score(model, text: str, score: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = model.value
-        for batch in steps(batches):
-            out = scores(weights, *flat(pc.fill_null(batch.column(text), "")))
-            rest = batch.drop_columns([text])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(out)], [*rest.schema.names, score])
+def _score(model):
+    """Score of a text column. Only the texts go to Python, once, and only numbers come back; other columns stay in the JVM."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return run(b for batch in batches for b in steps([batch], text))
+    def run(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([pc.fill_null(text, "")], ["text"])
+        out = [scores(model.value, *flat(part.column("text"))) for part in steps([batch])]
+        return pa.array(np.concatenate([np.zeros(0), *out]))
 
-    return cut
+    return F.arrow_udf(run, "double")
 
 
 def scored(docs: DataFrame, model: np.ndarray, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a double ``score_col`` from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers
-    kind = docs.schema.fields
-    schema = type(docs.schema)([*kind]).add(score_col, "double")
-    text = absent(docs, "_text")
-    return docs.withColumn(text, text_or_empty(text_col)).mapInArrow(_score(shared, text, score_col), schema)
+    return docs.withColumn(score_col, _score(shared)(text_or_empty(text_col)))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
